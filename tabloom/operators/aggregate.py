@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.plans.quantiles import exact_quantiles
-from tabloom.plans.sizing import attach
+from tabloom.plans.sizing import attach, value_table
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
@@ -122,8 +122,7 @@ def fixed_cross_count(
     """Table of counts with fixed rows and columns; an empty cell, and an empty row, is 0."""
     kept = df.filter(F.col(row).isin(*rows) & F.col(col).isin(*values))
     counts = kept.groupBy(row).pivot(col, list(values)).agg(F.count(count))
-    kind = df.schema[row].dataType.simpleString()
-    frame = df.sparkSession.createDataFrame([(r,) for r in rows], f"`{row}` {kind}")
+    frame = value_table(df.sparkSession, row, rows, df.schema[row].dataType.simpleString())
     # both sides have at most one row per listed row value
     return frame.join(F.broadcast(counts), row, "left").na.fill(0, subset=[str(v) for v in values])
 

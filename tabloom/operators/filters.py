@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions import predicates, times
-from tabloom.plans.sizing import attach
+from tabloom.plans.sizing import attach, value_table
 
 IN_LIST_LIMIT = 200
 
@@ -33,9 +33,7 @@ def keep_not_in(df: DataFrame, col: str, values: Sequence) -> DataFrame:
 
 
 def _value_table(df: DataFrame, col: str, values: Sequence) -> DataFrame:
-    # a list that the caller holds in memory; its size decides how it is joined
-    kind = df.schema[col].dataType.simpleString()
-    return df.sparkSession.createDataFrame([(v,) for v in set(values)], f"`{col}` {kind}")
+    return value_table(df.sparkSession, col, sorted(set(values)), df.schema[col].dataType.simpleString())
 
 
 def contains(df: DataFrame, col: str, s: str) -> DataFrame:

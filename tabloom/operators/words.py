@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.text import words
-from tabloom.plans.sizing import attach, pinned_if_small
+from tabloom.plans.sizing import attach, pinned_if_small, value_table
 
 
 def word_count(df: DataFrame, col: str, stop_words: DataFrame | Sequence[str] | None = None) -> DataFrame:
@@ -22,7 +22,7 @@ def word_count(df: DataFrame, col: str, stop_words: DataFrame | Sequence[str] |
     if stop_words is None:
         return counts
     if not isinstance(stop_words, DataFrame):
-        stop_words = df.sparkSession.createDataFrame([(w,) for w in stop_words], "word string")
+        stop_words = value_table(df.sparkSession, "word", stop_words, "string")
     stop, _ = pinned_if_small(stop_words.select(F.lower(stop_words.columns[0]).alias("word")).distinct())
     return counts.join(stop, "word", "left_anti")
 

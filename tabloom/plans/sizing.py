@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_ROWS = 50_000
@@ -37,3 +38,8 @@ def attach(df: DataFrame, lookup: DataFrame, on: Sequence[str] = (), how: str =
         return df.crossJoin(F.broadcast(lookup))
     small, _ = pinned_if_small(lookup)
     return df.join(small, list(on), how)
+
+
+def value_table(spark: SparkSession, name: str, values: Sequence, kind: str) -> DataFrame:
+    """A one-column table of values that the caller already holds in memory."""
+    return spark.createDataFrame(pa.table({name: list(values)}), f"`{name}` {kind}")
