@@ -81,7 +81,7 @@ def permutation_importance(
     paired = attach(rows.withColumn("_b", bucket_a), donors, ["_b"])
     out = None
     for i in [-1, *slots]:
-        swapped = F.transform("_x", lambda v, j, i=i: F.when(j == i, F.coalesce(F.col("_d")[i], v)).otherwise(v)) if i >= 0 else F.col("_x")
+        swapped = F.array(*[F.coalesce(F.col("_d")[j], F.col("_x")[j]) if j == i else F.col("_x")[j] for j in slots])
         scored = model.transform(paired.withColumn(features, array_to_vector(swapped)))
         raw = "probability" if "probability" in scored.columns else "rawPrediction"
         auc = auc_rank(scored.withColumn("_s", vector_to_array(F.col(raw))[1]), label, "_s")

@@ -47,7 +47,7 @@ def grid_search(
     A row's fold comes from its key, so folds do not depend on partitioning. The
     fits of a fold run side by side, each of them distributed.
     """
-    pipe = Pipeline()
+    pipe = Pipeline(stages=[])
     grid = [{pipe.stages: c.getStages()} for c in candidates]
     data = df.withColumn("_fold", (hash_number(F.col(key), seed) % folds).cast("int"))
     search = CrossValidator(

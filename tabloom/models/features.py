@@ -131,8 +131,9 @@ class CategoryEncoderModel(Model):
             for v in names[1:]
         ]
         for c, order in self.order.items():
-            own = _index(F.col(c), order)
-            cells.append(F.coalesce(own, F.lit(order.index(self.mode[c]))).cast("double"))
+            # without any known value to take a mode from, every row gets the first place
+            usual = order.index(self.mode[c]) if self.mode[c] is not None else 0
+            cells.append(F.coalesce(_index(F.col(c), order), F.lit(usual)).cast("double"))
         return dataset.withColumn(self.out, array_to_vector(F.array(*cells)))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations, combinations_with_replacement
 
 import numpy as np
@@ -34,14 +35,19 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearso
     """All pairs as (a, b, r) rows, each pair over the rows that have both values."""
     if method == "spearman":
         parts = [
-            spearman(df, a, b).select(F.lit(x).alias("a"), F.lit(y).alias("b"), "r")
-            for a, b in combinations_with_replacement(cols, 2)
-            for x, y in ([(a, b)] if a == b else [(a, b), (b, a)])
+            spearman(df, a, b).select(
+                F.inline(
+                    F.array(
+                        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), "r"),
+                        F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), "r"),
+                    )
+                )
+            )
+            for a, b in combinations(cols, 2)
         ]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+        same = df.agg(*[F.when(F.min(c) < F.max(c), F.lit(1.0)).alias(f"r{i}") for i, c in enumerate(cols)])
+        cells = [F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.col(f"r{i}").alias("r")) for i, c in enumerate(cols)]
+        return reduce(DataFrame.unionByName, parts, same.select(F.inline(F.array(*cells))))
     pairs = list(combinations_with_replacement(cols, 2))
     row = df.agg(*[F.corr(_number(df, a), _number(df, b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
@@ -52,9 +58,9 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearso
     return row.select(F.inline(F.array(*cells)))
 
 
-def average_ranks(counts: DataFrame, col: str, n: str, out: str) -> DataFrame:
-    """Rank of every distinct value, ties averaged, from a table of value counts."""
-    per_value = counts.groupBy(col).agg(F.sum(n).alias("_n"))
+def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
+    """Rank of every distinct value among all rows, ties averaged."""
+    per_value = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
     run = running_total(per_value, F.col(col), F.col(col), {"_upto": F.col("_n")})
     return run.select(col, (F.col("_upto") - (F.col("_n") - 1) / 2).alias(out))
 
@@ -67,8 +73,8 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     """
     rows = df.select(_number(df, a).alias("_a"), _number(df, b).alias("_b")).dropna()
     pairs = rows.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_w"))
-    ranked = attach(pairs, average_ranks(pairs, "_a", "_w", "_ra"), ["_a"], "inner")
-    ranked = attach(ranked, average_ranks(pairs, "_b", "_w", "_rb"), ["_b"], "inner")
+    ranked = attach(pairs, average_ranks(rows, "_a", "_ra"), ["_a"], "inner")
+    ranked = attach(ranked, average_ranks(rows, "_b", "_rb"), ["_b"], "inner")
     mid = rows.agg(((F.count(F.lit(1)) + 1) / 2).alias("_mid"))
     centred = attach(ranked, mid).select(
         "_w", (F.col("_ra") - F.col("_mid")).alias("x"), (F.col("_rb") - F.col("_mid")).alias("y")
@@ -239,7 +245,6 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], dummy: str | None = None) -> O
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
-    from pyspark.mllib.linalg.distributed import RowMatrix
 
     spark = df.sparkSession
     need = [y, *xs] + ([dummy] if dummy else [])
@@ -262,9 +267,7 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], dummy: str | None = None) -> O
     table = list(zip(terms, coef, s.coefficientStandardErrors, s.tValues, s.pValues))
     dof = n - k - 1
     f_stat = (s.r2 / k) / ((1 - s.r2) / dof)
-    with_const = VectorAssembler(inputCols=["_one", *inputs], outputCol="_f").transform(rows.withColumn("_one", F.lit(1.0)))
-    gram = RowMatrix(with_const.select("_f").rdd.map(_old_vector)).computeGramianMatrix().toArray()
-    eig = np.linalg.eigvalsh(gram)
+    eig = np.linalg.eigvalsh(_gram(data, n))
     fit = [(n, float(s.r2), float(s.r2adj), float(f_stat), f_tail(f_stat, k, dof), float(math.sqrt(eig[-1] / eig[0])))]
     return OlsFit(
         spark.createDataFrame(pd.DataFrame([tuple(map(_plain, t)) for t in table], columns=["term", "coef", "se", "t", "p"])),
@@ -278,10 +281,15 @@ def _plain(v):
     return v if isinstance(v, str) else float(v)
 
 
-def _old_vector(row):
-    from pyspark.mllib.linalg import Vectors
+def _gram(data: DataFrame, n: int) -> np.ndarray:
+    """X'X with the constant, put together from means, deviations and correlations."""
+    from pyspark.ml.stat import Correlation, Summarizer
 
-    return Vectors.dense(row[0].toArray())
+    m = data.select(Summarizer.metrics("mean", "std").summary(F.col("_f")).alias("s")).select("s.mean", "s.std").first()
+    mean, std = m["mean"].toArray(), m["std"].toArray()
+    corr = Correlation.corr(data, "_f").first()[0].toArray() if len(mean) > 1 else np.eye(1)
+    inner = (n - 1) * corr * np.outer(std, std) + n * np.outer(mean, mean)
+    return np.block([[np.array([[float(n)]]), n * mean[None, :]], [n * mean[:, None], inner]])
 
 
 def residuals(fit: OlsFit, df: DataFrame, y: str, xs: Mapping[str, Column] | Sequence[str], out: str = "resid") -> DataFrame:
