@@ -33,9 +33,9 @@ def cut_tail(col: Column, n: int) -> Column:
 
 
 def words(col: Column) -> Column:
-    """Lower-cased words between any whitespace, without empty ones."""
-    cleaned = remove_chars(F.lower(col))
-    return F.filter(F.split(cleaned, r"\s+"), lambda w: w != "")
+    """Lower-cased words between any whitespace; empty ones, at the ends and in between, stay in."""
+    blank = "\t\n\r\f\v"
+    return F.split(F.translate(F.lower(col), blank + PUNCTUATION, " " * len(blank)), " ")
 
 
 def join_fields(sep: str, *cols: Column) -> Column:

@@ -18,9 +18,9 @@ MAX_LEVELS = 1000
 
 
 def hash_number(key: Column, seed: int) -> Column:
-    """A number below 2^60 that depends on key and seed only, so any engine can repeat it."""
+    """A number below 2^52, exact as a double, that depends on key and seed only."""
     digest = F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed))).cast("binary"))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
 
 
 def stratified_split(

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabloom.plans.sizing import spread
+
 BLOCK_ROWS = 16_384
 
 
@@ -68,6 +70,7 @@ def k_nearest(
     block = F.pmod(F.xxhash64(id_col), F.lit(n_blocks))
     schema = "query_id long, near_id long, dist double, tag int"
     slim = train.select(F.col(id_col).cast("long").alias(id_col), vec_col, F.col(tag_col).cast("int").alias(tag_col))
+    slim = spread(slim)
     parts = []
     for b in range(n_blocks):
         # blocks are filled to half on average, so the bound is a guard, not a cut

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.plans.sizing import pinned_if_small
+from tabloom.plans.sizing import pinned_if_small, spread
 
 ACCURACY = 10_000
 
@@ -32,7 +32,7 @@ def _cells(
 ) -> tuple[DataFrame, DataFrame]:
     """Per-group sizes, and the value counts from which ranks can be read."""
     rows = df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])) if keys else df
-    rows = rows.select(*keys, F.col(value).alias("_v"))
+    rows = spread(rows.select(*keys, F.col(value).cast("double").alias("_v")))
     sizes = rows.groupBy(*keys).agg(
         F.count("_v").alias("_n"),
         F.percentile_approx("_v", points, F.lit(accuracy)).alias("_ends"),
@@ -128,7 +128,8 @@ def kth_smallest(
 ) -> DataFrame:
     """Per group, the k-th smallest value for k = round(share * n): keys, ``n``, ``k``, ``kth``.
 
-    ``kth`` is null where k = 0.
+    ``kth`` is null where k = 0. Values are compared as doubles, so whole numbers
+    must stay below 2^53.
     """
     keys = list(keys)
     k = F.floor(F.col("_n") * F.lit(float(share)) + 0.5).cast("long")

@@ -43,3 +43,13 @@ def attach(df: DataFrame, lookup: DataFrame, on: Sequence[str] = (), how: str =
 def value_table(spark: SparkSession, name: str, values: Sequence, kind: str) -> DataFrame:
     """A one-column table of values that the caller already holds in memory."""
     return spark.createDataFrame(pa.table({name: list(values)}), f"`{name}` {kind}")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores when a scan has fewer splits than there are cores.
+
+    Small files come as one split, which would leave heavy expressions to one
+    task. A table with enough splits, as any large one has, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

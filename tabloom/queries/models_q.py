@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from tabloom.models import attribution, classify, features, nearest
+from tabloom.plans.written import written
 from tabloom.queries.registry import Tables, query, rounded
 
 CAT, NUM = ["lang"], ["n_chars", "n_words", "word_length", "marks"]
-SOURCE_ORDER = [f"source_{i}" for i in range(20)]
-HASH = "('0x' || substr(md5({key}::varchar || ':42'), 1, 15))::bigint"
+SOURCE_ORDER = [f"src{i}" for i in range(20)]
+HASH = "('0x' || substr(md5({key}::varchar || ':42'), 1, 13))::bigint"
 
 
 def examples(t: Tables):
@@ -108,8 +109,13 @@ def l6(t: Tables):
     return rounded(spread.select("c_custkey", *names))
 
 
+def split_examples(t: Tables):
+    """Train and test part of one written example table, which every fit reads again."""
+    return features.stratified_split(written(examples(t), "examples"), "label", "doc_id")
+
+
 def _fit_and_score(t: Tables, model, how: str):
-    train, test = features.stratified_split(examples(t), "label", "doc_id")
+    train, test = split_examples(t)
     pipe = features.build_pipeline(CAT, {"source": SOURCE_ORDER}, NUM, model, how)
     return classify.score(pipe.fit(train), test, ["doc_id", "label"])
 
@@ -159,7 +165,7 @@ def l10_classify(t: Tables):
 
 @query("l11_grid_search")
 def l11(t: Tables):
-    train, _ = features.stratified_split(examples(t), "label", "doc_id")
+    train, _ = split_examples(t)
     make = lambda model, how: features.build_pipeline(CAT, {}, NUM, model, how)
     candidates = [make(classify.tree_classifier(d), "none") for d in (2, 5)]
     candidates += [make(classify.logistic(penalty=p), h) for p, h in [(0.0, "standard"), (0.1, "minmax")]]
@@ -203,7 +209,7 @@ def l12_test(t: Tables):
 
 @query("l13_attribution")
 def l13(t: Tables):
-    train, test = features.stratified_split(examples(t), "label", "doc_id")
+    train, test = split_examples(t)
     prep = features.build_pipeline([], {}, NUM, None, "standard").fit(train)
     model = classify.logistic(penalty=0.01).fit(prep.transform(train))
     base = attribution.background(prep.transform(train), "doc_id")
@@ -213,7 +219,7 @@ def l13(t: Tables):
 
 @query("l13_permutation_importance")
 def l13_cheap(t: Tables):
-    train, test = features.stratified_split(examples(t), "label", "doc_id")
+    train, test = split_examples(t)
     prep = features.build_pipeline([], {}, NUM, None, "standard").fit(train)
     model = classify.logistic(penalty=0.01).fit(prep.transform(train))
     return rounded(attribution.permutation_importance(model, prep.transform(test), "doc_id", "label", NUM), 3)
