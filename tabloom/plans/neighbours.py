@@ -8,18 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.plans.blocks import with_blocks
-from tabloom.plans.sizing import pinned_if_small
+from tabloom.plans.sizing import hot_keys, pinned_if_small
 
 HOT_ROWS = 5_000_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows (at most rows/hot_rows of them), or None."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    found, n = pinned_if_small(counts.filter(F.col("_n") > hot_rows).select(*keys))
-    return None if n == 0 else found
-
-
 def with_neighbours(
     df: DataFrame,
     keys: Sequence[str],

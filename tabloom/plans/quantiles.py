@@ -1,11 +1,12 @@
-"""Exact order statistics without gathering a group in one task.
-
-Pass 1 takes one mergeable quantile sketch per group and reads from it a narrow
-bracket around each wanted rank. Pass 2 counts values: inside a bracket by
-value, outside it only by cell, so almost everything collapses before the
-shuffle. The wanted values are then found in the running count of the few rows
-that are left. A group of n rows leaves at most about 4n/accuracy of its
-distinct values per wanted quantile, however hot the group is.
+"""Exact order statistics, also for groups too large for one task.
+
+An ordinary group is sorted in one window partition. Groups with more than ``hot_rows`` values
+(there are at most rows / hot_rows of them) take another way. Pass 1 takes one
+mergeable quantile sketch per group and reads from it a narrow bracket around
+each wanted rank. Pass 2 counts values: inside a bracket by value, outside it
+only by cell, so almost everything collapses before the shuffle. The wanted
+values are then found in the running count of the few rows that are left: about
+4n/accuracy of a group's n values per wanted quantile.
 """
 
 from __future__ import annotations
@@ -16,9 +17,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.plans.sizing import pinned_if_small, spread
+from tabloom.plans.sizing import hot_keys, pinned_if_small
 
 ACCURACY = 10_000
+HOT_ROWS = 1_000_000
 
 
 def _brackets(qs: Sequence[float], accuracy: int) -> list[float]:
@@ -27,12 +29,26 @@ def _brackets(qs: Sequence[float], accuracy: int) -> list[float]:
     return sorted(ends)
 
 
+def _rows(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    rows = df.dropna(subset=keys) if keys else df
+    return rows.select(*keys, F.col(value).cast("double").alias("_v"))
+
+
+def _split_hot(rows: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """(rows of ordinary groups, rows of hot groups); a part that is empty is None."""
+    filled = rows.filter(F.col("_v").isNotNull())
+    if not keys:
+        return (None, rows) if filled.count() > hot_rows else (rows, None)
+    hot = hot_keys(filled, keys, hot_rows)
+    if hot is None:
+        return rows, None
+    return rows.join(hot, keys, "left_anti"), rows.join(hot, keys, "left_semi")
+
+
 def _cells(
-    df: DataFrame, value: str, keys: list[str], points: list[float], accuracy: int
+    rows: DataFrame, keys: list[str], points: list[float], accuracy: int
 ) -> tuple[DataFrame, DataFrame]:
     """Per-group sizes, and the value counts from which ranks can be read."""
-    rows = df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])) if keys else df
-    rows = spread(rows.select(*keys, F.col(value).cast("double").alias("_v")))
     sizes = rows.groupBy(*keys).agg(
         F.count("_v").alias("_n"),
         F.percentile_approx("_v", points, F.lit(accuracy)).alias("_ends"),
@@ -70,16 +86,11 @@ def _value_at(rank: Column) -> Column:
 
 
 def _pick(
-    df: DataFrame,
-    value: str,
-    keys: list[str],
-    qs: Sequence[float],
-    ranks: list[Column],
-    finish,
-    accuracy: int,
+    rows: DataFrame, keys: list[str], qs: Sequence[float], ranks: list[Column], accuracy: int
 ) -> DataFrame:
+    """keys, n and the values at the ranks, as _r0, _r1 …; the way of the hot groups."""
     points = _brackets(qs, accuracy)
-    sizes, cells = _cells(df, value, keys, points, accuracy)
+    sizes, cells = _cells(rows, keys, points, accuracy)
     margin = 2.0 / accuracy
     inside = [
         2 * i + 2
@@ -91,8 +102,7 @@ def _pick(
     counted = counted.join(totals, keys) if keys else counted.crossJoin(totals)
     found = counted.groupBy(*keys).agg(*[_value_at(r).alias(f"_r{i}") for i, r in enumerate(ranks)])
     base = sizes.select(*keys, F.col("_n").alias("n"))
-    joined = base.join(found, keys, "left") if keys else base.crossJoin(F.broadcast(found))
-    return joined.select(*keys, "n", finish().alias("quantiles"))
+    return base.join(found, keys, "left") if keys else base.crossJoin(F.broadcast(found))
 
 
 def exact_quantiles(
@@ -101,42 +111,66 @@ def exact_quantiles(
     qs: Sequence[float],
     keys: Sequence[str] = (),
     accuracy: int = ACCURACY,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Exact linear-interpolation quantiles: keys, ``n`` and ``quantiles``.
 
     Null values are skipped, null keys form no group. A group without values
     has n = 0 and null quantiles; without keys there is always one row.
-    ``accuracy`` sets the bracket width, never the result.
+    ``accuracy`` and ``hot_rows`` choose the way, never the result.
     """
-    keys = list(keys)
-    at = [(F.col("_n") - 1) * F.lit(float(q)) for q in qs]
+    keys, qs = list(keys), [float(q) for q in qs]
+    ordinary, hot = _split_hot(_rows(df, value, keys), keys, hot_rows)
+    at = [(F.col("_n") - 1) * F.lit(q) for q in qs]
     ranks = [r for a in at for r in (F.floor(a), F.ceil(a))]
+    found = _read(ordinary, hot, keys, qs, ranks, accuracy)
+    return found.select(*keys, "n", F.array(*[_between(i, q) for i, q in enumerate(qs)]).alias("quantiles"))
+
+
+def _read(ordinary, hot, keys: list[str], qs: Sequence[float], ranks: list[Column], accuracy: int) -> DataFrame:
+    """Values at the ranks, each part of the groups read in its own way."""
+    parts = []
+    if ordinary is not None:
+        parts.append(_sorted_pick(ordinary, keys, ranks))
+    if hot is not None:
+        parts.append(_pick(hot, keys, qs, ranks, accuracy))
+    return reduce(DataFrame.unionByName, parts)
 
-    def finish() -> Column:
-        out = []
-        for i, q in enumerate(qs):
-            pos = (F.col("n") - 1) * F.lit(float(q))
-            low, high = F.col(f"_r{2 * i}").cast("double"), F.col(f"_r{2 * i + 1}").cast("double")
-            out.append(F.when(F.col("n") > 0, low + (high - low) * (pos - F.floor(pos))))
-        return F.array(*out)
 
-    return _pick(df, value, keys, qs, ranks, finish, accuracy)
+def _sorted_pick(rows: DataFrame, keys: list[str], ranks: list[Column]) -> DataFrame:
+    """The same columns for ordinary groups; nulls sort last and are not counted."""
+    group = Window.partitionBy(*keys)
+    placed = rows.select(
+        *keys,
+        "_v",
+        (F.row_number().over(group.orderBy(F.col("_v").asc_nulls_last())) - 1).cast("long").alias("_start"),
+        F.count("_v").over(group).alias("_n"),
+    )
+    picked = [F.max(F.when(F.col("_start") == r, F.col("_v"))).alias(f"_r{i}") for i, r in enumerate(ranks)]
+    return placed.groupBy(*keys).agg(F.coalesce(F.max("_n"), F.lit(0)).alias("n"), *picked)
+
+
+def _between(i: int, q: float) -> Column:
+    pos = (F.col("n") - 1) * F.lit(q)
+    low, high = F.col(f"_r{2 * i}"), F.col(f"_r{2 * i + 1}")
+    return F.when(F.col("n") > 0, low + (high - low) * (pos - F.floor(pos)))
 
 
 def kth_smallest(
-    df: DataFrame, value: str, share: float, keys: Sequence[str] = (), accuracy: int = ACCURACY
+    df: DataFrame,
+    value: str,
+    share: float,
+    keys: Sequence[str] = (),
+    accuracy: int = ACCURACY,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Per group, the k-th smallest value for k = round(share * n): keys, ``n``, ``k``, ``kth``.
+    """Per group, the k-th smallest value for k = round(share * n): keys, ``n``, ``rank`` (k), ``kth``.
 
     ``kth`` is null where k = 0. Values are compared as doubles, so whole numbers
     must stay below 2^53.
     """
     keys = list(keys)
-    k = F.floor(F.col("_n") * F.lit(float(share)) + 0.5).cast("long")
-    out = _pick(df, value, keys, [share], [k - 1], lambda: F.array(F.col("_r0")), accuracy)
-    return out.select(
-        *keys,
-        "n",
-        F.floor(F.col("n") * F.lit(float(share)) + 0.5).cast("long").alias("k"),
-        F.col("quantiles")[0].alias("kth"),
-    )
+    ordinary, hot = _split_hot(_rows(df, value, keys), keys, hot_rows)
+    rank_of = lambda n: F.floor(F.col(n) * F.lit(float(share)) + 0.5).cast("long")
+    found = _read(ordinary, hot, keys, [share], [rank_of("_n") - 1], accuracy)
+    return found.select(*keys, "n", rank_of("n").alias("rank"), F.col("_r0").alias("kth"))

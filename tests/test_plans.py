@@ -30,27 +30,29 @@ def df(spark, rows):
     return frame.withColumn("v", F.when(~F.isnan("v"), F.col("v")))
 
 
-@pytest.mark.parametrize("accuracy", [20, 500, 10_000])
-def test_exact_quantiles(df, rows, accuracy):
+@pytest.mark.parametrize("accuracy,hot_rows", [(20, 0), (500, 1000), (10_000, 0), (10_000, 10**9)])
+def test_exact_quantiles(df, rows, accuracy, hot_rows):
     qs = [0.0, 0.05, 0.25, 0.5, 0.751, 0.995, 1.0]
-    got = exact_quantiles(df, "v", qs, accuracy=accuracy).first()
+    got = exact_quantiles(df, "v", qs, accuracy=accuracy, hot_rows=hot_rows).first()
     assert got.n == rows.v.count()
     assert got.quantiles == pytest.approx(rows.v.quantile(qs).tolist())
-    got = {r.k: r.quantiles for r in exact_quantiles(df, "v", qs, ["k"], accuracy).collect()}
+    got = {r.k: r.quantiles for r in exact_quantiles(df, "v", qs, ["k"], accuracy, hot_rows).collect()}
     for k, g in rows.groupby("k"):
         assert got[k] == pytest.approx(g.v.quantile(qs).tolist())
 
 
-def test_quantiles_without_values(spark):
+@pytest.mark.parametrize("hot_rows", [0, 10**9])
+def test_quantiles_without_values(spark, hot_rows):
     empty = spark.createDataFrame([(1, None), (2, 3.0), (None, 4.0)], "k int, v double")
-    got = {r.k: (r.n, r.quantiles) for r in exact_quantiles(empty, "v", [0.5], ["k"]).collect()}
+    got = {r.k: (r.n, r.quantiles) for r in exact_quantiles(empty, "v", [0.5], ["k"], hot_rows=hot_rows).collect()}
     assert got == {1: (0, [None]), 2: (1, [3.0])}
-    none = exact_quantiles(empty.filter("k > 5"), "v", [0.5]).collect()
+    none = exact_quantiles(empty.filter("k > 5"), "v", [0.5], hot_rows=hot_rows).collect()
     assert [(r.n, r.quantiles) for r in none] == [(0, [None])]
 
 
-def test_kth_smallest(df, rows):
-    got = {r.k: (r["k_"], r.kth) for r in kth_smallest(df, "id", 0.25, ["k"]).toDF("k", "n", "k_", "kth").collect()}
+@pytest.mark.parametrize("hot_rows", [0, 1000, 10**9])
+def test_kth_smallest(df, rows, hot_rows):
+    got = {r.k: (r["rank"], r.kth) for r in kth_smallest(df, "id", 0.25, ["k"], hot_rows=hot_rows).collect()}
     # ids of rows whose value is null still count: the ranked column is the id
     for k, g in rows.groupby("k"):
         want = int(np.floor(0.25 * len(g) + 0.5))
