@@ -114,8 +114,8 @@ def share_above(df: DataFrame, col: str, limit: float, out: str = "share") -> Da
 
 def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row: the most frequent value of each text column, ties to the smallest."""
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in cols])).alias("e"))
-    counts = long.filter("e.v is not null").groupBy("e.c", "e.v").agg(F.count(F.lit(1)).alias("n"))
+    long = df.select(*cols).unpivot([], list(cols), "c", "v").filter("v is not null")
+    counts = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
     best = counts.groupBy("c").agg(F.min(F.struct((-F.col("n")).alias("n"), "v"))["v"].alias("v"))
     return best.agg(*[F.max(F.when(F.col("c") == c, F.col("v"))).alias(c) for c in cols])
 

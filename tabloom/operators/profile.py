@@ -56,9 +56,7 @@ def duplicate_rows(df: DataFrame, cols: Sequence[str], order: str) -> DataFrame:
 def distinct_values(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Sorted distinct values of the text columns, as (column, value) rows."""
     cols = list(cols or [f.name for f in df.schema if isinstance(f.dataType, T.StringType)])
-    long = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols]))
-    )
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value")
     return long.distinct().orderBy("column", F.col("value").asc_nulls_last())
 
 
@@ -83,9 +81,7 @@ def describe(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
 
 def describe_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, number of values, most frequent value (ties to the smallest) and its frequency."""
-    long = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in cols]))
-    )
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "v")
     counts = long.groupBy("column", "v").agg(F.count("v").alias("n"))
     best = F.min(F.when(F.col("v").isNotNull(), F.struct((-F.col("n")).alias("n"), F.col("v").alias("v"))))
     return counts.groupBy("column").agg(
@@ -120,9 +116,7 @@ def summary_table(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
             F.avg(c).alias(f"mean__{c}"),
         ]
     basic = _long(df.agg(*aggs), cols, ["complete", "min", "max", "mean"])
-    long = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols]))
-    )
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "v")
     q = exact_quantiles(long, "v", [0.5, 0.9, 0.95], ["column"])
     names = ["p50", "p90", "p95"]
     return basic.join(q.select("column", *[F.col("quantiles")[i].alias(n) for i, n in enumerate(names)]), "column", "left")

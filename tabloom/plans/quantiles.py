@@ -1,12 +1,12 @@
 """Exact order statistics, also for groups too large for one task.
 
-An ordinary group is sorted in one window partition. Groups with more than ``hot_rows`` values
-(there are at most rows / hot_rows of them) take another way. Pass 1 takes one
-mergeable quantile sketch per group and reads from it a narrow bracket around
-each wanted rank. Pass 2 counts values: inside a bracket by value, outside it
-only by cell, so almost everything collapses before the shuffle. The wanted
-values are then found in the running count of the few rows that are left: about
-4n/accuracy of a group's n values per wanted quantile.
+An ordinary group is sorted in one window partition. A group with more than
+``hot_rows`` values (there are at most rows / hot_rows of them) is never
+gathered: one mergeable quantile sketch per group gives a narrow bracket around
+each wanted rank, values inside a bracket are counted by value, those outside
+only by cell, so almost everything is combined before the shuffle. The wanted
+values are read from the running count of what is left, about 4n/accuracy of the
+group's n values per wanted quantile; none is guessed.
 """
 
 from __future__ import annotations
@@ -17,61 +17,49 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.plans.sizing import hot_keys, pinned_if_small
+from tabloom.plans.sizing import pinned_if_small
 
 ACCURACY = 10_000
-HOT_ROWS = 1_000_000
+HOT_ROWS = 250_000
 
 
-def _brackets(qs: Sequence[float], accuracy: int) -> list[float]:
-    margin = 2.0 / accuracy
-    ends = {max(0.0, q - margin) for q in qs} | {min(1.0, q + margin) for q in qs}
-    return sorted(ends)
-
+def _join(df: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join by key; without keys the table is one row."""
+    return df.join(table, keys, how) if keys else df.crossJoin(F.broadcast(table))
 
-def _rows(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
-    rows = df.dropna(subset=keys) if keys else df
-    return rows.select(*keys, F.col(value).cast("double").alias("_v"))
 
-
-def _split_hot(rows: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame | None, DataFrame | None]:
-    """(rows of ordinary groups, rows of hot groups); a part that is empty is None."""
-    filled = rows.filter(F.col("_v").isNotNull())
-    if not keys:
-        return (None, rows) if filled.count() > hot_rows else (rows, None)
-    hot = hot_keys(filled, keys, hot_rows)
-    if hot is None:
-        return rows, None
-    return rows.join(hot, keys, "left_anti"), rows.join(hot, keys, "left_semi")
+def _sorted(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Ordinary groups: every value at its place."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_v")).cast("long")
+    v = F.col("_v")
+    return rows.select(*keys, v.alias("_fine"), v.alias("_lo"), v.alias("_hi"), place.alias("_end")).withColumn(
+        "_start", F.col("_end") - 1
+    )
 
 
-def _cells(
-    rows: DataFrame, keys: list[str], points: list[float], accuracy: int
-) -> tuple[DataFrame, DataFrame]:
-    """Per-group sizes, and the value counts from which ranks can be read."""
-    sizes = rows.groupBy(*keys).agg(
-        F.count("_v").alias("_n"),
-        F.percentile_approx("_v", points, F.lit(accuracy)).alias("_ends"),
-    )
-    sizes, _ = pinned_if_small(sizes)
-    rows = rows.filter(F.col("_v").isNotNull())
-    joined = rows.join(sizes, keys) if keys else rows.crossJoin(sizes)
-    # cell 2i+1 holds values equal to end i, cell 2i+2 those strictly between ends i and i+1
+def _bracketed(rows: DataFrame, keys: list[str], qs: Sequence[float], accuracy: int) -> DataFrame:
+    """Hot groups: runs of counted values, single ones inside the brackets, whole cells outside."""
+    margin = 2.0 / accuracy
+    points = sorted({max(0.0, q - margin) for q in qs} | {min(1.0, q + margin) for q in qs})
+    sketch = rows.groupBy(*keys).agg(F.percentile_approx("_v", points, F.lit(accuracy)).alias("_ends"))
+    sketch, _ = pinned_if_small(sketch)
     ends = [F.col("_ends")[i] for i in range(len(points))]
     above = reduce(lambda a, b: a + b, [(F.col("_v") > e).cast("int") for e in ends])
     reached = reduce(lambda a, b: a + b, [(F.col("_v") >= e).cast("int") for e in ends])
-    cell = above + reached
-    return sizes, joined.select(*keys, "_v", cell.alias("_cell"))
-
-
-def _running(cells: DataFrame, keys: list[str], fine: Column) -> DataFrame:
-    counted = (
-        cells.withColumn("_fine", F.when(fine, F.col("_v")))
-        .groupBy(*keys, "_cell", "_fine")
-        .agg(F.count("_v").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    # cell 2i+1 holds values equal to end i, cell 2i+2 those strictly between ends i and i+1
+    inside = [
+        2 * i + 2
+        for i, (a, b) in enumerate(zip(points, points[1:]))
+        if any(abs((a + b) / 2 - q) <= margin for q in qs)
+    ]
+    celled = _join(rows, sketch, keys).withColumn("_cell", above + reached)
+    celled = celled.withColumn("_fine", F.when(F.col("_cell").isin(*inside), F.col("_v")))
+    counted = celled.groupBy(*keys, "_cell", "_fine").agg(
+        F.count("_v").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
     )
     upto = Window.partitionBy(*keys).orderBy("_cell", "_fine").rowsBetween(Window.unboundedPreceding, 0)
-    return counted.withColumn("_end", F.sum("_c").over(upto)).withColumn("_start", F.col("_end") - F.col("_c"))
+    ends_at = F.sum("_c").over(upto)
+    return counted.select(*keys, "_fine", "_lo", "_hi", ends_at.alias("_end"), (ends_at - F.col("_c")).alias("_start"))
 
 
 def _value_at(rank: Column) -> Column:
@@ -85,24 +73,34 @@ def _value_at(rank: Column) -> Column:
     return F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")), found))
 
 
-def _pick(
-    rows: DataFrame, keys: list[str], qs: Sequence[float], ranks: list[Column], accuracy: int
+def _values_at(
+    df: DataFrame, value: str, keys: list[str], qs: Sequence[float], ranks: list[Column], accuracy: int, hot_rows: int
 ) -> DataFrame:
-    """keys, n and the values at the ranks, as _r0, _r1 …; the way of the hot groups."""
-    points = _brackets(qs, accuracy)
-    sizes, cells = _cells(rows, keys, points, accuracy)
-    margin = 2.0 / accuracy
-    inside = [
-        2 * i + 2
-        for i, (a, b) in enumerate(zip(points, points[1:]))
-        if any(abs((a + b) / 2 - q) <= margin for q in qs)
-    ]
-    counted = _running(cells, keys, F.col("_cell").isin(*inside))
-    totals = sizes.select(*keys, "_n")
-    counted = counted.join(totals, keys) if keys else counted.crossJoin(totals)
-    found = counted.groupBy(*keys).agg(*[_value_at(r).alias(f"_r{i}") for i, r in enumerate(ranks)])
-    base = sizes.select(*keys, F.col("_n").alias("n"))
-    return base.join(found, keys, "left") if keys else base.crossJoin(F.broadcast(found))
+    """Per group its size ``n`` and the values at the ranks, as _r0, _r1 …
+
+    Ranks are expressions over the group's size ``_n``.
+    """
+    rows = (df.dropna(subset=keys) if keys else df).select(*keys, F.col(value).cast("double").alias("_v"))
+    sizes, table = pinned_if_small(rows.groupBy(*keys).agg(F.count("_v").alias("_n")))
+    rows = rows.filter(F.col("_v").isNotNull())
+    hot = sizes.filter(F.col("_n") > hot_rows).select(*keys)
+    if table is None:
+        # too many groups to pin, but the hot ones among them are few
+        hot, hot_table = pinned_if_small(hot)
+        some_hot, all_hot = hot_table is None or hot_table.num_rows > 0, False
+    else:
+        counts = table.column("_n").to_pylist()
+        some_hot, all_hot = max(counts, default=0) > hot_rows, min(counts, default=0) > hot_rows
+    if not some_hot:
+        running = _sorted(rows, keys)
+    elif all_hot or not keys:
+        running = _bracketed(rows, keys, qs, accuracy)
+    else:
+        running = _sorted(rows.join(hot, keys, "left_anti"), keys).unionByName(
+            _bracketed(rows.join(hot, keys, "left_semi"), keys, qs, accuracy)
+        )
+    found = _join(running, sizes, keys).groupBy(*keys).agg(*[_value_at(r).alias(f"_r{i}") for i, r in enumerate(ranks)])
+    return _join(sizes.withColumnRenamed("_n", "n"), found, keys, "left")
 
 
 def exact_quantiles(
@@ -120,40 +118,16 @@ def exact_quantiles(
     ``accuracy`` and ``hot_rows`` choose the way, never the result.
     """
     keys, qs = list(keys), [float(q) for q in qs]
-    ordinary, hot = _split_hot(_rows(df, value, keys), keys, hot_rows)
     at = [(F.col("_n") - 1) * F.lit(q) for q in qs]
     ranks = [r for a in at for r in (F.floor(a), F.ceil(a))]
-    found = _read(ordinary, hot, keys, qs, ranks, accuracy)
-    return found.select(*keys, "n", F.array(*[_between(i, q) for i, q in enumerate(qs)]).alias("quantiles"))
-
-
-def _read(ordinary, hot, keys: list[str], qs: Sequence[float], ranks: list[Column], accuracy: int) -> DataFrame:
-    """Values at the ranks, each part of the groups read in its own way."""
-    parts = []
-    if ordinary is not None:
-        parts.append(_sorted_pick(ordinary, keys, ranks))
-    if hot is not None:
-        parts.append(_pick(hot, keys, qs, ranks, accuracy))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _sorted_pick(rows: DataFrame, keys: list[str], ranks: list[Column]) -> DataFrame:
-    """The same columns for ordinary groups; nulls sort last and are not counted."""
-    group = Window.partitionBy(*keys)
-    placed = rows.select(
-        *keys,
-        "_v",
-        (F.row_number().over(group.orderBy(F.col("_v").asc_nulls_last())) - 1).cast("long").alias("_start"),
-        F.count("_v").over(group).alias("_n"),
-    )
-    picked = [F.max(F.when(F.col("_start") == r, F.col("_v"))).alias(f"_r{i}") for i, r in enumerate(ranks)]
-    return placed.groupBy(*keys).agg(F.coalesce(F.max("_n"), F.lit(0)).alias("n"), *picked)
+    found = _values_at(df, value, keys, qs, ranks, accuracy, hot_rows)
 
+    def between(i: int, q: float) -> Column:
+        pos = (F.col("n") - 1) * F.lit(q)
+        low, high = F.col(f"_r{2 * i}"), F.col(f"_r{2 * i + 1}")
+        return F.when(F.col("n") > 0, low + (high - low) * (pos - F.floor(pos)))
 
-def _between(i: int, q: float) -> Column:
-    pos = (F.col("n") - 1) * F.lit(q)
-    low, high = F.col(f"_r{2 * i}"), F.col(f"_r{2 * i + 1}")
-    return F.when(F.col("n") > 0, low + (high - low) * (pos - F.floor(pos)))
+    return found.select(*keys, "n", F.array(*[between(i, q) for i, q in enumerate(qs)]).alias("quantiles"))
 
 
 def kth_smallest(
@@ -170,7 +144,9 @@ def kth_smallest(
     must stay below 2^53.
     """
     keys = list(keys)
-    ordinary, hot = _split_hot(_rows(df, value, keys), keys, hot_rows)
-    rank_of = lambda n: F.floor(F.col(n) * F.lit(float(share)) + 0.5).cast("long")
-    found = _read(ordinary, hot, keys, [share], [rank_of("_n") - 1], accuracy)
+
+    def rank_of(n: str) -> Column:
+        return F.floor(F.col(n) * F.lit(float(share)) + 0.5).cast("long")
+
+    found = _values_at(df, value, keys, [share], [rank_of("_n") - 1], accuracy, hot_rows)
     return found.select(*keys, "n", rank_of("n").alias("rank"), F.col("_r0").alias("kth"))

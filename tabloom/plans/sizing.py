@@ -14,17 +14,17 @@ MAX_BYTES = 32 << 20
 
 def pinned_if_small(
     df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
-) -> tuple[DataFrame, int | None]:
+) -> tuple[DataFrame, pa.Table | None]:
     """Evaluate ``df`` once, at most ``max_rows + 1`` rows of it.
 
     If it fits both bounds, the rows come back as a local table with a
-    broadcast hint, together with their number. Otherwise ``df`` itself comes
-    back, still lazy, with None: the caller joins it by shuffle.
+    broadcast hint, and as Arrow. Otherwise ``df`` itself comes back, still
+    lazy, with None: the caller joins it by shuffle.
     """
     table = df.limit(max_rows + 1).toArrow()
     if table.num_rows > max_rows or table.nbytes > max_bytes:
         return df, None
-    return F.broadcast(df.sparkSession.createDataFrame(table, df.schema)), table.num_rows
+    return F.broadcast(df.sparkSession.createDataFrame(table, df.schema)), table
 
 
 def attach(df: DataFrame, lookup: DataFrame, on: Sequence[str] = (), how: str = "left") -> DataFrame:
@@ -58,5 +58,5 @@ def spread(df: DataFrame) -> DataFrame:
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows (at most rows/hot_rows of them), or None."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    found, n = pinned_if_small(counts.filter(F.col("_n") > hot_rows).select(*keys))
-    return None if n == 0 else found
+    found, table = pinned_if_small(counts.filter(F.col("_n") > hot_rows).select(*keys))
+    return None if table is not None and table.num_rows == 0 else found
