@@ -8,7 +8,7 @@ per query. What is shuffled is k rows per query and task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -16,7 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.plans.sizing import spread
+from tabloom.models.classify import auc_rank
+from tabloom.models.features import hash_number
 
 BLOCK_ROWS = 16_384
 
@@ -70,7 +71,6 @@ def k_nearest(
     block = F.pmod(F.xxhash64(id_col), F.lit(n_blocks))
     schema = "query_id long, near_id long, dist double, tag int"
     slim = train.select(F.col(id_col).cast("long").alias(id_col), vec_col, F.col(tag_col).cast("int").alias(tag_col))
-    slim = spread(slim)
     parts = []
     for b in range(n_blocks):
         # blocks are filled to half on average, so the bound is a guard, not a cut
@@ -98,3 +98,24 @@ def knn_classify(
     votes = near.groupBy("query_id", "tag").agg(F.count(F.lit(1)).alias("n"))
     best = votes.groupBy("query_id").agg(F.min(F.struct((-F.col("n")).alias("n"), "tag")).alias("b"))
     return best.select(F.col("query_id").alias(id_col), F.col("b.tag").alias("prediction"), (-F.col("b.n")).alias("votes"))
+
+
+def knn_search(
+    df: DataFrame, ks: Sequence[int], key: str, vec_col: str, label: str, folds: int = 5, seed: int = 42
+) -> DataFrame:
+    """Cross-validated ROC-AUC of a 0/1 label for every k: k, auc (mean over the folds).
+
+    One neighbour pass per fold, for the largest k; each smaller k reads the
+    places it needs. A row's fold comes from its key.
+    """
+    marked = df.withColumn("_fold", hash_number(F.col(key), seed) % folds)
+    parts = []
+    for fold in range(folds):
+        query = marked.filter(F.col("_fold") == fold)
+        near = k_nearest(marked.filter(F.col("_fold") != fold), query, max(ks), key, vec_col, label)
+        truth = query.select(F.col(key).alias("query_id"), F.col(label).alias("_y"))
+        shares = [F.avg(F.when(F.col("place") <= k, F.col("tag"))).alias(f"k{k}") for k in ks]
+        scored = near.groupBy("query_id").agg(*shares).join(truth, "query_id")
+        for k in ks:
+            parts.append(auc_rank(scored, "_y", f"k{k}").select(F.lit(k).alias("k"), "auc"))
+    return reduce(DataFrame.unionByName, parts).groupBy("k").agg(F.avg("auc").alias("auc"))

@@ -134,10 +134,8 @@ def quotes_wide(quotes: DataFrame, instrument: str, date: str, close: str, dates
     carries several quotes the smallest is taken, so the result does not depend
     on the order of rows.
     """
-    wide = _grouped(quotes, instrument).pivot(date, list(dates)).agg(F.min(close))
-    listed = _grouped(quotes.filter(F.col(date).isin(*dates)), instrument).agg(F.lit(1).alias("_seen"))
-    kept = wide.join(listed, instrument, "left_semi")
-    return kept.withColumn(dates[0], F.coalesce(F.col(f"`{dates[0]}`"), F.lit(0).cast("double")))
+    wide = _grouped(quotes.filter(F.col(date).isin(*dates)), instrument).pivot(date, list(dates)).agg(F.min(close))
+    return wide.withColumn(dates[0], F.coalesce(F.col(f"`{dates[0]}`"), F.lit(0).cast("double")))
 
 
 def indicators_wide(long: DataFrame, keys: Sequence[str], name: str, value: str, names: Mapping[str, str]) -> DataFrame:

@@ -85,13 +85,12 @@ def align_columns(frames: Mapping[str, tuple[DataFrame, str]], key: str) -> Data
     Keys missing from a frame give null there. Each frame has one row per key.
     The frames are stacked and grouped once instead of joined one by one.
     """
-    names = list(frames)
+    kinds = {name: df.schema[c].dataType for name, (df, c) in frames.items()}
     stacked = [
-        df.select(key, *[(F.col(c) if n == name else F.lit(None).cast(df.schema[c].dataType)).alias(n)
-                         for n in names])
+        df.select(key, *[(F.col(c) if n == name else F.lit(None)).cast(k).alias(n) for n, k in kinds.items()])
         for name, (df, c) in frames.items()
     ]
-    return reduce(DataFrame.unionByName, stacked).groupBy(key).agg(*[F.max(n).alias(n) for n in names])
+    return reduce(DataFrame.unionByName, stacked).groupBy(key).agg(*[F.max(n).alias(n) for n in kinds])
 
 
 def fuzzy_join(

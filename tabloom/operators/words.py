@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.text import words
-from tabloom.plans.sizing import attach, pinned_if_small, spread, value_table
+from tabloom.plans.sizing import attach, pinned_if_small, value_table
 
 
 def word_count(df: DataFrame, col: str, stop_words: DataFrame | Sequence[str] | None = None) -> DataFrame:
@@ -18,7 +18,7 @@ def word_count(df: DataFrame, col: str, stop_words: DataFrame | Sequence[str] |
     distinct word instead of one per occurrence. A stop list given as a table
     is broadcast only if it is small.
     """
-    found = spread(df.select(col)).select(F.explode(words(F.col(col))).alias("word")).filter(F.col("word") != "")
+    found = df.select(F.explode(words(F.col(col))).alias("word")).filter(F.col("word") != "")
     counts = found.groupBy("word").agg(F.count(F.lit(1)).alias("num"))
     if stop_words is None:
         return counts

@@ -46,10 +46,10 @@ def value_table(spark: SparkSession, name: str, values: Sequence, kind: str) ->
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores when a scan has fewer splits than there are cores.
+    """Deal a table's rows out to all cores when its files give fewer splits than there are cores.
 
-    Small files come as one split, which would leave heavy expressions to one
-    task. A table with enough splits, as any large one has, is returned as it is.
+    Meant for plain scans of small files that feed heavy expressions; a table
+    with enough splits, as any large one has, is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

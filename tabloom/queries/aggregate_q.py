@@ -206,12 +206,12 @@ def a19(t: Tables):
 
 @query("a20_word_count", WORDS)
 def a20(t: Tables):
-    return word_count(t.documents, "text")
+    return word_count(t.dealt("documents"), "text")
 
 
 @query("a21_word_count_without_stop_words", f"select * from ({WORDS}) where word not in ('" + "', '".join(STOP_WORDS) + "')")
 def a21(t: Tables):
-    return word_count(t.documents, "text", STOP_WORDS)
+    return word_count(t.dealt("documents"), "text", STOP_WORDS)
 
 
 @query(
@@ -223,7 +223,7 @@ def a21(t: Tables):
     """,
 )
 def a22(t: Tables):
-    index = frequency_index(word_count(t.documents, "text"), list_size=5000)
+    index = frequency_index(word_count(t.dealt("documents"), "text"), list_size=5000)
     return index.withColumn("words", F.concat_ws(",", "words"))
 
 

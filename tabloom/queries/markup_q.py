@@ -27,7 +27,7 @@ def text_sql(c: str) -> str:
 )
 def h1(t: Tables):
     fields = {"name": r"(?is)<a[^>]*>(.*?)</a>", "link": r'(?is)href="([^"]*)"', "price": r'(?is)<p class="price">(.*?)</p>'}
-    return markup.extract_cards(t.pages, "html", r"(?i)<li\b[^>]*>", fields, ["page_id"])
+    return markup.extract_cards(t.dealt("pages"), "html", r"(?i)<li\b[^>]*>", fields, ["page_id"])
 
 
 @query(
@@ -42,7 +42,7 @@ def h1(t: Tables):
 )
 def h1_paragraphs(t: Tables):
     fields = {"title": r"(?is)<b>(.*?)(?:<br>|</p>)", "body": r"(?is)^(.*?)</p>"}
-    cards = markup.extract_cards(t.pages, "html", r"(?i)<p\b[^>]*>", fields, ["page_id"])
+    cards = markup.extract_cards(t.dealt("pages"), "html", r"(?i)<p\b[^>]*>", fields, ["page_id"])
     return cards.withColumns({c: F.md5(F.col(c).cast("binary")) for c in fields})
 
 
@@ -56,12 +56,12 @@ LINKS = rf"""
 
 @query("h2_extract_links", LINKS)
 def h2(t: Tables):
-    return markup.extract_links(t.pages, "html", ["page_id"])
+    return markup.extract_links(t.dealt("pages"), "html", ["page_id"])
 
 
 @query("h2_links_by_label", f"select * from ({LINKS}) where label = 'la'")
 def h2_label(t: Tables):
-    return markup.extract_links(t.pages, "html", ["page_id"], "la")
+    return markup.extract_links(t.dealt("pages"), "html", ["page_id"], "la")
 
 
 @query("h2_next_page", "select page_id, '/list?page=' || (page_id + 1) as next_href from pages")
@@ -70,7 +70,7 @@ def h2_next(t: Tables):
         F.lit('<ul class="pagination"><li><a href="/list?page='), (F.col("page_id") + 1).cast("string"),
         F.lit('">&gt;</a></li><li><a href="/list?page=last">&gt;|</a></li></ul>'),
     )
-    return markup.next_page(t.pages.withColumn("html", F.concat("html", link)), "html", "page_id")
+    return markup.next_page(t.dealt("pages").withColumn("html", F.concat("html", link)), "html", "page_id")
 
 
 def _spec_pages(t: Tables):
@@ -104,7 +104,7 @@ def h3_map(t: Tables):
     r"select page_id, coalesce(try_cast(nullif(regexp_extract(url, '[?&]page=(\d+)', 1), '') as int), 1) as pages from pages",
 )
 def h4(t: Tables):
-    return markup.page_count(t.pages, "url", r"[?&]page=(\d+)").select("page_id", "pages")
+    return markup.page_count(t.dealt("pages"), "url", r"[?&]page=(\d+)").select("page_id", "pages")
 
 
 @query(

@@ -15,7 +15,7 @@ def examples(t: Tables):
     """Labelled documents with a few number features."""
     words = F.size(F.split("text", r"\s+"))
     marks = F.length("text") - F.length(F.translate("text", ".,!?;:#$%&*", ""))
-    docs = t.documents.select(
+    docs = t.dealt("documents").select(
         "doc_id", "lang", "source", "n_chars", words.alias("n_words"),
         (F.length("text") / words).alias("word_length"), marks.alias("marks"),
     )
@@ -145,7 +145,7 @@ KNN = f"""
 
 @query("l10_k_nearest", KNN + "select vec_id as query_id, near_id, place::int as place, round(dist, 6) as dist from k where place <= 5")
 def l10(t: Tables):
-    train, test = features.stratified_split(t.embeddings, "label", "vec_id")
+    train, test = features.stratified_split(t.dealt("embeddings"), "label", "vec_id")
     near = nearest.k_nearest(train, test, 5, "vec_id", "embedding", "label")
     return rounded(near.select("query_id", "near_id", "place", "dist"))
 
@@ -159,7 +159,7 @@ def l10(t: Tables):
     """,
 )
 def l10_classify(t: Tables):
-    train, test = features.stratified_split(t.embeddings, "label", "vec_id")
+    train, test = features.stratified_split(t.dealt("embeddings"), "label", "vec_id")
     return nearest.knn_classify(train, test, 7, "vec_id", "embedding", "label")
 
 

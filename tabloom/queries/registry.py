@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabloom.plans.sizing import spread
+
 
 class Tables:
     """The driver's tables, read when asked for."""
@@ -18,6 +20,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def dealt(self, name: str) -> DataFrame:
+        """A table whose rows go through costly expressions: split over all cores even if its file is not."""
+        return spread(getattr(self, name))
+
 
 @dataclass(frozen=True)
 class Query:

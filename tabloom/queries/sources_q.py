@@ -125,14 +125,14 @@ def k1(t: Tables):
 @query("k2_write_text", f"select word || chr(9) || num::varchar as value from ({WORDS})")
 def k2(t: Tables):
     path = shared_dir(t.spark, "word-counts-text")
-    write_text(word_count(t.documents, "text"), path)
+    write_text(word_count(t.dealt("documents"), "text"), path)
     return read_lines(t.spark, path)
 
 
 @query("k3_write_parquet", f"select word, num from ({WORDS})")
 def k3(t: Tables):
     path = shared_dir(t.spark, "word-counts")
-    write_parquet(word_count(t.documents, "text").orderBy(F.desc("num"), "word"), path)
+    write_parquet(word_count(t.dealt("documents"), "text").orderBy(F.desc("num"), "word"), path)
     return read_parquet(t.spark, path)
 
 

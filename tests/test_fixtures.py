@@ -179,3 +179,12 @@ def test_joins_have_no_cartesian_product(spark):
     right = spark.createDataFrame([("abcdefghik",)], "known string")
     plan = joins.fuzzy_join(left, right, "name", "known")._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_knn_search_prefers_a_sensible_k(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(200, 2))
+    y = (x[:, 0] + 0.8 * rng.normal(size=200) > 0).astype(int)
+    df = spark.createDataFrame([(i, v.tolist(), int(t)) for i, (v, t) in enumerate(zip(x, y))], "id long, v array<double>, y int")
+    got = {r.k: r.auc for r in nearest.knn_search(df, [1, 15], "id", "v", "y", folds=2).collect()}
+    assert got[15] > got[1] > 0.5
