@@ -60,3 +60,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | N
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     found, table = pinned_if_small(counts.filter(F.col("_n") > hot_rows).select(*keys))
     return None if table is not None and table.num_rows == 0 else found
+
+
+def packed(df: DataFrame, rows_per_task: int = 20_000) -> DataFrame:
+    """Fewer, fuller partitions for a small table that an iterative fit passes over many times.
+
+    Every pass pays for every task. A table large enough for its partitions
+    keeps them.
+    """
+    return df.coalesce(max(1, -(-df.count() // rows_per_task)))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tabloom.models import attribution, classify, features, nearest
+from tabloom.plans.sizing import packed
 from tabloom.plans.written import written
 from tabloom.queries.registry import Tables, query, rounded
 
@@ -111,7 +112,8 @@ def l6(t: Tables):
 
 def split_examples(t: Tables):
     """Train and test part of one written example table, which every fit reads again."""
-    return features.stratified_split(written(examples(t), "examples"), "label", "doc_id")
+    train, test = features.stratified_split(written(examples(t), "examples"), "label", "doc_id")
+    return packed(train), test
 
 
 def _fit_and_score(t: Tables, model, how: str):
