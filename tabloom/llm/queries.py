@@ -36,3 +36,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabloom.llm.bitplane import encode_documents
 
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
+
+
+@query("op4_simhash_bk")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabloom.llm.simhash_bk import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), radius=3, width=3, seed=42)
