@@ -43,3 +43,40 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabloom.llm.simhash_bk import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), radius=3, width=3, seed=42)
+
+
+def _op8_sql() -> str:
+    from tabloom.llm.decontaminate import ORACLE
+
+    return ORACLE
+
+
+@query("op8_ngram_decontamination", _op8_sql())
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabloom.llm.decontaminate import report
+
+    return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+
+
+#: Weights that repeat along the sources, share of all sizes, and the stop in copies.
+MIX = ([3.0, 1.0, 2.0], 1.5, 2.0)
+
+
+def _op7_sql() -> str:
+    from tabloom.llm.pareto_mix import ORACLE
+
+    return ORACLE
+
+
+@query("op7_pareto_mix", _op7_sql())
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabloom.llm.pareto_mix import plan_mix
+
+    return plan_mix(table(spark, sf_dir, "documents"), *MIX)
+
+
+@query("op1_deobfuscated_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabloom.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
