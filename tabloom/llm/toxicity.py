@@ -8,11 +8,12 @@
    for one or two, a separator for nothing or for a break. Viterbi decoding
    under the model picks the path. A stretch without such marks has one path
    and is its own decoding, so it is not searched.
-3. Letter n-grams of the words of text and restored stretches are features.
-   Their document frequencies in toxic and clean labelled texts give log odds;
-   only significant ones count. A document's evidence is the sum of its
-   ``top`` strongest features, mapped to 0..1 by a logistic curve that is fitted
-   on leave-one-out evidence of the labelled texts.
+3. Words of the text and of its restored stretches, their beginnings and their
+   letter 5-grams are features. Their document frequencies in toxic and clean
+   labelled texts give log odds; only significant ones count. A word is as
+   strong as its strongest piece, and a document's evidence is the sum over its
+   ``top`` strongest different words, mapped to 0..1 by a rising step curve
+   fitted on leave-one-out evidence of the labelled texts.
 
 Labels are learned from a sample of at most ``max_labelled`` rows, those with
 the smallest hash of their id; everything else covers all rows and whole texts.
@@ -25,7 +26,7 @@ there are no labels); an empty table gives no rows; further columns are not read
 
 from __future__ import annotations
 
-import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ LEET = {
 PUNCTUATION = "!|+"
 SEPARATORS = " .-_*"
 #: Channel costs in nats.
-SUBSTITUTE, BREAK, DROP = 1.0, 6.0, 0.5
+SUBSTITUTE, BREAK, DROP, APART = 1.0, 9.0, 0.3, 4.0
 SYMBOL = 63
 CHUNK_CHARS = 1 << 21
 MEMORY_SEGMENTS = 100_000
@@ -135,7 +136,7 @@ def lattice(segment: str) -> list[list[tuple[str, float]]]:
         elif TABLE[ord(c)]:
             out.append([(c, 0.0)] if run == 1 else [(c, 0.0), (c + c, 0.0)])
         elif c in SEPARATORS:
-            out.append([("", DROP), (" ", DROP)])
+            out.append([("", DROP), (" ", APART)])
         else:
             out.append([(" ", 0.0)])
     return out
@@ -241,101 +242,146 @@ def chunks(column: pa.Array):
         yield np.frombuffer(b"".join(held), np.uint8), np.array(sizes)
 
 
-def ngrams(raw: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed 4- and 5-letter pieces of words (with word ends) and their documents; doubled letters count once."""
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
+
+
+@lru_cache(maxsize=4)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse modulo 2^64."""
+    out = []
+    for base in (_BASE, _BACK):
+        p = np.full(n, base, np.uint64)
+        p[0] = 1
+        out.append(np.cumprod(p, dtype=np.uint64))
+    return out[0], out[1]
+
+
+PIECE, PREFIXES = 5, range(4, 9)
+
+
+def word_features(raw: np.ndarray, doc: np.ndarray):
+    """Hashed pieces of words: (feature, its word), and each word's document and hash.
+
+    A word gives its beginnings, itself, and its letter 5-grams. Letters that
+    stand twice in a row count once. One running polynomial hash serves all pieces.
+    """
     c = TABLE[raw]
     c[c == SYMBOL] = 0
     keep = np.append(True, c[1:] != c[:-1])
-    c, doc = c[keep].astype(np.uint32), doc[keep]
-    grams, docs = [], []
-    for n in (4, 5):
-        if len(c) < n:
-            continue
-        inner = c[1 : len(c) - n + 2] > 0
-        for k in range(2, n - 1):
-            inner = inner & (c[k : len(c) - n + 1 + k] > 0)
-        x = c[: len(c) - n + 1].copy()
-        for k in range(1, n):
-            x = (x << np.uint32(6)) | c[k : len(c) - n + 1 + k]
-        hashed = (x[inner] * np.uint32(2654435761) + np.uint32(n * 40503)) * np.uint32(2246822519)
-        grams.append(hashed >> np.uint32(32 - BITS))
-        docs.append(doc[: len(c) - n + 1][inner])
-    if not grams:
-        return np.empty(0, np.uint32), np.empty(0, np.int32)
-    return np.concatenate(grams), np.concatenate(docs)
+    c, doc = c[keep], doc[keep]
+    inside = c > 0
+    edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if not len(start):
+        return np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.uint64)
+    power, back = _powers(1 << (len(c) - 1).bit_length())
+    run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(c * power[: len(c)], dtype=np.uint64)])
+
+    def hashed(first, last, kind):
+        h = (run[last] - run[first]) * back[first] + np.uint64(kind * 0x632BE59BD9B4E019 % (1 << 64))
+        return h * np.uint64(0xD6E8FEB86659FD93)
+
+    def bucket(h):
+        return (h >> np.uint64(64 - BITS)).astype(np.uint32)
+
+    size = end - start
+    word = np.cumsum(edge[:-1] == 1) - 1
+    feats, words = [], []
+    full = np.flatnonzero(size >= 2)
+    whole = hashed(start, end, 1)
+    feats.append(bucket(whole[full]))
+    words.append(full)
+    for n in PREFIXES:
+        longer = np.flatnonzero(size > n)
+        feats.append(bucket(hashed(start[longer], start[longer] + n, n)))
+        words.append(longer)
+    if len(c) >= PIECE:
+        at = np.flatnonzero(inside[: len(c) - PIECE + 1] & (word[: len(c) - PIECE + 1] == word[PIECE - 1 :]) & inside[PIECE - 1 :])
+        feats.append(bucket(hashed(at, at + PIECE, 99)))
+        words.append(word[at])
+    return np.concatenate(feats), np.concatenate(words), doc[start], whole
 
 
 def text_features(column: pa.Array, restore: Restorer):
-    """Per chunk: hashed features, their document within the chunk, and the number of documents."""
+    """Per chunk: features, their words, the words' documents and hashes, and the number of documents."""
     for raw, sizes in chunks(column):
         ends = np.cumsum(sizes)
         doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        parts = [word_features(raw, doc)]
         extra, owners = [], []
         for a, b in disguised(raw):
-            decoded = narrow(restore(raw[a:b].tobytes().decode("latin-1"))) + b"\n"
-            extra.append(decoded)
-            owners.append((np.searchsorted(ends, a, side="right"), len(decoded)))
-        g, d = ngrams(raw, doc)
+            extra.append(narrow(restore(raw[a:b].tobytes().decode("latin-1"))) + b"\n")
+            owners.append(np.searchsorted(ends, a, side="right"))
+        if extra:
+            own = np.repeat(np.array(owners, np.int32), [len(x) for x in extra])
+            parts.append(word_features(np.frombuffer(b"".join(extra), np.uint8), own))
+        f, w, d, h = zip(*parts)
         if extra:
-            more = np.frombuffer(b"\n" + b"".join(extra), np.uint8)
-            own = np.repeat(np.array([o for o, _ in owners], np.int32), [n for _, n in owners])
-            g2, d2 = ngrams(more, np.append(own[:1], own))
-            g, d = np.concatenate([g, g2]), np.concatenate([d, d2])
-        yield g, d, len(sizes)
+            w = (w[0], w[1] + len(d[0]))
+        yield np.concatenate(f), np.concatenate(w), np.concatenate(d), np.concatenate(h), len(sizes)
 
 
-def distinct_features(g: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    key = np.unique((d.astype(np.int64) << BITS) | g)
-    return (key & ((1 << BITS) - 1)).astype(np.int64), (key >> BITS).astype(np.int64)
+def distinct_features(f: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    key = np.unique((d.astype(np.int64) << BITS) | f)
+    return key & ((1 << BITS) - 1), key >> BITS
 
 
 # ---------------------------------------------------------------------- model
 
 
-def weight(d1: np.ndarray, d0: np.ndarray, n1: float, n0: float, least_g: float = 18.0) -> np.ndarray:
-    """Log odds of features seen in ``d1`` of ``n1`` toxic and ``d0`` of ``n0`` clean texts; zero unless significant."""
+def weight(d1: np.ndarray, d0: np.ndarray, n1: float, n0: float, least_g: float = 18.0, doubt: float = 2.0) -> np.ndarray:
+    """Log odds of features seen in ``d1`` of ``n1`` toxic and ``d0`` of ``n0`` clean texts; zero unless significant.
+
+    ``doubt`` is taken off each: one telling word then outweighs several that a long clean text has by chance.
+    """
     d1, d0 = np.maximum(d1, 0).astype(float), np.maximum(d0, 0).astype(float)
     share = n1 / max(n1 + n0, 1)
     e1, e0 = (d1 + d0) * share, (d1 + d0) * (1 - share)
     with np.errstate(divide="ignore", invalid="ignore"):
         g = 2 * (np.where(d1 > 0, d1 * np.log(d1 / e1), 0) + np.where(d0 > 0, d0 * np.log(d0 / e0), 0))
-    w = np.log((d1 + 0.5) / (n1 + 1)) - np.log((d0 + 0.5) / (n0 + 1))
-    return np.where((g >= least_g) & (d1 > 3 * e1), w, 0.0)
-
-
-def strongest(w: np.ndarray, doc: np.ndarray, n_docs: int, top: int) -> np.ndarray:
-    """Sum of each document's ``top`` largest weights."""
+    w = np.log((d1 + 0.5) / (n1 + 1)) - np.log((d0 + 0.5) / (n0 + 1)) - doubt
+    return np.where((g >= least_g) & (d1 > e1), np.maximum(w, 0.0), 0.0)
+
+
+def strongest(w: np.ndarray, word: np.ndarray, word_doc: np.ndarray, word_hash: np.ndarray, n_docs: int, top: int) -> np.ndarray:
+    """Per document, the sum over its ``top`` strongest different words, each as strong as its strongest piece."""
+    if not len(w):
+        return np.zeros(n_docs)
+    doc, kind = word_doc[word].astype(np.int64), word_hash[word]
+    order = np.lexsort((-w, kind, doc))
+    w, doc, kind = w[order], doc[order], kind[order]
+    first = np.append(True, (doc[1:] != doc[:-1]) | (kind[1:] != kind[:-1]))
+    w, doc = w[first], doc[first]
     order = np.lexsort((-w, doc))
     w, doc = w[order], doc[order]
-    start = np.searchsorted(doc, np.arange(n_docs))
-    place = np.arange(len(doc)) - start[doc] if len(doc) else np.empty(0)
+    place = np.arange(len(doc)) - np.searchsorted(doc, doc)
     return np.bincount(doc[place < top], weights=w[place < top], minlength=n_docs)
 
 
-def logistic(evidence: np.ndarray, label: np.ndarray, n: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
-    """Intercept and slope by Newton steps on counted evidence."""
-    x, scale = np.stack([np.ones_like(evidence), evidence]), np.array([1e-6, ridge])
-    b = np.array([math.log((n[label == 1].sum() + 0.5) / (n[label == 0].sum() + 0.5)), 0.0])
+def curve(evidence: np.ndarray, label: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rising steps (from this evidence, share of toxic texts) by pooling neighbours that fall."""
+    prior = n[label == 1].sum() / n.sum()
+    blocks: list[list[float]] = []
+    for e in np.unique(evidence):
+        here = evidence == e
+        blocks.append([float(e), float(n[here & (label == 1)].sum()), float(n[here].sum())])
+        while len(blocks) > 1 and blocks[-2][1] * blocks[-1][2] >= blocks[-1][1] * blocks[-2][2]:
+            _, toxic, size = blocks.pop()
+            blocks[-1][1] += toxic
+            blocks[-1][2] += size
+    at, toxic, size = map(np.array, zip(*blocks))
+    return at, np.maximum.accumulate((toxic + prior) / (size + 1))
 
-    def loss(b):
-        z = b @ x
-        return (n * (np.logaddexp(0, z) - label * z)).sum() + 0.5 * (scale * b * b).sum() * n.sum()
 
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(b @ x, -500, 500)))
-        grad = x @ (n * (p - label)) + scale * b * n.sum()
-        hess = (x * (n * p * (1 - p) + 1e-12)) @ x.T + np.diag(scale) * n.sum()
-        step, size = np.linalg.solve(hess, grad), 1.0
-        while size > 1e-6 and loss(b - size * step) > loss(b):
-            size /= 2
-        b = b - size * step
-        if np.abs(size * step).max() < 1e-9:
-            break
-    return float(b[0]), float(b[1])
+def on_curve(model: dict, e: np.ndarray) -> np.ndarray:
+    """The step a document's evidence stands on; within a step a little more for more evidence."""
+    step = np.searchsorted(model["at"], e, side="right") - 1
+    return 0.99 * model["share"][np.maximum(step, 0)] + 0.01 * e / (e + 10)
 
 
-def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray, top: int = 4, max_labelled: int = 20_000) -> dict:
-    """Feature weights and the logistic curve from ``labels(doc_id, toxic)``.
+def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray, top: int = 8, max_labelled: int = 20_000) -> dict:
+    """Feature weights and the step curve from ``labels(doc_id, toxic)``.
 
     The sample of labels is broadcast (at most ``max_labelled`` rows of two
     numbers); counts of 2^20 features and the evidence histogram reach the driver.
@@ -350,8 +396,8 @@ def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray, top: int = 4, ma
         seen, n = np.zeros((2, 1 << BITS), np.int64), [0, 0]
         for batch in batches:
             y, at = np.array(batch.column(1).to_pylist()), 0
-            for g, d, size in text_features(batch.column(0), restore):
-                f, who = distinct_features(g, d)
+            for f, word, doc, _, size in text_features(batch.column(0), restore):
+                f, who = distinct_features(f, doc[word])
                 own = y[at : at + size]
                 for k in (0, 1):
                     seen[k] += np.bincount(f[own[who] == k], minlength=1 << BITS)
@@ -367,7 +413,7 @@ def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray, top: int = 4, ma
     f, d0, d1 = (counted[c].to_numpy() for c in ("f", "d0", "d1"))
     n0, n1 = (int(c[f == -1].sum()) for c in (d0, d1))
     if not n0 or not n1:
-        return {"share": n1 / max(n0 + n1, 1)}
+        return {"flat": n1 / max(n0 + n1, 1)}
     f, d0, d1 = f[f >= 0], d0[f >= 0], d1[f >= 0]
     near = (weight(d1, d0, n1, n0) > 0) | (weight(d1, d0 - 1, n1, n0) > 0)
     f, d0, d1 = f[near], d0[near], d1[near]
@@ -378,26 +424,25 @@ def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray, top: int = 4, ma
         restore = Restorer(cost)
         for batch in batches:
             y, at = np.array(batch.column(1).to_pylist()), 0
-            for g, d, size in text_features(batch.column(0), restore):
-                hit = place[g] >= 0
-                k, who = distinct_features(g[hit], d[hit])
-                own = y[at : at + size]
-                mine, k = own[who], place[k]
+            for f, word, doc, kind, size in text_features(batch.column(0), restore):
+                hit = np.flatnonzero(place[f] >= 0)
+                k, word, own = place[f[hit]], word[hit], y[at : at + size]
+                mine = own[doc[word]]
                 w = weight(d1[k] - mine, d0[k] - (1 - mine), n1, n0)
-                e = strongest(w, who, size, top)
+                e = strongest(w, word, doc, kind, size, top)
                 yield pa.RecordBatch.from_arrays([pa.array(np.round(e * 4).astype(np.int32)), pa.array(own.astype(np.int32))], names=["e", "y"])
                 at += size
 
     seen = rows.mapInArrow(held_out, "e int, y int").groupBy("e", "y").agg(F.count(F.lit(1)).alias("n")).toArrow()
-    a, b = logistic(seen["e"].to_numpy() / 4, seen["y"].to_numpy().astype(float), seen["n"].to_numpy().astype(float))
+    at, share = curve(seen["e"].to_numpy() / 4, seen["y"].to_numpy(), seen["n"].to_numpy())
     w = weight(d1, d0, n1, n0)
-    return {"f": f[w > 0], "w": w[w > 0], "a": a, "b": b, "top": top}
+    return {"f": f[w > 0], "w": w[w > 0], "at": at, "share": share, "top": top}
 
 
 def score(docs: DataFrame, cost: np.ndarray, model: dict, keep: list[str]) -> DataFrame:
     """``docs`` columns in ``keep`` with ``score``; ``text`` must be one of the columns of ``docs``."""
-    if "share" in model:
-        return docs.select(*keep, F.lit(float(model["share"])).alias("score"))
+    if "flat" in model:
+        return docs.select(*keep, F.lit(float(model["flat"])).alias("score"))
 
     def run(batches):
         restore = Restorer(cost)
@@ -405,11 +450,10 @@ def score(docs: DataFrame, cost: np.ndarray, model: dict, keep: list[str]) -> Da
         w[model["f"]] = model["w"]
         for batch in batches:
             out = []
-            for g, d, size in text_features(batch.column(0), restore):
-                hit = w[g] > 0
-                k, who = distinct_features(g[hit], d[hit])
-                e = strongest(w[k].astype(float), who, size, model["top"])
-                out.append(1 / (1 + np.exp(-np.clip(model["a"] + model["b"] * e, -500, 500))))
+            for f, word, doc, kind, size in text_features(batch.column(0), restore):
+                hit = np.flatnonzero(w[f] > 0)
+                e = strongest(w[f[hit]].astype(float), word[hit], doc, kind, size, model["top"])
+                out.append(on_curve(model, np.round(e * 4) / 4))
             scores = pa.array(np.concatenate(out) if out else np.empty(0))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], scores], names=[*keep, "score"])
 
