@@ -80,3 +80,23 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabloom.llm.toxicity import toxicity
 
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_byte_shards")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabloom.llm.sharding import balanced_shards
+
+    return balanced_shards(table(spark, sf_dir, "documents"), shards=8)
+
+
+def _op2_sql() -> str:
+    from tabloom.llm.warc import ORACLE
+
+    return ORACLE
+
+
+@query("op2_warc_members", _op2_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabloom.llm.warc import archived
+
+    return archived(table(spark, sf_dir, "pages"), least_bytes=0)
