@@ -100,3 +100,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabloom.llm.warc import archived
 
     return archived(table(spark, sf_dir, "pages"), least_bytes=0)
+
+
+@query("op10_html_blocks")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabloom.llm.html_labeller import extract
+
+    return extract(table(spark, sf_dir, "pages"))
