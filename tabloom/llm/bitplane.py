@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm.files import at, fresh, one_task_each
+from tabloom.llm.files import at, fresh, mapped, one_task_each
 from tabloom.session import shared_dir
 
 MAGIC = b"TBPLANE1"
@@ -256,7 +256,7 @@ def write_ids(
 
     ranged = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).repartitionByRange("id")
     ranged = ranged.sortWithinPartitions("id", "text")
-    return ranged.mapInArrow(write, "part int, path string, n_docs long, n_ids long").toArrow().sort_by("part")
+    return mapped(ranged, write, "part int, path string, n_docs long, n_ids long").toArrow().sort_by("part")
 
 
 READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
@@ -285,7 +285,7 @@ def read_ids(spark: SparkSession, manifest: pa.Table) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), READ)], schema=READ)
 
     files = one_task_each(table, lambda t: spark.createDataFrame(t, "part int, path string, n_docs long, n_ids long, before long"))
-    return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return mapped(files, read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, **options) -> DataFrame:

@@ -3,12 +3,27 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
 
 
+#: The folder that holds the package.
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers also look for this package where the driver found it.
+
+    A cluster installs the package or ships it with the job; on one machine the
+    driver's import path is not the workers'.
+    """
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    return df.mapInArrow(fn, schema)
+
+
 def at(uri: str) -> tuple[fs.FileSystem, str]:
     """The filesystem and plain path of a local path or a URI."""
     if uri.startswith("file:"):
@@ -32,9 +47,3 @@ def one_task_each(manifest: pa.Table, df_of) -> DataFrame:
     """
     df = df_of(manifest)
     return df.repartition(max(1, manifest.num_rows))
-
-
-def rows_of(batches, columns: list[str]):
-    """Plain tuples of Arrow batches, a column at a time turned into Python values."""
-    for batch in batches:
-        yield from zip(*(batch.column(c).to_pylist() for c in columns))

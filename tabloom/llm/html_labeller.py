@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.llm.files import mapped
+
 # ---------------------------------------------------------------------- blocks
 
 TAG = re.compile(
@@ -395,4 +397,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 yield pa.RecordBatch.from_arrays(cols, names=["page_id", "url", "text", "n_chars"])
 
     picked = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
-    return picked.mapInArrow(run, f"page_id {picked.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
+    return mapped(picked, run, f"page_id {picked.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")

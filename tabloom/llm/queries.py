@@ -107,3 +107,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabloom.llm.html_labeller import extract
 
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op9_permutation_index")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tabloom.llm.permutation_index import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)

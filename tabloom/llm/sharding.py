@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.llm.files import mapped
 from tabloom.plans.written import written
 
 
@@ -46,7 +47,7 @@ def prefix_sums(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = ["doc_id", "size", "text_crc32"]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    dealt = written(dealt.mapInArrow(add_up, f"{fields}, part int, row long, before long"), "shard-rows")
+    dealt = written(mapped(dealt, add_up, f"{fields}, part int, row long, before long"), "shard-rows")
     totals = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).toArrow().sort_by("part")
     n, size = totals["n"].to_numpy(), totals["bytes"].to_numpy()
     starts = pa.table({"part": totals["part"], "row0": pa.array(np.cumsum(n) - n, pa.int64()), "byte0": pa.array(np.cumsum(size) - size, pa.int64())})

@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.llm.files import mapped
 from tabloom.plans.sizing import pinned_if_small
 from tabloom.plans.written import written
 
@@ -70,7 +71,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["doc_id", "fp"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(run, "doc_id long, fp long")
+    return mapped(picked, run, "doc_id long, fp long")
 
 
 # ---------------------------------------------------------------------- trees
@@ -183,7 +184,7 @@ def links(distinct: DataFrame, n: int, radius: int = 3, tree_rows: int = TREE_RO
             yield _pairs(out)
 
     grouped = cut.repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
-    return grouped.mapInArrow(run, "u long, v long")
+    return mapped(grouped, run, "u long, v long")
 
 
 def _pairs(out: list[tuple[int, int]]) -> pa.RecordBatch:

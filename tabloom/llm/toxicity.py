@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.llm.files import mapped
 from tabloom.plans.sizing import pinned_if_small
 
 #: What a symbol may stand for, each at the same channel cost.
@@ -104,7 +105,7 @@ def language_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["gram", "n"])
 
-    each = docs.select(text_col).mapInArrow(count, "gram int, n long")
+    each = mapped(docs.select(text_col), count, "gram int, n long")
     summed = each.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     n = np.zeros(1 << 18)
     n[summed["gram"].to_numpy()] = summed["n"].to_numpy()
@@ -407,7 +408,7 @@ def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray, top: int = 8, ma
         cols = [np.append(some, -1).astype(np.int32), np.append(seen[0, some], n[0]), np.append(seen[1, some], n[1])]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["f", "d0", "d1"])
 
-    counted = rows.mapInArrow(count, "f int, d0 long, d1 long").groupBy("f").agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1"))
+    counted = mapped(rows, count, "f int, d0 long, d1 long").groupBy("f").agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1"))
     # a feature that no weight can come from is left out: fewer than two toxic texts
     counted = counted.filter("f = -1 or d1 > 1").toArrow()
     f, d0, d1 = (counted[c].to_numpy() for c in ("f", "d0", "d1"))
@@ -433,7 +434,7 @@ def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray, top: int = 8, ma
                 yield pa.RecordBatch.from_arrays([pa.array(np.round(e * 4).astype(np.int32)), pa.array(own.astype(np.int32))], names=["e", "y"])
                 at += size
 
-    seen = rows.mapInArrow(held_out, "e int, y int").groupBy("e", "y").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    seen = mapped(rows, held_out, "e int, y int").groupBy("e", "y").agg(F.count(F.lit(1)).alias("n")).toArrow()
     at, share = curve(seen["e"].to_numpy() / 4, seen["y"].to_numpy(), seen["n"].to_numpy())
     w = weight(d1, d0, n1, n0)
     return {"f": f[w > 0], "w": w[w > 0], "at": at, "share": share, "top": top}
@@ -459,7 +460,7 @@ def score(docs: DataFrame, cost: np.ndarray, model: dict, keep: list[str]) -> Da
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     picked = docs.select(F.col("text").alias("_scored_text"), *keep)
-    return picked.mapInArrow(run, f"{fields}, score double")
+    return mapped(picked, run, f"{fields}, score double")
 
 
 def held_out(ident: Column) -> Column:

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm.files import at, fresh, one_task_each
+from tabloom.llm.files import at, fresh, mapped, one_task_each
 from tabloom.plans.sizing import pinned_if_small
 from tabloom.session import shared_dir
 
@@ -155,7 +155,7 @@ def write_archives(pages: DataFrame, folder: str, *, id_col: str = "page_id", ur
 
     rows = decided(pages, id_col, url_col, html_col, least_bytes)
     rows = rows.select(F.col("id").cast("string"), "url", "html", "sha1", F.col("first").cast("string"), "revisit")
-    return rows.mapInArrow(write, MANIFEST).toArrow().sort_by("path")
+    return mapped(rows, write, MANIFEST).toArrow().sort_by("path")
 
 
 def normalise_file(source, out, index) -> tuple[int, int]:
@@ -190,7 +190,7 @@ def normalise(spark: SparkSession, manifest: pa.Table, folder: str) -> pa.Table:
                 yield _manifest([{"path": new, "records": n, "bytes": size}])
 
     files = one_task_each(manifest, lambda t: spark.createDataFrame(t, MANIFEST))
-    return files.mapInArrow(rewrite, MANIFEST).toArrow().sort_by("path")
+    return mapped(files, rewrite, MANIFEST).toArrow().sort_by("path")
 
 
 # -------------------------------------------------------------------- reading
@@ -236,7 +236,7 @@ def read_archives(spark: SparkSession, manifest: pa.Table) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, ROW)
 
     files = one_task_each(manifest, lambda t: spark.createDataFrame(t, MANIFEST))
-    return files.mapInArrow(read, "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string")
+    return mapped(files, read, "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string")
 
 
 def archived(pages: DataFrame, id_col: str = "page_id", **options) -> DataFrame:
