@@ -116,3 +116,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabloom.llm.permutation_index import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op5_bootstrapped_pii")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabloom.llm.pii_bootstrap import personal_data
+
+    return personal_data(table(spark, sf_dir, "documents"))
