@@ -8,7 +8,8 @@ behind the last); the ``share`` of the block with the smallest sums is reranked
 by the exact inner product on the original vectors in double precision.
 
 Inner products are turned into distances by one further coordinate that lifts
-all vectors to the largest norm, so pivots order vectors as inner products do.
+all vectors to the largest norm (and is zero for queries), so that the order of
+distances to a query is the order of its inner products.
 
 Vectors are packed into blocks of at most ``block_rows`` (the index, a written
 table); queries into blocks of at most ``query_rows``; each pair of blocks is a
@@ -55,6 +56,7 @@ def dimension(rows: DataFrame) -> tuple[int, float]:
 
 
 def lifted(x: np.ndarray, top: float) -> np.ndarray:
+    """With one more coordinate that makes all norms equal; queries get zero there."""
     rest = np.sqrt(np.maximum(top - (x * x).sum(axis=1), 0))
     return np.column_stack([x, rest])
 
@@ -111,14 +113,14 @@ def search(block: dict, queries: dict, k: int, share: float, n_pivots: int):
 PACKED = "block long, ids binary, x binary, perm binary"
 
 
-def _packed(rows: DataFrame, size: int, d: int, top: float, pivots: np.ndarray, prefix: int) -> DataFrame:
-    """Rows packed into blocks, each in id order."""
+def _packed(rows: DataFrame, size: int, d: int, top: float | None, pivots: np.ndarray, prefix: int) -> DataFrame:
+    """Rows packed into blocks, each in id order; queries have no ``top``."""
 
     def pack(ids, vectors, number):
         ids, x = np.concatenate(ids), np.concatenate(vectors)
         order = np.argsort(ids, kind="stable")
         ids, x = ids[order], x[order]
-        perm = places(lifted(x, top), pivots, prefix)
+        perm = places(np.column_stack([x, np.zeros(len(x))]) if top is None else lifted(x, top), pivots, prefix)
         return pa.RecordBatch.from_pylist([{"block": (TaskContext.get().partitionId() << 32) | number, "ids": ids.tobytes(), "x": x.tobytes(), "perm": perm.tobytes()}], pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("x", pa.binary()), ("perm", pa.binary())]))
 
     def run(batches):
@@ -169,7 +171,7 @@ def nearest(
     prefix = min(prefix, len(points))
     marked = rows.filter(is_query) if id_col == "id" else rows.withColumnRenamed("id", id_col).filter(is_query).withColumnRenamed(id_col, "id")
     index, n_index = _numbered(written(_packed(rows, block_rows, d, top, points, prefix), "permutation-index"), "i")
-    asked, n_asked = _numbered(written(_packed(marked, query_rows, d, top, points, prefix), "permutation-queries"), "j")
+    asked, n_asked = _numbered(written(_packed(marked, query_rows, d, None, points, prefix), "permutation-queries"), "j")
     if not n_asked:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     # the stated query set against all rows, block by block

@@ -440,10 +440,10 @@ def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray, top: int = 8, ma
     return {"f": f[w > 0], "w": w[w > 0], "at": at, "share": share, "top": top}
 
 
-def score(docs: DataFrame, cost: np.ndarray, model: dict, keep: list[str]) -> DataFrame:
-    """``docs`` columns in ``keep`` with ``score``; ``text`` must be one of the columns of ``docs``."""
+def score(docs: DataFrame, cost: np.ndarray, model: dict, keep: list[str], name: str = "score") -> DataFrame:
+    """``docs`` columns in ``keep`` with the score under ``name``; ``text`` must be one of the columns of ``docs``."""
     if "flat" in model:
-        return docs.select(*keep, F.lit(float(model["flat"])).alias("score"))
+        return docs.select(*keep, F.lit(float(model["flat"])).alias(name))
 
     def run(batches):
         restore = Restorer(cost)
@@ -456,11 +456,11 @@ def score(docs: DataFrame, cost: np.ndarray, model: dict, keep: list[str]) -> Da
                 e = strongest(w[f[hit]].astype(float), word[hit], doc, kind, size, model["top"])
                 out.append(on_curve(model, np.round(e * 4) / 4))
             scores = pa.array(np.concatenate(out) if out else np.empty(0))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], scores], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], scores], names=[*keep, name])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     picked = docs.select(F.col("text").alias("_scored_text"), *keep)
-    return mapped(picked, run, f"{fields}, score double")
+    return mapped(picked, run, f"{fields}, `{name}` double")
 
 
 def held_out(ident: Column) -> Column:
@@ -484,4 +484,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **optio
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options) -> DataFrame:
     """Rows whose score is below the threshold, all columns as they were."""
     cost, model = fitted(docs, labels, **options)
-    return score(docs, cost, model, docs.columns).filter(F.col("score") < threshold).drop("score")
+    return score(docs, cost, model, docs.columns, "_toxicity").filter(F.col("_toxicity") < threshold).drop("_toxicity")
