@@ -14,8 +14,10 @@ ends above ``confidence`` and was induced by at least ``support`` different seed
 discovers the identifiers behind it that no rule found. They are spans of kind
 ``id``; base spans stay as they are, and the counts are of base spans.
 
-Only patterns with enough support are looked up in the texts. Their table is
-broadcast if it is measured to be small; otherwise the join is a shuffle.
+A pattern is looked up in the texts if at least ``support`` different seeds, and
+at least a ``fraction`` of all pairs of pattern and seed, induced it. So there are
+at most 1 / ``fraction`` such patterns however large the corpus, and they are
+broadcast; what they select grows with the texts and no faster.
 
 The rules' expressions are written so that Java's matcher neither recurses nor
 tries a run of characters from each of its places: what must be a maximal run
@@ -29,6 +31,8 @@ further columns are not read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -124,7 +128,7 @@ def _context(text: Column, start: Column) -> Column:
 
 def occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """Every place in all texts where a pattern stands before a word: document key, word number and word."""
-    known, _ = pinned_if_small(patterns)
+    known = F.broadcast(patterns)  # at most 1 / fraction rows
     w = docs.select("k", "h", F.split(F.col("text"), SPACE + "+").alias("w"))
     triples = F.transform(F.sequence(F.lit(2), F.size("w") - 1), lambda i: F.struct(
         F.lower(F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1))).alias("pattern"), i.alias("at"), F.get("w", i).alias("word")))
@@ -153,8 +157,9 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def personal_data(
-    docs: DataFrame, *, support: int = 5, confidence: float = 0.8, rounds: int = 3, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+    docs: DataFrame, *, support: int = 5, fraction: float = 0.001, confidence: float = 0.8, rounds: int = 3,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
     """Per document: counts and checksum of base spans, and all spans."""
     rows = _keyed(docs, id_col, text_col)
     own = F.transform("base", lambda x: F.struct(_context(F.col("text"), x["start"]).alias("pattern"), _bare(x["m"]).alias("instance")))
@@ -163,7 +168,9 @@ def personal_data(
     spans = written(spans, "pii-base")
 
     seeded = written(seeds(spans), "pii-seeds")
-    patterns = seeded.groupBy("pattern").agg(F.countDistinct("instance").alias("seeds")).filter(F.col("seeds") >= support).select("pattern")
+    induced = seeded.distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("seeds"))
+    pairs = induced.agg(F.coalesce(F.sum("seeds"), F.lit(0))).first()[0]
+    patterns = induced.filter(F.col("seeds") >= max(support, math.ceil(fraction * pairs))).select("pattern")
     patterns = written(patterns, "pii-patterns")
     extra = "array<struct<start:int,order:int,end:int,kind:string>>"
     if patterns.isEmpty():
@@ -174,7 +181,7 @@ def personal_data(
         shaped = seen.withColumn("bare", _bare(F.col("word"))).filter(F.col("bare").rlike(SHAPE) & (F.length("bare") >= 6))
         new = shaped.join(good.select("pattern"), "pattern", "left_semi").groupBy("k", "h").agg(F.collect_set("at").alias("at"))
         # only texts with a discovery are read again, to turn word numbers into places
-        again = rows.join(new, ["k", "h"]).dropDuplicates(["k", "h"])
+        again = rows.join(pinned_if_small(new)[0], ["k", "h"]).dropDuplicates(["k", "h"])
         added = again.select("k", "h", _places(F.col("text"), F.col("at")).cast(extra).alias("added"))
     both = spans.join(added, ["k", "h"], "left") if added is not None else spans.withColumn("added", F.lit(None).cast(extra))
     free = F.filter(F.coalesce("added", F.array().cast(extra)), lambda a: ~F.exists("base", lambda b: (a["start"] < b["end"]) & (b["start"] < a["end"])))
