@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tabloom.models.classify import auc_rank
 from tabloom.models.features import hash_number
+from tabloom.plans.blocks import running_total
 from tabloom.plans.sizing import attach
 
 BACKGROUND_ROWS = 100
@@ -27,17 +28,18 @@ def attribution(
 ) -> DataFrame:
     """Shapley values by sampled permutations: key, feature (index), phi.
 
-    For each permutation a row is turned, feature by feature, from a background
-    row into itself. Every step is one scored row: it counts for the feature
+    ``base`` is the table of :func:`background`, whose ``rows`` bound it. For
+    each permutation and each background row, a row is turned, feature by
+    feature, from the background row into itself. Every step is one scored row: it counts for the feature
     that was just set, and against the one that is set next. So the table grows
-    to rows × permutations × (features + 1), is scored in one batch pass and
+    to rows × permutations × background × (features + 1), is scored in one batch pass and
     collapses in one grouped sum.
     """
     spark = df.sparkSession
     rng = random.Random(seed)
-    base_rows = [list(map(float, r[0])) for r in base.select(vector_to_array(features)).limit(BACKGROUND_ROWS).collect()]
+    base_rows = [list(map(float, r[0])) for r in base.select(vector_to_array(features)).collect()]
     plans = [
-        (p, rng.sample(range(n_features), n_features), rng.choice(base_rows)) for p in range(n_perm)
+        (p, order, bg) for p in range(n_perm) for order in [rng.sample(range(n_features), n_features)] for bg in base_rows
     ]
     table = spark.createDataFrame(plans, "perm int, ordering array<int>, bg array<double>")
     rows = df.select(key, vector_to_array(features).alias("_x")).join(F.broadcast(table))
@@ -54,7 +56,7 @@ def attribution(
         F.struct(F.try_element_at("ordering", F.col("step") + 1).alias("feature"), (-s).alias("d")),
     )
     moves = scored.select(key, F.inline(effect)).filter("feature is not null")
-    return moves.groupBy(key, "feature").agg((F.sum("d") / n_perm).alias("phi"))
+    return moves.groupBy(key, "feature").agg((F.sum("d") / (n_perm * len(base_rows))).alias("phi"))
 
 
 def mean_attribution(phi: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -63,25 +65,30 @@ def mean_attribution(phi: DataFrame, names: Sequence[str]) -> DataFrame:
     return phi.groupBy(name.alias("feature")).agg(F.avg(F.abs("phi")).alias("mean_abs"))
 
 
+def paired_rows(rows: DataFrame, key: str, seed: int) -> DataFrame:
+    """Rows with ``_d``: the ``_x`` of the row at the same place of another hash order; a bijection."""
+    hashed = rows.withColumns({"_h1": hash_number(F.col(key), seed), "_h2": hash_number(F.col(key), seed + 1)})
+    one = {"_place": F.lit(1)}
+    takes = running_total(hashed, F.col("_h1"), F.col("_h2"), one)
+    gives = running_total(hashed, F.col("_h2"), F.col("_h1"), one).select("_place", F.col("_x").alias("_d"))
+    return takes.join(gives, "_place").drop("_place", "_h1", "_h2")
+
+
 def permutation_importance(
     model, df: DataFrame, key: str, label: str, names: Sequence[str], seed: int = 42, features: str = "features"
 ) -> DataFrame:
     """Loss of ROC-AUC when one feature is exchanged between rows; the cheap form.
 
-    Values are exchanged along two hash orders of equal width: a row takes the
-    value of the row whose second hash has the same rank bucket.
+    A row takes the value of the row that has its own place in a second hash
+    order, so every row gives its value once and takes one. ``key`` is unique.
     """
     slots = range(len(names))
     arr = vector_to_array(features)
     rows = df.select(key, label, arr.alias("_x"))
-    n = rows.count()
-    bucket_a = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(max(n, 1)))
-    bucket_b = F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(max(n, 1)))
-    donors = rows.groupBy(bucket_b.alias("_b")).agg(F.min_by("_x", key).alias("_d"))
-    paired = attach(rows.withColumn("_b", bucket_a), donors, ["_b"])
+    paired = paired_rows(rows, key, seed)
     out = None
     for i in [-1, *slots]:
-        swapped = F.array(*[F.coalesce(F.col("_d")[j], F.col("_x")[j]) if j == i else F.col("_x")[j] for j in slots])
+        swapped = F.array(*[F.col("_d")[j] if j == i else F.col("_x")[j] for j in slots])
         scored = model.transform(paired.withColumn(features, array_to_vector(swapped)))
         raw = "probability" if "probability" in scored.columns else "rawPrediction"
         auc = auc_rank(scored.withColumn("_s", vector_to_array(F.col(raw))[1]), label, "_s")

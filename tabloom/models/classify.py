@@ -24,12 +24,8 @@ def logistic(label: str = "label", penalty: float = 0.0) -> LogisticRegression:
     return LogisticRegression(labelCol=label, featuresCol="features", regParam=penalty)
 
 
-def linear_svm(label: str = "label", penalty: float = 0.01, iterations: int = 30) -> LinearSVC:
-    """Linear support vectors, ranked by raw margin.
-
-    Every iteration is a pass over the rows, and the hinge loss gains little
-    after the first few dozen.
-    """
+def linear_svm(label: str = "label", penalty: float = 0.01, iterations: int = 100) -> LinearSVC:
+    """Linear support vectors, ranked by raw margin."""
     return LinearSVC(labelCol=label, featuresCol="features", regParam=penalty, maxIter=iterations, tol=1e-4)
 
 

@@ -19,14 +19,16 @@ def where(df: DataFrame, cond: str | Column) -> DataFrame:
 
 
 def keep_in(df: DataFrame, col: str, values: Sequence) -> DataFrame:
-    """Rows whose value is in the list; long lists become a semi join."""
+    """Rows whose value is in the list; a null in the list matches nothing. Long lists become a semi join."""
+    values = [v for v in values if v is not None]
     if len(values) <= IN_LIST_LIMIT:
         return df.filter(predicates.is_in(F.col(col), values))
     return df.join(_value_table(df, col, values), col, "left_semi")
 
 
 def keep_not_in(df: DataFrame, col: str, values: Sequence) -> DataFrame:
-    """Rows whose value is not in the list, null included; long lists become an anti join."""
+    """Rows whose value is not in the list, null included, whether or not the list holds a null. Long lists become an anti join."""
+    values = [v for v in values if v is not None]
     if len(values) <= IN_LIST_LIMIT:
         return df.filter(predicates.not_in(F.col(col), values))
     return df.join(_value_table(df, col, values), col, "left_anti")

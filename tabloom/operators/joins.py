@@ -82,15 +82,18 @@ def map_join(df: DataFrame, mapping: DataFrame, on: str, strict: bool = True) ->
 def align_columns(frames: Mapping[str, tuple[DataFrame, str]], key: str) -> DataFrame:
     """Put one column of each frame side by side by key: name → (frame, column).
 
-    Keys missing from a frame give null there. Each frame has one row per key.
-    The frames are stacked and grouped once instead of joined one by one.
+    Keys missing from a frame give null there. A frame with several rows for a
+    key raises an error. The frames are stacked and grouped once instead of
+    joined one by one.
     """
     kinds = {name: df.schema[c].dataType for name, (df, c) in frames.items()}
     stacked = [
-        df.select(key, *[(F.col(c) if n == name else F.lit(None)).cast(k).alias(n) for n, k in kinds.items()])
+        df.select(key, F.lit(name).alias("_of"), *[(F.col(c) if n == name else F.lit(None)).cast(k).alias(n) for n, k in kinds.items()])
         for name, (df, c) in frames.items()
     ]
-    return reduce(DataFrame.unionByName, stacked).groupBy(key).agg(*[F.max(n).alias(n) for n in kinds])
+    fail = F.raise_error(F.concat(F.lit("several rows for "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    once = lambda n: F.when(F.count_if(F.col("_of") == n) <= 1, F.max(n)).otherwise(fail)
+    return reduce(DataFrame.unionByName, stacked).groupBy(key).agg(*[once(n).alias(n) for n in kinds])
 
 
 def fuzzy_join(

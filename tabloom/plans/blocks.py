@@ -14,7 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BLOCKS = 1024
+PREFIX_BYTES = 6
 
 
 def _splits(points: Sequence[float] | None) -> tuple[list[float], list[float]]:
@@ -41,16 +41,17 @@ def with_blocks(
 ) -> DataFrame:
     """Add a block id that never decreases along (order, tie).
 
-    ``order`` and ``tie`` must be numeric or timestamps. A value of ``order``
-    held by a large part of the rows gets a bucket of its own, which is cut
-    again by ``tie``; so no block grows with a hot value. ``probe`` gives other
-    rows from which to take the limits.
+    ``order`` and ``tie`` are numbers, timestamps or text; of text the first six
+    bytes decide the block, which never breaks its order. There are as many
+    blocks as shuffle partitions unless told otherwise. A value of ``order`` held
+    by a large part of the rows gets a bucket of its own, which is cut again by
+    ``tie``; so no block grows with a hot value. ``probe`` gives other rows from
+    which to take the limits.
     """
     spark = df.sparkSession
-    n = min(n_blocks or int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BLOCKS)
+    n = n_blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     grid = [i / n for i in range(1, n)] or [0.5]
-    number = lambda c: c.cast("timestamp").cast("double") if _is_time(df, c) else c.cast("double")
-    order_d, tie_d = number(order), number(tie)
+    order_d, tie_d = _number(df, order), _number(df, tie)
     points = (
         (probe if probe is not None else df)
         .agg(
@@ -70,8 +71,15 @@ def with_blocks(
     return df.withColumn(out, block.cast("long")).drop("_bo", "_bb", "_bt", "_bs")
 
 
-def _is_time(df: DataFrame, c: Column) -> bool:
-    return df.select(c.alias("c")).schema["c"].dataType.typeName() in ("timestamp", "timestamp_ntz", "date")
+def _number(df: DataFrame, c: Column) -> Column:
+    """A double that never decreases along the column's own order."""
+    kind = df.select(c.alias("c")).schema["c"].dataType.typeName()
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        return c.cast("timestamp").cast("double")
+    if kind in ("string", "varchar", "char"):
+        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, PREFIX_BYTES)), 2 * PREFIX_BYTES, "0")
+        return F.conv(head, 16, 10).cast("double")
+    return c.cast("double")
 
 
 def running_total(

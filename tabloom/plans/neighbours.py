@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,13 +70,19 @@ def _split_hot(df, keys, order, tie, hot_rows, n_blocks):
     hot = hot_keys(df, keys, hot_rows)
     if hot is None:
         return None
-    # null keys are never matched and stay one ordinary group
-    probe = df.join(hot, keys, "left_semi")
+    probe = same_keys(df, hot, keys, "left_semi")
     blocked = with_blocks(df, F.col(order), F.col(tie), "_block", n_blocks, probe)
-    flagged = blocked.join(hot.withColumn("_hot", F.lit(True)), keys, "left")
+    flagged = same_keys(blocked, hot.withColumn("_hot", F.lit(True)), keys, "left")
     return flagged.withColumn("_block", F.when(F.col("_hot"), F.col("_block"))).drop("_hot"), True
 
 
+def same_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys of which null equals null; the keys come from ``df``."""
+    renamed = other.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_same_{k}")) for k in keys])
+    return df.join(renamed, cond, how).drop(*[f"_same_{k}" for k in keys])
+
+
 def _carry(rows: DataFrame, keys: list[str], col: str, own_pos) -> DataFrame:
     """Fill what lies outside a row's block from the summaries of the other blocks."""
     filled = F.when(F.col(col).isNotNull(), F.col("_pos"))
@@ -109,7 +116,7 @@ def _carry(rows: DataFrame, keys: list[str], col: str, own_pos) -> DataFrame:
         F.last(F.col("_first_pos") + F.col("_off"), ignorenulls=True).over(ahead).alias("_c_next_pos"),
     )
     carry, _ = pinned_if_small(carry)
-    out = rows.join(carry, [*keys, "_block"], "left")
+    out = same_keys(rows, carry, [*keys, "_block"], "left")
     off = F.coalesce(F.col("_off"), F.lit(0))
     return out.withColumns(
         {

@@ -32,10 +32,14 @@ def attach(df: DataFrame, lookup: DataFrame, on: Sequence[str] = (), how: str =
 
     A lookup measured to be small is broadcast, so ``df`` does not move. A
     larger one is joined by shuffle, where adaptive execution splits hot keys.
-    With no keys the lookup must be a one-row aggregate.
+    With no keys the lookup must have one row, as an aggregate without groups
+    has; more rows raise an error instead of multiplying ``df``.
     """
     if not on:
-        return df.crossJoin(F.broadcast(lookup))
+        rows = lookup.select(F.struct(*lookup.columns).alias("_row"))
+        fail = F.raise_error(F.lit("a lookup without keys has several rows"))
+        one = rows.agg(F.when(F.count(F.lit(1)) <= 1, F.first("_row")).otherwise(fail).alias("_row"))
+        return df.crossJoin(F.broadcast(one)).select(*df.columns, "_row.*")
     small, _ = pinned_if_small(lookup)
     return df.join(small, list(on), how)
 

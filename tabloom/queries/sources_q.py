@@ -136,12 +136,13 @@ def k3(t: Tables):
     return read_parquet(t.spark, path)
 
 
-@query("k4_write_json", "select event_id, user_id, event_type, value, props from events")
+@query("k4_write_json", "select event_id, ts, user_id, event_type, value, props from events")
 def k4(t: Tables):
     path = shared_dir(t.spark, "events-json")
-    write_json(t.events.drop("ts"), path)
+    write_json(t.events, path)
     return read_table(
-        t.spark, path, "json", "event_id bigint, user_id bigint, event_type string, value double, props string"
+        t.spark, path, "json", "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+        timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     )
 
 

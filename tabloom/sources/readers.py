@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.plans.sizing import attach
-
 
 def _struct(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -56,6 +54,29 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.parquet(*([path] if isinstance(path, str) else path))
 
 
+def _after_lines(n: int):
+    """Leave out the first ``n`` lines of every file's first block."""
+
+    def run(batches):
+        block, left = None, 0
+        for batch in batches:
+            files, starts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            keep, k = [], 0
+            while k < len(files):
+                if (files[k], starts[k]) != block:
+                    block, left = (files[k], starts[k]), n if starts[k] == 0 else 0
+                end = k
+                while end < len(files) and (files[end], starts[end]) == block:
+                    end += 1
+                skipped = min(left, end - k)
+                left -= skipped
+                keep.append(batch.slice(k + skipped, end - k - skipped))
+                k = end
+            yield from (part.select(["value"]) for part in keep if part.num_rows)
+
+    return run
+
+
 def read_many(
     spark: SparkSession,
     groups: Iterable[tuple[str | Sequence[str], int]],
@@ -66,8 +87,8 @@ def read_many(
 
     ``groups`` gives (path, glob or list of paths; lines before the header in
     each of those files). Only the block at offset 0 of a file can hold its
-    preamble, so lines are numbered there, from the first row id that the block
-    got in its partition; all other blocks pass untouched.
+    preamble. A task reads a block's lines in their order, so it counts them off
+    where such a block begins; how blocks are packed into tasks is of no matter.
     """
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _struct(schema))
 
@@ -76,11 +97,8 @@ def read_many(
             "value",
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_block_start").alias("_at"),
-            F.monotonically_increasing_id().alias("_id"),
         )
-        first = lines.filter(F.col("_at") == 0).groupBy("_file").agg(F.min("_id").alias("_first"))
-        preamble = (F.col("_at") == 0) & (F.col("_id") <= F.col("_first") + skip)
-        body = attach(lines, first, ["_file"]).filter(~preamble & (F.length("value") > 0))
+        body = lines.mapInArrow(_after_lines(skip + 1), "value string").filter(F.length("value") > 0)
         return body.select(F.from_csv("value", ddl, {"sep": sep}).alias("_r")).select("_r.*")
 
     return reduce(DataFrame.unionByName, [one(path, skip) for path, skip in groups])
