@@ -107,12 +107,18 @@ def fuzzy_join(
     shifted by at most t (the pigeonhole filter of partition-based similarity
     joins). One piece more than needed is cut, so that the most frequent piece
     of a name can be left out: prefixes shared by all names block nothing.
+    A name no longer than the edits it allows, possible at thresholds of a half
+    and less, need not keep any piece; such pairs share letters instead.
     """
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold is above 0 and at most 1")
     names_l = left.select(F.col(lcol).alias("_l")).dropna().distinct()
     names_r = right.select(F.col(rcol).alias("_r")).dropna().distinct()
     exact = names_l.join(names_r, F.col("_l") == F.col("_r"), "inner").withColumn("_s", F.lit(1.0))
     rest = names_l.join(names_r, F.col("_l") == F.col("_r"), "left_anti")
     pairs = _piece_matches(rest, names_r, 1.0 - threshold)
+    if threshold <= 0.5:
+        pairs = pairs.unionByName(_letter_matches(rest, names_r, 1.0 - threshold)).distinct()
     longer = F.greatest(F.length("_l"), F.length("_r"))
     scored = pairs.withColumn("_s", 1 - F.levenshtein("_l", "_r") / longer).filter(F.col("_s") >= threshold - 1e-12)
     # the best candidate is an aggregate: map-side combine keeps one per name and task
@@ -137,6 +143,41 @@ def _piece(total, n, i):
     return start + 1, F.floor(total * (i + 1) / n).cast("int") - start
 
 
+def _letters(c):
+    """A text's letters, each with how often it has occurred so far: a multiset as a set."""
+    chars = F.filter(F.split(c, ""), lambda x: x != "")
+    seen = lambda x, i: F.size(F.filter(F.slice(chars, 1, i + 1), lambda y: y == x)).cast("string")
+    return F.transform(chars, lambda x, i: F.concat(x, F.lit("\n"), seen(x, i)))
+
+
+def _letter_matches(names_l: DataFrame, names_r: DataFrame, share: float) -> DataFrame:
+    """Candidate pairs whose right name is no longer than the edits allowed.
+
+    Within t edits of the longer length n, texts have n − t letters in common.
+    Letters are put in order of rarity; then two such texts meet in a letter
+    among all but their last n − t − 1 ones, and only those letters are joined.
+    """
+    right = names_r.select("_r", F.explode(_letters(F.col("_r"))).alias("_c"))
+    rare = right.groupBy("_c").agg(F.count(F.lit(1)).alias("_f"))
+
+    def ordered(names, letters, name):
+        rows = letters.join(rare, "_c", "left").groupBy(name)
+        return rows.agg(F.sort_array(F.collect_list(F.struct(F.coalesce("_f", F.lit(0)).alias("_f"), "_c"))).alias("_o"))
+
+    by_r = ordered(names_r, right, "_r").select("_r", F.length("_r").alias("_n"), F.posexplode("_o").alias("_pr", "_x"))
+    by_l = ordered(names_l, names_l.select("_l", F.explode(_letters(F.col("_l"))).alias("_c")), "_l")
+    size = F.length("_l")
+    lengths = F.sequence(F.ceil(size * F.lit(1.0 - share) - 1e-9).cast("int"), F.floor(size / F.lit(1.0 - share) + 1e-9).cast("int"))
+    spans = by_l.select("_l", "_o", F.explode(lengths).alias("_n")).withColumn("_most", F.greatest(size, F.col("_n")))
+    spans = spans.withColumn("_t", _edits(F.col("_most"), share)).filter(F.col("_n") <= F.col("_t"))
+    spans = spans.withColumn("_m", F.greatest(F.lit(1), F.col("_most") - F.col("_t")))
+    probe = spans.select("_l", "_n", "_m", F.posexplode("_o").alias("_pl", "_x")).filter(F.col("_pl") <= F.length("_l") - F.col("_m"))
+    probe = probe.select("_l", "_n", "_m", F.col("_x._c").alias("_c"))
+    index = by_r.select("_r", "_n", "_pr", F.col("_x._c").alias("_c"))
+    met = probe.join(index, ["_n", "_c"]).filter(F.col("_pr") <= F.col("_n") - F.col("_m"))
+    return met.select("_l", "_r").distinct()
+
+
 def _piece_matches(names_l: DataFrame, names_r: DataFrame, share: float) -> DataFrame:
     """Distinct candidate pairs (_l, _r), complete for similarity ≥ 1 − share."""
     n_len = F.length("_r")

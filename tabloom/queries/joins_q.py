@@ -121,6 +121,22 @@ def j7(t: Tables):
     return rounded(joins.fuzzy_join(left, right, "name", "known", 0.9), 9)
 
 
+@query(
+    "j7_fuzzy_join_half",
+    """
+    with l as (select distinct p_name || ' ' || p_brand as name from part),
+    r as (select distinct left(name, length(name) // 2 + 1) as known from l),
+    s as (select name, known, 1 - levenshtein(name, known) / greatest(length(name), length(known)) as score from l, r),
+    b as (select name, known, score, row_number() over (partition by name order by round(score, 12) desc, known) as rn from s where score >= 0.5 - 1e-12)
+    select l.name, known, round(score, 9) as score from l left join (select * from b where rn = 1) b using (name)
+    """,
+)
+def j7_half(t: Tables):
+    left = t.part.select(F.concat_ws(" ", "p_name", "p_brand").alias("name")).distinct()
+    right = left.select(F.expr("substring(name, 1, length(name) div 2 + 1)").alias("known")).distinct()
+    return rounded(joins.fuzzy_join(left, right, "name", "known", 0.5), 9)
+
+
 @query(
     "j8_map_join",
     "select c_custkey, c_nationkey, n_name from customer left join nation on c_nationkey = n_nationkey",

@@ -1,5 +1,7 @@
 """The same answers on both sides of every limit, and for keys that are null, text or hot."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,3 +95,30 @@ def test_writers_do_not_overwrite_unasked(spark, tmp_path):
         write_parquet(spark.range(3), str(tmp_path / "t"))
     write_parquet(spark.range(4), str(tmp_path / "t"), mode="overwrite")
     assert spark.read.parquet(str(tmp_path / "t")).count() == 4
+
+
+@pytest.mark.parametrize("threshold", [0.6, 0.5, 0.4, 0.2])
+def test_fuzzy_join_is_complete_at_low_thresholds(spark, threshold):
+    rng = random.Random(int(threshold * 10))
+    some = lambda n: {"".join(rng.choices("abcde", k=rng.randrange(1, 9))) for _ in range(n)}
+    left, right = some(60) | {"abcd", "shared prefix 17"}, some(60) | {"ab", "abcde", "shared prefix 29"}
+    a = spark.createDataFrame([(x,) for x in sorted(left)], "name string")
+    b = spark.createDataFrame([(x,) for x in sorted(right)], "known string")
+
+    def edits(x, y):
+        row = list(range(len(y) + 1))
+        for i, c in enumerate(x, 1):
+            last, row[0] = row[0], i
+            for j, d in enumerate(y, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != d))
+        return row[-1]
+
+    got = {r.name: (r.known, r.score) for r in joins.fuzzy_join(a, b, "name", "known", threshold).collect()}
+    for x in left:
+        scored = [(1 - edits(x, y) / max(len(x), len(y)), y) for y in right]
+        best = max(s for s, _ in scored)
+        known, score = got[x]
+        if best < threshold - 1e-9:
+            assert known is None
+        else:
+            assert score == pytest.approx(best) and known == min(y for s, y in scored if abs(s - best) < 1e-9)
