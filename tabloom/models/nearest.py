@@ -1,25 +1,29 @@
 """Exact k nearest neighbours.
 
-The pairs are never rows. The query side is dealt by hash into blocks of bounded
-size; one block at a time is broadcast as a matrix, and every task holds against
-it only its own part of the training table, batch by batch, keeping the k best
-per query. What is shuffled is k rows per query and task.
+The pairs are never rows. Both sides are packed into blocks of bounded size as
+matrices, a written table each; every pair of blocks is one row of an equality
+join on both blocks' numbers, and a task compares it in fixed memory, keeping k
+rows per query. The driver sees one number per block. The work stays rows ×
+queries, as exact search needs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.models.classify import auc_rank
 from tabloom.models.features import hash_number
+from tabloom.plans.written import written
 
-BLOCK_ROWS = 16_384
+BLOCK_ROWS = 2_048
 
 
 def _best(dist: np.ndarray, ids: np.ndarray, tags: np.ndarray, k: int):
@@ -29,64 +33,87 @@ def _best(dist: np.ndarray, ids: np.ndarray, tags: np.ndarray, k: int):
     return dist[rows, order], ids[rows, order], tags[rows, order]
 
 
-def _scan(queries, k: int, ids_col: str, vec_col: str, tag_col: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        q_ids, q = queries.value
-        best = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            t = np.stack(pdf[vec_col].to_numpy()).astype("float64")
-            squared = (q * q).sum(1)[:, None] + (t * t).sum(1)[None, :] - 2.0 * q @ t.T
-            # rounding makes equal vectors equal, whatever batch they are in
-            dist = np.round(np.sqrt(np.clip(squared, 0, None)), 9)
-            ids = np.broadcast_to(pdf[ids_col].to_numpy()[None, :], dist.shape)
-            tags = np.broadcast_to(pdf[tag_col].to_numpy()[None, :], dist.shape)
-            if dist.shape[1] > 4 * k:
-                # the k-th smallest distance with all its ties is enough for the exact choice
-                kth = np.partition(dist, k - 1, axis=1)[:, k - 1 : k]
-                width = int((dist <= kth).sum(1).max())
-                near = np.argpartition(dist, width - 1, axis=1)[:, :width]
-                rows = np.arange(len(dist))[:, None]
-                dist, ids, tags = dist[rows, near], ids[rows, near], tags[rows, near]
-            found = _best(dist, ids, tags, k)
-            if best is not None:
-                found = _best(*[np.concatenate(p, axis=1) for p in zip(best, found)], k)
-            best = found
-        if best is not None:
-            dist, ids, tags = best
-            yield pd.DataFrame(
-                {"query_id": np.repeat(q_ids, dist.shape[1]), "near_id": ids.ravel(), "dist": dist.ravel(), "tag": tags.ravel()}
-            )
-
-    return run
+def _block_best(q, t, ids, tags, k: int):
+    """k nearest of one block of training rows for each query of a block."""
+    squared = (q * q).sum(1)[:, None] + (t * t).sum(1)[None, :] - 2.0 * q @ t.T
+    # rounding makes equal vectors equal, whatever block they are in
+    dist = np.round(np.sqrt(np.clip(squared, 0, None)), 9)
+    ids, tags = np.broadcast_to(ids[None, :], dist.shape), np.broadcast_to(tags[None, :], dist.shape)
+    if dist.shape[1] > 4 * k:
+        # the k-th smallest distance with all its ties is enough for the exact choice
+        kth = np.partition(dist, k - 1, axis=1)[:, k - 1 : k]
+        width = int((dist <= kth).sum(1).max())
+        near = np.argpartition(dist, width - 1, axis=1)[:, :width]
+        rows = np.arange(len(dist))[:, None]
+        dist, ids, tags = dist[rows, near], ids[rows, near], tags[rows, near]
+    return _best(dist, ids, tags, k)
+
+
+def _packed(df: DataFrame, size: int) -> DataFrame:
+    """``id``, ``v`` and ``tag`` of up to ``size`` rows as binary columns of one row."""
+
+    def run(batches):
+        held, n, made = [], 0, 0
+
+        def pack():
+            ids, x, tags = (np.concatenate(c) for c in zip(*held))
+            number = (TaskContext.get().partitionId() << 32) | made
+            cols = [pa.array([number]), pa.array([ids.tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary()), pa.array([tags.tobytes()], pa.binary())]
+            return pa.RecordBatch.from_arrays(cols, names=["block", "ids", "x", "tags"])
+
+        for batch in batches:
+            ids, tags = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(ids), -1) if len(ids) else None
+            at = 0
+            while at < len(ids):
+                end = min(len(ids), at + size - n)
+                held.append((ids[at:end].astype("int64"), x[at:end], tags[at:end].astype("int32")))
+                n, at = n + end - at, end
+                if n == size:
+                    yield pack()
+                    held, n, made = [], 0, made + 1
+        if n:
+            yield pack()
+
+    return df.mapInArrow(run, "block long, ids binary, x binary, tags binary")
+
+
+def _numbered(packed: DataFrame, name: str) -> tuple[DataFrame, int]:
+    seen = sorted(r["block"] for r in packed.select("block").collect())
+    table = pa.table({"block": pa.array(seen, pa.int64()), name: pa.array(range(len(seen)), pa.int32())})
+    numbers = packed.sparkSession.createDataFrame(table, f"block long, {name} int")
+    return packed.join(F.broadcast(numbers), "block").drop("block"), len(seen)
 
 
 def k_nearest(
     train: DataFrame, query: DataFrame, k: int, id_col: str, vec_col: str, tag_col: str, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """The k nearest training rows of every query row: query_id, near_id, dist, tag, place."""
-    spark = train.sparkSession
-    n_blocks = -(-query.count() // max(1, block_rows // 2)) or 1
-    block = F.pmod(F.xxhash64(id_col), F.lit(n_blocks))
-    schema = "query_id long, near_id long, dist double, tag int"
-    slim = train.select(F.col(id_col).cast("long").alias(id_col), vec_col, F.col(tag_col).cast("int").alias(tag_col))
-    parts = []
-    for b in range(n_blocks):
-        # blocks are filled to half on average, so the bound is a guard, not a cut
-        pdf = query.filter(block == b).select(id_col, vec_col).limit(block_rows + 1).toPandas()
-        if len(pdf) > block_rows:
-            raise ValueError("query block over its bound; lower block_rows")
-        if pdf.empty:
-            continue
-        shared = spark.sparkContext.broadcast(
-            (pdf[id_col].to_numpy(), np.stack(pdf[vec_col].to_numpy()).astype("float64"))
-        )
-        parts.append(slim.mapInPandas(_scan(shared, k, id_col, vec_col, tag_col), schema))
-    if not parts:
+    spark, schema = train.sparkSession, "query_id long, near_id long, dist double, tag int"
+
+    def slim(df: DataFrame, tag) -> DataFrame:
+        v = F.col(vec_col) if df.schema[vec_col].dataType.typeName() == "array" else vector_to_array(vec_col)
+        return df.select(F.col(id_col).cast("long").alias("id"), v.cast("array<double>").alias("v"), tag.cast("int").alias("tag"))
+
+    rows, n_rows = _numbered(written(_packed(slim(train, F.col(tag_col)), block_rows), "nearest-rows"), "i")
+    asked, n_asked = _numbered(written(_packed(slim(query, F.lit(0)), block_rows), "nearest-queries"), "j")
+    if not n_rows or not n_asked:
         return spark.createDataFrame([], schema + ", place int")
-    found = reduce(DataFrame.unionByName, parts)
+    left = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(n_asked - 1))))
+    right = asked.select("j", F.col("ids").alias("q_ids"), F.col("x").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))).alias("i"))
+    both = left.join(right, ["i", "j"]).select("ids", "x", "tags", "q_ids", "q")
+
+    def run(batches):
+        for batch in batches:
+            for ids, x, tags, q_ids, q in zip(*(c.to_pylist() for c in batch.columns)):
+                ids, q_ids, tags = np.frombuffer(ids, "int64"), np.frombuffer(q_ids, "int64"), np.frombuffer(tags, "int32")
+                t, q = np.frombuffer(x).reshape(len(ids), -1), np.frombuffer(q).reshape(len(q_ids), -1)
+                dist, near, own = _block_best(q, t, ids, tags, k)
+                cols = [np.repeat(q_ids, dist.shape[1]), near.ravel(), dist.ravel(), own.ravel()]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["query_id", "near_id", "dist", "tag"])
+
     w = Window.partitionBy("query_id").orderBy("dist", "near_id")
+    found = both.mapInArrow(run, schema)
     return found.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
 
 
