@@ -228,7 +228,8 @@ def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is its group's smallest; of rows that repeat such an id, one."""
     kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     kept = written(kept, "simhash-kept")
-    once, twice = kept.filter("n = 1").select("doc_id"), kept.filter("n > 1").select("doc_id")
+    # the ids that stay are about as many as the texts: a merge join at every size, never a broadcast
+    once, twice = (kept.filter(c).select("doc_id").hint("merge") for c in ("n = 1", "n > 1"))
     null_safe = lambda ids: docs["doc_id"].eqNullSafe(ids["doc_id"])
     out = docs.join(once, null_safe(once), "left_semi")
     if twice.isEmpty():
