@@ -26,8 +26,6 @@ there are no labels); an empty table gives no rows; further columns are not read
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -47,8 +45,9 @@ SEPARATORS = " .-_*"
 #: Channel costs in nats.
 SUBSTITUTE, BREAK, DROP, APART = 1.0, 9.0, 0.3, 4.0
 SYMBOL = 63
-CHUNK_CHARS = 1 << 21
+CHUNK_CHARS = 1 << 20
 MEMORY_SEGMENTS = 100_000
+ROWS = 1000
 BITS = 20
 
 
@@ -247,15 +246,17 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
-@lru_cache(maxsize=4)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2^64."""
-    out = []
-    for base in (_BASE, _BACK):
-        p = np.full(n, base, np.uint64)
-        p[0] = 1
-        out.append(np.cumprod(p, dtype=np.uint64))
-    return out[0], out[1]
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of an odd base and of its inverse modulo 2^64; one table that grows."""
+    if len(_POWERS[0]) < n:
+        for k, base in enumerate((_BASE, _BACK)):
+            p = np.full(1 << (n - 1).bit_length(), base, np.uint64)
+            p[0] = 1
+            _POWERS[k] = np.cumprod(p, dtype=np.uint64)
+    return _POWERS
 
 
 PIECE, PREFIXES = 5, range(4, 9)
@@ -276,7 +277,7 @@ def word_features(raw: np.ndarray, doc: np.ndarray):
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(start):
         return np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.uint64)
-    power, back = _powers(1 << (len(c) - 1).bit_length())
+    power, back = _powers(len(c))
     run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(c * power[: len(c)], dtype=np.uint64)])
 
     def hashed(first, last, kind):
@@ -445,22 +446,24 @@ def score(docs: DataFrame, cost: np.ndarray, model: dict, keep: list[str], name:
     if "flat" in model:
         return docs.select(*keep, F.lit(float(model["flat"])).alias(name))
 
+    names = keep if "text" in keep else [*keep, "text"]
+    at = names.index("text")
+
     def run(batches):
         restore = Restorer(cost)
         w = np.zeros(1 << BITS, np.float32)
         w[model["f"]] = model["w"]
         for batch in batches:
-            out = []
-            for f, word, doc, kind, size in text_features(batch.column(0), restore):
-                hit = np.flatnonzero(w[f] > 0)
-                e = strongest(w[f[hit]].astype(float), word[hit], doc, kind, size, model["top"])
-                out.append(on_curve(model, np.round(e * 4) / 4))
-            scores = pa.array(np.concatenate(out) if out else np.empty(0))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], scores], names=[*keep, name])
+            for k in range(0, len(batch), ROWS):
+                part, out = batch.slice(k, ROWS), []
+                for f, word, doc, kind, size in text_features(part.column(at), restore):
+                    hit = np.flatnonzero(w[f] > 0)
+                    e = strongest(w[f[hit]].astype(float), word[hit], doc, kind, size, model["top"])
+                    out.append(on_curve(model, np.round(e * 4) / 4))
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(np.concatenate(out))], names=[*keep, name])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    picked = docs.select(F.col("text").alias("_scored_text"), *keep)
-    return mapped(picked, run, f"{fields}, `{name}` double")
+    return mapped(docs.select(*names), run, f"{fields}, `{name}` double")
 
 
 def held_out(ident: Column) -> Column:
