@@ -367,7 +367,10 @@ def training_set(pages: list[list[Block]], seed: int = 0) -> tuple[list[list[Blo
 def train(pages: DataFrame, train_pages: int = 256, train_chars: int = 100_000, id_col: str = "page_id", html_col: str = "html") -> Labeller | None:
     usable = pages.filter(F.col(html_col).isNotNull() & (F.length(html_col) <= train_chars))
     keys = usable.select(F.xxhash64(F.col(id_col).cast("string"), html_col).alias("_k"), F.col(html_col).alias("h"))
-    sample = [r.h for r in keys.orderBy("_k").limit(train_pages).collect()]
+    # the hashes alone are ordered; pages reach the driver only when they are known to be of the sample
+    cut = keys.select("_k").orderBy("_k").limit(train_pages).agg(F.max("_k")).first()[0]
+    chosen = keys.filter(F.col("_k") <= cut).dropDuplicates(["_k"]) if cut is not None else keys.limit(0)
+    sample = [r.h for r in sorted(chosen.collect(), key=lambda r: r["_k"])]
     found = [b for b in map(blocks, sample) if b]
     if not found:
         return None
