@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tabloom.models import attribution, classify, features, nearest
-from tabloom.plans.sizing import packed
+from tabloom.plans.sizing import attach, packed
 from tabloom.plans.written import written
 from tabloom.queries.registry import Tables, query, rounded
 
@@ -132,6 +132,17 @@ def l8(t: Tables):
     return rounded(_fit_and_score(t, classify.logistic(), "standard"), 3)
 
 
+@query(
+    "l8_logistic_group_means",
+    "select lang, round(avg(quality), 2) as share from documents join labels using (doc_id) group by lang",
+)
+def l8_means(t: Tables):
+    """Without penalty and on one category, the fitted probabilities are the group means."""
+    rows = written(examples(t).select("doc_id", "lang", "label"), "examples")
+    fitted = features.build_pipeline(["lang"], {}, [], classify.logistic()).fit(packed(rows))
+    return rounded(classify.score(fitted, rows, ["lang"]).groupBy("lang").agg(F.avg("score").alias("share")), 2)
+
+
 @query("l9_linear_svm")
 def l9(t: Tables):
     return rounded(_fit_and_score(t, classify.linear_svm(), "standard"), 3)
@@ -219,6 +230,20 @@ def l13(t: Tables):
     return rounded(attribution.mean_attribution(phi, NUM), 3)
 
 
+@query("l13_attribution_sums", "select doc_id, 0.0::double as gap from documents join labels using (doc_id)")
+def l13_sums(t: Tables):
+    """A row's values add up to its score less the mean score of the background."""
+    rows = written(examples(t), "examples")
+    data = features.build_pipeline([], {}, NUM, None, "standard").fit(rows).transform(rows)
+    model = classify.logistic(penalty=0.01).fit(data)
+    base = written(attribution.background(data, "doc_id", 10).select("doc_id", "features"), "background")
+    phi = attribution.attribution(model, data.select("doc_id", "features"), "doc_id", len(NUM), base, n_perm=2)
+    total = phi.groupBy("doc_id").agg(F.sum("phi").alias("total"))
+    start = classify.score(model, base, ["doc_id"]).agg(F.avg("score").alias("start"))
+    both = attach(total.join(classify.score(model, data, ["doc_id"]), "doc_id"), start)
+    return both.select("doc_id", F.abs(F.round(F.col("total") - F.col("score") + F.col("start"), 6)).alias("gap"))
+
+
 @query("l13_permutation_importance")
 def l13_cheap(t: Tables):
     train, test = split_examples(t)
