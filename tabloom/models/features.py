@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.feature import MinMaxScaler, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -14,8 +15,6 @@ from tabloom.operators.missing import fill_mode, modes
 from tabloom.plans.quantiles import kth_smallest
 from tabloom.plans.sizing import attach
 
-MAX_LEVELS = 1000
-
 
 def hash_number(key: Column, seed: int) -> Column:
     """A number below 2^52, exact as a double, that depends on key and seed only."""
@@ -41,17 +40,16 @@ def stratified_split(
 
 
 def levels(df: DataFrame, col: str) -> list:
-    """Sorted distinct values of a category column; too many is an error."""
-    rows = df.select(col).dropna().distinct().orderBy(col).limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"{col} has more than {MAX_LEVELS} levels")
-    return [r[0] for r in rows]
+    """Sorted distinct values of a category column, which name the columns or slots made of it."""
+    return [r[0] for r in df.select(col).dropna().distinct().orderBy(col).collect()]
 
 
 def encode_labels(df: DataFrame, col: str, out: str = "label") -> tuple[DataFrame, list]:
-    """Labels to ids in alphabetical order, with the list that decodes them."""
+    """Labels to ids in alphabetical order, with the list that decodes them; ids are joined, whatever the number of labels."""
     names = levels(df, col)
-    return df.withColumn(out, _index(F.col(col), names)), names
+    ids = pa.table({col: pa.array(names), "_id": pa.array(range(len(names)), pa.int32())})
+    table = df.sparkSession.createDataFrame(ids, f"`{col}` {df.schema[col].dataType.simpleString()}, _id int")
+    return attach(df, table, [col]).select(*[c for c in df.columns if c != out], F.col("_id").alias(out)), names
 
 
 def decode_labels(df: DataFrame, col: str, names: Sequence, out: str) -> DataFrame:

@@ -122,3 +122,11 @@ def test_fuzzy_join_is_complete_at_low_thresholds(spark, threshold):
             assert known is None
         else:
             assert score == pytest.approx(best) and known == min(y for s, y in scored if abs(s - best) < 1e-9)
+
+
+@pytest.mark.parametrize("n", [40, 1500])
+def test_labels_of_any_number_get_ids(spark, n):
+    df = spark.createDataFrame([(k, f"level{k % n:05d}" if k % 7 else None) for k in range(2 * n)], "k int, kind string")
+    out, names = features.encode_labels(df, "kind")
+    assert out.columns == ["k", "kind", "label"] and names == sorted(names)
+    assert all(r.label is None if r.kind is None else names[r.label] == r.kind for r in out.collect())
