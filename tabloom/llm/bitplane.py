@@ -35,7 +35,7 @@ from tabloom.session import shared_dir
 MAGIC = b"TBPLANE1"
 BLOCK_IDS = 1 << 15
 #: Entries of a worker's word memory; it starts anew when full.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 800_000
 
 # ------------------------------------------------------------------ encoding
 
@@ -81,12 +81,19 @@ class Encoder:
         self.by_word = spec["model"].get("end_of_word_suffix") == "</w>" and self.tokenizer.get_vocab_size() <= 1 << 16
         self.memory_words, self.words = memory_words, {}
 
+    def _piece(self, piece: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize("".join(map(self.letters.__getitem__, piece.encode())))]
+        return struct.pack(f"<{len(ids)}H", *ids)
+
     def _word(self, word: str) -> bytes:
-        out = []
-        for piece in PIECES.findall(word):
-            ids = self.model.tokenize("".join(map(self.letters.__getitem__, piece.encode())))
-            out += [t.id for t in ids]
-        return np.asarray(out, "<u2").tobytes()
+        """Ids of a word; the pieces of a word with marks are remembered as words of their own."""
+        pieces = PIECES.findall(word)
+        if len(pieces) == 1:
+            return self._piece(pieces[0])
+        for piece in pieces:
+            if piece not in self.words:
+                self.words[piece] = self._piece(piece)
+        return b"".join(map(self.words.__getitem__, pieces))
 
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
