@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.plans.sizing import pinned_if_small
+from tabloom.llm.measured import measured
+from tabloom.plans.written import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -50,11 +51,9 @@ def test_windows(items: DataFrame, width: int = 10, id_col: str = "item_id", tex
 
 def hits(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document with hits: key, ``spans`` (first word, word after the last; sorted) and ``items``."""
-    tests, local = pinned_if_small(test_windows(items, width))
-    if local is not None:
-        lengths = sorted(set(local["n"].to_pylist()))
-    else:
-        lengths = sorted(r["n"] for r in tests.select("n").distinct().collect())  # at most ``width`` rows
+    tests = written(test_windows(items, width), "test-windows")
+    lengths = sorted(r["n"] for r in tests.select("n").distinct().collect())  # at most ``width`` rows
+    tests = measured(tests)
     every = _keyed(docs, id_col, text_col)
 
     def windows(n: int) -> Column:
@@ -97,7 +96,8 @@ def report(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str = "do
 
 def remove_documents(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents without hits, all columns as they were."""
-    bad, _ = pinned_if_small(hits(docs, items, width, id_col, text_col).select(F.col("k").alias("_k"), F.col("h").alias("_h")))
+    found = hits(docs, items, width, id_col, text_col).select(F.col("k").alias("_k"), F.col("h").alias("_h"))
+    bad = measured(written(found, "test-hits"))
     key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     return docs.join(bad, (key == F.col("_k")) & (F.xxhash64(F.col(id_col), F.col(text_col)) == F.col("_h")), "left_anti")
 

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.plans.sizing import pinned_if_small
+from tabloom.llm.measured import measured
 from tabloom.plans.written import written
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -94,7 +94,7 @@ def thresholds(
     cut = per_bin.withColumn("upto", upto).filter(F.col("upto") >= F.col("lack"))
     cut = cut.groupBy("_src").agg(F.min(F.struct("bin", (F.col("upto") - F.col("n")).alias("base"))).alias("c"))
     cut = written(cut.select("_src", F.col("c.bin").alias("cut"), F.col("c.base").alias("base")), "mix-cuts")
-    t = t.join(cut, _same(t["src"], cut["_src"]), "left").drop("_src")
+    t = written(t.join(cut, _same(t["src"], cut["_src"]), "left").drop("_src"), "mix-targets")
     inside = _marked(rows, t.withColumnRenamed("src", "_src"), bins, seed).filter(F.col("bin") == F.col("cut"))
     # rows that repeat id and size share a rank and are decided together
     inside = inside.groupBy("_src", "rank", "ident", "size").agg(F.count(F.lit(1)).alias("rows"), F.max("base").alias("base"), F.max("lack").alias("lack"))
@@ -107,9 +107,8 @@ def thresholds(
 
 
 def _marked(rows: DataFrame, per_source: DataFrame, bins: int, seed: str) -> DataFrame:
-    """Rows with their source's columns, their rank and its bin."""
-    small, _ = pinned_if_small(per_source)
-    both = rows.join(small, _same(F.col("src"), F.col("_src")))
+    """Rows with their source's columns (a written table), their rank and its bin."""
+    both = rows.join(measured(per_source), _same(F.col("src"), F.col("_src")))
     both = both.withColumn("rank", _rank(uniform(F.col("doc_id"), seed), F.col("p")))
     ident = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     return both.withColumn("ident", ident).withColumn("bin", F.floor(F.col("rank") * bins))

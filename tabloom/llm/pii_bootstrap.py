@@ -36,7 +36,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.plans.sizing import pinned_if_small
+from tabloom.llm.measured import measured
 from tabloom.plans.written import written
 
 #: Kinds in the order of the result, each with a cheap test and its expression.
@@ -181,7 +181,7 @@ def personal_data(
         shaped = seen.withColumn("bare", _bare(F.col("word"))).filter(F.col("bare").rlike(SHAPE) & (F.length("bare") >= 6))
         new = shaped.join(good.select("pattern"), "pattern", "left_semi").groupBy("k", "h").agg(F.collect_set("at").alias("at"))
         # only texts with a discovery are read again, to turn word numbers into places
-        again = rows.join(pinned_if_small(new)[0], ["k", "h"]).dropDuplicates(["k", "h"])
+        again = rows.join(measured(written(new, "pii-new")), ["k", "h"]).dropDuplicates(["k", "h"])
         added = again.select("k", "h", _places(F.col("text"), F.col("at")).cast(extra).alias("added"))
     both = spans.join(added, ["k", "h"], "left") if added is not None else spans.withColumn("added", F.lit(None).cast(extra))
     free = F.filter(F.coalesce("added", F.array().cast(extra)), lambda a: ~F.exists("base", lambda b: (a["start"] < b["end"]) & (b["start"] < a["end"])))
