@@ -14,10 +14,9 @@ ends above ``confidence`` and was induced by at least ``support`` different seed
 discovers the identifiers behind it that no rule found. They are spans of kind
 ``id``; base spans stay as they are, and the counts are of base spans.
 
-A pattern is looked up in the texts if at least ``support`` different seeds, and
-at least a ``fraction`` of all pairs of pattern and seed, induced it. So there are
-at most 1 / ``fraction`` such patterns however large the corpus, and they are
-broadcast; what they select grows with the texts and no faster.
+A pattern is looked up in the texts if at least ``support`` different seeds induced
+it, whatever the size of the corpus. The table of patterns is broadcast if it is
+measured to be small and joined by shuffle otherwise.
 
 The rules' expressions are written so that Java's matcher neither recurses nor
 tries a run of characters from each of its places: what must be a maximal run
@@ -31,8 +30,6 @@ further columns are not read.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -128,7 +125,7 @@ def _context(text: Column, start: Column) -> Column:
 
 def occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """Every place in all texts where a pattern stands before a word: document key, word number and word."""
-    known = F.broadcast(patterns)  # at most 1 / fraction rows
+    known = measured(patterns)
     w = docs.select("k", "h", F.split(F.col("text"), SPACE + "+").alias("w"))
     triples = F.transform(F.sequence(F.lit(2), F.size("w") - 1), lambda i: F.struct(
         F.lower(F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1))).alias("pattern"), i.alias("at"), F.get("w", i).alias("word")))
@@ -157,7 +154,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def personal_data(
-    docs: DataFrame, *, support: int = 5, fraction: float = 0.001, confidence: float = 0.8, rounds: int = 3,
+    docs: DataFrame, *, support: int = 5, confidence: float = 0.8, rounds: int = 3,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Per document: counts and checksum of base spans, and all spans."""
@@ -169,8 +166,7 @@ def personal_data(
 
     seeded = written(seeds(spans), "pii-seeds")
     induced = seeded.distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("seeds"))
-    pairs = induced.agg(F.coalesce(F.sum("seeds"), F.lit(0))).first()[0]
-    patterns = induced.filter(F.col("seeds") >= max(support, math.ceil(fraction * pairs))).select("pattern")
+    patterns = induced.filter(F.col("seeds") >= support).select("pattern")
     patterns = written(patterns, "pii-patterns")
     extra = "array<struct<start:int,order:int,end:int,kind:string>>"
     if patterns.isEmpty():

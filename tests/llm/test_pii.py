@@ -72,3 +72,11 @@ def test_repeated_rows_and_empty_table(spark, docs_of):
     got = sorted((str(r.doc_id), r.n_email) for r in personal_data(docs_of(rows)).collect())
     assert got == [("1", 0), ("1", 1), ("1", 1), ("None", 0), ("None", 1)]
     assert personal_data(docs_of([])).count() == 0
+
+
+def test_a_pattern_is_found_however_many_others_there_are(spark, docs_of):
+    texts = {k: f"please write to user{k}@mail.example.com" for k in range(9)} | {10: "please write to user[at]51 now"}
+    others = {1000 + k: f"a{k} b{k} c{k}@d.org" for k in range(9000)}
+    for docs in (texts, texts | others):
+        got = {r.doc_id: r.spans for r in personal_data(docs_of(list(docs.items()))).filter("doc_id < 100").collect()}
+        assert got[10] == "id:16:26"
