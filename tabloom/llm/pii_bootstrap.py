@@ -9,6 +9,12 @@ Patterns and the instances seen behind them form a graph:
 * an instance's score is 1 for a seed and otherwise the confidence of its best
   pattern, if it has the shape of an identifier.
 
+A word that stands in a base span counts as that seed, so seeds may hold blanks.
+Behind a pattern stands the run of up to ``RUN`` words that has a shape of the
+kinds of seeds which induced the pattern: numbers in several groups behind cards,
+phones and addresses of machines, spelled addresses (``jane [at] mail``,
+``jane[at]mail``) behind e-mail addresses, and one word with a digit behind any.
+
 Both are iterated ``rounds`` times with Spark joins and groupings. A pattern that
 ends above ``confidence`` and was induced by at least ``support`` different seeds
 discovers the identifiers behind it that no rule found. They are spans of kind
@@ -46,6 +52,11 @@ SPACE = r"[\x20\x09-\x0D]"
 #: How far back a seed's two words are looked for, and what an identifier looks like.
 REACH = 200
 SHAPE = r"^[\x21-\x7E]*[0-9][\x21-\x7E]*$"
+#: Words of an identifier at most; groups of a number; an address in which marks or "at" and "dot" are spelled.
+RUN = 6
+NUMBER = r"^[+(]{0,2}[0-9][0-9().x-]*+(?: [(]?[0-9][0-9().x-]*+)++"
+SPELLED = r"(?i)^[a-z0-9._%+-]++ (?:at|@|[\[({<]at[\])}>]) [a-z0-9.-]*[a-z0-9](?: (?:dot|[\[({<]dot[\])}>]) [a-z0-9-]*[a-z0-9])*+"
+MARKED = r"^[\x21-\x7E]*[A-Za-z0-9][@%+\[\](){}<>*#=~_]++[\x21-\x7E]*[A-Za-z0-9]"
 AROUND = r"[\"'()\[\]{}<>,;:.!?|]"
 
 
@@ -110,8 +121,8 @@ def _bare(token: Column) -> Column:
 
 
 def seeds(spans: DataFrame) -> DataFrame:
-    """``pattern`` (two words before) and ``instance`` of every base span that has two words before it."""
-    each = spans.select(F.explode("seen").alias("x")).select("x.pattern", "x.instance")
+    """``pattern`` (two words before), ``instance`` and ``kind`` of every base span that has two words before it."""
+    each = spans.select(F.explode("seen").alias("x")).select("x.pattern", "x.instance", "x.kind")
     return each.filter(F.col("pattern") != "")
 
 
@@ -123,22 +134,65 @@ def _context(text: Column, start: Column) -> Column:
     return F.lower(F.array_join(F.filter(F.split(two, SPACE + "+"), lambda w: w != ""), " "))
 
 
-def occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Every place in all texts where a pattern stands before a word: document key, word number and word."""
+def _words_of(text: Column, base: Column) -> Column:
+    """Numbers of the words that begin in base spans; a span within a word counts if only punctuation stands before it there."""
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("out"))
+
+    def place(acc, x):
+        between = F.substring(text, acc["at"] + 1, x["start"] - acc["at"])
+        n = acc["n"] + F.size(F.split(between, SPACE + "+")) - 1
+        whole = F.substring(text, F.greatest(x["start"] - REACH, F.lit(0)) + 1, F.least(x["start"], F.lit(REACH))).rlike(f"(?:^|{SPACE}){AROUND}*+$")
+        last = n + F.size(F.split(x["m"], SPACE + "+")) - 1
+        first = F.when(whole, n).otherwise(n + 1)
+        numbers = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+        return F.struct(x["start"].alias("at"), n.alias("n"), F.concat(acc["out"], numbers).alias("out"))
+
+    return F.aggregate(base, start, place, lambda acc: F.array_distinct(acc["out"]))
+
+
+def _run(w: Column, i: Column) -> Column:
+    """The word, or the words from it on where a number or a spelled address may go on behind a blank."""
+    word, after = F.get(w, i), F.lower(F.get(w, i + 1))
+    number = F.substring(word, 1, 1).between("0", "9") | F.substring(word, 1, 1).isin("+", "(")
+    spelled = _bare(after).isin("at", "@") | after.rlike(r"^[{<]at[}>]$")
+    return F.when((number & after.rlike("^[(]?[0-9]")) | F.coalesce(spelled, F.lit(False)), F.array_join(F.slice(w, i + 1, RUN), " ")).otherwise(word)
+
+
+def _shape(run: Column, numeric: Column, mail: Column) -> Column:
+    """The identifier at the start of a run, without punctuation around it; empty if there is none."""
+    word = F.get(F.split(run, " "), F.lit(0))
+    lead = F.regexp_replace(run, r"^[\"'\[\]{}<>,;:.!?|]++", "")
+    number = F.regexp_replace(F.regexp_extract(lead, NUMBER, 0), f"{AROUND}++$", "")
+    spelled = F.regexp_extract(F.regexp_replace(run, f"^{AROUND}++", ""), SPELLED, 0)
+    one = _bare(word)
+    single = (F.length(one) >= 6) & (one.rlike(SHAPE) | (mail & one.rlike(MARKED)))
+    return F.when(numeric & (F.length(number) >= 6), number).when(mail & (F.length(spelled) >= 6), spelled).when(single, one).otherwise(F.lit(""))
+
+
+def occurrences(docs: DataFrame, patterns: DataFrame, own: DataFrame) -> DataFrame:
+    """Every place in all texts where a pattern stands before a word: document key, word number, run, and whether a base span is there.
+
+    ``own(k, h, at)`` are the words of base spans.
+    """
     known = measured(patterns)
     w = docs.select("k", "h", F.split(F.col("text"), SPACE + "+").alias("w"))
     triples = F.transform(F.sequence(F.lit(2), F.size("w") - 1), lambda i: F.struct(
-        F.lower(F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1))).alias("pattern"), i.alias("at"), F.get("w", i).alias("word")))
-    each = w.filter(F.size("w") > 2).select("k", "h", F.explode(triples).alias("x")).select("k", "h", "x.pattern", "x.at", "x.word")
-    return each.filter(F.col("word") != "").join(known, "pattern", "left_semi")
+        F.lower(F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1))).alias("pattern"), i.alias("at"), _run(F.col("w"), i).alias("run")))
+    each = w.filter(F.size("w") > 2).select("k", "h", F.explode(triples).alias("x")).select("k", "h", "x.pattern", "x.at", "x.run")
+    found = each.filter(F.col("run") != "").join(known, "pattern")
+    found = found.join(own.withColumn("own", F.lit(True)), ["k", "h", "at"], "left")
+    found = found.withColumn("own", F.coalesce("own", F.lit(False))).withColumn("shape", _shape(F.col("run"), F.col("numeric"), F.col("mail")))
+    bare = F.when(F.col("shape") != "", F.col("shape")).otherwise(_bare(F.get(F.split("run", " "), F.lit(0))))
+    return found.select("k", "h", "at", "pattern", "own", "shape", bare.alias("instance"))
 
 
 def confident(seen: DataFrame, seeded: DataFrame, rounds: int, confidence: float) -> DataFrame:
     """Patterns above the confidence after some rounds of scoring patterns by instances and instances by patterns."""
-    edges = written(seen.select("pattern", _bare(F.col("word")).alias("instance")).groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n")), "pii-edges")
-    known = seeded.select("instance").distinct().withColumn("seed", F.lit(1.0))
-    scored = edges.join(known, "instance", "left").withColumn("score", F.coalesce("seed", F.lit(0.0)))
-    scored = written(scored.withColumn("shaped", F.col("instance").rlike(SHAPE) & (F.length("instance") >= 6)), "pii-scores")
+    edges = seen.select("pattern", "instance", "own", (F.col("shape") != "").alias("shaped"))
+    edges = written(edges.groupBy("pattern", "instance", "own", "shaped").agg(F.count(F.lit(1)).alias("n")), "pii-edges")
+    known = seeded.select("instance").distinct().withColumn("known", F.lit(1.0))
+    scored = edges.join(known, "instance", "left").withColumn("seed", F.when(F.col("own"), 1.0).otherwise(F.col("known"))).drop("known")
+    scored = written(scored.withColumn("score", F.coalesce("seed", F.lit(0.0))), "pii-scores")
     for _ in range(rounds):
         mean = scored.groupBy("pattern").agg((F.sum(F.col("n") * F.col("score")) / F.sum("n")).alias("confidence"))
         best = scored.select("pattern", "instance").join(mean, "pattern").groupBy("instance").agg(F.max("confidence").alias("best"))
@@ -159,23 +213,27 @@ def personal_data(
 ) -> DataFrame:
     """Per document: counts and checksum of base spans, and all spans."""
     rows = _keyed(docs, id_col, text_col)
-    own = F.transform("base", lambda x: F.struct(_context(F.col("text"), x["start"]).alias("pattern"), _bare(x["m"]).alias("instance")))
+    own = F.transform("base", lambda x: F.struct(_context(F.col("text"), x["start"]).alias("pattern"), _bare(x["m"]).alias("instance"), x["kind"].alias("kind")))
     bare = F.transform("base", lambda x: F.struct(x["start"].alias("start"), x["order"].alias("order"), x["end"].alias("end"), x["kind"].alias("kind")))
-    spans = rows.withColumn("base", base_spans(F.col("text"))).select("doc_id", "k", "h", bare.alias("base"), own.alias("seen"))
+    spans = rows.withColumn("base", base_spans(F.col("text"))).select("doc_id", "k", "h", bare.alias("base"), own.alias("seen"), _words_of(F.col("text"), F.col("base")).alias("own"))
     spans = written(spans, "pii-base")
 
     seeded = written(seeds(spans), "pii-seeds")
-    induced = seeded.distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("seeds"))
-    patterns = induced.filter(F.col("seeds") >= support).select("pattern")
+    mail = F.col("kind") == "email"
+    each = seeded.groupBy("pattern", "instance").agg(F.max(mail).alias("mail"), F.max(~mail).alias("numeric"))
+    induced = each.groupBy("pattern").agg(F.count(F.lit(1)).alias("seeds"), F.max("mail").alias("mail"), F.max("numeric").alias("numeric"))
+    patterns = induced.filter(F.col("seeds") >= support).drop("seeds")
     patterns = written(patterns, "pii-patterns")
     extra = "array<struct<start:int,order:int,end:int,kind:string>>"
     if patterns.isEmpty():
         added = None
     else:
-        seen = written(occurrences(rows, patterns), "pii-occurrences")
+        words = spans.select("k", "h", F.explode("own").alias("at")).distinct()
+        seen = written(occurrences(rows, patterns, words), "pii-occurrences")
         good = confident(seen, seeded, rounds, confidence)
-        shaped = seen.withColumn("bare", _bare(F.col("word"))).filter(F.col("bare").rlike(SHAPE) & (F.length("bare") >= 6))
-        new = shaped.join(good.select("pattern"), "pattern", "left_semi").groupBy("k", "h").agg(F.collect_set("at").alias("at"))
+        new = seen.filter((F.col("shape") != "") & ~F.col("own")).join(good.select("pattern"), "pattern", "left_semi")
+        size = F.size(F.split("shape", " "))
+        new = new.groupBy("k", "h").agg(F.collect_set(F.struct("at", size.alias("words"), "shape")).alias("at"))
         # only texts with a discovery are read again, to turn word numbers into places
         again = rows.join(measured(written(new, "pii-new")), ["k", "h"]).dropDuplicates(["k", "h"])
         added = again.select("k", "h", _places(F.col("text"), F.col("at")).cast(extra).alias("added"))
@@ -186,15 +244,25 @@ def personal_data(
     return both.select("doc_id", *map(count, KINDS), F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), _joined(F.col("all")).alias("spans"))
 
 
+def _found(word: Column, part: Column) -> Column:
+    """Code points of a word before a part of it."""
+    return F.instr(word, part) - 1
+
+
 def _places(text: Column, numbers: Column) -> Column:
-    """Spans (kind ``id``) of the words with these numbers, without the punctuation around them."""
+    """Spans (kind ``id``) of the runs that begin at these words, without the punctuation around them; a later run within an earlier one is left out."""
     words = F.split(text, SPACE + "+")
     gaps = F.regexp_extract_all(text, F.lit(SPACE + "+"), F.lit(0))
 
-    def span(i):
-        before = F.aggregate(F.slice(words, 1, i), F.lit(0), lambda a, x: a + F.length(x)) + F.aggregate(F.slice(gaps, 1, i), F.lit(0), lambda a, x: a + F.length(x))
-        word = F.get(words, i)
-        left = before + F.length(F.regexp_extract(word, f"^{AROUND}*+", 0))
-        return F.struct(left.alias("start"), F.lit(len(KINDS)).alias("order"), (left + F.length(_bare(word))).alias("end"), F.lit("id").alias("kind"))
+    def offset(i):
+        return F.aggregate(F.slice(words, 1, i), F.lit(0), lambda a, x: a + F.length(x)) + F.aggregate(F.slice(gaps, 1, i), F.lit(0), lambda a, x: a + F.length(x))
+
+    def span(x):
+        first, end = F.get(words, x["at"]), x["at"] + x["words"] - 1
+        parts = F.split(x["shape"], " ")
+        left = offset(x["at"]) + _found(first, F.get(parts, F.lit(0)))
+        right = offset(end) + _found(F.get(words, end), F.get(parts, x["words"] - 1)) + F.length(F.get(parts, x["words"] - 1))
+        return F.struct(left.alias("start"), F.lit(len(KINDS)).alias("order"), right.alias("end"), F.lit("id").alias("kind"))
 
-    return F.transform(numbers, span)
+    within = lambda x, y: (y["at"] < x["at"]) & (x["at"] < y["at"] + y["words"])
+    return F.transform(F.filter(numbers, lambda x: ~F.exists(numbers, lambda y: within(x, y) | ((y["at"] == x["at"]) & (y["words"] > x["words"])))), span)

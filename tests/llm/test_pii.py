@@ -80,3 +80,20 @@ def test_a_pattern_is_found_however_many_others_there_are(spark, docs_of):
     for docs in (texts, texts | others):
         got = {r.doc_id: r.spans for r in personal_data(docs_of(list(docs.items()))).filter("doc_id < 100").collect()}
         assert got[10] == "id:16:26"
+
+
+def test_seeds_with_blanks_and_shapes_by_kind(spark, docs_of):
+    texts = {k: f"please call me +1 (555) 123-4{k:03d} soon" for k in range(12)} | {50: "please call me 555 123 4567, soon", 51: "please call me later-on soon"}
+    texts |= {100 + k: f"mail it to user{k}@mail.example.com soon" for k in range(20)}
+    texts |= {150: "mail it to jane[at]mail soon", 151: "mail it to (jane [at] mail [dot] com) soon", 152: "mail it to well-known people"}
+    texts |= {200 + k: f"the card number 4111 1111 1111 1111, or card number 5500-0000-0000-000{k % 7}" for k in range(12)}
+    got = {r.doc_id: r.spans for r in personal_data(docs_of(list(texts.items()))).collect()}
+
+    def at(k, found):
+        a = texts[k].index(found)
+        return f"id:{a}:{a + len(found)}"
+
+    assert got[50] == at(50, "555 123 4567") and got[51] == ""
+    assert got[150] == at(150, "jane[at]mail") and got[152] == ""
+    check(personal_data(docs_of(list(texts.items()))), texts)
+    assert got[151] == at(151, "jane [at] mail [dot] com")
