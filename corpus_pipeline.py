@@ -16,11 +16,10 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts linked by five-word shingles at similarity 0.8 or more, the document with the smallest id."""
-    from tabloom.llm.near_copies import near_copies
-    from tabloom.llm.simhash_bk import one_of_each
+    """Of each group of texts linked by SimHash (3-word shingles, 3 differing bits at most), the document with the smallest id."""
+    from tabloom.llm.simhash_bk import near_duplicates, one_of_each
 
-    return one_of_each(docs, near_copies(docs))
+    return one_of_each(docs, near_duplicates(docs, radius=3, width=3, seed=42))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
