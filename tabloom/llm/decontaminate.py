@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.llm.files import free_name
 from tabloom.llm.measured import measured
 from tabloom.plans.written import written
 
@@ -96,21 +97,23 @@ def report(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str = "do
 
 def remove_documents(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents without hits, all columns as they were."""
-    found = hits(docs, items, width, id_col, text_col).select(F.col("k").alias("_k"), F.col("h").alias("_h"))
+    k, h = free_name(docs, "_k"), free_name(docs, "_h")
+    found = hits(docs, items, width, id_col, text_col).select(F.col("k").alias(k), F.col("h").alias(h))
     bad = measured(written(found, "test-hits"))
     key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    return docs.join(bad, (key == F.col("_k")) & (F.xxhash64(F.col(id_col), F.col(text_col)) == F.col("_h")), "left_anti")
+    return docs.join(bad, (key == F.col(k)) & (F.xxhash64(F.col(id_col), F.col(text_col)) == F.col(h)), "left_anti")
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All documents; hit words, with the separators after them, are cut out of the text."""
-    bad = hits(docs, items, width, id_col, text_col).select(F.col("k").alias("_k"), F.col("h").alias("_h"), F.col("spans").alias("_spans"))
+    k, h, spans = (free_name(docs, name) for name in ("_k", "_h", "_spans"))
+    bad = hits(docs, items, width, id_col, text_col).select(F.col("k").alias(k), F.col("h").alias(h), F.col("spans").alias(spans))
     key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    both = docs.join(bad, (key == F.col("_k")) & (F.xxhash64(F.col(id_col), F.col(text_col)) == F.col("_h")), "left")
+    both = docs.join(bad, (key == F.col(k)) & (F.xxhash64(F.col(id_col), F.col(text_col)) == F.col(h)), "left")
     pieces = F.regexp_extract_all(F.col(text_col), F.lit(PIECE), F.lit(0))
-    kept = F.filter(pieces, lambda p, i: ~F.exists("_spans", lambda s: (i >= s["at"]) & (i < s["end"])))
+    kept = F.filter(pieces, lambda p, i: ~F.exists(spans, lambda s: (i >= s["at"]) & (i < s["end"])))
     cut = F.concat(F.regexp_extract(F.col(text_col), BEFORE, 0), F.array_join(kept, ""))
-    return both.withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(cut)).select(*docs.columns)
+    return both.withColumn(text_col, F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(cut)).select(*docs.columns)
 
 
 ORACLE = r"""

@@ -9,7 +9,6 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
 
-
 #: The folder that holds the package.
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -24,6 +23,14 @@ def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def at(uri: str) -> tuple[fs.FileSystem, str]:
     """The filesystem and plain path of a local path or a URI."""
     if uri.startswith("file:"):

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.files import mapped
+from tabloom.llm.files import free_name, mapped
 from tabloom.plans.sizing import pinned_if_small
 
 #: What a symbol may stand for, each at the same channel cost.
@@ -487,4 +487,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **optio
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options) -> DataFrame:
     """Rows whose score is below the threshold, all columns as they were."""
     cost, model = fitted(docs, labels, **options)
-    return score(docs, cost, model, docs.columns, "_toxicity").filter(F.col("_toxicity") < threshold).drop("_toxicity")
+    name = free_name(docs, "_toxicity")
+    return score(docs, cost, model, docs.columns, name).filter(F.col(name) < threshold).drop(name)

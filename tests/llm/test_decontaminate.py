@@ -74,3 +74,11 @@ def test_empty_tables(spark, docs_of):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.report(docs_of([]), none).count() == 0
     assert [r.contaminated for r in D.report(docs_of([(1, "a b")]), none).collect()] == [False]
+
+
+def test_columns_of_the_same_names(spark):
+    small = spark.createDataFrame([(1, "mid1 mid2")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a mid1 mid2 b", "k", 5, [1]), (2, "clean", "x", 6, [2])], "doc_id long, text string, _k string, _h int, _spans array<int>")
+    out = D.remove_documents(docs, small)
+    assert out.columns == docs.columns and [tuple(r) for r in out.collect()] == [(2, "clean", "x", 6, [2])]
+    assert sorted((r.text, r["_k"], r["_h"]) for r in D.remove_spans(docs, small).collect()) == [("a b", "k", 5), ("clean", "x", 6)]
