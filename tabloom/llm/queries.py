@@ -123,3 +123,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabloom.llm.pii_bootstrap import personal_data
 
     return personal_data(table(spark, sf_dir, "documents"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tabloom.llm.periodic_runs import listing, longest, periodic_runs, with_repeated_tails
+
+    found = periodic_runs(with_repeated_tails(table(spark, sf_dir, "documents")), least=6, exponent=4, collapsed="sha256")
+    found = found.withColumn("best", longest(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listing(F.col("runs")).cast("binary"), 256).alias("runs_sha256"), F.col("collapsed").alias("collapsed_sha256"),
+    )
