@@ -138,3 +138,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(listing(F.col("runs")).cast("binary"), 256).alias("runs_sha256"), F.col("collapsed").alias("collapsed_sha256"),
     )
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabloom.llm.whitening import whitened
+
+    return whitened(table(spark, sf_dir, "embeddings"), components=8, scale=1024, offset=100_000)
