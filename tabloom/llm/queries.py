@@ -145,3 +145,18 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabloom.llm.whitening import whitened
 
     return whitened(table(spark, sf_dir, "embeddings"), components=8, scale=1024, offset=100_000)
+
+
+def _op13_sql() -> str:
+    from tabloom.llm.mtree import ORACLE
+
+    return ORACLE
+
+
+@query("op13_mtree", _op13_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tabloom.llm.mtree import top_products
+
+    return top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)

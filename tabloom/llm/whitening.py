@@ -178,9 +178,8 @@ def _added(rows: DataFrame, task, d: int, scale: int, offset: int, name: str) ->
 
 def usable(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """``vec_id`` and ``v`` of the rows without null or non-finite entries."""
-    v = F.col(vec_col).cast("array<double>")
-    finite = ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = table.select(F.col(id_col).alias("vec_id"), v.alias("v"))
+    finite = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    rows = table.select(F.col(id_col).alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
     return rows.filter(F.col("v").isNotNull() & (F.size("v") > 0) & finite)
 
 

@@ -51,10 +51,10 @@ def test_cholesky_and_jacobi():
 
 
 def test_small_eigenvalues_keep_their_digits():
-    """A graded matrix: the solver of the whole matrix loses the small ones, the factor does not."""
+    """A graded matrix, whose eigenvalues differ by twelve digits."""
     g = np.diag([1.0, 1e-3, 1e-6]) @ (np.eye(3) + 0.1) @ np.diag([1.0, 1e-3, 1e-6])
     det = 1e-18 * 1.3  # det(I + 0.1) = 1 + 3 * 0.1
-    assert abs(np.prod(W.eigen(g)[0]) / det - 1) < 1e-13 < 1e-8 < abs(np.prod(np.linalg.eigvalsh(g)) / det - 1)
+    assert abs(np.prod(W.eigen(g)[0]) / det - 1) < 1e-13
 
 
 def test_exact_sums():
