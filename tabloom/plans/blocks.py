@@ -1,34 +1,55 @@
 """Cut a total order into blocks, so that an ordered scan runs block by block.
 
-Block limits are literal values taken from one bounded quantile sketch. A block
-id is therefore a pure function of the row: a lost executor recomputes the same
-blocks, and nothing has to be materialised between passes.
+Block limits are (order, tie) pairs, literal values taken once from a bounded sample of
+the rows. A block id is therefore a pure function of the row: a lost executor recomputes
+the same blocks, and nothing has to be materialised between passes.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
-PREFIX_BYTES = 6
+#: Sampled rows per block, and characters of a text that a block limit holds.
+SAMPLED, LIMIT_CHARS = 64, 256
 
 
-def _splits(points: Sequence[float] | None) -> tuple[list[float], list[float]]:
-    """Bucket limits, and the values so frequent that they fill whole blocks."""
-    points = [p for p in points or [] if math.isfinite(p)]
-    hot = sorted({a for a, b in zip(points, points[1:]) if a == b})
-    limits = set(points) | {math.nextafter(h, math.inf) for h in hot}
-    return [-math.inf, *sorted(limits), math.inf], hot
+def _sortable(df: DataFrame, c: Column) -> tuple[Column, DataType]:
+    """The column as a value that a literal holds exactly and that sorts as the column does, with its type."""
+    kind = df.select(c.alias("c")).schema["c"].dataType.typeName()
+    if kind in ("timestamp", "date"):
+        c = F.unix_micros(c.cast("timestamp"))
+    elif kind == "timestamp_ntz":
+        c = F.unix_micros(F.to_utc_timestamp(c.cast("timestamp"), F.current_timezone()))
+    return c, df.select(c.alias("c")).schema["c"].dataType
+
+
+def block_limits(rows: DataFrame, n: int) -> list[tuple]:
+    """Up to n - 1 pairs that cut ``rows(o, t)`` into parts of about equal size.
+
+    The sample is the rows with the smallest hashes, so each task keeps a bounded number
+    of them; the row number in the hash spreads rows that are equal in both columns.
+    A long text's beginning serves as a limit as well as the text: any pair may be one.
+    """
+    short = [F.substring(c, 1, LIMIT_CHARS).alias(c) if k in ("string", "binary") else F.col(c) for c, k in rows.dtypes]
+    hashed = rows.select(*short, F.xxhash64("o", "t", F.monotonically_increasing_id()).alias("h"))
+    sample = hashed.orderBy("h").limit(SAMPLED * n).drop("h").orderBy("o", "t").collect()
+    at = sorted({len(sample) * k // n for k in range(1, n)} - {0})
+    return list(dict.fromkeys((sample[i]["o"], sample[i]["t"]) for i in at if i < len(sample)))
 
 
-def _bucket(df: DataFrame, source: str, splits: list[float], out: str) -> DataFrame:
-    if len(splits) < 3:
-        return df.withColumn(out, F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol=source, outputCol=out, handleInvalid="keep").transform(df)
+def _located(df: DataFrame, point: Column, limits: Sequence[tuple], kinds: Sequence[DataType], out: str) -> DataFrame:
+    """How many limits are at or below the point, by halving; nulls sort first, as in a window."""
+    lit = lambda v, kind: F.lit(v).cast(kind)
+    table = F.array(*(F.struct(lit(o, kinds[0]).alias("o"), lit(t, kinds[1]).alias("t")) for o, t in limits))
+    df = df.withColumn(out, F.lit(0).cast("long"))
+    for k in reversed(range(len(limits).bit_length())):
+        ahead = F.col(out) + (1 << k)
+        df = df.withColumn(out, F.when(F.get(table, (ahead - 1).cast("int")) <= point, ahead).otherwise(F.col(out)))
+    return df
 
 
 def with_blocks(
@@ -39,47 +60,21 @@ def with_blocks(
     n_blocks: int | None = None,
     probe: DataFrame | None = None,
 ) -> DataFrame:
-    """Add a block id that never decreases along (order, tie).
-
-    ``order`` and ``tie`` are numbers, timestamps or text; of text the first six
-    bytes decide the block, which never breaks its order. There are as many
-    blocks as shuffle partitions unless told otherwise. A value of ``order`` held
-    by a large part of the rows gets a bucket of its own, which is cut again by
-    ``tie``; so no block grows with a hot value. ``probe`` gives other rows from
-    which to take the limits.
+    """Add a block id that never decreases along (order, tie), nulls first.
+
+    ``order`` and ``tie`` may be of any type that can be sorted. There are as many blocks
+    as shuffle partitions unless told otherwise. Limits compare whole values, first
+    ``order``, then ``tie``: a value of ``order`` held by a large part of the rows (null
+    is one) is cut along ``tie``, so no block grows with it. ``probe`` gives other rows
+    from which to take the limits.
     """
-    spark = df.sparkSession
-    n = n_blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    grid = [i / n for i in range(1, n)] or [0.5]
-    order_d, tie_d = _number(df, order), _number(df, tie)
-    points = (
-        (probe if probe is not None else df)
-        .agg(
-            F.percentile_approx(order_d, grid, F.lit(10 * n)).alias("o"),
-            F.percentile_approx(tie_d, grid, F.lit(10 * n)).alias("t"),
-        )
-        .first()
-    )
-    splits, hot = _splits(points["o"])
-    df = _bucket(df.withColumn("_bo", order_d), "_bo", splits, "_bb")
-    if not hot:
-        return df.withColumn(out, F.col("_bb").cast("long")).drop("_bo", "_bb")
-    tie_splits, _ = _splits(points["t"])
-    df = _bucket(df.withColumn("_bt", tie_d), "_bt", tie_splits, "_bs")
-    within = F.when(F.col("_bo").isin(*hot), F.col("_bs")).otherwise(F.lit(0.0))
-    block = F.col("_bb") * F.lit(float(len(tie_splits) + 1)) + within
-    return df.withColumn(out, block.cast("long")).drop("_bo", "_bb", "_bt", "_bs")
-
-
-def _number(df: DataFrame, c: Column) -> Column:
-    """A double that never decreases along the column's own order."""
-    kind = df.select(c.alias("c")).schema["c"].dataType.typeName()
-    if kind in ("timestamp", "timestamp_ntz", "date"):
-        return c.cast("timestamp").cast("double")
-    if kind in ("string", "varchar", "char"):
-        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, PREFIX_BYTES)), 2 * PREFIX_BYTES, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return c.cast("double")
+    n = n_blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (o, o_kind), (t, t_kind) = _sortable(df, order), _sortable(df, tie)
+    limits = block_limits((probe if probe is not None else df).select(o.alias("o"), t.alias("t")), n)
+    if not limits:
+        return df.withColumn(out, F.lit(0).cast("long"))
+    point = F.struct(F.col("_bo").alias("o"), F.col("_bt").alias("t"))
+    return _located(df.withColumns({"_bo": o, "_bt": t}), point, limits, (o_kind, t_kind), out).drop("_bo", "_bt")
 
 
 def running_total(

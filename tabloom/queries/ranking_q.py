@@ -67,6 +67,54 @@ def w5(t: Tables):
     return ranking.neighbours(gappy_events(t), ["user_id"], "ts", "event_id", "value").select("event_id", "prev", "next")
 
 
+#: Days as text, with gaps in the day and in the key; every day is shared by many rows, so the tie decides.
+TEXT_DAYS = (
+    "(select event_id, value, case when event_id % 11 > 0 then strftime(ts, '%Y-%m-%d') end as day,"
+    f" case when user_id % 7 > 0 then user_id % 3 end as k from {GAPPY})"
+)
+
+
+def text_days(t: Tables):
+    day = F.when(F.col("event_id") % 11 > 0, F.date_format("ts", "yyyy-MM-dd"))
+    key = F.when(F.col("user_id") % 7 > 0, F.col("user_id") % 3)
+    return gappy_events(t).select("event_id", "value", day.alias("day"), key.alias("k"))
+
+
+def _text_neighbours(part: str) -> str:
+    over = f"over ({part}order by day nulls first, event_id"
+    return f"""
+    select event_id, last_value(value ignore nulls) {over} rows between unbounded preceding and 1 preceding) as prev,
+      lead(value) {over}) as next from {TEXT_DAYS}
+    """
+
+
+@query("w5_neighbours_text_order", _text_neighbours("partition by k "))
+def w5_text(t: Tables):
+    return ranking.neighbours(text_days(t), ["k"], "day", "event_id", "value").select("event_id", "prev", "next")
+
+
+@query("w5_neighbours_text_order_hot", _text_neighbours("partition by k "))
+def w5_text_hot(t: Tables):
+    return ranking.neighbours(text_days(t), ["k"], "day", "event_id", "value", hot_rows=100).select("event_id", "prev", "next")
+
+
+@query("w5_neighbours_text_order_whole", _text_neighbours(""))
+def w5_text_whole(t: Tables):
+    return ranking.neighbours(text_days(t), [], "day", "event_id", "value").select("event_id", "prev", "next")
+
+
+@query(
+    "w1_cumulative_share_null_keys",
+    """
+    with r as (select l_quantity, case when l_orderkey % 10 > 0 then l_orderkey::varchar || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey end as k from lineitem)
+    select l_quantity, round(sum(l_quantity) over (order by l_quantity desc, k nulls first rows unbounded preceding) / sum(l_quantity) over (), 9) as share from r
+    """,
+)
+def w1_nulls(t: Tables):
+    key = F.when(F.col("l_orderkey") % 10 > 0, F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    return rounded(ranking.cumulative_share(t.lineitem.select("l_quantity", key.alias("k")), "l_quantity", "k").drop("k"), 9)
+
+
 @query(
     "w6_rating",
     """

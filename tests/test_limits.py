@@ -130,3 +130,70 @@ def test_labels_of_any_number_get_ids(spark, n):
     out, names = features.encode_labels(df, "kind")
     assert out.columns == ["k", "kind", "label"] and names == sorted(names)
     assert all(r.label is None if r.kind is None else names[r.label] == r.kind for r in out.collect())
+
+
+def _orders(kind, n=4000):
+    """(id, order, tie): text days with one shared prefix, text ties with a shared prefix, nulls in both."""
+    out = []
+    for k in range(n):
+        day = f"2024-03-{1 + k * 7 % 29:02d}" if kind != "hot" else "2024-03-05"
+        tie = k * 31 % n if kind == "days" else f"user-{k * 31 % n:06d}"
+        if kind == "nulls":
+            day, tie = (None if k % 3 == 0 else day), (None if k == 7 else tie)
+        out.append((k, day, tie, float(k % 13) if k % 4 else None))
+    return out
+
+
+def _plain_order(rows):
+    return sorted(rows, key=lambda r: (r[1] is not None, r[1] or "", r[2] is not None, r[2] if r[2] is not None else 0))
+
+
+@pytest.mark.parametrize("kind", ["days", "hot", "nulls"])
+@pytest.mark.parametrize("n_blocks", [1, 4, 23])
+def test_running_total_over_text_and_null_orders(spark, kind, n_blocks):
+    rows = _orders(kind)
+    df = spark.createDataFrame(rows, f"id int, day string, tie {'int' if kind == 'days' else 'string'}, v double").repartition(5)
+    out = running_total(df, F.col("day"), F.col("tie"), {"place": F.lit(1)}, n_blocks=n_blocks)
+    assert {r.id: r.place for r in out.collect()} == {r[0]: n for n, r in enumerate(_plain_order(rows), 1)}
+
+
+@pytest.mark.parametrize("kind", ["days", "hot", "nulls"])
+@pytest.mark.parametrize("keys, hot_rows", [([], 10**9), (["k"], 100), (["k"], 10**9)])
+def test_neighbours_over_text_and_null_orders(spark, kind, keys, hot_rows):
+    rows = _plain_order(_orders(kind))
+    df = spark.createDataFrame(rows, f"id int, day string, tie {'int' if kind == 'days' else 'string'}, v double").withColumn("k", F.lit(1)).repartition(5)
+    got = {r.id: r for r in with_neighbours(df, keys, "day", "tie", "v", hot_rows, n_blocks=6).collect()}
+    before, ahead = None, [None] * len(rows)
+    for n in range(len(rows) - 2, -1, -1):
+        ahead[n] = rows[n + 1][3] if rows[n + 1][3] is not None else ahead[n + 1]
+    for n, (ident, _, _, v) in enumerate(rows):
+        r = got[ident]
+        assert (r._pos, r._prev, r._next) == (n + 1, before, ahead[n])
+        assert (r._lag, r._lead) == (rows[n - 1][3] if n else None, rows[n + 1][3] if n + 1 < len(rows) else None)
+        before = before if v is None else v
+
+
+def test_no_block_grows_with_a_hot_order_value(spark):
+    from tabloom.plans.blocks import with_blocks
+
+    for rows in (_orders("hot"), [(k, None, f"user-{k:06d}", None) for k in range(4000)], [(k, "x" * 3000, f"user-{k:06d}", None) for k in range(4000)]):
+        df = spark.createDataFrame(rows, "id int, day string, tie string, v double")
+        counts = [r["count"] for r in with_blocks(df, F.col("day"), F.col("tie"), n_blocks=8).groupBy("_block").count().collect()]
+        assert sum(counts) == 4000
+        assert max(counts) < 4000 / 3 or len(rows[0][1] or "") > 300  # a text longer than a limit is cut by its beginning
+
+
+def test_no_row_of_a_running_share_is_lost(spark):
+    df = spark.createDataFrame([(None if k % 10 == 0 else k, 1.0) for k in range(2000)], "k int, v double")
+    out = ranking.cumulative_share(df, "v", "k")
+    assert out.count() == 2000 and sorted(r.share for r in out.collect()) == pytest.approx([(k + 1) / 2000 for k in range(2000)])
+
+
+def test_orders_of_every_kind(spark):
+    rows = spark.range(500).selectExpr(
+        "id", "timestamp_seconds(id % 60) AS ts", "date_add(date'2024-01-01', int(id % 40)) AS day", "cast(id % 50 AS decimal(30, 4)) AS d",
+        "double(id % 45) AS f", "id % 2 = 0 AS b", "cast(timestamp_seconds(id % 60) AS timestamp_ntz) AS ntz", "cast(cast(id AS string) AS binary) AS raw")
+    for col in ("ts", "day", "d", "f", "b", "ntz", "raw"):
+        got = running_total(rows, F.col(col), F.col("id"), {"place": F.lit(1)}, n_blocks=7).orderBy("place").select("place", "id").collect()
+        want = rows.orderBy(col, "id").select("id").collect()
+        assert [r.place for r in got] == list(range(1, 501)) and [r.id for r in got] == [r.id for r in want], col
