@@ -1,120 +1,231 @@
 """Exact k nearest neighbours.
 
-The pairs are never rows. Both sides are packed into blocks of bounded size as
-matrices, a written table each; every pair of blocks is one row of an equality
-join on both blocks' numbers, and a task compares it in fixed memory, keeping k
-rows per query. The driver sees one number per block. The work stays rows ×
-queries, as exact search needs.
+Pairs are never rows. Training rows and queries are dealt over a grid of cells, so a row is
+copied once per column (or line) of its grid, not once per block of the other side; a task holds
+the training part of a cell as a matrix and reads the cell's queries block by block, in fixed
+memory, keeping k rows per query and cell.
+
+Larger tables are first routed to the nearest of a bounded number of pivots (a hash sample of
+training rows). Each pivot's training rows lie in a ball of known radius. A query is compared with its own pivot's
+rows first; its k-th distance then rules out, by the triangle inequality, every pivot whose ball
+is further away. Rows of a hot pivot are spread over as many cells as they need.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.models.classify import auc_rank
+from tabloom.models.classify import grouped_auc
 from tabloom.models.features import hash_number
 from tabloom.plans.written import written
 
 BLOCK_ROWS = 2_048
+#: Rows of one side that a cell holds, rows that a pivot should have, and how many pivots there may be.
+CELL_ROWS, PIVOT_ROWS, PIVOTS = 32_768, 16_384, 256
+FOUND = "space int, query_id long, near_id long, dist double, tag int"
+SLIM = "space int, id long, v array<double>, tag int"
+
+
+def _near(q: np.ndarray, t: np.ndarray, ids: np.ndarray, tags: np.ndarray, k: int):
+    """The k nearest training rows of each query, equal distances by id.
+
+    Products of whole matrices choose the rows that may be among them; their
+    distances are then taken from differences, so that equal vectors are at 0.
+    """
+    tt, qq = (t * t).sum(1), (q * q).sum(1)
+    squared = qq[:, None] + tt[None, :] - 2.0 * q @ t.T
+    rows, near = np.arange(len(q))[:, None], np.broadcast_to(np.arange(len(t)), squared.shape)
+    if len(t) > 2 * k:
+        slack = 1e-13 * (float(qq.max(initial=0)) + float(tt.max(initial=0)))
+        kth = np.partition(squared, k - 1, axis=1)[:, k - 1 : k] + slack
+        width = int((squared <= kth).sum(1).max())
+        if width < len(t):
+            near = np.argpartition(squared, width - 1, axis=1)[:, :width]
+    dist = np.empty(near.shape)
+    step = max(1, (1 << 22) // max(1, near.shape[1] * q.shape[1]))
+    for a in range(0, len(q), step):
+        gap = q[a : a + step, None, :] - t[near[a : a + step]]
+        dist[a : a + step] = np.round(np.sqrt((gap * gap).sum(2)), 9)
+    order = np.lexsort((ids[near], dist), axis=1)[:, :k]
+    near = near[rows, order]
+    return dist[rows, order], ids[near], tags[near]
 
 
-def _best(dist: np.ndarray, ids: np.ndarray, tags: np.ndarray, k: int):
-    """k smallest per row, equal distances by id."""
+def _merged(a, b, k: int):
+    if a is None:
+        return b
+    dist, ids, tags = (np.concatenate(x, axis=1) for x in zip(a, b))
     order = np.lexsort((ids, dist), axis=1)[:, :k]
     rows = np.arange(len(dist))[:, None]
     return dist[rows, order], ids[rows, order], tags[rows, order]
 
 
-def _block_best(q, t, ids, tags, k: int):
-    """k nearest of one block of training rows for each query of a block."""
-    squared = (q * q).sum(1)[:, None] + (t * t).sum(1)[None, :] - 2.0 * q @ t.T
-    # rounding makes equal vectors equal, whatever block they are in
-    dist = np.round(np.sqrt(np.clip(squared, 0, None)), 9)
-    ids, tags = np.broadcast_to(ids[None, :], dist.shape), np.broadcast_to(tags[None, :], dist.shape)
-    if dist.shape[1] > 4 * k:
-        # the k-th smallest distance with all its ties is enough for the exact choice
-        kth = np.partition(dist, k - 1, axis=1)[:, k - 1 : k]
-        width = int((dist <= kth).sum(1).max())
-        near = np.argpartition(dist, width - 1, axis=1)[:, :width]
-        rows = np.arange(len(dist))[:, None]
-        dist, ids, tags = dist[rows, near], ids[rows, near], tags[rows, near]
-    return _best(dist, ids, tags, k)
-
-
-def _packed(df: DataFrame, size: int) -> DataFrame:
-    """``id``, ``v`` and ``tag`` of up to ``size`` rows as binary columns of one row."""
+def _cells(train: DataFrame, query: DataFrame, k: int, grid: dict[int, tuple[int, int]], block_rows: int) -> DataFrame:
+    """Up to k rows per query and cell. ``grid`` gives the lines (parts of the training rows) and columns of each space."""
+    spaces = sorted(grid)
+    lines, columns = (F.get(F.array(*(F.lit(grid[s][i]) for s in spaces)), F.array_position(F.array(*map(F.lit, spaces)), F.col("space")).cast("int") - 1) for i in (0, 1))
+    hashed = F.xxhash64("id")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = train.select("*", F.lit(0).alias("side"), F.pmod(hashed, lines).cast("int").alias("a"), every(columns).alias("b"))
+    right = query.select("*", F.lit(1).alias("side"), F.pmod(hashed, columns).cast("int").alias("b"), every(lines).alias("a"))
+    cells = sum(a * b for a, b in grid.values())
+    # a number of its own: these rows are few bytes and much work, which adaptive coalescing cannot see
+    dealt = left.unionByName(right).repartition(cells, "space", "a", "b").sortWithinPartitions("space", "a", "b", "side")
 
     def run(batches):
-        held, n, made = [], 0, 0
+        at, held, waiting, n_waiting = None, [], [], 0
 
-        def pack():
-            ids, x, tags = (np.concatenate(c) for c in zip(*held))
-            number = (TaskContext.get().partitionId() << 32) | made
-            cols = [pa.array([number]), pa.array([ids.tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary()), pa.array([tags.tobytes()], pa.binary())]
-            return pa.RecordBatch.from_arrays(cols, names=["block", "ids", "x", "tags"])
+        def answer():
+            if not held or not waiting:
+                return None
+            if len(held) > 1:
+                held[:] = [tuple(np.concatenate(c) for c in zip(*held))]
+            t_ids, t, tags = held[0]
+            q_ids, q, _ = (np.concatenate(c) for c in zip(*waiting))
+            best = None
+            for x in range(0, len(t), 2 * block_rows):
+                part = slice(x, x + 2 * block_rows)
+                best = _merged(best, _near(q, t[part], t_ids[part], tags[part], k), k)
+            dist, ids, own = best
+            cols = [np.full(dist.size, at[0], np.int32), np.repeat(q_ids, dist.shape[1]), ids.ravel(), dist.ravel(), own.ravel()]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["space", "query_id", "near_id", "dist", "tag"])
 
         for batch in batches:
-            ids, tags = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(ids), -1) if len(ids) else None
-            at = 0
-            while at < len(ids):
-                end = min(len(ids), at + size - n)
-                held.append((ids[at:end].astype("int64"), x[at:end], tags[at:end].astype("int32")))
-                n, at = n + end - at, end
-                if n == size:
-                    yield pack()
-                    held, n, made = [], 0, made + 1
-        if n:
-            yield pack()
+            if not len(batch):
+                continue
+            keys = np.column_stack([batch.column(c).to_numpy() for c in ("space", "a", "b", "side")])
+            ids, tags = batch.column("id").to_numpy(), batch.column("tag").to_numpy(zero_copy_only=False).astype("int32")
+            flat, ends = batch.column("v").flatten().to_numpy(zero_copy_only=False), batch.column("v").offsets.to_numpy()
+            ends = ends - ends[0]
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(ids)]
+            for x, y in zip(cuts, cuts[1:]):
+                v = flat[ends[x] : ends[y]].reshape(y - x, -1)  # vectors of different spaces may differ in length
+                cell = tuple(keys[x, :3].tolist())
+                if cell != at:
+                    if (found := answer()) is not None:
+                        yield found
+                    at, held, waiting, n_waiting = cell, [], [], 0
+                if keys[x, 3] == 0:
+                    held.append((ids[x:y], v, tags[x:y]))
+                    continue
+                for z in range(x, y, block_rows):
+                    part = slice(z, min(y, z + block_rows))
+                    waiting.append((ids[part], v[part.start - x : part.stop - x], tags[part]))
+                    n_waiting += part.stop - z
+                    if n_waiting >= block_rows:
+                        if (found := answer()) is not None:
+                            yield found
+                        waiting, n_waiting = [], 0
+        if (found := answer()) is not None:
+            yield found
 
-    return df.mapInArrow(run, "block long, ids binary, x binary, tags binary")
+    return dealt.mapInArrow(run, FOUND)
 
 
-def _numbered(packed: DataFrame, name: str) -> tuple[DataFrame, int]:
-    seen = sorted(r["block"] for r in packed.select("block").collect())
-    table = pa.table({"block": pa.array(seen, pa.int64()), name: pa.array(range(len(seen)), pa.int32())})
-    numbers = packed.sparkSession.createDataFrame(table, f"block long, {name} int")
-    return packed.join(F.broadcast(numbers), "block").drop("block"), len(seen)
+def _shape(n: int, m: int, spare: int = 1) -> tuple[int, int]:
+    """Lines and columns for n training rows and m queries: parts of bounded size, at least ``spare`` cells where rows suffice."""
+    a, b = max(1, -(-n // CELL_ROWS)), max(1, -(-m // CELL_ROWS))
+    while a * b < spare and (n / a > 256 or m / b > 256):
+        a, b = (a + 1, b) if n / a > m / b else (a, b + 1)
+    return a, b
 
 
-def k_nearest(
-    train: DataFrame, query: DataFrame, k: int, id_col: str, vec_col: str, tag_col: str, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """The k nearest training rows of every query row: query_id, near_id, dist, tag, place."""
-    spark, schema = train.sparkSession, "query_id long, near_id long, dist double, tag int"
+def _best(found: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("space", "query_id").orderBy("dist", "near_id")
+    return found.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
 
-    def slim(df: DataFrame, tag) -> DataFrame:
-        v = F.col(vec_col) if df.schema[vec_col].dataType.typeName() == "array" else vector_to_array(vec_col)
-        return df.select(F.col(id_col).cast("long").alias("id"), v.cast("array<double>").alias("v"), tag.cast("int").alias("tag"))
 
-    rows, n_rows = _numbered(written(_packed(slim(train, F.col(tag_col)), block_rows), "nearest-rows"), "i")
-    asked, n_asked = _numbered(written(_packed(slim(query, F.lit(0)), block_rows), "nearest-queries"), "j")
-    if not n_rows or not n_asked:
-        return spark.createDataFrame([], schema + ", place int")
-    left = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(n_asked - 1))))
-    right = asked.select("j", F.col("ids").alias("q_ids"), F.col("x").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))).alias("i"))
-    both = left.join(right, ["i", "j"]).select("ids", "x", "tags", "q_ids", "q")
+def _routed(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Rows with their nearest pivot as ``space`` and their distance to it as ``far``."""
 
     def run(batches):
         for batch in batches:
-            for ids, x, tags, q_ids, q in zip(*(c.to_pylist() for c in batch.columns)):
-                ids, q_ids, tags = np.frombuffer(ids, "int64"), np.frombuffer(q_ids, "int64"), np.frombuffer(tags, "int32")
-                t, q = np.frombuffer(x).reshape(len(ids), -1), np.frombuffer(q).reshape(len(q_ids), -1)
-                dist, near, own = _block_best(q, t, ids, tags, k)
-                cols = [np.repeat(q_ids, dist.shape[1]), near.ravel(), dist.ravel(), own.ravel()]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["query_id", "near_id", "dist", "tag"])
-
-    w = Window.partitionBy("query_id").orderBy("dist", "near_id")
-    found = both.mapInArrow(run, schema)
-    return found.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
+            if not len(batch):
+                continue
+            v = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+            own = np.argmin((pivots * pivots).sum(1) - 2 * (v @ pivots.T), axis=1)
+            far = np.sqrt(((v - pivots[own]) ** 2).sum(1))
+            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), *(batch.column(c) for c in ("id", "v", "tag")), pa.array(far)], names=["space", "id", "v", "tag", "far"])
+
+    return rows.mapInArrow(run, SLIM + ", far double")
+
+
+def _by_pivots(train: DataFrame, query: DataFrame, k: int, n: int, m: int, block_rows: int, rows_per_pivot: int) -> DataFrame:
+    wanted = min(PIVOTS, max(2, n // rows_per_pivot))
+    sample = train.orderBy(F.xxhash64("id"), "id").limit(wanted).toArrow()  # at most ``PIVOTS`` rows
+    pivots = np.unique(np.array(sample["v"].to_pylist()), axis=0)
+    train, query = written(_routed(train, pivots), "nearest-rows"), written(_routed(query, pivots), "nearest-queries")
+    sides = {}
+    for name, side in (("train", train), ("query", query)):
+        for r in side.groupBy("space").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect():  # a row per pivot
+            sides.setdefault(r["space"], {})[name] = (r["n"], r["far"])
+    size = lambda s, name: sides[s].get(name, (0, 0.0))[0]
+    own = {s: _shape(size(s, "train"), size(s, "query")) for s in sides}
+    slim = ["space", "id", "v", "tag"]
+    near = written(_best(_cells(train.select(slim), query.select(slim), k, own, block_rows), k), "nearest-own")
+    kth = near.filter(F.col("place") == k).select(F.col("query_id").alias("id"), F.col("dist").alias("kth"))
+    asked = query.join(kth, "id", "left").select("space", "id", "v", "tag", F.coalesce("kth", F.lit(float("inf"))).alias("kth"))
+    there = sorted(s for s in sides if size(s, "train"))
+    points, radii = pivots[there], np.array([sides[s]["train"][1] for s in there])
+
+    def needed(batches):
+        """Each query once per further pivot whose ball may hold a nearer row."""
+        for batch in batches:
+            if not len(batch):
+                continue
+            v = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+            squared = (v * v).sum(1)[:, None] + (points * points).sum(1) - 2 * (v @ points.T)
+            # rounding may only let in a pivot too many
+            slack = 1e-6 * (1 + np.sqrt((v * v).sum(1)[:, None] + (points * points).sum(1)))
+            go = np.sqrt(np.clip(squared, 0, None)) - radii - slack <= batch.column("kth").to_numpy()[:, None]
+            go &= np.array(there)[None, :] != batch.column("space").to_numpy()[:, None]
+            row, to = np.nonzero(go)
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(there, np.int32)[to]), *(batch.column(c).take(take) for c in ("id", "v", "tag"))], names=slim)
+
+    further = asked.mapInArrow(needed, SLIM)
+    rest = _cells(train.select(slim), further, k, {s: _shape(size(s, "train"), m) for s in there}, block_rows)
+    both = near.drop("place").unionByName(rest).withColumn("space", F.lit(0))
+    return _best(both, k)
+
+
+def k_nearest(
+    train: DataFrame, query: DataFrame, k: int, id_col: str, vec_col: str, tag_col: str, block_rows: int = BLOCK_ROWS,
+    space_col: str | None = None, rows_per_pivot: int = PIVOT_ROWS,
+) -> DataFrame:
+    """The k nearest training rows of every query row: query_id, near_id, dist, tag, place.
+
+    With ``space_col`` (a whole number) both tables hold several searches; a
+    query meets rows of its own space only, whose vectors have one length, and the
+    result has the column ``space`` as well. The spaces are few.
+    """
+    spark = train.sparkSession
+
+    def slim(df: DataFrame, tag: Column) -> DataFrame:
+        v = F.col(vec_col) if df.schema[vec_col].dataType.typeName() == "array" else vector_to_array(vec_col)
+        space = F.col(space_col).cast("int") if space_col else F.lit(0)
+        return df.select(space.alias("space"), F.col(id_col).cast("long").alias("id"), v.cast("array<double>").alias("v"), tag.cast("int").alias("tag"))
+
+    rows, asked = slim(train, F.col(tag_col)), slim(query, F.lit(0))
+    sides = rows.select("space", F.lit(0).alias("side")).union(asked.select("space", F.lit(1).alias("side")))
+    sizes = {}
+    for r in sides.groupBy("space", "side").count().collect():  # two rows per space
+        sizes.setdefault(r["space"], [0, 0])[r["side"]] = r["count"]
+    both = {s: tuple(x) for s, x in sizes.items() if all(x)}
+    names = (["space"] if space_col else []) + ["query_id", "near_id", "dist", "tag", "place"]
+    if not both:
+        return spark.createDataFrame([], FOUND + ", place int").select(names)
+    if not space_col and both[0][0] >= 2 * rows_per_pivot:
+        return _by_pivots(rows, asked, k, *both[0], block_rows, rows_per_pivot).select(names)
+    spare = -(-spark.sparkContext.defaultParallelism // len(both))
+    found = _cells(rows, asked, k, {s: _shape(n, m, spare) for s, (n, m) in both.items()}, block_rows)
+    return _best(found, k).select(names)
 
 
 def knn_classify(
@@ -127,22 +238,29 @@ def knn_classify(
     return best.select(F.col("query_id").alias(id_col), F.col("b.tag").alias("prediction"), (-F.col("b.n")).alias("votes"))
 
 
+def knn_shares(rows: DataFrame, ks: Sequence[int], space_col: str, fold_of_space: Column, fold_col: str, key: str, vec_col: str, label: str) -> DataFrame:
+    """Share of label 1 among the k nearest rows of other folds, for every k: space, key, label, ``shares`` (in the order of ``ks``).
+
+    ``rows`` holds each row once per space it lives in; in a space it is a query
+    if its fold is the space's, else a training row. One pass, for the largest k,
+    serves all spaces and all smaller k.
+    """
+    asks = F.col(fold_col) == fold_of_space
+    near = k_nearest(rows.filter(~asks), rows.filter(asks), max(ks), key, vec_col, label, space_col=space_col)
+    shares = F.array(*(F.avg(F.when(F.col("place") <= k, F.col("tag"))) for k in ks))
+    scored = near.groupBy("space", "query_id").agg(shares.alias("shares"))
+    truth = rows.filter(asks).select(F.col(space_col).cast("int").alias("space"), F.col(key).cast("long").alias("query_id"), F.col(label).alias(label))
+    return scored.join(truth, ["space", "query_id"]).withColumnRenamed("query_id", key)
+
+
 def knn_search(
     df: DataFrame, ks: Sequence[int], key: str, vec_col: str, label: str, folds: int = 5, seed: int = 42
 ) -> DataFrame:
-    """Cross-validated ROC-AUC of a 0/1 label for every k: k, auc (mean over the folds).
-
-    One neighbour pass per fold, for the largest k; each smaller k reads the
-    places it needs. A row's fold comes from its key.
-    """
-    marked = df.withColumn("_fold", hash_number(F.col(key), seed) % folds)
-    parts = []
-    for fold in range(folds):
-        query = marked.filter(F.col("_fold") == fold)
-        near = k_nearest(marked.filter(F.col("_fold") != fold), query, max(ks), key, vec_col, label)
-        truth = query.select(F.col(key).alias("query_id"), F.col(label).alias("_y"))
-        shares = [F.avg(F.when(F.col("place") <= k, F.col("tag"))).alias(f"k{k}") for k in ks]
-        scored = near.groupBy("query_id").agg(*shares).join(truth, "query_id")
-        for k in ks:
-            parts.append(auc_rank(scored, "_y", f"k{k}").select(F.lit(k).alias("k"), "auc"))
-    return reduce(DataFrame.unionByName, parts).groupBy("k").agg(F.avg("auc").alias("auc"))
+    """Cross-validated ROC-AUC of a 0/1 label for every k: k, auc (mean over the folds). A row's fold comes from its key."""
+    marked = df.withColumn("_fold", (hash_number(F.col(key), seed) % folds).cast("int"))
+    rows = marked.withColumn("_space", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
+    shares = knn_shares(rows, ks, "_space", F.col("_space"), "_fold", key, vec_col, label)
+    each = shares.select(label, F.col("space"), F.posexplode("shares").alias("at", "score"))
+    aucs = grouped_auc(each.withColumn("_group", F.col("space") * len(ks) + F.col("at")), "_group", label, "score")
+    k_of = F.get(F.array(*map(F.lit, ks)), (F.col("_group") % len(ks)).cast("int"))
+    return aucs.groupBy(k_of.alias("k")).agg(F.avg("auc").alias("auc"))

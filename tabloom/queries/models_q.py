@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tabloom.models import attribution, classify, features, nearest
+from tabloom.models import attribution, classify, features, nearest, search
 from tabloom.plans.sizing import attach, packed
 from tabloom.plans.written import written
 from tabloom.queries.registry import Tables, query, rounded
@@ -178,12 +178,72 @@ def l10_classify(t: Tables):
 
 @query("l11_grid_search")
 def l11(t: Tables):
+    """All 180 candidates (19 numbers of neighbours, 9 depths, support vectors, logistic; 3 scalings, 2 encodings) on each of 5 folds."""
     train, _ = split_examples(t)
-    make = lambda model, how: features.build_pipeline(CAT, {}, NUM, model, how)
-    candidates = [make(classify.tree_classifier(d), "none") for d in (2, 5)]
-    candidates += [make(classify.logistic(penalty=p), h) for p, h in [(0.0, "standard"), (0.1, "minmax")]]
-    _, scores = classify.grid_search(train, candidates, "doc_id", folds=3)
-    return rounded(scores, 3)
+    chosen = search.candidates()
+    scores = search.fold_scores(train, "doc_id", "label", CAT, {"source": SOURCE_ORDER}, NUM, chosen, parallelism=8)
+    return rounded(search.described(scores, chosen), 3)
+
+
+FOLD = f"({HASH.format(key='doc_id')} % 5)::int"
+AUC = "(sum(r) filter (y = 1) - count_if(y = 1) * (count_if(y = 1) + 1) / 2) / nullif(count_if(y = 1)::double * count_if(y = 0), 0)"
+RANK = "rank() over (partition by {part} order by s) + (count(*) over (partition by {part}, s) - 1) / 2 as r"
+L11_KNN = f"""
+    with d as (select doc_id, l.quality as y, n_chars, {FOLD} as fold from documents join labels l using (doc_id)),
+    w as (select f.fold, avg(n_chars) as a, stddev_samp(n_chars) as b, min(n_chars)::double as c, max(n_chars) - min(n_chars) as e
+      from (select distinct fold from d) f join d on d.fold <> f.fold group by f.fold),
+    x as (select w.fold as space, d.*, u.scaling, case u.scaling when 'standard' then (n_chars - a) / b when 'minmax' then (n_chars - c) / e else n_chars end as v
+      from d, w, (select unnest(['standard', 'minmax', 'none']) as scaling) u),
+    p as (select q.space, q.scaling, q.doc_id, q.y, t.y as tag,
+        row_number() over (partition by q.space, q.scaling, q.doc_id order by round(abs(q.v - t.v), 9), t.doc_id) as place
+      from x q join x t on q.space = t.space and q.scaling = t.scaling and q.fold = q.space and t.fold <> t.space),
+    s as (select k, space as fold, scaling, y, avg(tag) as s from p, (select unnest(range(1, 20)) as k) where place <= k group by k, space, scaling, doc_id, y),
+    g as (select *, {RANK.format(part="k, fold, scaling")} from s)
+    select k::int as param, fold, scaling, round({AUC}, 6) as auc from g group by k, fold, scaling
+"""
+
+
+@query("l11_neighbours_by_fold", L11_KNN)
+def l11_neighbours(t: Tables):
+    """The search's neighbour pass on one number column: every k, scaling and fold."""
+    rows = written(examples(t).select("doc_id", "label", "n_chars"), "examples")
+    chosen = search.candidates(families=["knn"], encodings=["one_hot"])
+    found = search.described(search.fold_scores(rows, "doc_id", "label", [], {}, ["n_chars"], chosen), chosen)
+    return rounded(found.select("param", "fold", "scaling", "auc"))
+
+
+@query(
+    "l11_saturated_by_fold",
+    f"""
+    with d as (select doc_id, l.quality as y, lang, {FOLD} as fold from documents join labels l using (doc_id)),
+    m as (select f.fold, d.lang, avg(d.y) as s from (select distinct fold from d) f join d on d.fold <> f.fold group by f.fold, d.lang),
+    g as (select d.fold, d.y, {RANK.format(part="d.fold").replace("order by s", "order by m.s").replace(", s)", ", m.s)")} from d join m on d.fold = m.fold and d.lang = m.lang)
+    select fold, round({AUC}, 6) as auc from g group by fold
+    """,
+)
+def l11_saturated(t: Tables):
+    """With one category and no penalty the logistic candidate ranks by the other folds' group means."""
+    rows = written(examples(t).select("doc_id", "label", "lang"), "examples")
+    chosen = search.candidates(families=["logistic"], encodings=["one_hot"], scalings=["none"])
+    return rounded(search.fold_scores(rows, "doc_id", "label", ["lang"], {}, [], chosen).select("fold", "auc"))
+
+
+@query(
+    "l11_stump_by_fold",
+    f"""
+    with d as (select doc_id, l.quality as y, (n_chars > 500)::int as x, {FOLD} as fold from documents join labels l using (doc_id)),
+    m as (select f.fold, d.x, avg(d.y) as s from (select distinct fold from d) f join d on d.fold <> f.fold group by f.fold, d.x),
+    one as (select fold, (count(distinct s > 0.5) = 1)::int as same from m group by fold),
+    g as (select *, {RANK.format(part="fold")} from (select d.fold, d.y, case when same = 1 then 0 else m.s end as s from d join m on d.fold = m.fold and d.x = m.x join one on one.fold = d.fold))
+    select fold, depth::int as param, round({AUC}, 6) as auc from g, (select unnest([2, 5]) as depth) group by fold, depth
+    """,
+)
+def l11_stump(t: Tables):
+    """A tree over one 0/1 column: two leaves with the group means, or one if both predict the same class."""
+    rows = written(examples(t).select("doc_id", "label", (F.col("n_chars") > 500).cast("int").alias("long")), "examples")
+    chosen = search.candidates(depths=[2, 5], families=["tree"], encodings=["one_hot"], scalings=["none"])
+    found = search.described(search.fold_scores(rows, "doc_id", "label", [], {}, ["long"], chosen), chosen)
+    return rounded(found.select("fold", "param", "auc"))
 
 
 @query(
