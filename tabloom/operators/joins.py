@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.plans.sizing import attach, pinned_if_small
@@ -102,13 +102,18 @@ def fuzzy_join(
     """Left join to the most similar name, if its similarity reaches the threshold.
 
     Similarity is 1 − Levenshtein ÷ longer length; equal scores go to the
-    smallest name. Candidates come from equality joins only. Names within t
-    edits share, unchanged, at least one of any t + 1 pieces of the right name,
-    shifted by at most t (the pigeonhole filter of partition-based similarity
-    joins). One piece more than needed is cut, so that the most frequent piece
-    of a name can be left out: prefixes shared by all names block nothing.
-    A name no longer than the edits it allows, possible at thresholds of a half
-    and less, need not keep any piece; such pairs share letters instead.
+    smallest name. Candidates come from equality joins only, and are searched by
+    rising number of edits: first equal names, then names one edit apart, which
+    share a text with one letter left out (no other name of three letters or more
+    can be as similar, so what is found ends the search). For more edits t, names
+    share, unchanged, at least one of any t + 1 pieces of the right name, shifted
+    by at most t (the pigeonhole filter of partition-based similarity joins). One
+    piece more than needed is cut, so that the most frequent piece of a name can
+    be left out. Where two edits are allowed and a name's other pieces are
+    frequent too, as those of a long common prefix are, texts with two letters
+    left out are looked up instead. A name no longer than the edits it allows,
+    possible at thresholds of a half and less, need not keep any piece; such
+    pairs share letters.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold is above 0 and at most 1")
@@ -116,11 +121,10 @@ def fuzzy_join(
     names_r = right.select(F.col(rcol).alias("_r")).dropna().distinct()
     exact = names_l.join(names_r, F.col("_l") == F.col("_r"), "inner").withColumn("_s", F.lit(1.0))
     rest = names_l.join(names_r, F.col("_l") == F.col("_r"), "left_anti")
-    pairs = _piece_matches(rest, names_r, 1.0 - threshold)
-    if threshold <= 0.5:
-        pairs = pairs.unionByName(_letter_matches(rest, names_r, 1.0 - threshold)).distinct()
-    longer = F.greatest(F.length("_l"), F.length("_r"))
-    scored = pairs.withColumn("_s", 1 - F.levenshtein("_l", "_r") / longer).filter(F.col("_s") >= threshold - 1e-12)
+    near = _scored(one_edit_matches(rest, names_r, 1.0 - threshold), threshold)
+    ended = near.filter((F.length("_l") >= 3) & (F.levenshtein("_l", "_r") == 1)).select("_l")
+    pairs = further_matches(rest.join(ended, "_l", "left_anti"), names_r, 1.0 - threshold)
+    scored = near.unionByName(_scored(pairs, threshold))
     # the best candidate is an aggregate: map-side combine keeps one per name and task
     best = scored.groupBy("_l").agg(F.min(F.struct((-F.col("_s")).alias("s"), "_r")).alias("_b"))
     best = best.select("_l", F.col("_b._r").alias("_r"), (-F.col("_b.s")).alias("_s"))
@@ -133,6 +137,44 @@ def fuzzy_join(
     return out.drop("_match")
 
 
+#: A key that more right names share is frequent.
+HOT_NAMES = 64
+
+
+def _scored(pairs: DataFrame, threshold: float) -> DataFrame:
+    longer = F.greatest(F.length("_l"), F.length("_r"))
+    return pairs.withColumn("_s", 1 - F.levenshtein("_l", "_r") / longer).filter(F.col("_s") >= threshold - 1e-12)
+
+
+def _shortened(name: Column, letters: int) -> Column:
+    """The text with up to ``letters`` letters left out, each result once."""
+    texts = F.array(name)
+    for _ in range(letters):
+        fewer = F.transform(texts, lambda x: F.transform(F.sequence(F.lit(1), F.length(x)), lambda i: F.concat(F.substring(x, 1, i - 1), x.substr(i + 1, F.length(x)))))
+        texts = F.array_distinct(F.concat(texts, F.flatten(F.filter(fewer, lambda x: F.size(x) > 0))))
+    return texts
+
+
+def _deletion_matches(names_l: DataFrame, names_r: DataFrame, share: float, letters: int) -> DataFrame:
+    """Pairs that share a text with up to ``letters`` letters left out: among them all that far apart in edits."""
+    l = names_l.select("_l", F.explode(_shortened(F.col("_l"), letters)).alias("_text"))  # noqa: E741
+    r = names_r.select("_r", F.explode(_shortened(F.col("_r"), letters)).alias("_text"))
+    longer = F.greatest(F.length("_l"), F.length("_r"))
+    allowed = (F.abs(F.length("_l") - F.length("_r")) <= letters) & (_edits(longer, share) >= letters)
+    return l.join(r, "_text").filter(allowed).select("_l", "_r").distinct()
+
+
+def one_edit_matches(names_l: DataFrame, names_r: DataFrame, share: float) -> DataFrame:
+    """Distinct pairs (_l, _r) that hold all names one edit apart."""
+    return _deletion_matches(names_l, names_r, share, 1)
+
+
+def further_matches(names_l: DataFrame, names_r: DataFrame, share: float) -> DataFrame:
+    """Distinct pairs (_l, _r) that hold all pairs within the edits allowed, where these are two or more."""
+    pairs = _piece_matches(names_l, names_r, share)
+    return pairs.unionByName(_letter_matches(names_l, names_r, share)).distinct() if share >= 0.5 else pairs
+
+
 def _edits(length, share: float):
     return F.floor(length * F.lit(share) + 1e-9).cast("int")
 
@@ -179,7 +221,7 @@ def _letter_matches(names_l: DataFrame, names_r: DataFrame, share: float) -> Dat
 
 
 def _piece_matches(names_l: DataFrame, names_r: DataFrame, share: float) -> DataFrame:
-    """Distinct candidate pairs (_l, _r), complete for similarity ≥ 1 − share."""
+    """Distinct candidate pairs (_l, _r), complete where two edits or more are allowed and the right name is longer than that."""
     n_len = F.length("_r")
     # number of pieces for edits t: t + 2, one of them spare, if the text is long enough
     pieces = F.least(F.col("_t") + 2, F.greatest(n_len, F.col("_t") + 1))
@@ -187,7 +229,7 @@ def _piece_matches(names_l: DataFrame, names_r: DataFrame, share: float) -> Data
     longest = F.floor(n_len / F.lit(1.0 - share) + 1e-9).cast("int")
     sets = names_r.select(
         "_r", F.explode(F.sequence(_edits(n_len, share), _edits(longest, share))).alias("_t")
-    ).filter((F.col("_t") > 0) & (n_len > F.col("_t")))
+    ).filter((F.col("_t") > 1) & (n_len > F.col("_t")))
     cut = sets.select("_r", "_t", pieces.alias("_p")).select(
         "_r", "_t", "_p", F.explode(F.sequence(F.lit(0), F.col("_p") - 1)).alias("_i")
     )
@@ -201,7 +243,10 @@ def _piece_matches(names_l: DataFrame, names_r: DataFrame, share: float) -> Data
     ranked = right.join(freq, key).groupBy("_r", "_t").agg(
         F.slice(F.sort_array(F.collect_list(F.struct("_f", "_i", "_p", "_n", "_text"))), 1, F.first("_t") + 1).alias("_k")
     )
-    kept = ranked.select("_r", "_t", F.explode("_k").alias("_k")).select("_r", "_t", "_k._p", "_k._n", "_k._i", "_k._text")
+    # names allowed two edits whose kept pieces are frequent go another way
+    hot = (F.col("_t") == 2) & F.exists("_k", lambda x: x["_f"] > HOT_NAMES)
+    ranked = ranked.withColumn("_hot", hot)
+    kept = ranked.select("_r", "_t", "_hot", F.explode("_k").alias("_k")).select("_r", "_t", "_hot", "_k._p", "_k._n", "_k._i", "_k._text")
 
     l_len = F.length("_l")
     spans = names_l.select(
@@ -214,7 +259,7 @@ def _piece_matches(names_l: DataFrame, names_r: DataFrame, share: float) -> Data
         ).alias("_n"),
     )
     spans = spans.withColumn("_t", _edits(F.greatest(l_len, F.col("_n")), share)).filter(
-        (F.col("_t") > 0) & (F.abs(l_len - F.col("_n")) <= F.col("_t")) & (F.col("_n") > F.col("_t"))
+        (F.col("_t") > 1) & (F.abs(l_len - F.col("_n")) <= F.col("_t")) & (F.col("_n") > F.col("_t"))
     )
     spans = spans.withColumn("_p", F.least(F.col("_t") + 2, F.greatest(F.col("_n"), F.col("_t") + 1)))
     spots = spans.select("*", F.explode(F.sequence(F.lit(0), F.col("_p") - 1)).alias("_i")).select(
@@ -224,4 +269,9 @@ def _piece_matches(names_l: DataFrame, names_r: DataFrame, share: float) -> Data
     probe = spots.withColumn("_at", at + F.col("_d")).withColumn("_size", size).filter(
         (F.col("_at") >= 1) & (F.col("_at") + F.col("_size") - 1 <= l_len)
     ).select("_l", "_t", "_p", "_n", "_i", F.substring(F.col("_l"), F.col("_at"), F.col("_size")).alias("_text")).distinct()
-    return probe.join(kept, key).select("_l", "_r").distinct()
+    pairs = probe.join(kept.filter("NOT _hot"), key).select("_l", "_r")
+    hot_names = ranked.filter("_hot").select("_r").distinct()
+    # left names that hold one of those frequent pieces
+    hot_keys = kept.filter("_hot").select(*key).distinct()
+    there = probe.join(hot_keys, key, "left_semi").select("_l").distinct()
+    return pairs.unionByName(_deletion_matches(there, hot_names, share, 2)).distinct()

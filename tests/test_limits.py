@@ -197,3 +197,33 @@ def test_orders_of_every_kind(spark):
         got = running_total(rows, F.col(col), F.col("id"), {"place": F.lit(1)}, n_blocks=7).orderBy("place").select("place", "id").collect()
         want = rows.orderBy(col, "id").select("id").collect()
         assert [r.place for r in got] == list(range(1, 501)) and [r.id for r in got] == [r.id for r in want], col
+
+
+def test_names_of_one_prefix_give_few_candidates(spark):
+    """A thousand names on both sides that differ in their last digits only."""
+    def names(form, col, change=lambda x: x):
+        return spark.createDataFrame([(change(form.format(k)),) for k in range(1000)], f"{col} string")
+
+    for form, share, change in (("Customer#{:09d}", 0.1, lambda x: x.replace("m", "n")), ("Customer No. #{:011d}", 0.1, lambda x: x.replace("m", "n").replace("C", "K"))):
+        left, right = names(form, "_l", change), names(form, "_r")
+        near = joins.one_edit_matches(left, right, share).count() if "No" not in form else 0
+        far = joins.further_matches(left, right, share).count()
+        assert near + far <= 40_000 < 1000 * 1000 / 20, (form, near, far)
+        got = joins.fuzzy_join(left.select(F.col("_l").alias("name")), right.select(F.col("_r").alias("known")), "name", "known", 1 - share).collect()
+        assert len(got) == 1000 and all(r.known == change(r.known).replace(change(r.known), r.known) and change(r.known) == r.name for r in got)
+
+
+def test_fuzzy_join_over_prefixed_names_against_all_pairs(spark):
+    rng = random.Random(9)
+    for prefix, threshold in (("Customer No. ", 0.9), ("shared beginning of all ", 0.9), ("common ", 0.8)):
+        word = lambda: prefix + "".join(rng.choices("abc1", k=rng.randrange(5, 9)))  # noqa: E731, B023
+        left, right = {word() for _ in range(120)}, {word() for _ in range(150)}
+        a, b = spark.createDataFrame([(x,) for x in sorted(left)], "name string"), spark.createDataFrame([(x,) for x in sorted(right)], "known string")
+        both = a.crossJoin(b).withColumn("s", 1 - F.levenshtein("name", "known") / F.greatest(F.length("name"), F.length("known")))
+        want = {}
+        for r in both.filter(F.col("s") >= threshold - 1e-12).collect():
+            best = want.get(r.name)
+            if best is None or (-round(r.s, 12), r.known) < best:
+                want[r.name] = (-round(r.s, 12), r.known)
+        got = {r.name: r.known for r in joins.fuzzy_join(a, b, "name", "known", threshold).collect()}
+        assert got == {x: want[x][1] if x in want else None for x in left}
