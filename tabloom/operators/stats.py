@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tabloom.plans.blocks import running_total
 from tabloom.plans.quantiles import exact_quantiles
 from tabloom.plans.sizing import attach, pinned_if_small
+from tabloom.plans.written import written
 
 
 def _number(df: DataFrame, col: str) -> Column:
@@ -221,85 +222,143 @@ def phi_k(chi2: float, n: float, r: int, k: int) -> float | None:
 # --- least squares --------------------------------------------------------------
 
 
+#: Up to so many coefficients, the matrix of all features is put together for its condition number.
+CONDITION_FEATURES = 1000
+
+
 @dataclass
 class OlsFit:
-    """Coefficient rows (term, coef, se, t, p), the fit as one row, and the model."""
+    """Coefficient rows (term, coef, se, t, p), the fit as one row, and what residuals need.
+
+    ``effects`` has a row per level of the absorbed column (the column, and the
+    constant of its rows as ``_effect``), or is None.
+    """
 
     coefficients: DataFrame
     summary: DataFrame
-    model: object
-    features: list[str]
+    weights: dict[str, float]
+    const: float
+    y: str
+    dummy: str | None
+    effects: DataFrame | None
 
 
-def dummies(df: DataFrame, col: str, levels: Sequence) -> tuple[DataFrame, list[str]]:
-    """0/1 columns for all levels but the first."""
-    names = {f"{col}_{v}": F.when(F.col(col) == v, 1.0).otherwise(0.0) for v in list(levels)[1:]}
-    return df.withColumns(names), list(names)
+def _dot(columns: Sequence[Column], numbers: Sequence[float]) -> Column:
+    return reduce(lambda a, b: a + b, [c * F.lit(float(v)) for c, v in zip(columns, numbers)], F.lit(0.0))
 
 
-def ols(df: DataFrame, y: str, xs: Sequence[str], dummy: str | None = None) -> OlsFit:
-    """Least squares with a constant, and level dummies of one column if asked.
+def _quadratic(columns: Sequence[Column], matrix: np.ndarray) -> Column:
+    """v' M v for a vector of columns."""
+    return _dot([a * b for a in columns for b in columns], [matrix[i, j] for i in range(len(columns)) for j in range(len(columns))])
 
-    Rows with a missing value are dropped. The normal equations are one
-    distributed pass; only matrices of features × features reach the driver.
-    """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    spark = df.sparkSession
-    need = [y, *xs] + ([dummy] if dummy else [])
-    rows = df.select(*dict.fromkeys(need)).dropna()
-    feats = list(xs)
-    if dummy:
-        levels = [r[0] for r in rows.select(dummy).distinct().orderBy(dummy).limit(1001).collect()]
-        if len(levels) > 1000:
-            raise ValueError(f"{dummy} has more than 1000 levels")
-        rows, names = dummies(rows, dummy, levels)
-        feats += names
-    rows = rows.select(F.col(y).cast("double").alias("_y"), *[F.col(f"`{f}`").cast("double").alias(f"_x{i}") for i, f in enumerate(feats)])
-    inputs = [f"_x{i}" for i in range(len(feats))]
-    data = VectorAssembler(inputCols=inputs, outputCol="_f").transform(rows).select("_y", "_f")
-    model = LinearRegression(featuresCol="_f", labelCol="_y", solver="normal", standardization=False).fit(data)
-    s = model.summary
-    n, k = s.numInstances, len(feats)
-    terms = feats + ["const"]
-    coef = [float(c) for c in model.coefficients] + [float(model.intercept)]
-    table = list(zip(terms, coef, s.coefficientStandardErrors, s.tValues, s.pValues))
-    dof = n - k - 1
-    f_stat = (s.r2 / k) / ((1 - s.r2) / dof)
-    eig = np.linalg.eigvalsh(_gram(data, n))
-    fit = [(n, float(s.r2), float(s.r2adj), float(f_stat), f_tail(f_stat, k, dof), float(math.sqrt(eig[-1] / eig[0])))]
-    return OlsFit(
-        spark.createDataFrame(pd.DataFrame([tuple(map(_plain, t)) for t in table], columns=["term", "coef", "se", "t", "p"])),
-        spark.createDataFrame(pd.DataFrame(fit, columns=["n", "r2", "r2_adj", "f", "f_p", "condition"])),
-        model,
-        feats,
-    )
 
+def _with_p(table: DataFrame, dof: int) -> DataFrame:
+    """Terms with t and its two-sided p."""
 
-def _plain(v):
-    return v if isinstance(v, str) else float(v)
+    def run(batches):
+        for pdf in batches:
+            yield pdf.assign(p=[None if t is None or t != t else f_tail(t * t, 1, dof) for t in pdf["t"]])
 
+    rows = table.withColumn("t", F.try_divide("coef", "se")).select("term", "coef", "se", "t")
+    return rows.mapInPandas(run, "term string, coef double, se double, t double, p double")
 
-def _gram(data: DataFrame, n: int) -> np.ndarray:
-    """X'X with the constant, put together from means, deviations and correlations."""
-    from pyspark.ml.stat import Correlation, Summarizer
 
-    m = data.select(Summarizer.metrics("mean", "std").summary(F.col("_f")).alias("s")).select("s.mean", "s.std").first()
-    mean, std = m["mean"].toArray(), m["std"].toArray()
-    corr = Correlation.corr(data, "_f").first()[0].toArray() if len(mean) > 1 else np.eye(1)
-    inner = (n - 1) * corr * np.outer(std, std) + n * np.outer(mean, mean)
-    return np.block([[np.array([[float(n)]]), n * mean[None, :]], [n * mean[:, None], inner]])
+def ols(df: DataFrame, y: str, xs: Sequence[str], dummy: str | None = None) -> OlsFit:
+    """Least squares with a constant, and dummies of one column's levels if asked, the first level being left out.
+
+    Rows with a missing value are dropped. Dummies are absorbed: one pass counts
+    each level's rows, means and products about the means; their sums over the levels
+    are the normal equations of the features alone, a matrix of features × features, and the
+    only thing the driver sees. The levels' coefficients are then read back from the
+    table of levels, so there may be any number of them. Features that depend on
+    others (or on the levels) share one solution of least length.
+    """
+    spark, k = df.sparkSession, len(xs)
+    rows = df.select(*dict.fromkeys([y, *xs, *([dummy] if dummy else [])])).dropna()
+    names = [*xs, y]
+    cells = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+    v = [F.col(f"`{c}`").cast("double") for c in names]
+    n = F.count(F.lit(1))
+    aggs = [n.alias("_n"), *(F.avg(c).alias(f"_m{i}") for i, c in enumerate(v)), *((F.covar_pop(v[i], v[j]) * n).alias(f"_c{i}_{j}") for i, j in cells)]
+    per = rows.groupBy(F.col(dummy).alias("_level") if dummy else F.lit(0).alias("_level")).agg(*aggs)
+    per, small = pinned_if_small(per)
+    if small is None:
+        per = written(per, "ols-levels")
+    weight = lambda c: F.sum(F.col("_n") * c)
+    sums = per.agg(
+        F.sum("_n").alias("n"), n.alias("levels"), F.min("_level").alias("first"), *(weight(F.col(f"_m{i}")).alias(f"s{i}") for i in range(k + 1)),
+        *(F.sum(f"_c{i}_{j}").alias(f"c{i}_{j}") for i, j in cells)).first()
+    if not sums["n"]:
+        raise ValueError("no row has all values")
+    total, levels = sums["n"], sums["levels"]
+    within = np.zeros((k + 1, k + 1))
+    for i, j in cells:
+        within[i, j] = within[j, i] = sums[f"c{i}_{j}"]
+    mean = [sums[f"s{i}"] / total for i in range(k + 1)]
+    between = per.agg(*(weight((F.col(f"_m{i}") - mean[i]) * (F.col(f"_m{j}") - mean[j])).alias(f"b{i}_{j}") for i, j in cells)).first()
+    scale = np.sqrt(np.where(np.diag(within)[:k] > 0, np.diag(within)[:k], 1.0))
+    inverse = np.linalg.pinv(within[:k, :k] / np.outer(scale, scale), rcond=1e-11, hermitian=True) / np.outer(scale, scale) if k else np.zeros((0, 0))
+    rank = int(np.linalg.matrix_rank(within[:k, :k] / np.outer(scale, scale), tol=1e-11, hermitian=True)) if k else 0
+    b = inverse @ within[:k, k]
+    rss = max(float(within[k, k] - b @ within[:k, k]), 0.0)
+    tss = float(within[k, k] + between[f"b{k}_{k}"])
+    terms, dof = rank + levels - 1, total - rank - levels
+    s2 = rss / dof if dof > 0 else float("nan")
+    r2 = 1 - rss / tss if tss > 0 else float("nan")
+    f_stat = (r2 / terms) / ((1 - r2) / dof) if terms and dof > 0 and r2 < 1 else float("nan")
+
+    m = [F.col(f"_m{i}") for i in range(k)]
+    table = per.withColumn("_effect", F.col(f"_m{k}") - _dot(m, b))
+    base = table.filter(F.col("_level") == F.lit(sums["first"])).first()
+    gap = [c - F.lit(base[f"_m{i}"]) for i, c in enumerate(m)]
+    own = F.lit(s2) * (1 / F.col("_n") + _quadratic(m, inverse))
+    other = F.lit(s2) * (1 / F.col("_n") + F.lit(1.0 / base["_n"]) + _quadratic(gap, inverse))
+    is_first = F.col("_level") == F.lit(sums["first"])
+    of_levels = table.orderBy(is_first, "_level").select(
+        F.when(is_first, F.lit("const")).otherwise(F.concat(F.lit(f"{dummy}_"), F.col("_level").cast("string"))).alias("term"),
+        F.when(is_first, F.col("_effect")).otherwise(F.col("_effect") - F.lit(base["_effect"])).alias("coef"),
+        F.sqrt(F.when(is_first, own).otherwise(other)).alias("se"),
+    )
+    of_features = [(x, float(c), float(math.sqrt(max(s2 * inverse[i, i], 0.0)))) for i, (x, c) in enumerate(zip(xs, b))]
+    every = of_levels if not k else spark.createDataFrame(of_features, "term string, coef double, se double").unionByName(of_levels)
+    condition = _condition(table, within, between, mean, total, k, levels)
+    fit = [(total, r2, 1 - (1 - r2) * (total - 1) / dof if dof > 0 else float("nan"), f_stat, f_tail(f_stat, terms, dof) if f_stat == f_stat else float("nan"), condition)]
+    return OlsFit(
+        _with_p(every, dof),
+        spark.createDataFrame(pd.DataFrame([tuple(map(float, fit[0]))], columns=["n", "r2", "r2_adj", "f", "f_p", "condition"])),
+        dict(zip(xs, map(float, b))),
+        float(base["_effect"]),
+        y,
+        dummy,
+        table.select(F.col("_level").alias(dummy), "_effect") if dummy else None,
+    )
 
 
-def residuals(fit: OlsFit, df: DataFrame, y: str, xs: Mapping[str, Column] | Sequence[str], out: str = "resid") -> DataFrame:
-    """Observed minus fitted, from the coefficients as a column expression."""
-    named = xs if isinstance(xs, Mapping) else {x: F.col(x) for x in xs}
-    weights = dict(zip(fit.features, map(float, fit.model.coefficients)))
-    line = F.lit(float(fit.model.intercept))
-    for name, column in named.items():
-        line = line + F.lit(weights[name]) * column
-    return df.withColumn(out, F.col(y) - line)
+def _condition(table: DataFrame, within: np.ndarray, between, mean: Sequence[float], n: int, k: int, levels: int) -> float:
+    """Square root of the ratio of X'X's largest and smallest eigenvalue; NaN for more features than are put together."""
+    if k + levels > CONDITION_FEATURES:
+        return float("nan")
+    gram = np.zeros((k + levels, k + levels))
+    for i in range(k):
+        for j in range(i, k):
+            gram[i, j] = gram[j, i] = within[i, j] + between[f"b{i}_{j}"] + n * mean[i] * mean[j]
+        gram[i, k] = gram[k, i] = n * mean[i]
+    gram[k, k] = n
+    for at, r in enumerate(table.orderBy("_level").collect()[1:], k + 1):
+        gram[at, at] = gram[at, k] = gram[k, at] = r["_n"]
+        for i in range(k):
+            gram[at, i] = gram[i, at] = r["_n"] * r[f"_m{i}"]
+    eig = np.linalg.eigvalsh(gram)
+    return float(math.sqrt(eig[-1] / eig[0])) if eig[0] > 0 else float("inf")
+
+
+def residuals(fit: OlsFit, df: DataFrame, out: str = "resid") -> DataFrame:
+    """Observed minus fitted; null where a value is missing or a level was not seen."""
+    line = _dot([F.col(f"`{x}`").cast("double") for x in fit.weights], list(fit.weights.values()))
+    if fit.dummy is None:
+        return df.withColumn(out, F.col(fit.y) - line - F.lit(fit.const))
+    both = attach(df, fit.effects, [fit.dummy])
+    return both.withColumn(out, F.col(fit.y) - line - F.col("_effect")).drop("_effect")
 
 
 def f_tail(f: float, d1: float, d2: float) -> float:

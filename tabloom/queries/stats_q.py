@@ -154,17 +154,58 @@ def n8_years(t: Tables):
     return rounded(fit.coefficients.select("term", "coef"), 4)
 
 
-@query("n8_ols_mixed_with_residual_test")
+def _det(a: str, b: str, c: str) -> str:
+    """Determinant of three columns of three names each."""
+    (a1, a2, a3), (b1, b2, b3), (c1, c2, c3) = a.split(), b.split(), c.split()
+    return f"({a1} * ({b2} * {c3} - {b3} * {c2}) - {b1} * ({a2} * {c3} - {a3} * {c2}) + {c1} * ({a2} * {b3} - {a3} * {b2}))"
+
+
+QQ, DD, TT, YY = "qq qd qt", "qd dd dt", "qt dt tt", "qy dy ty"
+LEAST_SQUARES = f"""
+    r as (select l_shipdate, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey as tie, year(l_shipdate) as g,
+      l_quantity as q, l_discount as d, l_tax as t, l_extendedprice as y from lineitem),
+    m as (select g, avg(q) as mq, avg(d) as md, avg(t) as mt, avg(y) as my, count(*) as n from r group by g),
+    w as (select q - mq as q, d - md as d, t - mt as t, y - my as y from r join m using (g)),
+    s as (select sum(q*q) as qq, sum(q*d) as qd, sum(q*t) as qt, sum(d*d) as dd, sum(d*t) as dt, sum(t*t) as tt, sum(q*y) as qy, sum(d*y) as dy, sum(t*y) as ty from w),
+    b as (select {_det(YY, DD, TT)} / {_det(QQ, DD, TT)} as bq, {_det(QQ, YY, TT)} / {_det(QQ, DD, TT)} as bd, {_det(QQ, DD, YY)} / {_det(QQ, DD, TT)} as bt from s),
+    f as (select g, my - bq * mq - bd * md - bt * mt as a from m, b),
+    e as (select l_shipdate, tie, y - bq * q - bd * d - bt * t - a as e from r join f using (g), b),
+    l as (select e, e - lag(e) over (order by l_shipdate, tie) as step from e)
+"""
+
+
+@query(
+    "n8_ols_mixed_with_residual_test",
+    f"""
+    with {LEAST_SQUARES}, z as (select a from f order by g limit 1)
+    select term, round(coef, 3) as coef from (
+      select 'l_quantity' as term, bq as coef from b union all select 'l_discount', bd from b union all select 'l_tax', bt from b
+      union all select 'const', a from z union all select 'year_' || g, f.a - z.a from f, z where g > (select min(g) from f)
+      union all select 'durbin_watson', sum(step * step) / sum(e * e) from l)
+    """,
+)
 def n8_mixed(t: Tables):
     from tabloom.operators.ranking import durbin_watson
 
     rows = t.lineitem.withColumn("year", F.year("l_shipdate"))
-    xs = ["l_quantity", "l_discount", "l_tax"]
-    fit = stats.ols(rows, "l_extendedprice", xs, "year")
+    fit = stats.ols(rows, "l_extendedprice", ["l_quantity", "l_discount", "l_tax"], "year")
     line = fit.coefficients.select("term", F.round("coef", 3).alias("coef"))
-    terms = {f: (F.col(f) if f in xs else (F.col("year") == int(f.split("_")[1])).cast("double")) for f in fit.features}
-    resid = stats.residuals(fit, rows, "l_extendedprice", terms).withColumn(
-        "tie", F.col("l_orderkey") * 1000 + F.col("l_linenumber")
-    )
-    dw = durbin_watson(resid, [], "l_shipdate", "tie", "resid")
+    tie = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    dw = durbin_watson(stats.residuals(fit, rows).withColumn("tie", tie), [], "l_shipdate", "tie", "resid")
     return line.unionByName(dw.select(F.lit("durbin_watson").alias("term"), F.round("durbin_watson", 3).alias("coef")))
+
+
+@query(
+    "n8_ols_many_levels",
+    """
+    with m as (select l_partkey as g, avg(l_extendedprice) as my, avg(l_quantity) as mq from lineitem group by 1),
+    b as (select sum((l_quantity - mq) * (l_extendedprice - my)) / sum((l_quantity - mq) * (l_quantity - mq)) as b from lineitem join m on g = l_partkey),
+    f as (select g, my - b * mq as a from m, b), z as (select a from f order by g limit 1)
+    select 'l_quantity' as term, round(b, 3) as coef from b union all select 'const', round(a, 3) from z
+    union all select 'l_partkey_' || g, round(f.a - z.a, 3) from f, z where g > (select min(g) from f)
+    """,
+)
+def n8_levels(t: Tables):
+    """A level per part: more dummies than a matrix of them would hold."""
+    fit = stats.ols(t.lineitem, "l_extendedprice", ["l_quantity"], "l_partkey")
+    return fit.coefficients.select("term", F.round("coef", 3).alias("coef"))

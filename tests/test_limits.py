@@ -227,3 +227,22 @@ def test_fuzzy_join_over_prefixed_names_against_all_pairs(spark):
                 want[r.name] = (-round(r.s, 12), r.known)
         got = {r.name: r.known for r in joins.fuzzy_join(a, b, "name", "known", threshold).collect()}
         assert got == {x: want[x][1] if x in want else None for x in left}
+
+
+def test_least_squares_with_any_number_of_levels(spark):
+    """Three rows per level, a hundred thousand levels, whose effects are known; and features that depend on each other."""
+    from tabloom.operators import stats
+
+    n = 100_000
+    df = spark.range(3 * n).selectExpr(f"id % {n} AS g", f"double(id div {n}) AS a", "double((id * 7) % 11) AS b")
+    df = df.withColumn("y", 2 * F.col("a") - 0.5 * F.col("b") + F.col("g") % 13)
+    fit = stats.ols(df, "y", ["a", "b"], "g")
+    assert fit.weights["a"] == pytest.approx(2) and fit.weights["b"] == pytest.approx(-0.5)
+    assert fit.coefficients.count() == n + 2 and fit.summary.first().r2 == pytest.approx(1)
+    worst = fit.coefficients.filter("term like 'g@_%' escape '@'").select(F.max(F.abs(F.col("coef") - F.substring("term", 3, 9).cast("long") % 13))).first()[0]
+    assert worst < 1e-6
+    assert stats.residuals(fit, df).agg(F.max(F.abs("resid"))).first()[0] < 1e-6
+    twice = stats.ols(df.withColumn("c", 2 * F.col("a")), "y", ["a", "b", "c"], "g")
+    assert twice.weights["a"] + 2 * twice.weights["c"] == pytest.approx(2)
+    with pytest.raises(ValueError):
+        stats.ols(df.filter("a > 99"), "y", ["a"])
