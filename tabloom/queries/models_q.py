@@ -62,6 +62,31 @@ def l3(t: Tables):
     return features.one_hot(gaps, ["seg"]).drop("seg")
 
 
+@query(
+    "l2_encode_labels_many",
+    "select o_orderkey, (dense_rank() over (order by o_custkey::varchar) - 1)::int as label, o_custkey::varchar as decoded from orders",
+)
+def l2_many(t: Tables):
+    rows = t.orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("who"))
+    coded, names = features.encode_labels(rows, "who")
+    return features.decode_labels(coded, "label", names, "decoded").drop("who")
+
+
+@query(
+    "l6_sparse_slots",
+    """
+    with l as (select c, (dense_rank() over (order by c) - 2)::int as slot from (select distinct o_custkey::varchar as c from orders))
+    select o_orderkey, case when slot >= 0 then slot end as slot, (select count(*) - 1 from l)::int as size from orders join l on o_custkey::varchar = c
+    """,
+)
+def l6_sparse(t: Tables):
+    """One slot per customer but the first, as sparse vectors."""
+    rows = t.orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("who"))
+    parts = features.one_hot_vector(rows, ["who"], "slots").select("o_orderkey", F.to_json(F.struct("slots")).alias("j"))
+    at = F.from_json("j", "slots struct<type:int,size:int,indices:array<int>,values:array<double>>")["slots"]
+    return parts.select("o_orderkey", F.get(at["indices"], F.lit(0)).alias("slot"), at["size"].alias("size"))
+
+
 @query(
     "l4_ordinal",
     """

@@ -246,3 +246,35 @@ def test_least_squares_with_any_number_of_levels(spark):
     assert twice.weights["a"] + 2 * twice.weights["c"] == pytest.approx(2)
     with pytest.raises(ValueError):
         stats.ols(df.filter("a > 99"), "y", ["a"])
+
+
+def test_many_levels_become_sparse_slots_without_a_collect(spark, monkeypatch):
+    n = 3000
+    df = spark.createDataFrame([(k, f"v{k % n:05d}" if k % 50 else None, "ab"[k % 2], float(k)) for k in range(2 * n)], "k int, kind string, few string, x double")
+    monkeypatch.setattr(features.Levels, "_read", lambda self: pytest.fail("the levels were collected"))
+    pipe = features.build_pipeline(["kind", "few"], {"few2": ["a", "b"]}, ["x"], None, "none").fit(df.withColumn("few2", F.col("few")))
+    assert isinstance(pipe.stages[0].names["kind"], features.Levels) and pipe.stages[0].names["few"] == ["a", "b"]
+    out = pipe.transform(df.withColumn("few2", F.col("few")).union(spark.createDataFrame([(-1, "new", "b", 1.0, "b")], "k int, kind string, few string, x double, few2 string")))
+    known = sorted({f"v{k % n:05d}" for k in range(2 * n) if k % 50})
+    usual = known[0]  # all levels occur twice, the smallest is the mode
+    for r in out.select("k", "kind", "few", "x", "features").collect():
+        v = r.features
+        size = len(known) - 1
+        assert v.size == size + 1 + 1 + 1
+        hot = {int(i): float(v[int(i)]) for i in v.toArray().nonzero()[0]}
+        level = r.kind if r.kind is not None else usual
+        want = {known.index(level) - 1: 1.0} if level in known[1:] else {}
+        if r.few == "b":
+            want |= {size: 1.0, size + 1: 1.0}
+        if r.x:
+            want[size + 2] = r.x
+        assert hot == want
+
+
+def test_labels_are_numbered_and_decoded_without_a_collect(spark, monkeypatch):
+    df = spark.range(20_000).selectExpr("id", "cast((id * 7919) % 20000 AS string) AS kind")
+    monkeypatch.setattr(features.Levels, "_read", lambda self: pytest.fail("the levels were collected"))
+    coded, names = features.encode_labels(df, "kind")
+    back = features.decode_labels(coded, "label", names, "again")
+    assert back.filter("again != kind").count() == 0 and len(names) == 20_000
+    assert coded.agg(F.countDistinct("label"), F.min("label"), F.max("label")).first()[:] == (20_000, 0, 19_999)
