@@ -10,12 +10,13 @@ from itertools import combinations, combinations_with_replacement
 
 import numpy as np
 import pandas as pd
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.plans.blocks import running_total
 from tabloom.plans.quantiles import exact_quantiles
-from tabloom.plans.sizing import attach, pinned_if_small
+from tabloom.plans.sizing import MAX_ROWS, attach, pinned_if_small
 from tabloom.plans.written import written
 
 
@@ -35,20 +36,7 @@ def pearson(df: DataFrame, a: str, b: str) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearson") -> DataFrame:
     """All pairs as (a, b, r) rows, each pair over the rows that have both values."""
     if method == "spearman":
-        parts = [
-            spearman(df, a, b).select(
-                F.inline(
-                    F.array(
-                        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), "r"),
-                        F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), "r"),
-                    )
-                )
-            )
-            for a, b in combinations(cols, 2)
-        ]
-        same = df.agg(*[F.when(F.min(c) < F.max(c), F.lit(1.0)).alias(f"r{i}") for i, c in enumerate(cols)])
-        cells = [F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.col(f"r{i}").alias("r")) for i, c in enumerate(cols)]
-        return reduce(DataFrame.unionByName, parts, same.select(F.inline(F.array(*cells))))
+        return _spearman_matrix(df, list(cols))
     pairs = list(combinations_with_replacement(cols, 2))
     row = df.agg(*[F.corr(_number(df, a), _number(df, b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
@@ -59,30 +47,67 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearso
     return row.select(F.inline(F.array(*cells)))
 
 
-def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Rank of every distinct value among all rows, ties averaged."""
-    per_value = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    run = running_total(per_value, F.col(col), F.col(col), {"_upto": F.col("_n")})
-    return run.select(col, (F.col("_upto") - (F.col("_n") - 1) / 2).alias(out))
+def with_ranks(rows: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Add the rank of every number column among its values (``_r0``, ``_r1`` …), ties averaged; no column holds nulls.
 
+    All columns are ranked in one pass: values are counted per column, and one order over (column, value),
+    cut into blocks, runs through all of them. What is joined back is a row per distinct value.
+    """
+    cells = F.array(*(F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)))
+    counts = rows.select(F.explode(cells).alias("x")).groupBy("x.c", "x.v").agg(F.count(F.lit(1)).alias("n"))
+    run = running_total(counts, F.col("c"), F.col("v"), {"upto": F.col("n")})
+    ranks = written(run.select("c", "v", (F.col("upto") - (F.col("n") - 1) / 2).alias("r"), (F.col("upto") - F.col("n")).alias("before")), "ranks")
+    _, few = pinned_if_small(ranks)
+    if few is not None:
+        seen = {r["c"]: r for r in few.group_by("c").aggregate([("v", "count"), ("before", "min")]).rename_columns(["c", "n", "base"]).to_pylist()}
+    else:
+        seen = {r["c"]: r.asDict() for r in ranks.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.min("before").alias("base")).collect()}
+    for i, c in enumerate(cols):
+        if i not in seen:
+            return rows.withColumns({f"_r{j}": F.lit(None).cast("double") for j in range(len(cols))})  # no rows
+        table = ranks if few is None else rows.sparkSession.createDataFrame(few.filter(pc.field("c") == i), ranks.schema)
+        own = table.filter(F.col("c") == i).select(F.col("v").alias("_v"), (F.col("r") - seen[i]["base"]).alias(f"_r{i}"))
+        own = F.broadcast(own) if seen[i]["n"] <= MAX_ROWS else own
+        rows = rows.join(own, F.col(c).cast("double") == F.col("_v")).drop("_v")
+    return rows
+
+
+def _rank_correlation(i: int, j: int) -> Column:
+    x, y = F.col(f"_r{i}"), F.col(f"_r{j}")
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))
 
-def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Spearman correlation, ties averaged, over the rows that have both values.
 
-    Equal pairs are counted first; ranks belong to distinct values; the rest is
-    a weighted sum, so no row has to be put in a global order.
-    """
+def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Spearman correlation, ties averaged, over the rows that have both values."""
     rows = df.select(_number(df, a).alias("_a"), _number(df, b).alias("_b")).dropna()
-    pairs = rows.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_w"))
-    ranked = attach(pairs, average_ranks(rows, "_a", "_ra"), ["_a"], "inner")
-    ranked = attach(ranked, average_ranks(rows, "_b", "_rb"), ["_b"], "inner")
-    mid = rows.agg(((F.count(F.lit(1)) + 1) / 2).alias("_mid"))
-    centred = attach(ranked, mid).select(
-        "_w", (F.col("_ra") - F.col("_mid")).alias("x"), (F.col("_rb") - F.col("_mid")).alias("y")
-    )
-    w, x, y = F.col("_w"), F.col("x"), F.col("y")
-    sums = centred.agg(F.sum(w * x * y).alias("xy"), F.sum(w * x * x).alias("xx"), F.sum(w * y * y).alias("yy"))
-    return sums.select(F.try_divide(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy"))).alias("r"))
+    return with_ranks(rows, ["_a", "_b"]).agg(_rank_correlation(0, 1).alias("r"))
+
+
+def _spearman_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Columns without nulls are ranked together, once; a pair with nulls over the rows that have both."""
+    numbers = df.select(*(_number(df, c).alias(f"_c{i}") for i, c in enumerate(cols)))
+    names = numbers.columns
+    counts = numbers.agg(F.count(F.lit(1)).alias("n"), *(F.count(c).alias(c) for c in names)).first()
+    whole = [i for i, c in enumerate(names) if counts[c] == counts["n"]]
+    parts = []
+    if whole:
+        ranked = with_ranks(numbers.select(*(names[i] for i in whole)), [names[i] for i in whole])
+        pairs = [(x, y) for x in range(len(whole)) for y in range(x, len(whole))]
+        row = ranked.agg(*(_rank_correlation(x, y).alias(f"r{x}_{y}") for x, y in pairs))
+        cells = [
+            F.struct(F.lit(cols[whole[p]]).alias("a"), F.lit(cols[whole[q]]).alias("b"), F.col(f"r{x}_{y}").alias("r"))
+            for x, y in pairs for p, q in ([(x, y)] if x == y else [(x, y), (y, x)])
+        ]
+        parts.append(row.select(F.inline(F.array(*cells))))
+    for i, a in enumerate(cols):
+        if i not in whole:
+            one = df.agg(F.when(F.min(a) < F.max(a), F.lit(1.0)).alias("r"))
+            parts.append(one.select(F.lit(a).alias("a"), F.lit(a).alias("b"), "r"))
+    for (i, a), (j, b) in combinations(enumerate(cols), 2):
+        if not (i in whole and j in whole):
+            cells = F.array(*(F.struct(F.lit(p).alias("a"), F.lit(q).alias("b"), "r") for p, q in ((a, b), (b, a))))
+            parts.append(spearman(df, a, b).select(F.inline(cells)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def sample_skewness(df: DataFrame, cols: Sequence[str]) -> DataFrame:

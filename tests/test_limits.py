@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -278,3 +280,42 @@ def test_labels_are_numbered_and_decoded_without_a_collect(spark, monkeypatch):
     back = features.decode_labels(coded, "label", names, "again")
     assert back.filter("again != kind").count() == 0 and len(names) == 20_000
     assert coded.agg(F.countDistinct("label"), F.min("label"), F.max("label")).first()[:] == (20_000, 0, 19_999)
+
+
+class Jobs:
+    """Counts the jobs that Spark starts inside the block."""
+
+    def __init__(self, spark):
+        self.sc = spark.sparkContext
+
+    def __enter__(self):
+        self.group = f"counted-{id(self)}-{random.random()}"
+        self.sc.setJobGroup(self.group, "counted")
+        return self
+
+    def __exit__(self, *_):
+        self.n = len(self.sc.statusTracker().getJobIdsForGroup(self.group))
+        self.sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_rank_correlation_ranks_each_column_once(spark):
+    from tabloom.operators import stats
+
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame(rng.integers(0, 40, (900, 5)).astype(float), columns=list("abcde"))
+    pdf["e"] += pdf["a"]
+    df = spark.createDataFrame(pdf).repartition(4)
+    with Jobs(spark) as jobs:
+        got = {(r.a, r.b): r.r for r in stats.correlation_matrix(df, list("abcde"), "spearman").collect()}
+    assert jobs.n < 25, jobs.n  # a few per column; one ranking per pair took hundreds
+    want = pdf.corr(method="spearman")
+    assert len(got) == 25 and all(got[x, y] == pytest.approx(want.loc[x, y]) for x in "abcde" for y in "abcde")
+    gaps = pdf.mask(rng.random(pdf.shape) < 0.2)
+    gaps["a"], gaps["b"] = pdf["a"], 7.0
+    df = spark.createDataFrame(gaps).replace(float("nan"), None)
+    got = {(r.a, r.b): r.r for r in stats.correlation_matrix(df, list("abcd"), "spearman").collect()}
+    want = gaps.corr(method="spearman")
+    for x in "abcd":
+        for y in "abcd":
+            assert got[x, y] is None if "b" in (x, y) else got[x, y] == pytest.approx(want.loc[x, y]), (x, y)
+    assert stats.spearman(df.filter("a < 0"), "a", "c").first().r is None
