@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.plans.quantiles import exact_quantiles
+from tabloom.plans.quantiles import exact_quantiles, wide_quantiles
 from tabloom.plans.sizing import attach
 
 
@@ -108,18 +108,15 @@ def summary_table(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
     """Completeness, minimum, maximum, mean, median, p90 and p95 of every float column."""
     cols = list(cols or float_columns(df))
     aggs = []
-    for c in cols:
-        aggs += [
-            (F.count(c) / F.count(F.lit(1))).alias(f"complete__{c}"),
-            F.min(c).cast("double").alias(f"min__{c}"),
-            F.max(c).cast("double").alias(f"max__{c}"),
-            F.avg(c).alias(f"mean__{c}"),
-        ]
-    basic = _long(df.agg(*aggs), cols, ["complete", "min", "max", "mean"])
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "v")
-    q = exact_quantiles(long, "v", [0.5, 0.9, 0.95], ["column"])
-    names = ["p50", "p90", "p95"]
-    return basic.join(q.select("column", *[F.col("quantiles")[i].alias(n) for i, n in enumerate(names)]), "column", "left")
+    for i, c in enumerate(cols):
+        aggs += [(F.count(c) / F.count(F.lit(1))).alias(f"complete{i}"), F.avg(c).alias(f"mean{i}")]
+    found, row = wide_quantiles(df, cols, [0.0, 0.5, 0.9, 0.95, 1.0], aggs=aggs)
+    rows = []
+    for i, c in enumerate(cols):
+        low, p50, p90, p95, high = found[c][1]
+        rows.append((c, row[f"complete{i}"], low, high, row[f"mean{i}"], p50, p90, p95))
+    names = "`column` string, complete double, min double, max double, mean double, p50 double, p90 double, p95 double"
+    return df.sparkSession.createDataFrame(rows, names)
 
 
 def time_span(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -319,3 +319,42 @@ def test_rank_correlation_ranks_each_column_once(spark):
         for y in "abcd":
             assert got[x, y] is None if "b" in (x, y) else got[x, y] == pytest.approx(want.loc[x, y]), (x, y)
     assert stats.spearman(df.filter("a < 0"), "a", "c").first().r is None
+
+
+@pytest.mark.parametrize("margin, read", [(2.0, 20_000), (0.0, 20_000), (-40.0, 5), (2.0, 3)])
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_a_missed_bracket_is_widened(spark, monkeypatch, margin, read, keys):
+    """Brackets that do not hold their rank, and brackets too full to be read, still end at the exact value."""
+    from tabloom.plans import quantiles as Q
+
+    monkeypatch.setattr(Q, "MARGIN", margin)
+    monkeypatch.setattr(Q, "READ_VALUES", read)
+    rng = np.random.default_rng(1)
+    pdf = pd.DataFrame({"k": rng.integers(0, 3, 4000), "v": np.where(rng.random(4000) < 0.3, 2.5, rng.normal(size=4000).round(3))})
+    df, qs = spark.createDataFrame(pdf), [0.0, 0.1, 0.5, 0.77, 0.999, 1.0]
+    got = Q.exact_quantiles(df, "v", qs, keys, accuracy=50, hot_rows=100).collect()
+    for r in got:
+        own = pdf[pdf.k == r.k] if keys else pdf
+        assert r.n == len(own) and r.quantiles == pytest.approx(own.v.quantile(qs).tolist())
+    assert len(got) == (3 if keys else 1)
+    for r in Q.kth_smallest(df, "v", 0.3, keys, accuracy=50, hot_rows=100).collect():
+        own = sorted((pdf[pdf.k == r.k] if keys else pdf).v)
+        assert r.kth == own[r["rank"] - 1]
+
+
+def test_many_columns_are_profiled_in_a_few_passes(spark):
+    from tabloom.operators import profile
+
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({f"c{i}": rng.normal(i, 1 + i, 3000) for i in range(8)})
+    pdf.loc[rng.random(3000) < 0.3, "c3"] = np.nan
+    pdf["empty"] = np.nan
+    df = spark.createDataFrame(pdf).replace(float("nan"), None).withColumn("empty", F.lit(None).cast("double"))
+    with Jobs(spark) as jobs:
+        got = {r.column: r for r in profile.summary_table(df).collect()}
+    assert jobs.n <= 7, jobs.n  # three passes: adaptive execution runs each as a map and a result job
+    for c in pdf.columns[:8]:
+        r = got[c]
+        assert [r.min, r.p50, r.p90, r.p95, r.max, r.mean] == pytest.approx([*pdf[c].quantile([0, 0.5, 0.9, 0.95, 1]), pdf[c].mean()])
+        assert r.complete == pytest.approx(pdf[c].notna().mean())
+    assert got["empty"][:] [1:] == (0.0, None, None, None, None, None, None)
