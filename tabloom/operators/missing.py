@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.plans.neighbours import HOT_ROWS, with_neighbours
-from tabloom.plans.quantiles import exact_quantiles
+from tabloom.plans.quantiles import exact_quantiles, wide_quantiles
 from tabloom.plans.sizing import attach
 
 
@@ -20,21 +20,32 @@ def _median(df: DataFrame, col: str, keys: Sequence[str] = ()) -> DataFrame:
     return exact_quantiles(df, col, [0.5], keys).select(*keys, F.col("quantiles")[0].alias("_fill"))
 
 
-def fill_median(df: DataFrame, col: str) -> DataFrame:
-    """Nulls to the exact median of the column."""
-    return attach(df, _median(df, col)).withColumn(col, F.coalesce(col, "_fill")).drop("_fill")
+def fill_median(df: DataFrame, col: str | Sequence[str]) -> DataFrame:
+    """Nulls to the exact median of the column; several columns share the passes."""
+    cols = [col] if isinstance(col, str) else list(col)
+    found, _ = wide_quantiles(df, cols, [0.5])
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(found[c][1][0])) for c in cols})
 
 
-def fill_group_median(df: DataFrame, col: str, key: str, where: Column | None = None) -> DataFrame:
+def fill_group_median(df: DataFrame, col: str | Sequence[str], key: str, where: Column | None = None) -> DataFrame:
     """Nulls to the exact median of their group.
 
     With ``where``, only rows for which it is true give to the medians and are
-    filled. A null key, or a group without values, leaves the null.
+    filled. A null key, or a group without values, leaves the null. Several
+    columns share one pass and one join of medians.
     """
+    cols = [col] if isinstance(col, str) else list(col)
     source = df.filter(where) if where is not None else df
-    may = F.col(col).isNull() & (where if where is not None else F.lit(True))
-    joined = attach(df, _median(source, col, [key]), [key])
-    return joined.withColumn(col, F.when(may, F.col("_fill")).otherwise(F.col(col))).drop("_fill")
+    if len(cols) == 1:
+        medians = _median(source, cols[0], [key]).withColumnRenamed("_fill", "_fill0")
+    else:
+        cells = F.array(*(F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)))
+        long = source.select(key, F.explode(cells).alias("x")).select(key, F.col("x.c").alias("_c"), F.col("x.v").alias("_v"))
+        each = _median(long, "_v", [key, "_c"])
+        medians = each.groupBy(key).agg(*(F.max(F.when(F.col("_c") == i, F.col("_fill"))).alias(f"_fill{i}") for i in range(len(cols))))
+    may = where if where is not None else F.lit(True)
+    new = {c: F.when(F.col(c).isNull() & may, F.col(f"_fill{i}")).otherwise(F.col(c)) for i, c in enumerate(cols)}
+    return attach(df, medians, [key]).withColumns(new).drop(*(f"_fill{i}" for i in range(len(cols))))
 
 
 def fill_group_mean_where(df: DataFrame, col: str, key: str, mask: Column) -> DataFrame:

@@ -77,6 +77,99 @@ def price_per_km(t: Tables):
     return rounded(listings.price_per_km(rows, "d", "p", city=None))
 
 
+KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+PLACES = """case when l_partkey % 13 > 0 then case l_partkey % 4 when 0 then 'Санкт-Петербург' when 1 then 'посёлок Берёзовка'
+      when 2 then 'деревня Новая' else concat('Село Новая ', l_suppkey % 5) end end"""
+#: Lines as flat listings; the same text is SQL on both sides.
+LISTING = {
+    "last_price": "l_extendedprice", "total_area": "l_quantity * 4.5", "rooms": "l_linenumber - 1", "floor": "cast(1 + l_partkey % 9 as int)",
+    "studio": "l_returnflag = 'R'", "open_plan": "case when l_linestatus = 'O' then l_tax > 0.04 end", "is_apartment": "case when l_tax > 0.01 then l_tax > 0.06 end",
+    "ceiling_height": "case when l_suppkey % 3 > 0 then l_extendedprice / 10000 end", "floors_total": "cast(1 + l_suppkey % 40 as double)",
+    "locality_name": PLACES, "living_area": "case when l_tax > 0.02 then l_extendedprice / 1000 end",
+    "kitchen_area": "case when l_discount > 0.05 then l_extendedprice / 5000 end", "balcony": "case when l_discount > 0.03 then l_discount * 100 end",
+    "airports_nearest": "case when l_orderkey % 5 > 0 then l_extendedprice end", "cityCenters_nearest": "case when l_orderkey % 7 > 0 then l_extendedprice * 2 end",
+    "parks_around3000": "l_tax * 100", "parks_nearest": "case when l_orderkey % 3 > 0 and l_partkey % 4 <> 2 then l_extendedprice / 3 end",
+    "ponds_around3000": "case when l_tax > 0.03 then l_tax end", "ponds_nearest": "case when l_tax > 0.05 then l_extendedprice end",
+    "days_exposition": "case when l_discount > 0.01 then l_quantity end",
+}
+
+
+def _stripped(c: str) -> str:
+    c = f"replace(lower({c}), 'ё', 'е')"
+    for word in listings.LOCALITY_WORDS:
+        c = f"replace({c}, '{word}', '')"
+    return c
+
+
+CLEAN = f"""
+    raw as (select {', '.join(KEY)}, l_shipdate, {', '.join(f'{v} as {k}' for k, v in LISTING.items())} from lineitem),
+    a as (select * replace (case when rooms = 0 and studio then 1 else rooms end as rooms) from raw where total_area <= 190 and rooms <= 5),
+    q as (select quantile_cont(ceiling_height, 0.995) as cap, median(ceiling_height) as mid from a),
+    b as (select a.* replace (case when ceiling_height > cap then mid else ceiling_height end as ceiling_height) from a, q),
+    c as (select * replace (coalesce(ceiling_height, median(ceiling_height) over ()) as ceiling_height) from b),
+    d as (select * from c where floors_total <= 35 and locality_name is not null),
+    m as (select rooms, round_even(avg(living_area), 0) as m from d group by rooms having avg(living_area) is not null),
+    u as (select round_even(sum(m) / sum(rooms), 0) as unit from m),
+    e as (select d.* replace (coalesce(living_area, rooms * unit) as living_area, {_stripped('locality_name')} as locality_name,
+        case when kitchen_area is null and (studio or coalesce(open_plan, false)) then 0 else kitchen_area end as kitchen_area) from d, u),
+    f as (select * replace (
+        case when airports_nearest is null and locality_name <> '{listings.CITY}' then median(airports_nearest) over p else airports_nearest end as airports_nearest,
+        case when cityCenters_nearest is null and locality_name <> '{listings.CITY}' then median(cityCenters_nearest) over p else cityCenters_nearest end as cityCenters_nearest,
+        coalesce(parks_nearest, median(parks_nearest) over p) as parks_nearest) from e window p as (partition by locality_name)),
+    clean as (select * exclude (cityCenters_nearest, airports_nearest, kitchen_area, parks_nearest, is_apartment, balcony, days_exposition),
+        coalesce(cityCenters_nearest, -1) as city_centers_nearest, coalesce(airports_nearest, -1) as airports_nearest, coalesce(kitchen_area, -1) as kitchen_area,
+        coalesce(parks_nearest, median(parks_nearest) over ()) as parks_nearest, coalesce(is_apartment, false) as is_apartment, coalesce(balcony, 0) as balcony,
+        coalesce(days_exposition, -1) as days_exposition from f)
+"""
+CLEANED = [
+    "rooms", "ceiling_height", "living_area", "kitchen_area", "locality_name", "airports_nearest", "city_centers_nearest", "parks_nearest", "is_apartment",
+    "balcony", "days_exposition",
+]
+
+
+def raw_listings(t: Tables):
+    rows = t.lineitem.select(*KEY, F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("first_day_exposition"), *(F.expr(v).alias(k) for k, v in LISTING.items()))
+    return rows
+
+
+def _rounded_sql(names: list[str], numbers: set[str]) -> str:
+    return ", ".join(f"round({c}, 6) as {c}" if c in numbers else c for c in names)
+
+
+NUMBERS = set(CLEANED) - {"rooms", "locality_name", "is_apartment"}
+
+
+@query("study_clean_listings", f"with {CLEAN} select {', '.join(KEY)}, {_rounded_sql(CLEANED, NUMBERS)} from clean")
+def clean_listings(t: Tables):
+    return rounded(listings.clean_listings(raw_listings(t)).select(*KEY, *CLEANED))
+
+
+@query(
+    "study_listing_features",
+    f"""
+    with {CLEAN} select {', '.join(KEY)}, round(last_price / total_area, 6) as price_sq_meter, (isodow(l_shipdate) - 1)::int as weekday_exposition,
+      month(l_shipdate)::int as month_exposition, year(l_shipdate)::int as year_exposition, round(city_centers_nearest / 1000, 9) as city_centers_nearest_km,
+      case when floor = 1 then 'первый' when floor = floors_total then 'последний' else 'другой' end as floor_group from clean
+    """,
+)
+def listing_features(t: Tables):
+    out = listings.with_features(listings.clean_listings(raw_listings(t)))
+    names = ["price_sq_meter", "weekday_exposition", "month_exposition", "year_exposition", "city_centers_nearest_km", "floor_group"]
+    return rounded(rounded(out.select(*KEY, *names), 6, ["price_sq_meter"]), 9, ["city_centers_nearest_km"])
+
+
+@query(
+    "study_price_extremes",
+    f"""
+    with {CLEAN}, g as (select locality_name, count(*) as count, avg(last_price / total_area) as mean from clean group by 1)
+    select locality_name, count, round(mean, 6) as mean, 'highest' as edge from g where mean = (select max(mean) from g)
+    union all select locality_name, count, round(mean, 6), 'lowest' from g where mean = (select min(mean) from g)
+    """,
+)
+def price_extremes(t: Tables):
+    return rounded(listings.price_extremes(listings.with_features(listings.clean_listings(raw_listings(t)))))
+
+
 @query(
     "study_satisfaction",
     """
@@ -135,6 +228,107 @@ def trade_panel(t: Tables):
     return rounded(out.select("country", "year", "export_share", "turnover_share"))
 
 
+YEARS = """
+    o as (select n_nationkey as k, n_name, year(o_orderdate)::int as year, o_totalprice as p, o_orderstatus as s
+      from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey),
+    e as (select k, n_name, year, sum(p) filter (s = 'F') as export, sum(p) filter (s = 'O') as import, sum(p) as gdp from o group by all),
+    pan as (select 'Republic of ' || n_name as country, k, n_name, year, export from e where export is not null and import is not null),
+    r as (select distinct country, n_name, k from pan),
+    code as (select r.country, substr(md5(c.n_name), 1, 4) as iso2Code, row_number() over (partition by r.country order by
+        round(1 - levenshtein(r.country, 'Republik of ' || c.n_name) / greatest(length(r.country), 12 + length(c.n_name)), 12) desc, 'Republik of ' || c.n_name) as rn
+      from r, (select distinct n_name from nation) c where 1 - levenshtein(r.country, 'Republik of ' || c.n_name) / greatest(length(r.country), 12 + length(c.n_name)) >= 0.9 - 1e-12),
+    ind as (select substr(md5(n_name), 1, 4) as iso2Code, year, max(case when (year + k) % 3 > 0 then nullif(round(gdp, 2), 0) end) as gini,
+        max(case when (year * 7 + k) % 4 > 0 then nullif(round(gdp / 1000, 2), 0) end) as industry from e group by all),
+    wide as (select pan.country, pan.year, pan.export, gini, industry from pan left join code on code.country = pan.country and rn = 1
+      left join ind on ind.iso2Code = code.iso2Code and ind.year = pan.year)
+"""
+FILLED_PANEL = YEARS + """,
+    i as (select *, row_number() over (partition by country order by year) as pos from wide),
+    j as (select *, last_value(industry ignore nulls) over b as pv, last_value(case when industry is not null then pos end ignore nulls) over b as pp,
+        first_value(industry ignore nulls) over a as nv, first_value(case when industry is not null then pos end ignore nulls) over a as np,
+        last_value(gini ignore nulls) over b as gp, lead(gini) over (partition by country order by pos) as gn
+      from i window b as (partition by country order by pos rows between unbounded preceding and 1 preceding),
+                    a as (partition by country order by pos rows between 1 following and unbounded following)),
+    filled as (select country, year, export, coalesce(industry, pv + (nv - pv) * (pos - pp) / (np - pp), pv) as industry, coalesce(gini, (gp + gn) / 2, gp, gn) as gini from j)
+"""
+
+
+def panel_rows(t: Tables):
+    """A panel of nations, with codes under a slightly different name, and long indicator rows with gaps."""
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = rows.withColumn("year", F.year("o_orderdate"))
+    of = lambda cond: F.sum(F.when(cond, F.col("o_totalprice")))
+    by = rows.groupBy("n_nationkey", "n_name", "year").agg(of(F.col("o_orderstatus") == "F").alias("export"), of(F.col("o_orderstatus") == "O").alias("import"), F.sum("o_totalprice").alias("gdp"))
+    code = F.substring(F.md5(F.col("n_name").cast("binary")), 1, 4).alias("iso2Code")
+    side = lambda c: by.select(F.concat(F.lit("Republic of "), "n_name").alias("country"), "year", c)
+    codes = t.nation.select(F.concat(F.lit("Republik of "), "n_name").alias("name"), code).distinct()
+    gini = F.when((F.col("year") + F.col("n_nationkey")) % 3 > 0, F.round("gdp", 2))
+    industry = F.when((F.col("year") * 7 + F.col("n_nationkey")) % 4 > 0, F.round(F.col("gdp") / 1000, 2)).otherwise(F.lit(0.0))
+    long = by.select(code, "year", F.explode(F.array(
+        F.struct(F.lit("GINI").alias("indicator"), gini.alias("value")), F.struct(F.lit("IND").alias("indicator"), industry.alias("value")))).alias("x")).select("iso2Code", "year", "x.*")
+    rows = panel.assemble(side("export"), side("import").filter("import is not null"), side("gdp"))
+    return panel.with_indicators(rows, codes, long, {"GINI": "gini", "IND": "industry"})
+
+
+@query("study_panel_with_indicators", f"with {YEARS} select country, year, round(gini, 2) as gini, round(industry, 2) as industry from wide")
+def panel_indicators(t: Tables):
+    return rounded(panel_rows(t).select("country", "year", "gini", "industry"), 2)
+
+
+@query("study_fill_panel", f"with {FILLED_PANEL} select country, year, round(gini, 4) as gini, round(industry, 4) as industry from filled")
+def fill_panel(t: Tables):
+    return rounded(panel.fill_panel(panel_rows(t), ["industry"], ["gini"]).select("country", "year", "gini", "industry"), 4)
+
+
+@query(
+    "study_panel_regression",
+    f"""
+    with {FILLED_PANEL}, x as (select year as g, ln(1 + export) as x, industry as y from filled where export is not null and industry is not null),
+    mm as (select g, avg(x) as mx, avg(y) as my from x group by g),
+    bb as (select sum((x - mx) * (y - my)) / sum((x - mx) * (x - mx)) as b from x join mm using (g)),
+    ff as (select g, my - b * mx as a from mm, bb), z as (select a from ff order by g limit 1)
+    select 'log_export' as term, round(b, 3) as coef from bb union all select 'const', round(a, 3) from z
+    union all select 'year_' || g, round(ff.a - z.a, 3) from ff, z where g > (select min(g) from ff)
+    """,
+)
+def panel_regression(t: Tables):
+    filled = panel.fill_panel(panel_rows(t), ["industry"], ["gini"])
+    return panel.regress(filled, "industry", ["export"], ["export"]).coefficients.select("term", F.round("coef", 3).alias("coef"))
+
+
+@query(
+    "study_goals_by_reason",
+    """
+    with r as (select o_custkey as user_id, min(case o_orderpriority when '1-URGENT' then 'Перевожусь на другой курс' when '2-HIGH' then 'Другое' else 'Нет времени' end) as reason
+      from orders where o_orderstatus = 'P' group by 1),
+    g as (select event_type as statement_content, value, case reason when 'Перевожусь на другой курс' then 'Перевожусь' when 'Другое' then null else reason end as reason
+      from events left join r using (user_id))
+    select statement_content, round(sum(value) filter (reason = 'Перевожусь'), 4) as moved, round(sum(value) filter (reason = 'Нет времени'), 4) as busy from g group by 1
+    """,
+)
+def goals_by_reason(t: Tables):
+    reason = F.when(F.col("o_orderpriority") == "1-URGENT", "Перевожусь на другой курс").when(F.col("o_orderpriority") == "2-HIGH", "Другое").otherwise("Нет времени")
+    refunds = t.orders.filter("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("user_id")).agg(F.min(reason).alias("refund_reason"))
+    goals = t.events.select("user_id", F.col("event_type").alias("statement_content"), "value")
+    wide = survey.goals_by_reason(goals, refunds, {"Перевожусь на другой курс": "Перевожусь"}, ["Перевожусь", "Нет времени"])
+    return rounded(wide.toDF("statement_content", "moved", "busy"), 4)
+
+
+def _edited(c: str) -> str:
+    for old, new in survey.COHORT_EDITS:
+        c = f"replace({c}, '{old}', '{new}')"
+    return c
+
+
+COHORT = "concat(case when o_custkey % 2 = 0 then 'designer-plus' else 'data_praktikum' end, '_', o_orderkey % 12, case when o_orderkey % 3 = 0 then '_dop' else '_months' end)"
+
+
+@query("study_unify_cohorts", f"select o_orderkey, {_edited(COHORT)} as cohort, {_edited('o_clerk')} as current_cohort from orders".replace("o_clerk", "concat('C', o_orderkey % 20, '_8')"))
+def unify_cohorts(t: Tables):
+    rows = t.orders.select("o_orderkey", F.expr(COHORT).alias("cohort"), F.expr("concat('C', o_orderkey % 20, '_8')").alias("current_cohort"))
+    return survey.unify_cohorts(rows)
+
+
 @query(
     "study_customer_features",
     """

@@ -11,6 +11,7 @@ from tabloom.operators.aggregate import group_median, pivot_multi
 from tabloom.operators.filters import drop_missing, rows_at_extreme, where
 from tabloom.operators.ranking import lag_diff, top_k
 from tabloom.operators.shape import rename
+from tabloom.plans.written import written
 
 # fixed values: limits, city and the words that go from a locality's name
 CITY = "санкт-петербург"
@@ -42,9 +43,9 @@ def clean_listings(df: DataFrame) -> DataFrame:
     open_kitchen = F.col("kitchen_area").isNull() & (F.coalesce("studio", F.lit(False)) | F.coalesce("open_plan", F.lit(False)))
     df = repair.conditional_set(df, open_kitchen, "kitchen_area", 0.0)
     df = repair.strip_tokens(df, "locality_name", LOCALITY_WORDS, ("ё", "е"))
-    outside = F.col("locality_name") != CITY
-    for col in ("airports_nearest", "city_centers_nearest"):
-        df = missing.fill_group_median(df, col, "locality_name", outside)
+    # what follows passes over the rows several times; they are written once, so that no pass repeats the steps above
+    df = written(df, "listings")
+    df = missing.fill_group_median(df, ["airports_nearest", "city_centers_nearest"], "locality_name", F.col("locality_name") != CITY)
     df = missing.fill_median(missing.fill_group_median(df, "parks_nearest", "locality_name"), "parks_nearest")
     return missing.fill_constant(
         df,
