@@ -80,11 +80,11 @@ def _together(spark: SparkSession, tasks: Sequence[Callable], parallelism: int)
 # ---------------------------------------------------------------------- trees
 
 
-def tree_nodes(spark: SparkSession, model) -> dict[int, dict]:
+def tree_nodes(spark: SparkSession, model, *more: str) -> dict[int, dict]:
     """Nodes of a fitted tree by number, as the model writes them; at most 2^(depth + 1) rows."""
     path = shared_dir(spark, "tree")
     model.write().save(path)
-    return {r["id"]: r.asDict() for r in spark.read.parquet(f"{path}/data").select("id", "prediction", "impurityStats", "leftChild", "rightChild").collect()}
+    return {r["id"]: r.asDict() for r in spark.read.parquet(f"{path}/data").select("id", "prediction", "impurityStats", "leftChild", "rightChild", *more).collect()}
 
 
 def cut_scores(nodes: dict[int, dict], depth: int) -> list[float]:

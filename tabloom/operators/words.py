@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.text import words
+from tabloom.plans.blocks import running_total
 from tabloom.plans.sizing import attach, pinned_if_small, value_table
 
 
@@ -31,16 +32,19 @@ def word_count(df: DataFrame, col: str, stop_words: DataFrame | Sequence[str] |
 def frequency_index(counts: DataFrame, list_size: int = 10_000) -> DataFrame:
     """Count → sorted word list, as ``num, part, words, word_count``.
 
-    ``word_count`` is the number of words with that count. Up to ``list_size``
-    words make one list (part 0). The words that occur once can be a third of a
-    vocabulary, so longer lists are dealt by hash to as many parts as keep each
-    near ``list_size``: every word is listed once, none is gathered with all.
+    ``word_count`` is the number of words with that count. A list is cut into
+    ranges of ``list_size`` words in sorted order, numbered from 0: the parts of a
+    count, one after the other, are its list. The words that occur once can be a
+    third of a vocabulary, so places come from one order over (count, word), cut
+    into blocks, and no task holds more than a block or a part.
     """
+    placed = running_total(counts, F.col("num"), F.col("word"), {"place": F.lit(1)})
     sizes = counts.groupBy("num").agg(F.count("word").alias("word_count"))
-    sized = attach(counts, sizes, ["num"], "inner")
-    parts = F.ceil(F.col("word_count") / list_size)
-    hashed = F.conv(F.substring(F.md5(F.col("word").cast("binary")), 1, 12), 16, 10).cast("long")
-    dealt = sized.withColumn("part", (hashed % parts).cast("long"))
+    # what lies before a count is the running size of the smaller ones: a row per count
+    upto = running_total(sizes, F.col("num"), F.col("num"), {"upto": F.col("word_count")})
+    known = upto.select("num", "word_count", (F.col("upto") - F.col("word_count")).alias("before"))
+    part = F.expr(f"(place - before - 1) div {int(list_size)}").alias("part")
+    dealt = attach(placed, known, ["num"], "inner").select("num", part, "word", "word_count")
     return dealt.groupBy("num", "part").agg(
         F.sort_array(F.collect_list("word")).alias("words"), F.max("word_count").alias("word_count")
     )

@@ -217,8 +217,8 @@ def a21(t: Tables):
 @query(
     "a22_frequency_index",
     f"""
-    with w as ({WORDS}), s as (select num, count(*) as word_count from w group by num),
-    p as (select word, num, word_count, ('0x' || substr(md5(word), 1, 12))::bigint % ceil(word_count / 5000)::bigint as part from w join s using (num))
+    with w as ({WORDS}), p as (select word, num, count(*) over (partition by num) as word_count,
+      (row_number() over (partition by num order by word) - 1) // 5000 as part from w)
     select num, part, string_agg(word, ',' order by word) as words, any_value(word_count) as word_count from p group by num, part
     """,
 )

@@ -152,6 +152,33 @@ def l7(t: Tables):
     return rounded(_fit_and_score(t, classify.tree_classifier(5), "none"))
 
 
+def _stump_table(t: Tables):
+    """Train and test part of documents with one number feature of few values."""
+    rows = written(examples(t).select("doc_id", "label", F.least(F.floor(F.col("n_chars") / 200), F.lit(12)).cast("double").alias("x")), "examples")
+    train, test = features.stratified_split(rows, "label", "doc_id")
+    return packed(train), test
+
+
+#: Train and test part, and the best cut of the train part by Gini impurity, with the share of each side; both sides are one where they predict the same.
+STUMP = f"""
+    d as (select doc_id, quality as y, least(floor(n_chars / 200), 12)::double as x, test from ({SPLIT}) join documents using (doc_id)),
+    v as (select x, lead(x) over (order by x) as nx from (select distinct x from d where not test)),
+    c as (select (v.x + nx) / 2 as cut, count_if(d.x <= (v.x + nx) / 2)::double as nl, sum(y) filter (d.x <= (v.x + nx) / 2)::double as pl,
+        count(*)::double as n, sum(y)::double as p from v, d where nx is not null and not test group by all),
+    g as (select *, 2 * (pl / nl) * (1 - pl / nl) * nl / n + 2 * ((p - pl) / (n - nl)) * (1 - (p - pl) / (n - nl)) * (n - nl) / n as gini from c),
+    b as (select *, (pl / nl > 0.5) = ((p - pl) / (n - nl) > 0.5) as same from g order by round(gini, 12), cut limit 1),
+    s as (select doc_id, y, case when same then p / n when x <= cut then pl / nl else (p - pl) / (n - nl) end as score from d, b where test)
+"""
+
+
+@query("l7_best_split", f"with {STUMP} select doc_id, round(score, 9) as score from s")
+def l7_split(t: Tables):
+    """A tree of depth 1 cuts where the Gini impurity falls most."""
+    train, test = _stump_table(t)
+    model = features.build_pipeline([], {}, ["x"], classify.tree_classifier(1), "none").fit(train)
+    return rounded(classify.score(model, test, ["doc_id"]).select("doc_id", "score"), 9)
+
+
 @query("l8_logistic")
 def l8(t: Tables):
     return rounded(_fit_and_score(t, classify.logistic(), "standard"), 3)
@@ -173,6 +200,16 @@ def l9(t: Tables):
     return rounded(_fit_and_score(t, classify.linear_svm(), "standard"), 3)
 
 
+@query("l9_wide_margin", f"select doc_id, (n_chars > 500)::int as prediction from ({SPLIT}) join documents using (doc_id) where test")
+def l9_margin(t: Tables):
+    """Classes that one feature separates with a wide margin are separated."""
+    rows = written(examples(t).select("doc_id", "label", F.when(F.col("n_chars") > 500, 3.0).otherwise(-3.0).alias("x"), (F.col("doc_id") % 3).alias("noise")), "examples")
+    train, test = features.stratified_split(rows, "label", "doc_id")
+    marked = lambda df: df.withColumn("label", (F.col("x") > 0).cast("double"))
+    model = features.build_pipeline([], {}, ["x", "noise"], classify.linear_svm(), "standard").fit(packed(marked(train)))
+    return classify.score(model, marked(test), ["doc_id"]).select("doc_id", F.col("prediction").cast("int").alias("prediction"))
+
+
 KNN = f"""
     with e as (select vec_id, label, embedding::double[] as v, row_number() over (partition by label order by {HASH.format(key='vec_id')}) <=
         floor(0.25 * count(*) over (partition by label) + 0.5) as test from embeddings),
@@ -305,6 +342,73 @@ def l12_test(t: Tables):
     return rounded(classify.auc_rank(scored, "label", "score"), 3)
 
 
+@query("l12_stump_on_test", f"with {STUMP}, ranked as (select *, {RANK.format(part='1').replace('order by s)', 'order by score)').replace('1, s)', '1, score)')} from s) select round({AUC}, 9) as auc from ranked")
+def l12_stump(t: Tables):
+    """ROC-AUC on the test part of a tree that one cut describes."""
+    train, test = _stump_table(t)
+    model = features.build_pipeline([], {}, ["x"], classify.tree_classifier(1), "none").fit(train)
+    return rounded(classify.auc_rank(classify.score(model, test, ["label"]), "label", "score"), 9)
+
+
+LOGITS = """
+    d as (select doc_id, lang, quality as y from documents join labels using (doc_id)),
+    m as (select lang, avg(y) as p from d group by lang), z as (select ln(p / (1 - p)) as a from m order by lang limit 1),
+    w as (select lang, ln(p / (1 - p)) - a as w, row_number() over (order by lang) - 2 as feature from m, z)
+"""
+
+
+@query(
+    "l13_linear_attribution",
+    f"""
+    with {LOGITS}, s as (select lang, count(*)::double / (select count(*) from d) as mean from d group by lang)
+    select doc_id, feature::int as feature, abs(round(w * ((d.lang = w.lang)::int - mean), 1)) as phi from d, w join s on s.lang = w.lang where feature >= 0
+    """,
+)
+def l13_linear(t: Tables):
+    """With one category and no penalty, weights are differences of the groups' log-odds; rounded to what the fit converges to."""
+    rows = written(examples(t).select("doc_id", "lang", "label"), "examples")
+    data = features.build_pipeline(["lang"], {}, [], None).fit(rows).transform(rows)
+    model = classify.logistic().fit(packed(data))
+    phi = attribution.linear_attribution(model, data, "doc_id", data)
+    return phi.select("doc_id", "feature", F.abs(F.round("phi", 1)).alias("phi"))
+
+
+@query(
+    "l13_tree_attribution",
+    f"""
+    with {STUMP}, z as (select avg(case when same then p / n when x <= cut then pl / nl else (p - pl) / (n - nl) end) as base from d, b where not test)
+    select doc_id, 0::int as feature, abs(round(score - base, 9)) as phi from s, z
+    """,
+)
+def l13_tree(t: Tables):
+    """A tree of one cut: its only feature carries the whole change of the score."""
+    train, test = _stump_table(t)
+    prep = features.build_pipeline([], {}, ["x"], None, "none").fit(train)
+    model = classify.tree_classifier(1).fit(prep.transform(train))
+    phi = attribution.tree_attribution(model, prep.transform(test), "doc_id", 1, prep.transform(train))
+    return phi.select("doc_id", "feature", F.abs(F.round("phi", 9)).alias("phi"))
+
+
+@query(
+    "l13_permutation_importance_of_one_cut",
+    f"""
+    with {STUMP}, h as (select doc_id, y, score, ('0x' || substr(md5(doc_id::varchar || ':42'), 1, 13))::bigint as h1,
+        ('0x' || substr(md5(doc_id::varchar || ':43'), 1, 13))::bigint as h2 from s),
+    k as (select *, row_number() over (order by h1, h2) as take, row_number() over (order by h2, h1) as give from h),
+    a as (select a.y, a.score as own, b.score as other from k a join k b on a.take = b.give),
+    whole as (select {AUC} as auc from (select y, rank() over (order by own) + (count(*) over (partition by own) - 1) / 2 as r from a)),
+    mixed as (select {AUC} as auc from (select y, rank() over (order by other) + (count(*) over (partition by other) - 1) / 2 as r from a))
+    select 'x' as feature, abs(round(whole.auc - mixed.auc, 9)) as loss from whole, mixed
+    """,
+)
+def l13_cut_importance(t: Tables):
+    train, test = _stump_table(t)
+    prep = features.build_pipeline([], {}, ["x"], None, "none").fit(train)
+    model = classify.tree_classifier(1).fit(prep.transform(train))
+    out = attribution.permutation_importance(model, prep.transform(test), "doc_id", "label", ["x"])
+    return out.select("feature", F.abs(F.round("loss", 9)).alias("loss"))
+
+
 @query("l13_attribution")
 def l13(t: Tables):
     train, test = split_examples(t)

@@ -81,6 +81,22 @@ def n4_phi(t: Tables):
     return rounded(stats.association_matrix(t.lineitem, cols, ["l_quantity", "l_extendedprice"]))
 
 
+@query(
+    "n4_phi_k_of_two_by_two",
+    """
+    with c as (select (l_quantity > 25)::int as x, (l_extendedprice > 20000)::int as y, count(*)::double as n from lineitem group by all),
+    k as (select any_value(tot) as n, any_value(tot) * (sum(n * n / (nx * ny)) - 1) as chi2
+      from (select *, sum(n) over (partition by x) as nx, sum(n) over (partition by y) as ny, sum(n) over () as tot from c))
+    select 'big' as a, 'dear' as b, round(case when chi2 <= 1 then 0
+      else sin(pi() / 2 * sqrt((chi2 - 1) / (n - 1) * pow(2 * asin(1 - 1e-6) / pi(), 2))) end, 4) as phi_k from k
+    """,
+)
+def n4_two(t: Tables):
+    """Of two halves each, χ² per row is (2 asin ρ / π)²; φk is that curve read backwards, above the noise level."""
+    rows = t.lineitem.select((F.col("l_quantity") > 25).cast("string").alias("big"), (F.col("l_extendedprice") > 20000).cast("string").alias("dear"))
+    return rounded(stats.association_matrix(rows, ["big", "dear"], []).select("a", "b", "phi_k"), 4)
+
+
 @query(
     "n5_sample_skewness",
     " union all ".join(f"select '{c}' as \"column\", round(skewness({c}), 6) as skewness from lineitem" for c in LINE),

@@ -117,3 +117,61 @@ def test_spaces_are_apart(spark):
         for i, want in enumerate(_pairs(np.array(own[20:]), np.array(own[:20]), 4)):
             assert [r.near_id - 20 for r in sorted(got, key=lambda r: r.place) if (r.space, r.query_id) == (s, i)] == want
     assert nearest.k_nearest(df, df.filter("id < 0"), 4, "id", "v", "y").count() == 0
+
+
+def _plain_shapley(score, x, z):
+    """Average over all orders of what a feature adds when it turns from the background row into the row."""
+    from itertools import permutations
+
+    phi, orders = np.zeros(len(x)), list(permutations(range(len(x))))
+    for order in orders:
+        now = z.copy()
+        for f in order:
+            before = score(now)
+            now[f] = x[f]
+            phi[f] += (score(now) - before) / len(orders)
+    return phi
+
+
+def test_exact_attribution_of_trees_and_margins(spark, rows):
+    from tabloom.models import attribution
+
+    prep = build_pipeline(CAT, ORDER, NUM, None, "none").fit(rows)
+    data = prep.transform(rows)
+    base, some = data.filter("id < 23"), data.filter("id >= 590")
+    vectors = {r.id: r.x for r in data.select("id", vector_to_array("features").alias("x")).collect()}
+    tree = classify.tree_classifier(4).fit(data)
+    boxes = attribution.tree_leaves(spark, tree)
+
+    def of_tree(v):
+        return next(value for value, box in boxes if all(a < v[f] <= b for f, (a, b) in box.items()))
+
+    scored = {r.id: r.score for r in classify.score(tree, some, ["id"]).collect()}
+    assert all(of_tree(np.array(vectors[i])) == pytest.approx(s) for i, s in scored.items())
+    linear = classify.logistic(penalty=0.05).fit(data)
+    weights = linear.coefficients.toArray()
+    n = len(weights)
+    found = {"tree": attribution.tree_attribution(tree, some, "id", n, base.repartition(4)), "linear": attribution.linear_attribution(linear, some, "id", base)}
+    for name, score in (("tree", of_tree), ("linear", lambda v: float(weights @ v))):
+        got = {}
+        for r in found[name].collect():
+            got.setdefault(r.id, np.zeros(n))[r.feature] = r.phi
+        assert len(got) == 10
+        for i in list(got)[:3]:
+            want = np.mean([_plain_shapley(score, np.array(vectors[i]), np.array(vectors[k])) for k in range(23)], axis=0)
+            assert np.allclose(got[i], want, atol=1e-9)
+
+
+def test_sampled_attribution_tends_to_the_exact_one(spark, rows):
+    from tabloom.models import attribution
+
+    data = build_pipeline([], {}, NUM, None, "none").fit(rows).transform(rows)
+    tree = classify.tree_classifier(3).fit(data)
+    base, some = data.filter("id < 10"), data.filter("id >= 580")
+    exact = {(r.id, r.feature): r.phi for r in attribution.tree_attribution(tree, some, "id", 2, base).collect()}
+    # two features have two orders; many draws hold both about equally often
+    sampled = attribution.attribution(tree, some.select("id", "features"), "id", 2, base, n_perm=200)
+    assert all(abs(exact[r.id, r.feature] - r.phi) < 0.08 for r in sampled.collect())
+    with pytest.raises(Exception, match="at most"):
+        wide = spark.range(6000).select(F.lit(1.0).alias("a"), F.lit(2.0).alias("b"), F.col("id"))
+        attribution.attribution(tree, some.select("id", "features"), "id", 2, build_pipeline([], {}, NUM, None, "none").fit(rows).transform(wide), n_perm=1).collect()

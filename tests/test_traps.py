@@ -131,6 +131,8 @@ def test_frequency_index_lists_every_word_once(spark, list_size):
     listed = sorted(w for r in rows for w in r.words)
     assert listed == [f"w{i:02}" for i in range(40)]
     assert all(r.word_count == (30 if r.num == 1 else 1) and r.words == sorted(r.words) for r in rows)
+    ones = sorted((r.part, r.words) for r in rows if r.num == 1)
+    assert [p for p, _ in ones] == list(range(len(ones))) and [w for _, ws in ones for w in ws] == [f"w{i:02}" for i in range(30)]
 
 
 def test_keyed_mean(spark):
