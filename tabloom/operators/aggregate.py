@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.plans.quantiles import exact_quantiles
-from tabloom.plans.sizing import attach, value_table
+from tabloom.plans.sizing import MAX_ROWS, attach, value_table
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
@@ -70,7 +70,8 @@ def dense_counts(df: DataFrame, col: str, lo: int, hi: int, step: int = 1) -> Da
     counts = df.filter(on_grid).groupBy(F.col(col).cast("long").alias(col)).agg(F.count(F.lit(1)).alias("n"))
     grid = df.sparkSession.range(lo, hi + 1, step).toDF(col)
     # counts holds at most one row per grid point
-    return grid.join(F.broadcast(counts), col, "left").select(col, F.coalesce("n", F.lit(0)).alias("n"))
+    points = (hi - lo) // step + 1
+    return grid.join(F.broadcast(counts) if points <= MAX_ROWS else counts, col, "left").select(col, F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def category_share(df: DataFrame, col: str) -> DataFrame:

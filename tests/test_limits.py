@@ -358,3 +358,22 @@ def test_many_columns_are_profiled_in_a_few_passes(spark):
         assert [r.min, r.p50, r.p90, r.p95, r.max, r.mean] == pytest.approx([*pdf[c].quantile([0, 0.5, 0.9, 0.95, 1]), pdf[c].mean()])
         assert r.complete == pytest.approx(pdf[c].notna().mean())
     assert got["empty"][:] [1:] == (0.0, None, None, None, None, None, None)
+
+
+def test_intermediate_tables_can_be_dropped(spark):
+    import os
+
+    from tabloom.plans.written import written
+    from tabloom.session import drop_written
+
+    path = written(spark.range(5), "dropped").inputFiles()[0].removeprefix("file:")
+    assert os.path.exists(path) and drop_written(spark) > 0 and not os.path.exists(path) and drop_written(spark) == 0
+
+
+@pytest.mark.parametrize("limit", [3, 50_000])
+def test_dense_counts_on_both_sides_of_the_limit(spark, monkeypatch, limit):
+    from tabloom.operators import aggregate
+
+    monkeypatch.setattr(aggregate, "MAX_ROWS", limit)
+    df = spark.createDataFrame([(2,), (2,), (4,), (99,), (None,)], "x int")
+    assert sorted(map(tuple, aggregate.dense_counts(df, "x", 0, 8, 2).collect())) == [(0, 0), (2, 2), (4, 1), (6, 0), (8, 0)]
