@@ -157,8 +157,8 @@ def _shortened(name: Column, letters: int) -> Column:
 
 def _deletion_matches(names_l: DataFrame, names_r: DataFrame, share: float, letters: int) -> DataFrame:
     """Pairs that share a text with up to ``letters`` letters left out: among them all that far apart in edits."""
-    l = names_l.select("_l", F.explode(_shortened(F.col("_l"), letters)).alias("_text"))  # noqa: E741
-    r = names_r.select("_r", F.explode(_shortened(F.col("_r"), letters)).alias("_text"))
+    l = names_l.select("_l", F.explode_outer(_shortened(F.col("_l"), letters)).alias("_text"))  # noqa: E741
+    r = names_r.select("_r", F.explode_outer(_shortened(F.col("_r"), letters)).alias("_text"))
     longer = F.greatest(F.length("_l"), F.length("_r"))
     allowed = (F.abs(F.length("_l") - F.length("_r")) <= letters) & (_edits(longer, share) >= letters)
     return l.join(r, "_text").filter(allowed).select("_l", "_r").distinct()

@@ -19,7 +19,8 @@ def word_count(df: DataFrame, col: str, stop_words: DataFrame | Sequence[str] |
     distinct word instead of one per occurrence. A stop list given as a table
     is broadcast only if it is small.
     """
-    found = df.select(F.explode(words(F.col(col))).alias("word")).filter(F.col("word") != "")
+    # the outer form: of a plain explode the optimizer infers a filter on the array's size, and cuts the text twice
+    found = df.select(F.explode_outer(words(F.col(col))).alias("word")).filter(F.col("word") != "")
     counts = found.groupBy("word").agg(F.count(F.lit(1)).alias("num"))
     if stop_words is None:
         return counts
