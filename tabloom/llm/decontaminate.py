@@ -2,10 +2,12 @@
 
 Test items and training texts are lower-cased (A-Z) and cut into words. Every
 run of ``width`` words of an item is a window; an item of fewer words is one
-window. Training windows of the lengths that occur are looked up in the set of
-test windows. The window's own words are the join key, so the equality that
-finds a hit also verifies it. A set measured to be small is broadcast as a hash
-table and the texts do not move; a larger one is joined by shuffle.
+window. Words are hashed once, and a window's hash is taken from its words' hashes.
+Training windows of the lengths that occur are looked up in the set of test
+window hashes; a window's words are put together only for what is found, and
+joined with the test windows' words, so equality verifies every hit. A hash set measured to be
+small is broadcast and the texts do not move; a larger one is joined by shuffle,
+without the texts, and the texts with findings are read again.
 
 Cases: a null text has no words and is clean; a null item text gives no window;
 a null item id is written as the empty string; repeated items count once;
@@ -22,6 +24,8 @@ from tabloom.llm.files import free_name
 from tabloom.llm.measured import measured
 from tabloom.plans.written import written
 
+#: Test windows whose hashes are broadcast: 8 bytes each.
+MAX_KEYS = 1_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: A word of the raw text with what follows it up to the next word.
@@ -50,28 +54,61 @@ def test_windows(items: DataFrame, width: int = 10, id_col: str = "item_id", tex
     return each.groupBy("window", "n").agg(F.collect_set("item").alias("items"))
 
 
-def hits(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document with hits: key, ``spans`` (first word, word after the last; sorted) and ``items``."""
-    tests = written(test_windows(items, width), "test-windows")
+def _hashed(w: Column, i: Column, n: Column | int) -> Column:
+    """Hash of n words from place i on (0-based), from the hashes of the words."""
+    return F.xxhash64(F.slice(w, i + 1, n))
+
+
+def _word_hashes(w: Column) -> Column:
+    return F.transform(w, lambda x: F.xxhash64(x))
+
+
+NONE = "array<struct<at:int,n:int,g:bigint>>"
+
+
+def seen(docs: DataFrame, tests: DataFrame, id_col: str, text_col: str, with_rows: bool) -> DataFrame:
+    """A written table of the windows found by hash: ``k, h, at, n, window``; with ``with_rows`` also a row per document (at -1) with ``doc_id`` and ``n_words``."""
     lengths = sorted(r["n"] for r in tests.select("n").distinct().collect())  # at most ``width`` rows
-    tests = measured(tests)
-    every = _keyed(docs, id_col, text_col)
+    keys = written(tests.select(_hashed(_word_hashes(F.split("window", " ")), F.lit(0), F.col("n")).alias("g")).distinct(), "test-hashes")
+    small = measured(keys, MAX_KEYS) is not keys
+    every = _keyed(docs, id_col, text_col).withColumn("hw", _word_hashes(F.col("w")))
 
     def windows(n: int) -> Column:
-        starts = F.sequence(F.lit(0), F.size("w") - n)
-        made = F.transform(starts, lambda i: F.struct(i.alias("at"), F.lit(n).alias("n"), F.array_join(F.slice("w", i + 1, n), " ").alias("window")))
-        return F.when(F.size("w") >= n, made)
-
-    empty = F.array().cast("array<struct<at:int,n:int,window:string>>")
-    all_windows = F.concat(*(F.coalesce(windows(n), empty) for n in lengths)) if lengths else empty
-    found = every.select("k", "h", F.explode(all_windows).alias("x")).select("k", "h", "x.at", "x.n", "x.window")
-    found = found.join(tests.select("window", "items"), "window")
+        starts = F.sequence(F.lit(0), F.size("hw") - n)
+        return F.when(F.size("hw") >= n, F.transform(starts, lambda i: F.struct(i.alias("at"), F.lit(n).alias("n"), _hashed(F.col("hw"), i, n).alias("g"))))
+
+    empty = F.array().cast(NONE)
+    parts = [F.coalesce(windows(n).cast(NONE), empty) for n in lengths]
+    here = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("n"), F.lit(None).cast("long").alias("g"))).cast(NONE)
+    window = F.array_join(F.slice("w", F.greatest(F.col("at"), F.lit(0)) + 1, F.col("n")), " ")
+    out = ["k", "h", "at", "n", F.when(F.col("at") >= 0, window).alias("window"), F.when(F.col("at") < 0, F.col("doc_id")).alias("doc_id"), F.when(F.col("at") < 0, F.size("w").cast("long")).alias("n_words")]
+    # the outer form: of a plain explode the optimizer infers a filter on the array's size, and makes the windows twice
+    if small:
+        each = every.withColumn("x", F.concat(*([here] if with_rows else []), *parts, empty)).select("doc_id", "k", "h", "w", F.explode_outer("x").alias("x")).select("doc_id", "k", "h", "w", "x.*")
+        found = each.join(F.broadcast(keys.withColumn("hit", F.lit(True))), "g", "left").filter(F.col("hit") | (F.col("at") < 0))
+        return written(found.select(*out), "test-seen")
+    each = every.withColumn("x", F.concat(*parts, empty)).select("k", "h", F.explode_outer("x").alias("x")).select("k", "h", "x.*")
+    places = each.join(keys, "g").groupBy("k", "h").agg(F.collect_set(F.struct("at", "n")).alias("x"))
+    again = _keyed(docs, id_col, text_col).dropDuplicates(["k", "h"]).join(places, ["k", "h"]).select("doc_id", "k", "h", "w", F.inline("x"))
+    rows = _keyed(docs, id_col, text_col).withColumns({"at": F.lit(-1), "n": F.lit(0)}).select(*again.columns)
+    return written((again.unionByName(rows) if with_rows else again).select(*out), "test-seen")
+
+
+def _spans(found: DataFrame, tests: DataFrame) -> DataFrame:
+    """Per document with hits: key, ``spans`` (first word, word after the last; sorted) and ``items``."""
+    both = found.filter("at >= 0").select("k", "h", "at", "n", "window").join(measured(tests).select("window", "items"), "window")
     span = F.struct(F.col("at").alias("at"), (F.col("at") + F.col("n")).alias("end"))
-    return found.groupBy("k", "h").agg(
+    return both.groupBy("k", "h").agg(
         F.array_sort(F.collect_set(span)).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
     )
 
 
+def hits(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document with hits: key, ``spans`` (first word, word after the last; sorted) and ``items``."""
+    tests = written(test_windows(items, width), "test-windows")
+    return _spans(seen(docs, tests, id_col, text_col, with_rows=False), tests)
+
+
 def covered(spans: Column) -> Column:
     """Number of words inside the union of sorted spans."""
     start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("upto"))
@@ -85,9 +122,10 @@ def covered(spans: Column) -> Column:
 
 def report(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: words, hit words, test items, checksum of the item ids, verdict."""
-    found = hits(docs, items, width, id_col, text_col)
-    every = _keyed(docs, id_col, text_col).select("doc_id", "k", "h", F.size("w").cast("long").alias("n_words"))
-    both = every.join(found, ["k", "h"], "left")
+    tests = written(test_windows(items, width), "test-windows")
+    rows = seen(docs, tests, id_col, text_col, with_rows=True)
+    found = _spans(rows, tests)
+    both = rows.filter("at < 0").select("doc_id", "k", "h", "n_words").join(found, ["k", "h"], "left")
     n_hit = F.coalesce(covered(F.col("spans")), F.lit(0).cast("long"))
     return both.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),

@@ -178,7 +178,8 @@ def occurrences(docs: DataFrame, patterns: DataFrame, own: DataFrame) -> DataFra
     w = docs.select("k", "h", F.split(F.col("text"), SPACE + "+").alias("w"))
     triples = F.transform(F.sequence(F.lit(2), F.size("w") - 1), lambda i: F.struct(
         F.lower(F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1))).alias("pattern"), i.alias("at"), _run(F.col("w"), i).alias("run")))
-    each = w.filter(F.size("w") > 2).select("k", "h", F.explode(triples).alias("x")).select("k", "h", "x.pattern", "x.at", "x.run")
+    # the outer form: of a plain explode the optimizer infers a filter on the array's size, and makes the triples twice
+    each = w.filter(F.size("w") > 2).select("k", "h", F.explode_outer(triples).alias("x")).select("k", "h", "x.pattern", "x.at", "x.run")
     found = each.filter(F.col("run") != "").join(known, "pattern")
     found = found.join(own.withColumn("own", F.lit(True)), ["k", "h", "at"], "left")
     found = found.withColumn("own", F.coalesce("own", F.lit(False))).withColumn("shape", _shape(F.col("run"), F.col("numeric"), F.col("mail")))
@@ -187,19 +188,38 @@ def occurrences(docs: DataFrame, patterns: DataFrame, own: DataFrame) -> DataFra
 
 
 def confident(seen: DataFrame, seeded: DataFrame, rounds: int, confidence: float) -> DataFrame:
-    """Patterns above the confidence after some rounds of scoring patterns by instances and instances by patterns."""
+    """Patterns above the confidence after some rounds of scoring patterns by instances and instances by patterns.
+
+    Most edges never change what a round finds and are folded into counts per
+    pattern: a seed scores 1, an instance without the shape of an identifier 0, and one
+    behind a single pattern that pattern's confidence. The rounds join only
+    the identifiers that stand behind several patterns.
+    """
     edges = seen.select("pattern", "instance", "own", (F.col("shape") != "").alias("shaped"))
     edges = written(edges.groupBy("pattern", "instance", "own", "shaped").agg(F.count(F.lit(1)).alias("n")), "pii-edges")
-    known = seeded.select("instance").distinct().withColumn("known", F.lit(1.0))
-    scored = edges.join(known, "instance", "left").withColumn("seed", F.when(F.col("own"), 1.0).otherwise(F.col("known"))).drop("known")
-    scored = written(scored.withColumn("score", F.coalesce("seed", F.lit(0.0))), "pii-scores")
+    known = written(seeded.select("instance").distinct(), "pii-known")
+    total = lambda df, name: df.groupBy("pattern").agg(F.sum("n").alias(name))
+    others = edges.filter(~F.col("own"))
+    open_edges = written(others.filter("shaped").join(known, "instance", "left_anti").select("pattern", "instance", "n"), "pii-open")
+    # every pattern an open instance stands behind counts for its best one
+    behind = edges.select("pattern", "instance").distinct().join(open_edges.select("instance").distinct(), "instance", "left_semi")
+    behind = written(behind, "pii-behind")
+    several = written(behind.groupBy("instance").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("instance"), "pii-several")
+    shared = written(behind.join(several, "instance", "left_semi"), "pii-shared")
+    moving = written(open_edges.join(several, "instance", "left_semi"), "pii-moving")
+    parts = edges.groupBy("pattern").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("own"), F.col("n")).otherwise(0)).alias("own"))
+    parts = parts.join(total(others.join(known, "instance", "left_semi"), "seeds"), "pattern", "left")
+    parts = parts.join(total(open_edges.join(several, "instance", "left_anti"), "single"), "pattern", "left").na.fill(0)
+    parts = written(parts, "pii-parts")
+    fixed = F.col("own") + F.col("seeds")
+    now = written(parts.select("pattern", (fixed / F.col("all")).alias("confidence")), "pii-confidence")
     for _ in range(rounds):
-        mean = scored.groupBy("pattern").agg((F.sum(F.col("n") * F.col("score")) / F.sum("n")).alias("confidence"))
-        best = scored.select("pattern", "instance").join(mean, "pattern").groupBy("instance").agg(F.max("confidence").alias("best"))
-        scored = scored.join(best, "instance").withColumn("score", F.coalesce("seed", F.when(F.col("shaped"), F.col("best")).otherwise(F.lit(0.0)))).drop("best")
-        scored = written(scored, "pii-scores")
-    mean = scored.groupBy("pattern").agg((F.sum(F.col("n") * F.col("score")) / F.sum("n")).alias("confidence"))
-    return mean.filter(F.col("confidence") >= confidence)
+        best = shared.join(now, "pattern").groupBy("instance").agg(F.max("confidence").alias("best"))
+        gain = moving.join(best, "instance").groupBy("pattern").agg(F.sum(F.col("n") * F.col("best")).alias("gain"))
+        both = parts.join(now, "pattern").join(gain, "pattern", "left")
+        mean = (fixed + F.col("single") * F.col("confidence") + F.coalesce("gain", F.lit(0.0))) / F.col("all")
+        now = written(both.select("pattern", mean.alias("confidence")), "pii-confidence")
+    return now.filter(F.col("confidence") >= confidence)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -46,7 +46,7 @@ def cases():
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_report_matches_plain_python(spark, docs_of, monkeypatch, broadcast):
     if not broadcast:
-        monkeypatch.setattr(D, "measured", lambda df: df)
+        monkeypatch.setattr(D, "measured", lambda df, *_: df)
     docs, items = cases()
     bench = spark.createDataFrame([(i, t, 1, "w") for i, t in items], "item_id long, text string, n int, window string")
     got = D.report(docs_of(docs), bench)

@@ -97,3 +97,41 @@ def test_seeds_with_blanks_and_shapes_by_kind(spark, docs_of):
     assert got[150] == at(150, "jane[at]mail") and got[152] == ""
     check(personal_data(docs_of(list(texts.items()))), texts)
     assert got[151] == at(151, "jane [at] mail [dot] com")
+
+
+def test_scoring_rounds_equal_a_plain_loop(spark):
+    """A random graph of patterns and instances, scored as the docstring says, edge by edge."""
+    import random
+
+    from tabloom.llm.pii_bootstrap import confident
+
+    rng = random.Random(3)
+    for support in (4, 40):
+        seen = []
+        for k in range(700):
+            shaped, own = rng.random() < 0.6, rng.random() < 0.2
+            instance = f"{'id' if shaped else 'w'}{rng.randrange(support * 6)}"
+            seen.append((str(k), k, k, f"p{rng.randrange(9)}", own, instance if shaped else "", instance))
+        seeded = [("p0", f"id{i}", "card") for i in range(0, support * 6, 5)]
+        edges = [(p, i, own, s != "") for _, _, _, p, own, s, i in seen]
+        known = {i for _, i, _ in seeded}
+        score = [1.0 if own or i in known else 0.0 for _, i, own, _ in edges]
+
+        def confidence():
+            out = {}
+            for (p, *_), s in zip(edges, score):  # noqa: B023
+                out.setdefault(p, []).append(s)
+            return {p: sum(v) / len(v) for p, v in out.items()}
+
+        for _ in range(3):
+            now = confidence()
+            best = {}
+            for p, i, *_ in edges:
+                best[i] = max(best.get(i, 0.0), now[p])
+            score = [1.0 if own or i in known else best[i] if shaped else 0.0 for _, i, own, shaped in edges]
+        got = confident(
+            spark.createDataFrame(seen, "k string, h long, at int, pattern string, own boolean, shape string, instance string"),
+            spark.createDataFrame(seeded, "pattern string, instance string, kind string"), 3, 0.0)
+        want = confidence()
+        found = {r.pattern: r.confidence for r in got.collect()}
+        assert set(found) == set(want) and all(abs(found[p] - want[p]) < 1e-12 for p in want)
