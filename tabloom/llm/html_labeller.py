@@ -48,7 +48,7 @@ WORDS = re.compile(r"[A-Za-z]+")
 #: Elements whose content is not text of the page.
 HIDDEN = frozenset("script style template noscript title textarea select option svg math iframe object canvas audio video head".split())
 #: Of these the content is skipped as raw text, whatever it looks like.
-RAW = frozenset("script style title textarea iframe noscript template svg math".split())
+RAW = frozenset("script style title textarea iframe noscript template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -300,7 +300,8 @@ class Labeller:
         rng, order = np.random.default_rng(seed), np.argsort([len(p) for p in pages], kind="stable")
         groups = [order[k : k + 32] for k in range(0, len(order), 32)]
         hidden = self.ahead.h
-        for _ in range(epochs):
+        # few pages make few groups: as many steps are taken as a full sample takes
+        for _ in range(max(epochs, -(-LEAST_STEPS // len(groups)))):
             for g in rng.permutation(len(groups)):
                 some = groups[g]
                 x, back, mask, lengths, tape_a, tape_b, joined, p = self._run([pages[k] for k in some], True)
@@ -364,6 +365,12 @@ def training_set(pages: list[list[Block]], seed: int = 0) -> tuple[list[list[Blo
     return out, labels
 
 
+#: Steps of a fit at least.
+LEAST_STEPS = 200
+#: Pages that are learned from where all are longer than ``train_chars``.
+LONG_PAGES = 4
+
+
 def train(pages: DataFrame, train_pages: int = 256, train_chars: int = 100_000, id_col: str = "page_id", html_col: str = "html") -> Labeller | None:
     usable = pages.filter(F.col(html_col).isNotNull() & (F.length(html_col) <= train_chars))
     keys = usable.select(F.xxhash64(F.col(id_col).cast("string"), html_col).alias("_k"), F.col(html_col).alias("h"))
@@ -371,6 +378,10 @@ def train(pages: DataFrame, train_pages: int = 256, train_chars: int = 100_000,
     cut = keys.select("_k").orderBy("_k").limit(train_pages).agg(F.max("_k")).first()[0]
     chosen = keys.filter(F.col("_k") <= cut).dropDuplicates(["_k"]) if cut is not None else keys.limit(0)
     sample = [r.h for r in sorted(chosen.collect(), key=lambda r: r["_k"])]
+    if not sample:  # long pages only: a few of the shortest
+        length = F.length(html_col)
+        few = pages.filter(length > 0).select(length.alias("n"), F.xxhash64(F.col(id_col).cast("string"), html_col).alias("_k"), F.col(html_col).alias("h"))
+        sample = [r.h for r in few.orderBy("n", "_k").limit(LONG_PAGES).collect()]
     found = [b for b in map(blocks, sample) if b]
     if not found:
         return None

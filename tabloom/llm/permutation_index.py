@@ -80,15 +80,25 @@ class Postings:
         self.start = np.searchsorted(flat[order], np.arange(n_pivots + 1))
 
     def footrule(self, own: np.ndarray) -> np.ndarray:
-        """Distances of a query's permutation to every row of the block."""
-        last = self.prefix
-        # all of a row's and the query's pivots missing from the other: the sum of (last - place) on both sides
-        total = np.full(self.n, last * (last + 1), np.int32)
-        for mine, pivot in enumerate(own.tolist()):
-            a, b = self.start[pivot], self.start[pivot + 1]
-            rows, place = self.rows[a:b], self.place[a:b]
-            total[rows] += np.abs(place - mine) - (last - place) - (last - mine)
-        return total
+        """Distances of a query's permutation to every row of the block.
+
+        Without a shared pivot both sides' (last - place) add up to last * (last + 1);
+        a shared one takes 2 * (last - the later of its two places) off.
+        """
+        last, a, b = self.prefix, self.start[own], self.start[own + 1]
+        spans = list(zip(a.tolist(), b.tolist()))
+        rows, place = (np.concatenate([x[p:q] for p, q in spans]) for x in (self.rows, self.place))
+        later = np.maximum(place, np.repeat(np.arange(len(own), dtype=np.int32), b - a))
+        shared = np.bincount(rows, weights=last - later, minlength=self.n)
+        return (last * (last + 1) - 2 * shared).astype(np.int32)
+
+
+def first_k(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k largest scores, ties to smaller ids."""
+    if len(score) <= k:
+        return np.lexsort((ids, -score))
+    some = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
+    return some[np.lexsort((ids[some], -score[some]))[:k]]
 
 
 def search(block: dict, queries: dict, k: int, share: float, n_pivots: int):
@@ -103,7 +113,7 @@ def search(block: dict, queries: dict, k: int, share: float, n_pivots: int):
         rows = np.argpartition(key, take - 1)[:take] if take < n else tie
         rows = rows[ids[rows] != q_id]
         score = np.einsum("ij,j->i", x[rows], q)
-        best = np.lexsort((ids[rows], -score))[:k]
+        best = first_k(score, ids[rows], k)
         out_q += [q_id] * len(best)
         out_v += ids[rows[best]].tolist()
         out_s += score[best].tolist()

@@ -74,3 +74,24 @@ def test_extraction_of_every_page(spark):
     assert np.mean([(k, t) in got for k, (_, t) in enumerate(made)]) >= 0.95
     assert dict(got)[500] == "" and dict(got)[None] == "" and len([g for g in got if g[0] == 7]) == 2
     assert H.extract(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_svg_and_math_hide_only_themselves():
+    from tabloom.llm.html_labeller import blocks
+
+    for icon in ("<svg viewBox='0 0 1 1'/>", "<svg><path d='M0'/><svg><text>in</text></svg><text>out</text></svg>", "<math><mi>x</mi></math>", "<math/>", "<svg><g>open</article>"):
+        page = f"<html><body><article><p>Before it.</p>{icon}<p>After it.</p></article><p>End.</p></body></html>"
+        texts = [b.text for b in blocks(page)]
+        assert texts[0] == "Before it." and texts[-1] == "End.", (icon, texts)
+        assert "open" not in texts and "in" not in texts and "out" not in texts
+        assert "After it." in texts or icon.endswith("</article>")
+
+
+def test_a_table_of_long_pages_only(spark):
+    from tabloom.llm.html_labeller import extract
+
+    long = "".join(f"<p>Paragraph number {k} tells something about the matter, in a whole sentence.</p>" for k in range(60))
+    menu = "<nav><ul>" + "".join(f"<li><a href='/{k}'>Menu {k}</a></li>" for k in range(20)) + "</ul></nav>"
+    rows = [(k, f"u{k}", f"<html><body>{menu}<article><h1>Title {k}</h1>{long}</article><footer>Copyright {k}</footer></body></html>") for k in range(6)]
+    got = extract(spark.createDataFrame(rows, "page_id long, url string, html string"), train_chars=500).collect()
+    assert all("Paragraph number 59 tells" in r.text and f"Title {r.page_id}" in r.text and "Menu 3" not in r.text and "Copyright" not in r.text for r in got)
