@@ -172,7 +172,8 @@ def _shape(run: Column, numeric: Column, mail: Column) -> Column:
 def occurrences(docs: DataFrame, patterns: DataFrame, own: DataFrame) -> DataFrame:
     """Every place in all texts where a pattern stands before a word: document key, word number, run, and whether a base span is there.
 
-    ``own(k, h, at)`` are the words of base spans.
+    ``own(k, h, own)`` lists the numbers of the words in base spans per document; it meets
+    a document's occurrences as one row, so the join grows with the documents.
     """
     known = measured(patterns)
     w = docs.select("k", "h", F.split(F.col("text"), SPACE + "+").alias("w"))
@@ -181,8 +182,11 @@ def occurrences(docs: DataFrame, patterns: DataFrame, own: DataFrame) -> DataFra
     # the outer form: of a plain explode the optimizer infers a filter on the array's size, and makes the triples twice
     each = w.filter(F.size("w") > 2).select("k", "h", F.explode_outer(triples).alias("x")).select("k", "h", "x.pattern", "x.at", "x.run")
     found = each.filter(F.col("run") != "").join(known, "pattern")
-    found = found.join(own.withColumn("own", F.lit(True)), ["k", "h", "at"], "left")
-    found = found.withColumn("own", F.coalesce("own", F.lit(False))).withColumn("shape", _shape(F.col("run"), F.col("numeric"), F.col("mail")))
+    per_doc = found.groupBy("k", "h").agg(F.collect_list(F.struct("at", "pattern", "run", "numeric", "mail")).alias("x"))
+    marked = per_doc.join(own, ["k", "h"], "left").withColumn("own", F.coalesce("own", F.array().cast("array<int>")))
+    flag = lambda x: F.struct(x.alias("x"), F.array_contains("own", x["at"]).alias("own"))
+    found = marked.select("k", "h", F.explode_outer(F.transform("x", flag)).alias("y")).select("k", "h", "y.x.*", "y.own")
+    found = found.withColumn("shape", _shape(F.col("run"), F.col("numeric"), F.col("mail")))
     bare = F.when(F.col("shape") != "", F.col("shape")).otherwise(_bare(F.get(F.split("run", " "), F.lit(0))))
     return found.select("k", "h", "at", "pattern", "own", "shape", bare.alias("instance"))
 
@@ -248,7 +252,7 @@ def personal_data(
     if patterns.isEmpty():
         added = None
     else:
-        words = spans.select("k", "h", F.explode("own").alias("at")).distinct()
+        words = spans.filter(F.size("own") > 0).select("k", "h", "own").dropDuplicates(["k", "h"])
         seen = written(occurrences(rows, patterns, words), "pii-occurrences")
         good = confident(seen, seeded, rounds, confidence)
         new = seen.filter((F.col("shape") != "") & ~F.col("own")).join(good.select("pattern"), "pattern", "left_semi")
