@@ -351,7 +351,7 @@ def l12_stump(t: Tables):
 
 
 LOGITS = """
-    d as (select doc_id, case when n_chars > 500 then 'long' else 'brief' end as kind, quality as y from documents join labels using (doc_id)),
+    d as (select doc_id, 'k' || doc_id % 3 as kind, quality as y from documents join labels using (doc_id)),
     m as (select kind, avg(y) as p from d group by kind), z as (select ln(p / (1 - p)) as a from m order by kind limit 1),
     w as (select kind, ln(p / (1 - p)) - a as w, row_number() over (order by kind) - 2 as feature from m, z)
 """
@@ -361,17 +361,17 @@ LOGITS = """
     "l13_linear_attribution",
     f"""
     with {LOGITS}, s as (select kind, count(*)::double / (select count(*) from d) as mean from d group by kind)
-    select doc_id, feature::int as feature, abs(round(w * ((d.kind = w.kind)::int - mean), 1)) as phi from d, w join s on s.kind = w.kind where feature >= 0
+    select doc_id, feature::int as feature, abs(round(w * ((d.kind = w.kind)::int - mean), 2)) as phi from d, w join s on s.kind = w.kind where feature >= 0
     """,
 )
 def l13_linear(t: Tables):
     """With one category and no penalty, weights are differences of the groups' log-odds; rounded to what the fit converges to."""
-    kind = F.when(F.col("n_chars") > 500, "long").otherwise("brief").alias("kind")
+    kind = F.concat(F.lit("k"), F.col("doc_id") % 3).alias("kind")
     rows = written(examples(t).select("doc_id", kind, "label"), "examples")
     data = features.build_pipeline(["kind"], {}, [], None).fit(rows).transform(rows)
     model = classify.logistic().fit(packed(data))
     phi = attribution.linear_attribution(model, data, "doc_id", data)
-    return phi.select("doc_id", "feature", F.abs(F.round("phi", 1)).alias("phi"))
+    return phi.select("doc_id", "feature", F.abs(F.round("phi", 2)).alias("phi"))
 
 
 @query(
