@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabloom.functions.text import words
 from tabloom.plans.blocks import running_total
 from tabloom.plans.sizing import attach, pinned_if_small, value_table
+from tabloom.plans.written import written
 
 
 def word_count(df: DataFrame, col: str, stop_words: DataFrame | Sequence[str] | None = None) -> DataFrame:
@@ -39,6 +40,7 @@ def frequency_index(counts: DataFrame, list_size: int = 10_000) -> DataFrame:
     third of a vocabulary, so places come from one order over (count, word), cut
     into blocks, and no task holds more than a block or a part.
     """
+    counts = written(counts.select("num", "word"), "word-counts")  # read several times: the words, not the texts
     placed = running_total(counts, F.col("num"), F.col("word"), {"place": F.lit(1)})
     sizes = counts.groupBy("num").agg(F.count("word").alias("word_count"))
     # what lies before a count is the running size of the smaller ones: a row per count
