@@ -1,13 +1,15 @@
 """Toxicity of texts after noisy-channel deobfuscation.
 
 1. A character language model (interpolated trigrams over word-bounded letters)
-   is counted over all documents.
-2. Stretches that look disguised (letters next to digits or symbols, a letter
-   three times in a row, single letters with separators between them) become
-   lattices: a symbol may stand for a letter or for a break, a repeated letter
-   for one or two, a separator for nothing or for a break. Viterbi decoding
-   under the model picks the path. A stretch without such marks has one path
-   and is its own decoding, so it is not searched.
+   and the frequency of words of up to three letters are counted over all documents.
+2. Stretches that look disguised become lattices: a symbol may stand for a letter
+   or for a break, a look-alike of another script for itself or a Latin letter, a
+   repeated letter for one or two, a run of separators for nothing or for a break.
+   Viterbi decoding under the model picks the path. Searched are words with symbols
+   beside letters, a letter three times in a row or look-alikes; words with
+   separators between their letters; and neighbours of one to three letters each,
+   whatever separates them, where one is rare as a word or both are single.
+   Neighbours that are all frequent words are read as they stand.
 3. Words of the text and of its restored stretches, their beginnings and their
    letter 5-grams are features. Their document frequencies in toxic and clean
    labelled texts give log odds; only significant ones count. A word is as
@@ -19,13 +21,20 @@ Labels are learned from a sample of at most ``max_labelled`` rows, those with
 the smallest hash of their id; everything else covers all rows and whole texts.
 
 Cases: null and empty texts have no evidence and get the curve's value at zero;
-repeated rows get equal scores; a null id is never a training row; without any
+repeated rows get equal scores; accents, combining marks and invisible characters
+are taken off and compatibility forms are plain letters; letters of other scripts
+are letters (the language model folds them onto 36 codes, features do not); a null id is never a training row; without any
 toxic or any clean training row every score is the share of toxic rows (zero if
 there are no labels); an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
 
+import itertools
+import re
+import unicodedata
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -41,45 +50,95 @@ LEET = {
 }
 #: Symbols that also end sentences or cells: disguise only with a letter behind them.
 PUNCTUATION = "!|+"
-SEPARATORS = " .-_*"
+SEPARATORS = " \t.-_*/,~:·•"
+#: Letters of other scripts that look like a Latin one.
+LOOK_ALIKES = {
+    "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "н": "h", "і": "i", "ј": "j", "к": "k", "м": "m", "п": "n", "о": "o", "р": "p",
+    "ԛ": "q", "г": "r", "ѕ": "s", "т": "t", "υ": "u", "ѵ": "v", "ѡ": "w", "х": "x", "у": "y", "α": "a", "ε": "e", "η": "n", "ι": "i", "κ": "k",
+    "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "χ": "x", "γ": "y", "ω": "w", "ı": "i", "ł": "l", "ø": "o", "đ": "d", "ɡ": "g", "ɑ": "a", "ո": "n",
+}
 #: Channel costs in nats.
-SUBSTITUTE, BREAK, DROP, APART = 1.0, 9.0, 0.3, 4.0
+SUBSTITUTE, BREAK = 1.0, 9.0
+#: A separator between single letters, and another one: (dropped, a break).
+LONE, OTHER = [("", 0.3), (" ", 4.0)], [("", 1.0), (" ", 1.0)]
+#: Shares of all words below which a single letter and a word of two or three letters are rare.
+RARE_LETTER, RARE_WORD = 2e-3, 1e-4
+SHORT = 3
 SYMBOL = 63
 CHUNK_CHARS = 1 << 20
-MEMORY_SEGMENTS = 100_000
+MEMORY_CHARS, REMEMBERED = 4_000_000, 200
+FLUSH = 2000
 ROWS = 1000
 BITS = 20
+GONE, BLANK, TOP = 0xFFFF, 32, 0x1FFFF
+
+
+def _fold() -> np.ndarray:
+    """One 16-bit code per code point: the letter without accents and marks, ``GONE`` for marks and invisible characters.
+
+    Letters beyond 16 bits fold onto the private range, other characters there onto a blank.
+    """
+    out = np.full(TOP + 1, BLANK, np.uint16)
+    for k in range(TOP + 1):
+        c = chr(k)
+        kind = unicodedata.category(c)
+        if kind in ("Mn", "Me") and not 0x0900 <= k < 0x1000 or kind == "Cf":
+            out[k] = GONE
+        elif kind[0] in "LNPSM" or k < 128:
+            plain = ord("-" if kind == "Pd" else unicodedata.normalize("NFKD", c)[0].lower()[0])
+            if plain <= 0xFFFF:
+                out[k] = plain
+            elif kind[0] == "L":
+                out[k] = 0xE000 + plain % 6400
+    out[TOP] = 0xE000  # all ideographs beyond
+    return out
 
 
 def _table() -> np.ndarray:
-    """Letter codes by Latin-1 byte: a-z are 1 to 26, ß to ÿ follow, symbols of LEET share a code, the rest is zero."""
-    t = np.zeros(256, np.uint8)
+    """Letter codes: a-z are 1 to 26, other letters share 27 to 62, symbols of LEET share one, the rest is zero."""
+    t = np.zeros(1 << 16, np.uint8)
     t[97:123] = np.arange(1, 27)
-    t[0xDF:0x100] = np.arange(27, 60)
-    t[0xF7] = 0
+    for k in range(128, GONE):
+        if 0xE000 <= k < 0xF900 or unicodedata.category(chr(k))[0] in "LM":
+            t[k] = 27 + k % 36
     for s in LEET:
         t[ord(s)] = SYMBOL
     return t
 
 
-TABLE = _table()
-IS_SEPARATOR = np.isin(np.arange(256), [ord(s) for s in SEPARATORS])
-IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-ENDS = np.isin(np.arange(256), [ord(s) for s in PUNCTUATION])
+def _flags(chars) -> np.ndarray:
+    t = np.zeros(1 << 16, bool)
+    t[[ord(c) for c in chars]] = True
+    return t
+
+
+FOLD, TABLE = _fold(), _table()
+IS_SEPARATOR, IS_SPACE = _flags(SEPARATORS), _flags("\t\n\x0b\x0c\r ")
+ENDS, LOOKS = _flags(PUNCTUATION), _flags(LOOK_ALIKES)
+RUNS = re.compile(f"[{re.escape(SEPARATORS)}]+|(.)\\1*", re.DOTALL)
+
 
+def narrow(text: str) -> np.ndarray:
+    """Codes of a lower-cased text, see ``_fold``."""
+    text = text.lower()
+    if text.isascii():
+        return np.frombuffer(text.encode(), np.uint8).astype(np.uint16)
+    codes = FOLD[np.minimum(np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32), TOP)]
+    return codes[codes != GONE]
 
-def narrow(text: str) -> bytes:
-    """Latin-1 bytes of a lower-cased text; wider letters fold onto three codes, other wide characters onto a blank."""
-    try:
-        return text.encode("latin-1")
-    except UnicodeEncodeError:
-        return "".join(c if c < "Ā" else "þðÿ"[ord(c) % 3] if c.isalpha() else " " for c in text).encode("latin-1")
+
+def shown(raw: np.ndarray) -> str:
+    return raw.tobytes().decode("utf-16-le", "replace")
 
 
 def code_of(char: str) -> int:
     return int(TABLE[ord(char)]) % SYMBOL
 
 
+#: Codes of the letters a reading is made of.
+CODES = {chr(k): int(c) for k, c in enumerate(TABLE) if 0 < c < SYMBOL}
+
+
 # ------------------------------------------------------------- language model
 
 
@@ -93,22 +152,56 @@ def trigram_counts(raw: np.ndarray) -> np.ndarray:
     return np.bincount((c[:-2] << 12) | (c[1:-1] << 6) | c[2:], minlength=1 << 18)
 
 
-def language_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Costs -log P(c | a, b) as a 64 x 64 x 64 table, from all texts. At most 2^18 counts reach the driver."""
+def pieces(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of runs of letters and symbols."""
+    edge = np.diff(np.concatenate([[0], c > 0, [0]]).astype(np.int8))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def short_words(c: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number below 2^18 for each piece: its codes if it has up to three, else zero."""
+    size, out = end - start, np.zeros(len(start), np.int64)
+    for k in range(SHORT):
+        out = np.where(size > k, (out << 6) | c[np.minimum(start + k, len(c) - 1)], out)
+    return np.where(size <= SHORT, out, 0)
+
+
+def short_counts(raw: np.ndarray) -> np.ndarray:
+    """Counts of short words by number; all longer ones are number zero."""
+    c = TABLE[raw]
+    return np.bincount(short_words(c, *pieces(c)), minlength=1 << 18)
+
+
+def rare_words(counts: np.ndarray) -> np.ndarray:
+    """Which short words are rare among all words."""
+    share = counts / max(counts.sum(), 1)
+    return share < np.where(np.arange(1 << 18) < 64, RARE_LETTER, RARE_WORD)
+
+
+class Language(NamedTuple):
+    """Costs -log P(c | a, b) as a 64 x 64 x 64 table; which short words are rare."""
+
+    cost: np.ndarray
+    rare: np.ndarray
+
+
+def language_model(docs: DataFrame, text_col: str = "text") -> Language:
+    """Both tables from all texts. At most 2^19 counts reach the driver."""
 
     def count(batches):
-        total = np.zeros(1 << 18, np.int64)
+        total = np.zeros(1 << 19, np.int64)
         for batch in batches:
             for raw, _ in chunks(batch.column(0)):
-                total += trigram_counts(raw)
+                total[: 1 << 18] += trigram_counts(raw)
+                total[1 << 18 :] += short_counts(raw)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["gram", "n"])
 
     each = mapped(docs.select(text_col), count, "gram int, n long")
     summed = each.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
-    n = np.zeros(1 << 18)
+    n = np.zeros(1 << 19)
     n[summed["gram"].to_numpy()] = summed["n"].to_numpy()
-    return costs(n.reshape(64, 64, 64))
+    return Language(costs(n[: 1 << 18].reshape(64, 64, 64)), rare_words(n[1 << 18 :]))
 
 
 def costs(n3: np.ndarray, hold: float = 5.0) -> np.ndarray:
@@ -122,36 +215,61 @@ def costs(n3: np.ndarray, hold: float = 5.0) -> np.ndarray:
 # ------------------------------------------------------------------- decoding
 
 
-def lattice(segment: str) -> list[list[tuple[str, float]]]:
-    """Options (letters or a blank for a break, cost) for each run of equal characters."""
-    out, k = [], 0
-    while k < len(segment):
-        c, end = segment[k], k
-        while end < len(segment) and segment[end] == c:
-            end += 1
-        run, k = end - k, end
-        if c in LEET:
-            options = [(x, SUBSTITUTE) for x in LEET[c]] + [(" ", BREAK)]
-            out += [options] * min(run, 2)
+def lattice(segment: str):
+    """Options (letters or a blank for a break, cost) for each run of equal characters or of separators."""
+
+    def inside(k):
+        return 0 <= k < len(segment) and TABLE[ord(segment[k])] > 0
+
+    for m in RUNS.finditer(segment):
+        c, run = m[0][0], m.end() - m.start()
+        if c in SEPARATORS:
+            yield OTHER if inside(m.start() - 2) or inside(m.end() + 1) else LONE
+        elif c in LEET:
+            for _ in range(min(run, 2)):
+                yield [(x, SUBSTITUTE) for x in LEET[c]] + [(" ", BREAK)]
+        elif c in LOOK_ALIKES:
+            like = LOOK_ALIKES[c]
+            yield [(c, 0.0), (like, SUBSTITUTE)] if run == 1 else [(c, 0.0), (c + c, 0.0), (like, SUBSTITUTE), (like + like, SUBSTITUTE)]
         elif TABLE[ord(c)]:
-            out.append([(c, 0.0)] if run == 1 else [(c, 0.0), (c + c, 0.0)])
-        elif c in SEPARATORS:
-            out.append([("", DROP), (" ", APART)])
+            yield [(c, 0.0)] if run == 1 else [(c, 0.0), (c + c, 0.0)]
         else:
-            out.append([(" ", 0.0)])
+            yield [(" ", 0.0)]
+
+
+def read_back(path) -> list[str]:
+    parts = []
+    while path:
+        parts.append(path[0])
+        path = path[1]
+    return parts[::-1]
+
+
+def settled(states: dict, done: list[str]) -> dict:
+    """Moves what all paths begin with to ``done``, so that a long stretch holds only the open ends of its paths."""
+    paths = {s: read_back(path) for s, (_, path) in states.items()}
+    first, *others = paths.values()
+    common = min((next((k for k, (a, b) in enumerate(zip(first, o)) if a != b), min(len(first), len(o))) for o in others), default=len(first))
+    done += first[:common]
+    out = {}
+    for s, parts in paths.items():
+        path = None
+        for letters in parts[common:]:
+            path = (letters, path)
+        out[s] = (states[s][0], path)
     return out
 
 
 def viterbi(segment: str, cost: np.ndarray) -> str:
     """The cheapest reading of a segment between two breaks."""
-    states = {(0, 0): (0.0, None)}
-    for options in [*lattice(segment), [(" ", 0.0)]]:
+    states, done = {(0, 0): (0.0, None)}, []
+    for step, options in enumerate(itertools.chain(lattice(segment), [[(" ", 0.0)]]), 1):
         after: dict = {}
         for (a, b), (total, path) in states.items():
             for letters, paid in options:
                 x, y, sum_ = a, b, total + paid
                 for char in letters:
-                    z = code_of(char)
+                    z = CODES.get(char) or 0
                     if z or y:  # a break after a break is no event
                         sum_ += cost[x][y][z]
                         x, y = y, z
@@ -159,14 +277,13 @@ def viterbi(segment: str, cost: np.ndarray) -> str:
                 if held is None or sum_ < held[0]:
                     after[(x, y)] = (sum_, (letters, path))
         states = after
-    path, parts = min(states.values(), key=lambda s: s[0])[1], []
-    while path:
-        parts.append(path[0])
-        path = path[1]
-    return " ".join("".join(reversed(parts)).split())
+        if step % FLUSH == 0:
+            states = settled(states, done)
+    done += read_back(min(states.values(), key=lambda s: s[0])[1])
+    return " ".join("".join(done).split())
 
 
-def disguised(raw: np.ndarray) -> list[tuple[int, int]]:
+def disguised(raw: np.ndarray, rare: np.ndarray) -> list[tuple[int, int]]:
     """Stretches (start, end) whose lattice has more than one path worth searching."""
     n = len(raw)
     if n < 3:
@@ -179,67 +296,82 @@ def disguised(raw: np.ndarray) -> list[tuple[int, int]]:
     leet = symbol[here] & (letter[after] | (letter[before] & ~stops & ~(symbol[after] & symbol[later])))
     leet |= symbol[here] & symbol[after] & letter[later] & letter[before]
     same = letter[here] & (pad[here] == pad[after]) & (pad[here] == pad[later])
+    looks = LOOKS[raw]
+    latin = letter & (pad <= 26)
+    mark = leet | same | (looks & (latin[before] | latin[after]))
+    start, end = pieces(c)
+
+    def within(flag, first, last):
+        run = np.append(0, np.cumsum(flag))
+        return run[last] - run[first]
+
+    if looks.any():  # words of look-alikes only
+        mark[start[(end - start > SHORT) & (within(looks, start, end) == end - start)]] = True
     out = []
-    marks = np.flatnonzero(leet | same)
+    marks = np.flatnonzero(mark)
     if len(marks):
         space = np.flatnonzero(IS_SPACE[raw])
         k = np.searchsorted(space, marks)
         starts = np.where(k > 0, space[np.maximum(k - 1, 0)] + 1 if len(space) else 0, 0)
         ends = np.where(k < len(space), space[np.minimum(k, len(space) - 1)] if len(space) else n, n)
         out += sorted(set(zip(starts.tolist(), ends.tolist())))
-    core = pad > 0
-    alone = core[here] & ~core[before] & ~core[after]
-    gap = IS_SEPARATOR[raw]
-    if n >= 5:
-        spaced = alone[:-4] & gap[1:-3] & alone[2:-2] & gap[3:-1] & alone[4:]
-        at = np.flatnonzero(spaced)
-        if len(at):
-            first = np.append(True, np.diff(at) > 4)
-            last = np.append(np.diff(at) > 4, True)
-            out += list(zip(at[first].tolist(), (at[last] + 5).tolist()))
-    return out
+    if len(start) < 2:
+        return out
+    separated = within(~IS_SEPARATOR[raw], end[:-1], start[1:]) == 0
+    tight = (within(IS_SPACE[raw], end[:-1], start[1:]) == 0) & (letter[here][end[:-1] - 1] | letter[here][start[1:]])
+    size = end - start
+    short, single = size <= SHORT, size == 1
+    odd = short & rare[short_words(c, start, end)]
+    near = short[:-1] & short[1:] & (odd[:-1] | odd[1:] | (single[:-1] & single[1:]))
+    edge = np.diff(np.concatenate([[0], separated & (tight | near), [0]]).astype(np.int8))
+    first, last = start[np.flatnonzero(edge == 1)], end[np.flatnonzero(edge == -1)]
+    lettered = within(letter[here], first, last) > 1
+    return out + list(zip(first[lettered].tolist(), last[lettered].tolist()))
 
 
 class Restorer:
-    """Decodes disguised stretches; remembers the decodings of recent ones."""
+    """Decodes disguised stretches; remembers the decodings of recent ones, up to a number of characters."""
 
-    def __init__(self, cost: np.ndarray):
-        self.cost, self.memory = cost.tolist(), {}
+    def __init__(self, language: Language):
+        self.cost, self.rare, self.memory, self.held = language.cost.tolist(), language.rare, {}, 0
 
     def __call__(self, segment: str) -> str:
         found = self.memory.get(segment)
         if found is None:
-            if len(self.memory) > MEMORY_SEGMENTS:
-                self.memory.clear()
-            found = self.memory[segment] = viterbi(segment, self.cost)
+            found = viterbi(segment, self.cost)
+            if len(segment) <= REMEMBERED:
+                self.held += 2 * len(segment)
+                if self.held > MEMORY_CHARS:
+                    self.memory, self.held = {}, 2 * len(segment)
+                self.memory[segment] = found
         return found
 
 
-def restored(text: str, cost: np.ndarray) -> list[tuple[int, int, str]]:
-    """Disguised stretches of a text with their readings."""
-    raw = np.frombuffer(narrow(text.lower()), np.uint8)
-    return [(a, b, viterbi(raw[a:b].tobytes().decode("latin-1"), cost)) for a, b in disguised(raw)]
+def restored(text: str, language: Language) -> list[tuple[int, int, str]]:
+    """Disguised stretches of a text with their readings; places are those of ``narrow``."""
+    raw = narrow(text)
+    return [(a, b, viterbi(shown(raw[a:b]), language.cost)) for a, b in disguised(raw, language.rare)]
 
 
 # ------------------------------------------------------------------- features
 
 
 def chunks(column: pa.Array):
-    """Lower-cased texts of an Arrow column, joined by line ends: (bytes, number of bytes of each text with its end).
+    """Codes of an Arrow column's texts, joined by line ends: (codes, number of codes of each text with its end).
 
     A chunk ends after the text that fills it, so a text is never cut.
     """
     held, sizes, total = [], [], 0
     for k in range(len(column)):
-        one = narrow((column[k].as_py() or "").lower()) + b"\n"
+        one = narrow((column[k].as_py() or "") + "\n")
         held.append(one)
         sizes.append(len(one))
         total += len(one)
         if total >= CHUNK_CHARS:
-            yield np.frombuffer(b"".join(held), np.uint8), np.array(sizes)
+            yield np.concatenate(held), np.array(sizes)
             held, sizes, total = [], [], 0
     if sizes:
-        yield np.frombuffer(b"".join(held), np.uint8), np.array(sizes)
+        yield np.concatenate(held), np.array(sizes)
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -268,8 +400,8 @@ def word_features(raw: np.ndarray, doc: np.ndarray):
     A word gives its beginnings, itself, and its letter 5-grams. Letters that
     stand twice in a row count once. One running polynomial hash serves all pieces.
     """
-    c = TABLE[raw]
-    c[c == SYMBOL] = 0
+    c = TABLE[raw].astype(np.uint16)
+    c = np.where(c == SYMBOL, 0, np.where(c > 26, raw, c))  # letters of other scripts keep their own code
     keep = np.append(True, c[1:] != c[:-1])
     c, doc = c[keep], doc[keep]
     inside = c > 0
@@ -312,12 +444,12 @@ def text_features(column: pa.Array, restore: Restorer):
         doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         parts = [word_features(raw, doc)]
         extra, owners = [], []
-        for a, b in disguised(raw):
-            extra.append(narrow(restore(raw[a:b].tobytes().decode("latin-1"))) + b"\n")
+        for a, b in disguised(raw, restore.rare):
+            extra.append(narrow(restore(shown(raw[a:b])) + "\n"))
             owners.append(np.searchsorted(ends, a, side="right"))
         if extra:
             own = np.repeat(np.array(owners, np.int32), [len(x) for x in extra])
-            parts.append(word_features(np.frombuffer(b"".join(extra), np.uint8), own))
+            parts.append(word_features(np.concatenate(extra), own))
         f, w, d, h = zip(*parts)
         if extra:
             w = (w[0], w[1] + len(d[0]))
@@ -382,7 +514,7 @@ def on_curve(model: dict, e: np.ndarray) -> np.ndarray:
     return 0.99 * model["share"][np.maximum(step, 0)] + 0.01 * e / (e + 10)
 
 
-def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray, top: int = 8, max_labelled: int = 20_000) -> dict:
+def train(docs: DataFrame, labels: DataFrame, language: Language, top: int = 8, max_labelled: int = 20_000) -> dict:
     """Feature weights and the step curve from ``labels(doc_id, toxic)``.
 
     The sample of labels is broadcast (at most ``max_labelled`` rows of two
@@ -394,7 +526,7 @@ def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray, top: int = 8, ma
     rows = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "toxic")
 
     def count(batches):
-        restore = Restorer(cost)
+        restore = Restorer(language)
         seen, n = np.zeros((2, 1 << BITS), np.int64), [0, 0]
         for batch in batches:
             y, at = np.array(batch.column(1).to_pylist()), 0
@@ -423,7 +555,7 @@ def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray, top: int = 8, ma
     place[f] = np.arange(len(f))
 
     def held_out(batches):
-        restore = Restorer(cost)
+        restore = Restorer(language)
         for batch in batches:
             y, at = np.array(batch.column(1).to_pylist()), 0
             for f, word, doc, kind, size in text_features(batch.column(0), restore):
@@ -441,7 +573,7 @@ def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray, top: int = 8, ma
     return {"f": f[w > 0], "w": w[w > 0], "at": at, "share": share, "top": top}
 
 
-def score(docs: DataFrame, cost: np.ndarray, model: dict, keep: list[str], name: str = "score") -> DataFrame:
+def score(docs: DataFrame, language: Language, model: dict, keep: list[str], name: str = "score") -> DataFrame:
     """``docs`` columns in ``keep`` with the score under ``name``; ``text`` must be one of the columns of ``docs``."""
     if "flat" in model:
         return docs.select(*keep, F.lit(float(model["flat"])).alias(name))
@@ -450,7 +582,7 @@ def score(docs: DataFrame, cost: np.ndarray, model: dict, keep: list[str], name:
     at = names.index("text")
 
     def run(batches):
-        restore = Restorer(cost)
+        restore = Restorer(language)
         w = np.zeros(1 << BITS, np.float32)
         w[model["f"]] = model["w"]
         for batch in batches:
@@ -471,21 +603,21 @@ def held_out(ident: Column) -> Column:
     return F.coalesce(F.crc32(ident.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fitted(docs: DataFrame, labels: DataFrame, **options) -> tuple[np.ndarray, dict]:
+def fitted(docs: DataFrame, labels: DataFrame, **options) -> tuple[Language, dict]:
     """The language model of all documents and the classifier of the labels outside the held-out third."""
-    cost = language_model(docs)
-    return cost, train(docs, labels.filter(~held_out(F.col("doc_id"))), cost, **options)
+    language = language_model(docs)
+    return language, train(docs, labels.filter(~held_out(F.col("doc_id"))), language, **options)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted`` for every row."""
-    cost, model = fitted(docs, labels, **options)
-    scored = score(docs.select("doc_id", "text"), cost, model, ["doc_id"])
+    language, model = fitted(docs, labels, **options)
+    scored = score(docs.select("doc_id", "text"), language, model, ["doc_id"])
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options) -> DataFrame:
     """Rows whose score is below the threshold, all columns as they were."""
-    cost, model = fitted(docs, labels, **options)
+    language, model = fitted(docs, labels, **options)
     name = free_name(docs, "_toxicity")
-    return score(docs, cost, model, docs.columns, name).filter(F.col(name) < threshold).drop(name)
+    return score(docs, language, model, docs.columns, name).filter(F.col(name) < threshold).drop(name)

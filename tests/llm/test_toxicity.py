@@ -11,8 +11,8 @@ from tabloom.llm import toxicity as X
 
 
 def model_of(text):
-    raw = np.frombuffer(X.narrow(text.lower()), np.uint8)
-    return X.costs(X.trigram_counts(raw).reshape(64, 64, 64).astype(float))
+    raw = X.narrow(text)
+    return X.Language(X.costs(X.trigram_counts(raw).reshape(64, 64, 64).astype(float)), X.rare_words(X.short_counts(raw)))
 
 
 def path_cost(letters, paid, cost):
@@ -26,11 +26,11 @@ def path_cost(letters, paid, cost):
 
 
 def test_viterbi_finds_the_cheapest_path():
-    cost = model_of("you are an idiot and a stupid loser, this is what the moron said to the clown " * 3)
+    cost = model_of("you are an idiot and a stupid loser, this is what the moron said to the clown " * 3).cost
     rng = random.Random(0)
     for _ in range(150):
-        segment = "".join(rng.choice("ioast01$.-dd!l5") for _ in range(rng.randrange(2, 7)))
-        options = X.lattice(segment)
+        segment = "".join(rng.choice("ioast01$.-dd!l5 /аі") for _ in range(rng.randrange(2, 7)))
+        options = list(X.lattice(segment))
         best = min(path_cost("".join(o[0] for o in path), sum(o[1] for o in path), cost) for path in itertools.product(*options))
         got = X.viterbi(segment, cost)
         ways = [sum(o[1] for o in path) for path in itertools.product(*options) if " ".join("".join(o[0] for o in path).split()) == got]
@@ -38,16 +38,56 @@ def test_viterbi_finds_the_cheapest_path():
                    for path in itertools.product(*options) if " ".join("".join(o[0] for o in path).split()) == got) == pytest.approx(best) and ways
 
 
+def spellings(word, rng):
+    """A word in each disguise."""
+    at = [0, *sorted(rng.sample(range(1, len(word)), max(1, len(word) // 2 - 1))), len(word)]
+    while max(b - a for a, b in zip(at, at[1:])) > 3:
+        at = [0, *sorted(rng.sample(range(1, len(word)), max(len(word) // 3, len(word) // 2 - 1))), len(word)]
+    cut = rng.randrange(1, len(word) - 1)
+    return {
+        "plain": word, "single": " ".join(word), "leet": word.translate(LEET), "repeats": word[0] + word[1] * 4 + word[2:],
+        "hyphen": f"{word[:cut]}-{word[cut:]}", "dot": f"{word[:cut]}.{word[cut:]}", "pieces": " ".join(word[a:b] for a, b in zip(at, at[1:])),
+        "spaced hyphens": " - ".join(word), "slashes": "/".join(word), "two blanks": "  ".join(word), "tabs": "\t".join(word),
+        "look-alikes": word.translate(ALIKE), "accents": word.translate(ACCENTS), "commas": ", ".join(word), "wide": word.translate(WIDE),
+        "invisible": "\u200b".join(word),
+    }
+
+
+LEET = str.maketrans("oieast", "013457")
+ALIKE, ACCENTS = str.maketrans("oieasc", "оіеаѕс"), str.maketrans("oieau", "öîéàú")
+WIDE = {k: k + 0xFEE0 for k in range(97, 123)}
+
+
 def test_disguises_are_found_and_read():
-    cost = model_of("the idiot and the stupid moron was a worthless loser of an idiot with the trash " * 5)
-    for shown in ("1d10t", "i d i o t", "i.d.i.o.t", "I-D-I-O-T", "idiiiiot", "!d!ot", "i_d_1_0_t"):
-        assert [r[2] for r in X.restored(f"the {shown} was", cost)] == ["idiot"], shown
-    assert X.restored("the plain text, with no marks! at all.", cost) == []
-    assert X.restored("", cost) == [] and X.restored("a", cost) == []
+    language = model_of("the idiot and the stupid moron was a worthless loser of an idiot with the trash " * 5)
+    for word in ("idiot", "stupid", "worthless"):
+        for form, hidden in spellings(word, random.Random(1)).items():
+            text = f"with the {hidden} was of"
+            read = X.shown(X.narrow(text)) + " " + " ".join(r[2] for r in X.restored(text, language))
+            assert word in read.split(), (form, hidden, read)
+    for hidden in ("!d!ot", "i_d_1_0_t", "I-D-I-O-T", "i ..  d -- i / o , t"):
+        assert "idiot" in " ".join(r[2] for r in X.restored(f"the {hidden} was", language)).split(), hidden
+    assert X.restored("the plain text, with no marks! at all.", model_of("the plain text with no marks at all " * 3)) == []
+    assert X.restored("", language) == [] and X.restored("a", language) == []
+
+
+def test_other_scripts_keep_their_letters():
+    language = model_of("он сказал что сосна стоит у реки и рос там мох the tree stands at the river " * 20)
+    assert X.restored("он сказал что рос мох", language) == []
+    assert [r[2] for r in X.restored("сосна сосо", language)] == ["сосна", "сосо"]
+    assert X.shown(X.narrow("Ёлка ÇA ﬁn 東京 हिन्दी")) == "елка ca fn 東京 हिन्दी"
+
+
+def test_long_stretches_are_read_in_parts():
+    language = model_of("the idiot and the stupid moron " * 5)
+    whole, X.FLUSH, kept = X.viterbi("i-d-i-o-t/" * 300, language.cost), 50, X.FLUSH
+    try:
+        assert X.viterbi("i-d-i-o-t/" * 300, language.cost) == whole
+    finally:
+        X.FLUSH = kept
 
 
 BAD = ["idiot", "stupid", "moron", "worthless", "loser", "scum"]
-LEET = str.maketrans("oieast", "013457")
 
 
 def corpus(seed=0):
