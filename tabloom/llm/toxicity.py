@@ -9,7 +9,8 @@
    beside letters, a letter three times in a row or look-alikes; words with
    separators between their letters; and neighbours of one to three letters each,
    whatever separates them, where one is rare as a word or both are single.
-   Neighbours that are all frequent words are read as they stand.
+   Neighbours that are all frequent words are read as they stand; a stretch that
+   begins or ends with some is read with and without them.
 3. Words of the text and of its restored stretches, their beginnings and their
    letter 5-grams are features. Their document frequencies in toxic and clean
    labelled texts give log odds; only significant ones count. A word is as
@@ -59,8 +60,8 @@ LOOK_ALIKES = {
 }
 #: Channel costs in nats.
 SUBSTITUTE, BREAK = 1.0, 9.0
-#: A separator between single letters, and another one: (dropped, a break).
-LONE, OTHER = [("", 0.3), (" ", 4.0)], [("", 1.0), (" ", 1.0)]
+#: Separators between single letters or without blanks, and other ones: dropped, or a break.
+LONE, OTHER = [("", 0.3), (" ", 4.0)], [("", 0.5), (" ", 2.5)]
 #: Shares of all words below which a single letter and a word of two or three letters are rare.
 RARE_LETTER, RARE_WORD = 2e-3, 1e-4
 SHORT = 3
@@ -224,7 +225,8 @@ def lattice(segment: str):
     for m in RUNS.finditer(segment):
         c, run = m[0][0], m.end() - m.start()
         if c in SEPARATORS:
-            yield OTHER if inside(m.start() - 2) or inside(m.end() + 1) else LONE
+            blank = any(x in " \t" for x in m[0])
+            yield OTHER if blank and (inside(m.start() - 2) or inside(m.end() + 1)) else LONE
         elif c in LEET:
             for _ in range(min(run, 2)):
                 yield [(x, SUBSTITUTE) for x in LEET[c]] + [(" ", BREAK)]
@@ -324,7 +326,16 @@ def disguised(raw: np.ndarray, rare: np.ndarray) -> list[tuple[int, int]]:
     odd = short & rare[short_words(c, start, end)]
     near = short[:-1] & short[1:] & (odd[:-1] | odd[1:] | (single[:-1] & single[1:]))
     edge = np.diff(np.concatenate([[0], separated & (tight | near), [0]]).astype(np.int8))
-    first, last = start[np.flatnonzero(edge == 1)], end[np.flatnonzero(edge == -1)]
+    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    # the same without frequent words in front, and without those at both ends
+    kept = np.append(~short | odd, True) | np.concatenate([tight & separated, [False, False]]) | np.concatenate([[False], tight & separated, [False]])
+    at = np.flatnonzero(kept)
+    inner_first = at[np.searchsorted(at, first)]
+    inner_last = at[np.maximum(np.searchsorted(at, last, side="right") - 1, 0)]
+    front = (inner_first > first) & (inner_first < last)
+    both = (inner_last < last) & (inner_first < inner_last)
+    first = start[np.concatenate([first, inner_first[front], inner_first[both]])]
+    last = end[np.concatenate([last, last[front], inner_last[both]])]
     lettered = within(letter[here], first, last) > 1
     return out + list(zip(first[lettered].tolist(), last[lettered].tolist()))
 

@@ -71,6 +71,13 @@ def test_disguises_are_found_and_read():
     assert X.restored("", language) == [] and X.restored("a", language) == []
 
 
+def test_frequent_words_around_a_disguise_are_left_out_of_a_second_reading():
+    language = model_of("the idiot and the stupid moron was a worthless loser of an idiot with the trash " * 5)
+    read = [r[2] for r in X.restored("said the s t u p i d was of", language)]
+    assert "stupid" in read and len(read) == 3
+    assert [r[2] for r in X.restored("s tu p id", language)] == ["stupid"]
+
+
 def test_other_scripts_keep_their_letters():
     language = model_of("он сказал что сосна стоит у реки и рос там мох the tree stands at the river " * 20)
     assert X.restored("он сказал что рос мох", language) == []
@@ -120,6 +127,21 @@ def test_held_out_accuracy_and_odd_rows(spark, docs_of):
     assert sum(p == t for p, t in held) / len(held) > 0.98
     assert all(p == 0 for p, t in held if not t)
     assert {r.predicted for r in got if r.doc_id == 5002} == {1} and len({r.score for r in got if r.doc_id == 16}) == 1
+    rng = random.Random(7)
+    vocab = [w for k, x in rows if k % 8 for w in x.lower().split()]
+    hidden = []
+    for form in [*spellings("idiot", rng), "clean"]:
+        for _ in range(40):
+            words = rng.choices(vocab, k=40)
+            for w in rng.sample(BAD, 2) if form != "clean" else []:
+                words.insert(rng.randrange(len(words)), spellings(w, rng)[form])
+            hidden.append((form, " ".join(words)))
+    language, model = X.fitted(docs_of(rows), frame)
+    caught = {}
+    for r in X.score(spark.createDataFrame(hidden, "doc_id string, text string"), language, model, ["doc_id"]).collect():
+        caught.setdefault(r.doc_id, []).append(r.score >= 0.7)
+    shares = {form: sum(x) / len(x) for form, x in caught.items()}
+    assert shares.pop("clean") <= 0.01 and all(x >= 0.9 for x in shares.values()), shares
     kept = X.without_toxic(docs_of(rows + odd), frame)
     assert kept.columns == docs_of([]).columns and kept.count() == sum(r.score < 0.7 for r in got)
 
