@@ -2,14 +2,18 @@
 
 A page becomes the sequence of its leaf blocks, each with the tags and attribute
 words of its path. A block's vector holds hashed path parts, hashed words and a
-few measures; a bidirectional LSTM in numpy reads the whole sequence, so every
+few measures (words, links, sentence ends, place, and how far it shares its
+elements with the blocks before and behind it); a bidirectional LSTM in numpy reads the whole sequence, so every
 block is judged in the context of the document on both sides, and the blocks it
 labels as content are joined.
 
 There are no labelled pages, so the labeller is trained here on at most
 ``train_pages`` pages (those with the smallest hash of their id, texts of at most
 ``train_chars``) whose blocks are labelled by what their path says, together with
-copies of these pages into which blocks with other boilerplate paths are mixed.
+copies of these pages: some with blocks of other boilerplate paths, some with
+all or a random half of the telling steps of their paths made plain ``div``,
+so that pages without telling markup are judged by text, links, place and
+neighbours.
 The sample and the weights (about 100 kB) are the only things on the driver;
 every page is labelled, whatever its length.
 
@@ -65,10 +69,12 @@ BOILER_WORDS = frozenset(
 
 
 class Block:
-    __slots__ = ("path", "text", "linked")
+    """``shared``: how many elements of the path it is in together with the block before it."""
 
-    def __init__(self, path: tuple[str, ...], text: str, linked: int):
-        self.path, self.text, self.linked = path, text, linked
+    __slots__ = ("path", "text", "linked", "shared")
+
+    def __init__(self, path: tuple[str, ...], text: str, linked: int, shared: int = 0):
+        self.path, self.text, self.linked, self.shared = path, text, linked, shared
 
 
 def _step(tag: str, attributes: str) -> str:
@@ -81,22 +87,26 @@ def _step(tag: str, attributes: str) -> str:
 def blocks(page: str | None) -> list[Block]:
     """Leaf blocks in page order; inline elements belong to the block around them."""
     page = page or ""
-    stack: list[tuple[str, str]] = []
+    stack: list[tuple[str, str, int]] = []
     out: list[Block] = []
     held: list[str] = []
-    state = {"linked": 0, "hidden": 0, "links": 0}
+    state = {"linked": 0, "hidden": 0, "links": 0, "opened": 0}
+    before: list[int] = []
     known: dict[tuple[str, str], str] = {}
 
     def flush():
         if held:
             text = " ".join("".join(held).split())
             if text:
-                out.append(Block(tuple(s for _, s in stack), text, state["linked"]))
+                elements = [n for _, _, n in stack]
+                shared = next((k for k, (a, b) in enumerate(zip(before, elements)) if a != b), min(len(before), len(elements)))
+                out.append(Block(tuple(s for _, s, _ in stack), text, state["linked"], shared))
+                before[:] = elements
             held.clear()
         state["linked"] = 0
 
     def pop(upto: int):
-        for tag, _ in stack[upto:]:
+        for tag, _, _ in stack[upto:]:
             state["hidden"] -= tag in HIDDEN
             state["links"] -= tag == "a"
         del stack[upto:]
@@ -148,7 +158,8 @@ def blocks(page: str | None) -> list[Block]:
             step = known.get(key)
             if step is None:
                 step = known[key] = _step(name, attributes)
-            stack.append((name, step))
+            state["opened"] += 1
+            stack.append((name, step, state["opened"]))
             state["hidden"] += name in HIDDEN
             state["links"] += name == "a"
     add(page[at:])
@@ -158,7 +169,7 @@ def blocks(page: str | None) -> list[Block]:
 
 # -------------------------------------------------------------------- features
 
-PARTS, HASHED_WORDS, MEASURES = 48, 32, 9
+PARTS, HASHED_WORDS, MEASURES = 48, 32, 11
 WIDTH = PARTS + HASHED_WORDS + MEASURES
 
 
@@ -187,6 +198,7 @@ def vectors(page: list[Block]) -> np.ndarray:
         words = b.text.lower().split()
         hashed = np.fromiter((zlib.crc32(w.encode()) for w in words), np.uint32, len(words)) % HASHED_WORDS
         x[k, PARTS : PARTS + HASHED_WORDS] = np.bincount(hashed, minlength=HASHED_WORDS) / np.sqrt(len(words) + 1.0)
+        x[k, -6:-4] = b.shared / 10, (page[k + 1].shared if k + 1 < len(page) else 0) / 10
         x[k, -4:] = (np.log1p(len(words)) / 4, min(b.linked / max(len(b.text), 1), 1), b.text[-1] in ".!?:;…", (k + 1) / len(page))
     return x
 
@@ -338,12 +350,29 @@ def _strange(rng, texts: list[str]) -> list[Block]:
         if rng.random() < 0.7:
             text = " ".join(text.split()[: rng.integers(1, 9)])
         leaf = ("ul", "li", "a") if linked else (("p",) if rng.random() < 0.6 else ())
-        out.append(Block(("html", "body", step, *leaf), text, len(text) if linked else 0))
+        out.append(Block(("html", "body", step, *leaf), text, len(text) if linked else 0, 3 if out else 2))
     return out
 
 
+#: Elements that differ from ``div`` in what they tell only.
+TELLING = frozenset("nav header footer aside form menu dialog article main section".split())
+
+
+def _plain(rng, page: list[Block], share: float) -> list[Block]:
+    """The page with this share of its different path steps made plain: no words, ``div`` for telling elements."""
+    made: dict[str, str] = {}
+
+    def plain(step):
+        if step not in made:
+            tag = step.split(" ")[0]
+            made[step] = step if rng.random() >= share else "div" if tag in TELLING else tag
+        return made[step]
+
+    return [Block(tuple(map(plain, b.path)), b.text, b.linked, b.shared) for b in page]
+
+
 def training_set(pages: list[list[Block]], seed: int = 0) -> tuple[list[list[Block]], list[list[int]]]:
-    """The pages with their path labels, and copies with other content elements and strange boilerplate."""
+    """The pages with their path labels, and copies with other content elements, strange boilerplate and plain paths."""
     rng = np.random.default_rng(seed)
     texts = [b.text for p in pages for b in p] or ["text"]
     out, labels = [], []
@@ -354,14 +383,20 @@ def training_set(pages: list[list[Block]], seed: int = 0) -> tuple[list[list[Blo
             mixed, y = list(page), list(own)
             if copy == 2:  # the same page in a template without an article element
                 other = STEPS[rng.integers(len(STEPS))]
-                mixed = [Block(tuple(s for step in b.path for s in ([other] if step.split(" ")[0] in CONTENT_TAGS else [step]) if s), b.text, b.linked) for b in page]
+                mixed = [Block(tuple(s for step in b.path for s in ([other] if step.split(" ")[0] in CONTENT_TAGS else [step]) if s), b.text, b.linked, b.shared) for b in page]
             for _ in range(0 if copy == 0 else rng.integers(1, 5)):
                 new, k = _strange(rng, texts), rng.integers(len(mixed) + 1)
                 if rng.random() < 0.3:  # inside the article
-                    new = [Block(("html", "body", "article", *b.path[2:]), b.text, b.linked) for b in new]
+                    new = [Block(("html", "body", "article", *b.path[2:]), b.text, b.linked, b.shared + 1) for b in new]
+                if k < len(mixed):
+                    old = mixed[k]
+                    mixed[k] = Block(old.path, old.text, old.linked, min(old.shared, new[0].shared))
                 mixed[k:k], y[k:k] = new, [0] * len(new)
             out.append(mixed)
             labels.append(y)
+        for share in (1.0, 0.5):
+            out.append(_plain(rng, page, share))
+            labels.append(own)
     return out, labels
 
 

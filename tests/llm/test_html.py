@@ -1,5 +1,7 @@
 """Blocks of awkward markup, the network's gradient, and held-out pages."""
 
+import re
+
 import numpy as np
 
 from tabloom.llm import html_labeller as H
@@ -62,6 +64,41 @@ def test_held_out_pages_and_another_template(spark):
     assert np.mean([a == b for a, b in zip(got[40:], want[40:])]) >= 0.8
 
 
+def neutral(page):
+    """The page without class, id and role, and with plain elements for the telling ones."""
+    page = re.sub(r"\s(?:class|id|role)\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]+)", "", page)
+    return re.sub(r"(</?)(?:nav|article|main|aside|header|footer|section)\b", r"\1div", page)
+
+
+def block_shares(net, pages, want):
+    """Precision and recall of blocks."""
+    hit = got_n = want_n = 0
+    for got, right in zip(H.main_text(pages, net), want):
+        got, right = got.split("\n") if got else [], right.split("\n")
+        left = list(right)
+        for b in got:
+            if b in left:
+                left.remove(b)
+                hit += 1
+        got_n, want_n = got_n + len(got), want_n + len(right)
+    return hit / max(got_n, 1), hit / max(want_n, 1)
+
+
+def test_neutral_markup_is_judged_by_context(spark):
+    rng = np.random.default_rng(4)
+    made = [page(rng, k, True) for k in range(240)]
+    rows = [(k, "u", h) for k, (h, _) in enumerate(made[:160])]
+    net = H.train(spark.createDataFrame(rows, "page_id long, url string, html string"), train_pages=160)
+    want = [t for _, t in made[160:]]
+    assert min(block_shares(net, [h for h, _ in made[160:]], want)) >= 0.99
+    assert min(block_shares(net, [neutral(h) for h, _ in made[160:]], want)) >= 0.95
+    assert [b.path for b in H.blocks(neutral("<nav id=a><p class='x'>a</p></nav>"))] == [("div", "p")]
+
+
+def test_shared_elements_of_neighbours():
+    assert [b.shared for b in H.blocks("<div><p>a<p>b</div><div><p>c<ul><li>d<li>e</ul></div>")] == [0, 1, 0, 1, 2]
+
+
 def test_extraction_of_every_page(spark):
     rng = np.random.default_rng(3)
     made = [page(rng, k, True) for k in range(80)]
