@@ -143,14 +143,19 @@ CODES = {chr(k): int(c) for k, c in enumerate(TABLE) if 0 < c < SYMBOL}
 # ------------------------------------------------------------- language model
 
 
-def trigram_counts(raw: np.ndarray) -> np.ndarray:
-    """Counts of letter trigrams; breaks are one zero however long."""
+def trigram_counts(raw: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Counts of letter trigrams; breaks are one zero however long, and each text begins after two.
+
+    So counts do not depend on which texts stand together. A break after a break is no event.
+    """
     c = TABLE[raw]
     c = np.where(c == SYMBOL, 0, c)
-    c = c[np.append(True, (c[1:] > 0) | (c[:-1] > 0))].astype(np.int32)
-    if len(c) < 3:
-        return np.zeros(1 << 18, np.int64)
-    return np.bincount((c[:-2] << 12) | (c[1:-1] << 6) | c[2:], minlength=1 << 18)
+    keep = (c > 0) | np.append(False, c[:-1] > 0)
+    keep[np.cumsum(sizes) - 1] = True
+    c = np.append([0, 0], c[keep]).astype(np.int32)
+    a, b, z = c[:-2], c[1:-1], c[2:]
+    event = (b > 0) | (z > 0)
+    return np.bincount(((a << 12) | (b << 6) | z)[event], minlength=1 << 18)
 
 
 def pieces(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,8 +197,8 @@ def language_model(docs: DataFrame, text_col: str = "text") -> Language:
     def count(batches):
         total = np.zeros(1 << 19, np.int64)
         for batch in batches:
-            for raw, _ in chunks(batch.column(0)):
-                total[: 1 << 18] += trigram_counts(raw)
+            for raw, sizes in chunks(batch.column(0)):
+                total[: 1 << 18] += trigram_counts(raw, sizes)
                 total[1 << 18 :] += short_counts(raw)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["gram", "n"])
@@ -368,13 +373,13 @@ def restored(text: str, language: Language) -> list[tuple[int, int, str]]:
 
 
 def chunks(column: pa.Array):
-    """Codes of an Arrow column's texts, joined by line ends: (codes, number of codes of each text with its end).
+    """Codes of an Arrow column's texts, each with two line ends: (codes, number of codes of each text with its ends).
 
     A chunk ends after the text that fills it, so a text is never cut.
     """
     held, sizes, total = [], [], 0
     for k in range(len(column)):
-        one = narrow((column[k].as_py() or "") + "\n")
+        one = narrow((column[k].as_py() or "") + "\n\n")
         held.append(one)
         sizes.append(len(one))
         total += len(one)

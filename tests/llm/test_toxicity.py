@@ -1,8 +1,11 @@
 """Decoding by exhaustive search over paths, and held-out accuracy on disguised words."""
 
+import collections
 import itertools
 import random
+import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -12,7 +15,7 @@ from tabloom.llm import toxicity as X
 
 def model_of(text):
     raw = X.narrow(text)
-    return X.Language(X.costs(X.trigram_counts(raw).reshape(64, 64, 64).astype(float)), X.rare_words(X.short_counts(raw)))
+    return X.Language(X.costs(X.trigram_counts(raw, np.array([len(raw)])).reshape(64, 64, 64).astype(float)), X.rare_words(X.short_counts(raw)))
 
 
 def path_cost(letters, paid, cost):
@@ -153,3 +156,88 @@ def test_one_class_no_labels_no_documents(spark, docs_of):
     assert {r.score for r in X.toxicity(docs_of(rows[:50]), clean).collect()} == {0.0}
     assert {r.score for r in X.toxicity(docs_of(rows[:50]), spark.createDataFrame([], schema)).collect()} == {0.0}
     assert X.toxicity(docs_of([]), clean).count() == 0
+
+
+# The whole operator done plainly: texts as strings, pieces as strings instead of hashes, steps by the max-min formula.
+
+
+def plain_words(text):
+    """Words of letters; repeated letters count once, symbols and all else are breaks."""
+    letters = "".join(c if 0 < X.TABLE[ord(c)] < X.SYMBOL else " " for c in X.shown(X.narrow(text)))
+    return re.sub(r"(.)\1+", r"\1", letters).split()
+
+
+def plain_pieces(word):
+    out = {("w", word)} if len(word) > 1 else set()
+    out |= {("b", word[:n]) for n in range(4, 9) if len(word) > n}
+    return out | {("p", word[k : k + 5]) for k in range(len(word) - 4)}
+
+
+def plain_language(texts):
+    grams, short = np.zeros(1 << 18), np.zeros(1 << 18)
+    for text in texts:
+        x = y = 0
+        for z in [*(X.code_of(c) for c in X.shown(X.narrow(text))), 0]:
+            if y or z:  # a break after a break is no event
+                grams[(x << 12) + (y << 6) + z] += 1
+                x, y = y, z
+    core = "".join(c if X.TABLE[ord(c)] else " " for c in X.shown(X.narrow("\n".join(texts))))
+    for word in core.split():
+        number = 0
+        for c in word if len(word) <= 3 else "":
+            number = number * 64 + int(X.TABLE[ord(c)])
+        short[number] += 1
+    return X.Language(X.costs(grams.reshape(64, 64, 64)), X.rare_words(short))
+
+
+def plain_scores(texts, toxic, train):
+    """Score per text; ``toxic`` by text number for the texts in ``train``."""
+    language = plain_language(texts)
+    words = [{w for part in [t, *(r[2] for r in X.restored(t, language))] for w in plain_words(part)} for t in texts]
+    held = [{w: plain_pieces(w) for w in ws} for ws in words]
+    seen = [collections.Counter(), collections.Counter()]
+    for k in train:
+        seen[toxic[k]].update(set().union(*held[k].values()))
+    n1 = sum(toxic[k] for k in train)
+    n0 = len(train) - n1
+
+    def evidence(k, mine):
+        def strength(f):
+            d1, d0 = seen[1][f] - (mine == 1), seen[0][f] - (mine == 0)
+            return float(X.weight(np.array([d1]), np.array([d0]), n1, n0)[0]) if seen[1][f] > 1 else 0.0
+
+        best = sorted((max(map(strength, fs), default=0.0) for fs in held[k].values()), reverse=True)
+        return round(sum(best[:8]) * 4) / 4
+
+    points = collections.defaultdict(list)
+    for k in train:
+        points[evidence(k, toxic[k])].append(toxic[k])
+    at = sorted(points)
+    ones, sizes = [sum(points[e]) for e in at], [len(points[e]) for e in at]
+    fit = [max(min(Fraction(sum(ones[a : b + 1]), sum(sizes[a : b + 1])) for b in range(k, len(at))) for a in range(k + 1)) for k in range(len(at))]
+    steps = []
+    for value in sorted(set(fit)):
+        here = [k for k in range(len(at)) if fit[k] == value]
+        share = (sum(ones[k] for k in here) + n1 / (n0 + n1)) / (sum(sizes[k] for k in here) + 1)
+        steps.append((at[here[0]], max([share, *(s for _, s in steps)])))
+
+    def score(e):
+        return 0.99 * max([steps[0], *(s for s in steps if s[0] <= e)])[1] + 0.01 * e / (e + 10)
+
+    return language, [score(evidence(k, None)) for k in range(len(texts))]
+
+
+def test_scores_equal_the_plain_computation(spark, docs_of):
+    rows, labels = corpus(5)
+    rows = [(k, t) for k, t in rows if len(t) < 400][:700] + [(9000, ""), (9001, "s tu p id m-o-r-o-n тест ìdíöt 1d10t і-d-i-о-t")]
+    ids, texts = [k for k, _ in rows], [t for _, t in rows]
+    toxic = {j: int(k % 8 == 0) for j, k in enumerate(ids)}
+    train = [j for j, k in enumerate(ids) if k < 9000 and zlib.crc32(str(k).encode()) % 3 != 1]
+    language, want = plain_scores(texts, toxic, train)
+    frame = spark.createDataFrame([x for x in labels if x[0] in set(ids)], "doc_id long, quality int, toxic int")
+    docs = docs_of(rows)
+    got_language = X.language_model(docs)
+    assert (got_language.cost == language.cost).all() and (got_language.rare == language.rare).all()
+    got = {r.doc_id: r.score for r in X.toxicity(docs, frame).collect()}
+    off = [(k, got[k], w) for k, w in zip(ids, want) if abs(got[k] - w) > 1e-6]
+    assert len(off) <= 0.01 * len(ids), off[:5]
