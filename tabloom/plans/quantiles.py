@@ -88,9 +88,12 @@ def _values_at(
 ) -> DataFrame:
     """Per group its size ``n`` and the values at the ranks, as _r0, _r1 …
 
-    Ranks are expressions over the group's size ``_n``.
+    Ranks are expressions over the group's size ``_n``. Keys go by names of their own here,
+    as the caller's may be those of columns that the steps add.
     """
-    rows = (df.dropna(subset=keys) if keys else df).select(*keys, F.col(value).cast("double").alias("_v"))
+    named = {f"_key{i}": k for i, k in enumerate(keys)}
+    rows = (df.dropna(subset=keys) if keys else df).select(*(F.col(k).alias(a) for a, k in named.items()), F.col(value).cast("double").alias("_v"))
+    keys = list(named)
     sizes, table = pinned_if_small(rows.groupBy(*keys).agg(F.count("_v").alias("_n")))
     rows = rows.filter(F.col("_v").isNotNull())
     hot = sizes.filter(F.col("_n") > hot_rows).select(*keys)
@@ -114,7 +117,7 @@ def _values_at(
             parts.append(found)
             break
         margin = max(8 * margin, 1.0 / accuracy)
-    return _join(sizes.withColumnRenamed("_n", "n"), reduce(DataFrame.unionByName, parts), keys, "left")
+    return _join(sizes.withColumnRenamed("_n", "n"), reduce(DataFrame.unionByName, parts), keys, "left").withColumnsRenamed(named)
 
 
 def selected(

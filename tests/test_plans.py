@@ -41,6 +41,14 @@ def test_exact_quantiles(df, rows, accuracy, hot_rows):
         assert got[k] == pytest.approx(g.v.quantile(qs).tolist())
 
 
+@pytest.mark.parametrize("hot_rows", [0, 10**9])
+def test_quantiles_by_keys_named_like_scratch_columns(spark, hot_rows):
+    for key in ("_c", "_v", "_n", "_cell", "_fine", "_lo", "_end", "_key1"):
+        df = spark.createDataFrame([("a", i % 2, float(i)) for i in range(20)], f"place string, `{key}` int, x double")
+        got = {(r.place, r[key]): (r.n, r.quantiles) for r in exact_quantiles(df, "x", [0.5], ["place", key], hot_rows=hot_rows).collect()}
+        assert got == {("a", 0): (10, [9.0]), ("a", 1): (10, [10.0])}, key
+
+
 @pytest.mark.parametrize("hot_rows", [0, 10**9])
 def test_quantiles_without_values(spark, hot_rows):
     empty = spark.createDataFrame([(1, None), (2, 3.0), (None, 4.0)], "k int, v double")
