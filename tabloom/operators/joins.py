@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.plans.sizing import attach, pinned_if_small
+from tabloom.plans.written import written
 
 
 def inner_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -146,6 +147,17 @@ def _scored(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.withColumn("_s", 1 - F.levenshtein("_l", "_r") / longer).filter(F.col("_s") >= threshold - 1e-12)
 
 
+def _meet(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join of rows that names were cut into.
+
+    Spark guesses the size of such rows from the table they come from, some
+    thousand times too small, and may broadcast either side. Here the right side
+    is broadcast if it was measured to be small, and else both are shuffled.
+    """
+    small, table = pinned_if_small(right)
+    return (left.hint("merge") if table is None else left).join(small, list(on), how)
+
+
 def _shortened(name: Column, letters: int) -> Column:
     """The text with up to ``letters`` letters left out, each result once."""
     texts = F.array(name)
@@ -161,7 +173,7 @@ def _deletion_matches(names_l: DataFrame, names_r: DataFrame, share: float, lett
     r = names_r.select("_r", F.explode_outer(_shortened(F.col("_r"), letters)).alias("_text"))
     longer = F.greatest(F.length("_l"), F.length("_r"))
     allowed = (F.abs(F.length("_l") - F.length("_r")) <= letters) & (_edits(longer, share) >= letters)
-    return l.join(r, "_text").filter(allowed).select("_l", "_r").distinct()
+    return _meet(l, r, ["_text"]).filter(allowed).select("_l", "_r").distinct()
 
 
 def one_edit_matches(names_l: DataFrame, names_r: DataFrame, share: float) -> DataFrame:
@@ -216,7 +228,7 @@ def _letter_matches(names_l: DataFrame, names_r: DataFrame, share: float) -> Dat
     probe = spans.select("_l", "_n", "_m", F.posexplode("_o").alias("_pl", "_x")).filter(F.col("_pl") <= F.length("_l") - F.col("_m"))
     probe = probe.select("_l", "_n", "_m", F.col("_x._c").alias("_c"))
     index = by_r.select("_r", "_n", "_pr", F.col("_x._c").alias("_c"))
-    met = probe.join(index, ["_n", "_c"]).filter(F.col("_pr") <= F.col("_n") - F.col("_m"))
+    met = _meet(probe, index, ["_n", "_c"]).filter(F.col("_pr") <= F.col("_n") - F.col("_m"))
     return met.select("_l", "_r").distinct()
 
 
@@ -240,16 +252,20 @@ def _piece_matches(names_l: DataFrame, names_r: DataFrame, share: float) -> Data
     )
     freq = right.groupBy(*key).agg(F.count(F.lit(1)).alias("_f"))
     # rank the pieces of one name by frequency and keep t + 1; a name has a handful of pieces
-    ranked = right.join(freq, key).groupBy("_r", "_t").agg(
+    ranked = right.hint("merge").join(freq, key).groupBy("_r", "_t").agg(
         F.slice(F.sort_array(F.collect_list(F.struct("_f", "_i", "_p", "_n", "_text"))), 1, F.first("_t") + 1).alias("_k")
     )
     # names allowed two edits whose kept pieces are frequent go another way
     hot = (F.col("_t") == 2) & F.exists("_k", lambda x: x["_f"] > HOT_NAMES)
     ranked = ranked.withColumn("_hot", hot)
     kept = ranked.select("_r", "_t", "_hot", F.explode("_k").alias("_k")).select("_r", "_t", "_hot", "_k._p", "_k._n", "_k._i", "_k._text")
+    kept = written(kept, "fuzzy-pieces")
 
     l_len = F.length("_l")
-    spans = names_l.select(
+    # a number of its own: a name gives thousands of rows below, which adaptive coalescing cannot see
+    spark = names_l.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spans = names_l.repartition(tasks, F.xxhash64("_l")).select(
         "_l",
         F.explode(
             F.sequence(
@@ -268,10 +284,10 @@ def _piece_matches(names_l: DataFrame, names_r: DataFrame, share: float) -> Data
     at, size = _piece(F.col("_n"), F.col("_p"), F.col("_i"))
     probe = spots.withColumn("_at", at + F.col("_d")).withColumn("_size", size).filter(
         (F.col("_at") >= 1) & (F.col("_at") + F.col("_size") - 1 <= l_len)
-    ).select("_l", "_t", "_p", "_n", "_i", F.substring(F.col("_l"), F.col("_at"), F.col("_size")).alias("_text")).distinct()
-    pairs = probe.join(kept.filter("NOT _hot"), key).select("_l", "_r")
-    hot_names = ranked.filter("_hot").select("_r").distinct()
+    ).select("_l", "_t", "_p", "_n", "_i", F.substring(F.col("_l"), F.col("_at"), F.col("_size")).alias("_text"))
+    pairs = _meet(probe, kept.filter("NOT _hot"), key).select("_l", "_r")
+    hot_names = kept.filter("_hot").select("_r").distinct()
     # left names that hold one of those frequent pieces
     hot_keys = kept.filter("_hot").select(*key).distinct()
-    there = probe.join(hot_keys, key, "left_semi").select("_l").distinct()
+    there = _meet(probe, hot_keys, key, "left_semi").select("_l").distinct()
     return pairs.unionByName(_deletion_matches(there, hot_names, share, 2)).distinct()

@@ -377,3 +377,11 @@ def test_dense_counts_on_both_sides_of_the_limit(spark, monkeypatch, limit):
     monkeypatch.setattr(aggregate, "MAX_ROWS", limit)
     df = spark.createDataFrame([(2,), (2,), (4,), (99,), (None,)], "x int")
     assert sorted(map(tuple, aggregate.dense_counts(df, "x", 0, 8, 2).collect())) == [(0, 0), (2, 2), (4, 1), (6, 0), (8, 0)]
+
+
+def test_fuzzy_join_broadcasts_only_what_was_measured(spark):
+    """One left name gives hundreds of rows, which Spark takes for a few bytes: they are never the broadcast side."""
+    left = spark.createDataFrame([("shared beginning xyz",)], "_l string")
+    right = spark.createDataFrame([(f"shared beginning {i:03d}",) for i in range(300)], "_r string")
+    plan = joins.further_matches(left, right, 0.5)._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" not in plan and "BuildRight" in plan
