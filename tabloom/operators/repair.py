@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabloom.functions import categories, text
 from tabloom.plans.quantiles import exact_quantiles
 from tabloom.plans.sizing import attach
+from tabloom.plans.written import written
 
 
 def replace_values(df: DataFrame, col: str, mapping: Mapping, out: str | None = None) -> DataFrame:
@@ -110,7 +111,8 @@ def speed_class(
     labels: tuple[str, str, str] = ("fast", "normal", "slow"),
 ) -> DataFrame:
     """Below the low quantile fast, above the high one slow."""
-    q = exact_quantiles(df, col, [lo_q, hi_q]).select(
+    # the quantiles pass over the values several times; they are written once, so that no pass repeats the joins they come from
+    q = exact_quantiles(written(df.select(col), "speed"), col, [lo_q, hi_q]).select(
         F.col("quantiles")[0].alias("_lo"), F.col("quantiles")[1].alias("_hi")
     )
     label = (
