@@ -186,8 +186,10 @@ def _by_pivots(train: DataFrame, query: DataFrame, k: int, n: int, m: int, block
             go = np.sqrt(np.clip(squared, 0, None)) - radii - slack <= batch.column("kth").to_numpy()[:, None]
             go &= np.array(there)[None, :] != batch.column("space").to_numpy()[:, None]
             row, to = np.nonzero(go)
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(there, np.int32)[to]), *(batch.column(c).take(take) for c in ("id", "v", "tag"))], names=slim)
+            # a query's vector goes to up to ``PIVOTS`` pivots: the copies of a whole batch are never held together
+            for a in range(0, len(row), block_rows):
+                take = pa.array(row[a : a + block_rows])
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(there, np.int32)[to[a : a + block_rows]]), *(batch.column(c).take(take) for c in ("id", "v", "tag"))], names=slim)
 
     further = asked.mapInArrow(needed, SLIM)
     rest = _cells(train.select(slim), further, k, {s: _shape(size(s, "train"), m) for s in there}, block_rows)
