@@ -215,6 +215,11 @@ def k_nearest(
         return df.select(space.alias("space"), F.col(id_col).cast("long").alias("id"), v.cast("array<double>").alias("v"), tag.cast("int").alias("tag"))
 
     rows, asked = slim(train, F.col(tag_col)), slim(query, F.lit(0))
+    if space_col:
+        # equal vectors are equally far from any query: of those only the k smallest ids can be among its k nearest
+        same = Window.partitionBy("space", "v").orderBy("id")
+        rows = rows.withColumn("_rank", F.row_number().over(same)).filter(F.col("_rank") <= k).drop("_rank")
+        rows = written(rows, "nearest-distinct")
     sides = rows.select("space", F.lit(0).alias("side")).union(asked.select("space", F.lit(1).alias("side")))
     sizes = {}
     for r in sides.groupBy("space", "side").count().collect():  # two rows per space

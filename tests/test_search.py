@@ -175,3 +175,18 @@ def test_sampled_attribution_tends_to_the_exact_one(spark, rows):
     with pytest.raises(Exception, match="at most"):
         wide = spark.range(6000).select(F.lit(1.0).alias("a"), F.lit(2.0).alias("b"), F.col("id"))
         attribution.attribution(tree, some.select("id", "features"), "id", 2, build_pipeline([], {}, NUM, None, "none").fit(rows).transform(wide), n_perm=1).collect()
+
+
+def test_equal_training_vectors_are_kept_as_often_as_they_can_be_found(spark, monkeypatch):
+    """A space with few different vectors holds k rows of each at most; ties still go to the smallest ids."""
+    held = []
+    inner = nearest._cells
+    monkeypatch.setattr(nearest, "_cells", lambda train, *a: (held.append(train.count()), inner(train, *a))[1])
+    rows = [(i, i % 2, [float(i % 5)], (i // 7) % 2) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id int, s int, v array<double>, y int")
+    train, query = df.filter("id >= 20"), df.filter("id < 20")
+    got = nearest.k_nearest(train, query, 4, "id", "v", "y", space_col="s").collect()
+    assert held == [2 * 5 * 4]
+    for q, s, v, _ in rows[:20]:
+        want = sorted((abs(w[0] - v[0]), i, y) for i, t, w, y in rows[20:] if t == s)[:4]
+        assert sorted((r.dist, r.near_id, r.tag) for r in got if r.query_id == q) == want
