@@ -169,23 +169,19 @@ def _shape(run: Column, numeric: Column, mail: Column) -> Column:
     return F.when(numeric & (F.length(number) >= 6), number).when(mail & (F.length(spelled) >= 6), spelled).when(single, one).otherwise(F.lit(""))
 
 
-def occurrences(docs: DataFrame, patterns: DataFrame, own: DataFrame) -> DataFrame:
+def occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """Every place in all texts where a pattern stands before a word: document key, word number, run, and whether a base span is there.
 
-    ``own(k, h, own)`` lists the numbers of the words in base spans per document; it meets
-    a document's occurrences as one row, so the join grows with the documents.
+    ``docs(k, h, text, own)`` holds with each text the numbers of its words in base spans,
+    so that a place is one row from its word on.
     """
     known = measured(patterns)
-    w = docs.select("k", "h", F.split(F.col("text"), SPACE + "+").alias("w"))
+    w = docs.select("k", "h", "own", F.split(F.col("text"), SPACE + "+").alias("w"))
     triples = F.transform(F.sequence(F.lit(2), F.size("w") - 1), lambda i: F.struct(
-        F.lower(F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1))).alias("pattern"), i.alias("at"), _run(F.col("w"), i).alias("run")))
+        F.lower(F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1))).alias("pattern"), i.alias("at"), _run(F.col("w"), i).alias("run"), F.array_contains("own", i).alias("own")))
     # the outer form: of a plain explode the optimizer infers a filter on the array's size, and makes the triples twice
-    each = w.filter(F.size("w") > 2).select("k", "h", F.explode_outer(triples).alias("x")).select("k", "h", "x.pattern", "x.at", "x.run")
+    each = w.filter(F.size("w") > 2).select("k", "h", F.explode_outer(triples).alias("x")).select("k", "h", "x.pattern", "x.at", "x.run", "x.own")
     found = each.filter(F.col("run") != "").join(known, "pattern")
-    per_doc = found.groupBy("k", "h").agg(F.collect_list(F.struct("at", "pattern", "run", "numeric", "mail")).alias("x"))
-    marked = per_doc.join(own, ["k", "h"], "left").withColumn("own", F.coalesce("own", F.array().cast("array<int>")))
-    flag = lambda x: F.struct(x.alias("x"), F.array_contains("own", x["at"]).alias("own"))
-    found = marked.select("k", "h", F.explode_outer(F.transform("x", flag)).alias("y")).select("k", "h", "y.x.*", "y.own")
     found = found.withColumn("shape", _shape(F.col("run"), F.col("numeric"), F.col("mail")))
     bare = F.when(F.col("shape") != "", F.col("shape")).otherwise(_bare(F.get(F.split("run", " "), F.lit(0))))
     return found.select("k", "h", "at", "pattern", "own", "shape", bare.alias("instance"))
@@ -239,7 +235,7 @@ def personal_data(
     rows = _keyed(docs, id_col, text_col)
     own = F.transform("base", lambda x: F.struct(_context(F.col("text"), x["start"]).alias("pattern"), _bare(x["m"]).alias("instance"), x["kind"].alias("kind")))
     bare = F.transform("base", lambda x: F.struct(x["start"].alias("start"), x["order"].alias("order"), x["end"].alias("end"), x["kind"].alias("kind")))
-    spans = rows.withColumn("base", base_spans(F.col("text"))).select("doc_id", "k", "h", bare.alias("base"), own.alias("seen"), _words_of(F.col("text"), F.col("base")).alias("own"))
+    spans = rows.withColumn("base", base_spans(F.col("text"))).select("doc_id", "k", "h", bare.alias("base"), own.alias("seen"), _words_of(F.col("text"), F.col("base")).alias("own"), "text")
     spans = written(spans, "pii-base")
 
     seeded = written(seeds(spans), "pii-seeds")
@@ -252,8 +248,7 @@ def personal_data(
     if patterns.isEmpty():
         added = None
     else:
-        words = spans.filter(F.size("own") > 0).select("k", "h", "own").dropDuplicates(["k", "h"])
-        seen = written(occurrences(rows, patterns, words), "pii-occurrences")
+        seen = written(occurrences(spans, patterns), "pii-occurrences")
         good = confident(seen, seeded, rounds, confidence)
         new = seen.filter((F.col("shape") != "") & ~F.col("own")).join(good.select("pattern"), "pattern", "left_semi")
         size = F.size(F.split("shape", " "))
@@ -261,6 +256,7 @@ def personal_data(
         # only texts with a discovery are read again, to turn word numbers into places
         again = rows.join(measured(written(new, "pii-new")), ["k", "h"]).dropDuplicates(["k", "h"])
         added = again.select("k", "h", _places(F.col("text"), F.col("at")).cast(extra).alias("added"))
+    spans = spans.drop("text")
     both = spans.join(added, ["k", "h"], "left") if added is not None else spans.withColumn("added", F.lit(None).cast(extra))
     free = F.filter(F.coalesce("added", F.array().cast(extra)), lambda a: ~F.exists("base", lambda b: (a["start"] < b["end"]) & (b["start"] < a["end"])))
     both = both.withColumn("all", F.array_sort(F.concat("base", free)))
