@@ -58,6 +58,11 @@ NUMBER = r"^[+(]{0,2}[0-9][0-9().x-]*+(?: [(]?[0-9][0-9().x-]*+)++"
 SPELLED = r"(?i)^[a-z0-9._%+-]++ (?:at|@|[\[({<]at[\])}>]) [a-z0-9.-]*[a-z0-9](?: (?:dot|[\[({<]dot[\])}>]) [a-z0-9-]*[a-z0-9])*+"
 MARKED = r"^[\x21-\x7E]*[A-Za-z0-9][@%+\[\](){}<>*#=~_]++[\x21-\x7E]*[A-Za-z0-9]"
 AROUND = r"[\"'()\[\]{}<>,;:.!?|]"
+#: What a word must hold to have a shape by itself, and the word that may stand behind the first one of a spelled address.
+SIGN = r"[0-9@%+\[\](){}<>*#=~_]"
+AT = f"^{AROUND}*+(?:at|@){AROUND}*+$"
+#: Bits of the test whether a pair of words may be a pattern.
+BITS = 1 << 18
 
 
 def _matches(text: Column, rule: tuple[str, str], kind: str) -> Column:
@@ -169,27 +174,67 @@ def _shape(run: Column, numeric: Column, mail: Column) -> Column:
     return F.when(numeric & (F.length(number) >= 6), number).when(mail & (F.length(spelled) >= 6), spelled).when(single, one).otherwise(F.lit(""))
 
 
+def _lowered(text: Column) -> Column:
+    """The words of a text, lower-cased."""
+    return F.split(F.lower(text), SPACE + "+")
+
+
 def occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Every place in all texts where a pattern stands before a word: document key, word number, run, and whether a base span is there.
+    """Places in all texts where a pattern stands before a word that can score: document key, word number, run, and whether a base span is there.
 
     ``docs(k, h, text, own)`` holds with each text the numbers of its words in base spans,
-    so that a place is one row from its word on.
+    so that a place is one row from its word on. A word can score if it is in a base span,
+    has the shape of an identifier behind some pattern, or may be a seed that is shorter than that
+    (an address; numbers of seeds have six characters). The others score 0 and are only
+    counted, by ``totals``.
     """
     known = measured(patterns)
-    w = docs.select("k", "h", "own", F.split(F.col("text"), SPACE + "+").alias("w"))
-    triples = F.transform(F.sequence(F.lit(2), F.size("w") - 1), lambda i: F.struct(
-        F.lower(F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1))).alias("pattern"), i.alias("at"), _run(F.col("w"), i).alias("run"), F.array_contains("own", i).alias("own")))
-    # the outer form: of a plain explode the optimizer infers a filter on the array's size, and makes the triples twice
-    each = w.filter(F.size("w") > 2).select("k", "h", F.explode_outer(triples).alias("x")).select("k", "h", "x.pattern", "x.at", "x.run", "x.own")
-    found = each.filter(F.col("run") != "").join(known, "pattern")
+    words = docs.select("k", "h", "own", F.split(F.col("text"), SPACE + "+").alias("w"), _lowered(F.col("text")).alias("low"))
+    at_next = lambda i: F.coalesce(F.get("low", i + 1).rlike(AT), F.lit(False))
+    numbers = F.filter(F.sequence(F.lit(2), F.size("w") - 1), lambda i: F.get("w", i).rlike(SIGN) | at_next(i) | F.array_contains("own", i))
+    places = F.transform(numbers, lambda i: F.struct(
+        F.concat_ws(" ", F.get("low", i - 2), F.get("low", i - 1)).alias("pattern"), i.alias("at"), _run(F.col("w"), i).alias("run"), F.array_contains("own", i).alias("own")))
+    # the outer form: of a plain explode the optimizer infers a filter on the array's size, and makes the places twice
+    each = words.select("k", "h", F.explode_outer(F.when(F.size("w") > 2, places)).alias("x")).select("k", "h", "x.pattern", "x.at", "x.run", "x.own")
+    first = _bare(F.get(F.split("run", " "), F.lit(0)))
+    able = F.col("own") | (_shape(F.col("run"), F.lit(True), F.lit(True)) != "") | first.contains("@")
+    found = each.filter((F.col("run") != "") & able).join(known, "pattern")
     found = found.withColumn("shape", _shape(F.col("run"), F.col("numeric"), F.col("mail")))
-    bare = F.when(F.col("shape") != "", F.col("shape")).otherwise(_bare(F.get(F.split("run", " "), F.lit(0))))
+    bare = F.when(F.col("shape") != "", F.col("shape")).otherwise(first)
     return found.select("k", "h", "at", "pattern", "own", "shape", bare.alias("instance"))
 
 
-def confident(seen: DataFrame, seeded: DataFrame, rounds: int, confidence: float) -> DataFrame:
+def totals(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``n``, the places in all texts where a pattern stands before any word.
+
+    Pairs of words are counted before they meet the patterns, so that the join's rows
+    are patterns, not places. Pairs whose hash no pattern has are left out of the counting.
+    """
+    low = F.col("low")
+    n = F.size(low) - F.when(F.get(low, F.size(low) - 1) == "", 3).otherwise(2)
+    words = docs.select(_lowered(F.col("text")).alias("low")).select("low", F.greatest(n, F.lit(0)).alias("n"))
+    pairs = F.zip_with(F.slice("low", 1, F.col("n")), F.slice("low", 2, F.col("n")), lambda a, b: F.concat_ws(" ", a, b))
+    each = words.select(F.explode_outer(pairs).alias("pattern")).filter(_may_be_in(patterns, "pattern"))
+    counted = each.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+    # an inner join of one row per pattern: a semi join is moved below the counting by the optimizer, and meets every place
+    return counted.join(measured(patterns.select("pattern")), "pattern")
+
+
+def _may_be_in(table: DataFrame, name: str) -> Column:
+    """False only for values that the table does not hold: a test of one hash against ``BITS`` bits, at any number of rows."""
+    place = F.pmod(F.xxhash64(F.col(name)), F.lit(BITS))
+    block, bit = F.floor(place / 64).cast("int"), (place % 64).cast("int")
+    set_bits = table.select(block.alias("block"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits"))
+    held = {r["block"]: r["bits"] for r in set_bits.groupBy("block").agg(F.bit_or("bits").alias("bits")).collect()}
+    blocks = F.split(F.lit(",".join(str(held.get(i, 0)) for i in range(BITS // 64))), ",").cast("array<bigint>")
+    return F.getbit(F.get(blocks, block), bit) == 1
+
+
+def confident(seen: DataFrame, seeded: DataFrame, rounds: int, confidence: float, counts: DataFrame | None = None) -> DataFrame:
     """Patterns above the confidence after some rounds of scoring patterns by instances and instances by patterns.
 
+    ``counts(pattern, n)`` gives the places of each pattern if ``seen`` leaves out places that score 0.
+
     Most edges never change what a round finds and are folded into counts per
     pattern: a seed scores 1, an instance without the shape of an identifier 0, and one
     behind a single pattern that pattern's confidence. The rounds join only
@@ -208,6 +253,8 @@ def confident(seen: DataFrame, seeded: DataFrame, rounds: int, confidence: float
     shared = written(behind.join(several, "instance", "left_semi"), "pii-shared")
     moving = written(open_edges.join(several, "instance", "left_semi"), "pii-moving")
     parts = edges.groupBy("pattern").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("own"), F.col("n")).otherwise(0)).alias("own"))
+    if counts is not None:
+        parts = parts.drop("all").join(counts.select("pattern", F.col("n").alias("all")), "pattern")
     parts = parts.join(total(others.join(known, "instance", "left_semi"), "seeds"), "pattern", "left")
     parts = parts.join(total(open_edges.join(several, "instance", "left_anti"), "single"), "pattern", "left").na.fill(0)
     parts = written(parts, "pii-parts")
@@ -249,7 +296,7 @@ def personal_data(
         added = None
     else:
         seen = written(occurrences(spans, patterns), "pii-occurrences")
-        good = confident(seen, seeded, rounds, confidence)
+        good = confident(seen, seeded, rounds, confidence, totals(spans, patterns))
         new = seen.filter((F.col("shape") != "") & ~F.col("own")).join(good.select("pattern"), "pattern", "left_semi")
         size = F.size(F.split("shape", " "))
         new = new.groupBy("k", "h").agg(F.collect_set(F.struct("at", size.alias("words"), "shape")).alias("at"))

@@ -135,3 +135,24 @@ def test_scoring_rounds_equal_a_plain_loop(spark):
         want = confidence()
         found = {r.pattern: r.confidence for r in got.collect()}
         assert set(found) == set(want) and all(abs(found[p] - want[p]) < 1e-12 for p in want)
+
+
+def test_places_that_score_nothing_are_counted_before_they_meet_the_patterns(spark):
+    """Only words that can score become rows, every place counts, and the join is above the counting."""
+    from tabloom.llm.pii_bootstrap import occurrences, totals
+
+    texts = ["write to me" + " write  to\tyou" * 300 + " Write TO user[at]51 write to a7-7b7c, write to jane at mail write to", "write to ", "write to", "", " write to x",
+             "\u039f\u0394\u039f\u03a3 to x77-77 \u03bf\u03b4\u03bf\u03c2 TO y"]
+    docs = spark.createDataFrame([(str(i), i, t, [3] if i == 4 else []) for i, t in enumerate(texts)], "k string, h long, text string, own array<int>")
+    patterns = spark.createDataFrame([("write to", True, True), ("\u03bf\u03b4\u03bf\u03c2 to", True, False), ("nowhere to", True, True)], "pattern string, mail boolean, numeric boolean")
+
+    def plain(pattern):
+        words = [[w for w in re.split("[\x20\x09-\x0D]+", t) if w] for t in texts]
+        return sum(" ".join(w[i - 2 : i]).lower() == pattern for w in words for i in range(2, len(w)))
+
+    counted = totals(docs, patterns)
+    assert {r.pattern: r.n for r in counted.collect()} == {p: plain(p) for p in ("write to", "\u03bf\u03b4\u03bf\u03c2 to")}
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")
+    seen = sorted((r.k, r.instance, r.own) for r in occurrences(docs, patterns).collect())
+    assert seen == [("0", "a7-7b7c", False), ("0", "jane at mail", False), ("0", "user[at]51", False), ("4", "x", True), ("5", "x77-77", False)]
