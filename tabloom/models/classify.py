@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tabloom.models.features import hash_number
 from tabloom.plans.blocks import running_total
+from tabloom.plans.written import written
 
 
 def tree_classifier(depth: int = 5, label: str = "label", seed: int = 42) -> DecisionTreeClassifier:
@@ -91,7 +92,8 @@ def grouped_auc(df: DataFrame, group: str, label: str, score_col: str) -> DataFr
     """
     pos, neg = F.sum((F.col(label) == 1).cast("long")), F.sum((F.col(label) == 0).cast("long"))
     per = df.filter(F.col(score_col).isNotNull()).groupBy(group, F.col(score_col).alias("_s")).agg(pos.alias("_p"), neg.alias("_q"))
-    run = running_total(per, F.col(group), F.col("_s"), {"_upto": F.col("_q")})
+    # a row per different score, read several times to find and run through the order
+    run = running_total(written(per, "auc-scores"), F.col(group), F.col("_s"), {"_upto": F.col("_q")})
     before = F.min(F.col("_upto") - F.col("_q"))
     wins = F.sum(F.col("_p").cast("double") * (F.col("_upto") - F.col("_q") / 2))
     sums = run.groupBy(group).agg(wins.alias("_w"), before.alias("_before"), F.sum("_p").alias("_p"), F.sum("_q").alias("_q"))

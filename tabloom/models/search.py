@@ -26,6 +26,8 @@ from tabloom.plans.sizing import packed
 from tabloom.plans.written import written
 from tabloom.session import shared_dir
 
+#: Rows of a task of a fit.
+FIT_ROWS = 100_000
 ENCODINGS, SCALINGS = ("one_hot", "ordinal"), ("standard", "minmax", "none")
 
 
@@ -124,7 +126,8 @@ def fold_scores(
     spark = df.sparkSession
     fold = (hash_number(F.col(key), seed) % folds).cast("int").alias("_fold")
     numbers = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in num]
-    data = packed(written(df.select(key, F.col(label).cast("double").alias(label), *cat, *order, *numbers, fold), "search"))
+    # few, full tasks: a fit passes over its rows up to a hundred times, and a pass costs little per row
+    data = packed(written(df.select(key, F.col(label).cast("double").alias(label), *cat, *order, *numbers, fold), "search"), FIT_ROWS)
     at = {c: n for n, c in enumerate(chosen)}
     used = [e for e in ENCODINGS if any(c.encoding == e for c in chosen)]
     scalings = [s for s in SCALINGS if any(c.scaling == s for c in chosen)]
@@ -141,18 +144,14 @@ def fold_scores(
         return rows.select(key, label, "_fold", vector_to_array("_encoded").alias("cats"), F.array(*num).cast("array<double>").alias("nums"))
 
     places = [(f, e) for f in range(folds) for e in used]
-    rows_of = dict(zip(places, _together(spark, [lambda f=f, e=e: encoded(f, e) for f, e in places], parallelism)))
-    # one written table of all encodings, which every fit and the neighbour pass read
-    everything = None
-    for n, (f, e) in enumerate(places):
-        part = rows_of[f, e].withColumn("place", F.lit(n))
-        everything = part if everything is None else everything.unionByName(part)
-    everything = written(everything, "search-rows")
+    # a written table per fold and encoding, which its fits and the neighbour pass read
+    tables = _together(spark, [lambda f=f, e=e: written(encoded(f, e), "search-rows") for f, e in places], parallelism)
+    rows_of = [packed(table, FIT_ROWS) for table in tables]
     depths = sorted({c.param for c in chosen if c.model == "tree"})
     linear = [m for m in ("svm", "logistic") if any(c.model == m for c in chosen)]
 
     def vectors(n: int, f: int, how: str) -> DataFrame:
-        return everything.filter(F.col("place") == n).withColumn("features", array_to_vector(_scaled(limits[f][how])))
+        return rows_of[n].withColumn("features", array_to_vector(_scaled(limits[f][how])))
 
     def fit_tree(n, f, e):
         model = tree_classifier(max(depths), label, seed).fit(vectors(n, f, "none").filter(F.col("_fold") != f))
@@ -174,7 +173,7 @@ def fold_scores(
         fresh = linear_svm(label, svm_penalty) if name == "svm" else logistic(label, penalty)
         model = fresh.fit(vectors(n, f, how).filter(F.col("_fold") != f))
         weights = F.array(*(F.lit(float(w)) for w in model.coefficients.toArray()))
-        test = everything.filter((F.col("place") == n) & (F.col("_fold") == f)).select(label, _scaled(limits[f][how]).alias("x"))
+        test = rows_of[n].filter(F.col("_fold") == f).select(label, _scaled(limits[f][how]).alias("x"))
         margin = F.aggregate(F.zip_with("x", weights, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b) + F.lit(float(model.intercept))
         return test.select(label, F.lit(f).alias("fold"), F.lit(at[c]).alias("candidate"), margin.alias("score"))
 
@@ -185,11 +184,15 @@ def fold_scores(
     ks = sorted({c.param for c in chosen if c.model == "knn"})
     if ks:
         which, fold_at = F.array(*(F.lit(f) for f, _ in places)), len(scalings)
-        per_place = [F.array(*(F.struct(F.lit(n * fold_at + i).alias("space"), _scaled(limits[f][s]).alias("v")) for i, s in enumerate(scalings))) for n, (f, _) in enumerate(places)]
-        own = per_place[0]
-        for n, cells in enumerate(per_place[1:], 1):
-            own = F.when(F.col("place") == n, cells).otherwise(own)
-        rows = everything.withColumn("x", F.explode(own)).select(key, label, "_fold", "x.space", "x.v")
+        rows = None
+        for n, table in enumerate(tables):
+            part = table.select("*", F.explode(F.array(*(F.lit(n * fold_at + i) for i in range(fold_at)))).alias("space"))
+            rows = part if rows is None else rows.unionByName(part)
+        # one expression for all spaces: shift and width of a space's columns are looked up
+        every = [x for f, _ in places for s in scalings for x in limits[f][s]]
+        look = lambda i, side: F.get(F.lit([x[side] for x in every]), F.col("space") * len(num) + i)
+        nums = [(F.col("nums")[i] - look(i, 0)) / look(i, 1) for i in range(len(num))]
+        rows = rows.select(key, label, "_fold", "space", (F.concat("cats", F.array(*nums)) if nums else F.col("cats")).alias("v"))
         fold_of = F.get(which, F.floor(F.col("space") / fold_at).cast("int"))
         shares = knn_shares(rows, ks, "space", fold_of, "_fold", key, "v", label)
         number = F.array(*(F.array(*(F.lit(at.get(Candidate("knn", k, e, s), -1)) for k in ks)) for _, e in places for s in scalings))
@@ -200,7 +203,7 @@ def fold_scores(
     for p in parts[1:]:
         scored = scored.unionByName(p)
     group = (F.col("candidate") * folds + F.col("fold")).cast("long")
-    aucs = grouped_auc(written(scored.select(label, "score", group.alias("_group")), "search-scores"), "_group", label, "score")
+    aucs = grouped_auc(scored.select(label, "score", group.alias("_group")), "_group", label, "score")
     return aucs.select(F.expr(f"cast(_group div {folds} AS int)").alias("candidate"), (F.col("_group") % folds).cast("int").alias("fold"), "auc")
 
 

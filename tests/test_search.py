@@ -190,3 +190,41 @@ def test_equal_training_vectors_are_kept_as_often_as_they_can_be_found(spark, mo
     for q, s, v, _ in rows[:20]:
         want = sorted((abs(w[0] - v[0]), i, y) for i, t, w, y in rows[20:] if t == s)[:4]
         assert sorted((r.dist, r.near_id, r.tag) for r in got if r.query_id == q) == want
+
+
+@pytest.mark.parametrize("twice", [False, True])
+def test_neighbours_through_boxes_and_leaves(spark, monkeypatch, twice):
+    """Spaces of more rows than a cell holds: ties on a grid, a hot vector, a far query; compared pairs stay well below all."""
+    monkeypatch.setattr(nearest, "CELL_ROWS", 100)
+    monkeypatch.setattr(nearest, "BOX_ROWS", 60)
+    monkeypatch.setattr(nearest, "LEAF_ROWS", 16)
+    rng = np.random.default_rng(8)
+    t = {s: np.vstack([rng.integers(0, 6, (500, w)) * 10.0 + (s == 2) * rng.normal(size=(500, w)), np.full((60, w), 30.0)]) for s, w in ((2, 3), (5, 2))}
+    q = {s: np.vstack([v[:40], rng.normal(size=(20, v.shape[1])) * 20 + 25, np.full((1, v.shape[1]), 1e4)]) for s, v in t.items()}
+    train = spark.createDataFrame([(s, i, x.tolist(), i % 3) for s, v in t.items() for i, x in enumerate(v)], "s int, id long, v array<double>, y int").repartition(3)
+    query = spark.createDataFrame([(s, i, x.tolist()) for s, v in q.items() for i, x in enumerate(v)], "s int, id long, v array<double>")
+    asked = query.unionByName(query.filter("id < 5")) if twice else query
+    got = {}
+    for r in nearest.k_nearest(train, asked, 7, "id", "v", "y", space_col="s").collect():
+        got.setdefault((r.space, r.query_id), {})[r.place] = (r.near_id, r.tag)
+    for s in t:
+        for i, want in enumerate(_pairs(t[s], q[s], 7)):
+            if twice and i < 5:  # a key that stands twice shares its places
+                want = [j for j in want for _ in range(2)][:7]
+            assert [got[s, i][p] for p in range(1, 8)] == [(j, j % 3) for j in want], (s, i)
+
+
+def test_a_query_meets_near_leaves_only(monkeypatch):
+    """What a query is compared with does not grow with the rows of its cell."""
+    met = []
+    inner = nearest._near
+    monkeypatch.setattr(nearest, "_near", lambda q, t, *a: (met.append(len(q) * len(t)), inner(q, t, *a))[1])
+    rng = np.random.default_rng(9)
+    pairs = []
+    for n in (8_000, 32_000):
+        t, q = rng.random((n, 2)), rng.random((50, 2))
+        met.clear()
+        dist, ids, _, found = nearest._Leaves(np.arange(n), t, np.zeros(n, np.int32)).nearest(q, np.full(50, np.inf), 5)
+        assert (found == 5).all() and ids.tolist() == _pairs(t, q, 5)
+        pairs.append(sum(met))
+    assert pairs[1] < 1.3 * pairs[0] < 0.5 * 50 * 8_000
