@@ -157,11 +157,12 @@ def fold_scores(
         model = tree_classifier(max(depths), label, seed).fit(vectors(n, f, "none").filter(F.col("_fold") != f))
         nodes = tree_nodes(spark, model)
         scores = {d: cut_scores(nodes, d) for d in depths}
-        per_leaf = F.array(*(F.array(*(F.lit(scores[d][i]) for d in depths)) for i in range(len(scores[depths[0]]))))
+        # at most 2^depth leaves; as literals they would stand in the plan once per candidate
+        per_leaf = spark.createDataFrame([(i, [scores[d][i] for d in depths]) for i in range(len(scores[depths[0]]))], "leaf int, found array<double>")
         test = model.setLeafCol("leaf").transform(vectors(n, f, "none").filter(F.col("_fold") == f))
-        found = F.get(per_leaf, F.col("leaf").cast("int"))
+        test = test.select(label, F.col("leaf").cast("int").alias("leaf")).join(F.broadcast(per_leaf), "leaf", "left")
         cells = [
-            F.struct(F.lit(at[c]).alias("candidate"), found[i].alias("score"))
+            F.struct(F.lit(at[c]).alias("candidate"), F.col("found")[i].alias("score"))
             for i, d in enumerate(depths) for s in scalings if (c := Candidate("tree", d, e, s)) in at
         ]
         return test.select(label, F.lit(f).alias("fold"), F.explode(F.array(*cells)).alias("x")).select(label, "fold", "x.candidate", "x.score")
